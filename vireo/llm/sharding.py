@@ -15,40 +15,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-HEX = 13  # 52 bits of an md5 a draw, two draws an md5
+BITS = 52  # of a hash, for a draw
 
 
-def leaf_draws(key: Column, leaves: int, weights: Sequence[float] | None) -> Column:
-    """array<struct<d, s>>: the draw of each leaf s; a leaf of weight 0 never wins."""
-    text = F.coalesce(key.cast("string"), F.lit("null"))
-    weight = F.array(*[F.lit(float(w)) for w in (weights or [1.0] * leaves)])
-
-    def draw(s: Column) -> Column:
-        digest = F.md5(F.concat_ws(":", text, F.floor(s / 2).cast("string")))
-        bits = F.conv(F.substring(digest, F.when(s % 2 == 0, 1).otherwise(1 + HEX), F.lit(HEX)), 16, 10).cast("double")
-        w = F.element_at(weight, s + 1)
-        return F.struct(F.when(w > 0, -F.log((bits + 0.5) / float(16**HEX)) / w).otherwise(float("inf")).alias("d"), s.alias("s"))
-
-    return F.transform(F.array(*[F.lit(s) for s in range(leaves)]), draw)
-
-
-def descend(draws: Column, shards: int, racks: int, per_rack: int) -> Column:
-    """The shard that region, rack and shard draws lead to."""
-    def child(first: Column, span: int, children: int, limit: Column) -> Column:
-        """First leaf of the winning child among `children` of `span` leaves each."""
-        def node(i: Column) -> Column:
-            at = first + i * span
-            live = F.least(F.lit(span), limit - at)
-            return F.struct(F.array_min(F.slice(draws, at + 1, F.greatest(live, F.lit(0))))["d"].alias("d"), at.alias("at"))
-
-        nodes = F.filter(F.transform(F.array(*[F.lit(i) for i in range(children)]), node), lambda x: x["d"].isNotNull())
-        return F.array_min(nodes)["at"]
-
-    region = racks * per_rack
-    end = F.lit(shards)
-    at = child(F.lit(0), region, -(-shards // region), end)
-    at = child(at, per_rack, racks, F.least(end, at + region))
-    return child(at, 1, per_rack, end)
+def leaf_draw(key: Column, leaf: Column, weights: Sequence[float] | None) -> Column:
+    """struct<d, s>: the draw of leaf s; a leaf of weight 0 never wins."""
+    bits = F.shiftrightunsigned(F.xxhash64(key, leaf), 64 - BITS).cast("double")
+    draw = -F.log((bits + 0.5) / float(2**BITS))
+    if weights:
+        weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), leaf + 1)
+        draw = F.when(weight > 0, draw / weight).otherwise(float("inf"))
+    return F.struct(draw.alias("d"), leaf.alias("s"))
 
 
 def with_shards(df: DataFrame, key: str, shards: dict[str, int], racks: int = 2, per_rack: int = 4, weights: Sequence[float] | None = None) -> DataFrame:
@@ -59,8 +36,17 @@ def with_shards(df: DataFrame, key: str, shards: dict[str, int], racks: int = 2,
     racks; the last region and rack may be partly filled. Equal keys (null is
     a key) share a shard; weights default to equal, 0 leaves a shard empty.
     """
-    draws = leaf_draws(F.col(f"`{key}`"), max(shards.values()), weights)
-    return df.withColumn("__draws", draws).withColumns({c: descend(F.col("__draws"), n, racks, per_rack) for c, n in shards.items()}).drop("__draws")
+    of = F.col(f"`{key}`")
+    shard_level = lambda leaves: F.array_min(F.transform(leaves, lambda s: leaf_draw(of, s, weights)))
+    rack_level = lambda region: F.array_min(F.transform(region, shard_level))
+    span = racks * per_rack
+
+    def tree(n: int) -> Column:
+        """The shards by region, rack and place."""
+        groups = lambda a, b, k: [(i, min(i + k, b)) for i in range(a, b, k)]
+        return F.array(*[F.array(*[F.array(*[F.lit(s) for s in range(c, d)]) for c, d in groups(a, b, per_rack)]) for a, b in groups(0, n, span)])
+
+    return df.withColumns({out: F.coalesce(F.array_min(F.transform(tree(n), rack_level))["s"], F.lit(0)) for out, n in shards.items()})
 
 
 def with_slot(df: DataFrame, shard: str, key: str, out: str, order: Sequence[str], rows: int, shards: int, group_rows: int = 2000) -> DataFrame:
