@@ -6,24 +6,56 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vireo.llm import packing, sharding, store
-from vireo.llm.common import table
+from vireo.llm import minhash, mixing, multi_index, packing, pii, quality, sharding, store, tagpaths, topk
+from vireo.llm.common import settle, table
+
+
+def op1_norm_sorted_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = settle(topk.integer_vectors(table(spark, sf_dir, "embeddings")), "integer-vectors")
+    return topk.top_inner_products(vectors, vectors.where("vec_id % 50 = 0"), 5)
 
 
 def op2_content_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.starts_and_checksums(store.write_store(table(spark, sf_dir, "documents")))
 
 
+def op3_tag_path_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tagpaths.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op4_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(spark, table(spark, sf_dir, "documents"))
 
 
+def op5_multinomial_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed_documents(table(spark, sf_dir, "documents"))
+
+
+def op6_multi_index_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op7_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.scored(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op8_superminhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=2)
+
+
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op10_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_content_store, op4_hash_tree_shards, op10_harmonic_packing)}
+    return {f.__name__: f for f in (
+        op1_norm_sorted_topk, op2_content_store, op3_tag_path_text, op4_hash_tree_shards, op5_multinomial_mix, op6_multi_index_neardup,
+        op7_compression_quality, op8_superminhash_neardup, op9_personal_data, op10_harmonic_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
