@@ -1,9 +1,10 @@
 """Quality by compression: which of two dictionaries shortens a text more.
 
 One zstandard dictionary is built from texts labelled good, one from texts
-labelled bad. A text's feature is the difference of its two compressed sizes
-over its own size; a logistic curve, fitted on labelled texts that the
-dictionaries have not seen, turns it into a probability.
+labelled bad. The difference of a text's two compressed sizes, normalised by
+its own and by its compressed size, and how far the text compresses at all
+make its score: a logistic curve, fitted on texts that dictionaries built
+from the other labelled texts have compressed, turns them into a probability.
 """
 
 from __future__ import annotations
@@ -32,8 +33,7 @@ def is_held_out(doc_id) -> F.Column:
 class CompressionModel:
     good: bytes
     bad: bytes
-    slope: float
-    middle: float
+    weights: np.ndarray | None = None
     level: int = LEVEL
 
     def compressors(self):
@@ -47,13 +47,18 @@ class CompressionModel:
         return out
 
     def features(self, texts: list[bytes]) -> np.ndarray:
+        """Rows of: difference over size, difference over compressed size, compressed share, its square, 1."""
         good, bad = self.compressors() if not hasattr(self, "_kept") else self._kept
         self._kept = good, bad
-        return np.asarray([(len(bad.compress(t)) - len(good.compress(t))) / len(t) if t else 0.0 for t in texts])
+        sizes = np.asarray([(len(bad.compress(t)), len(good.compress(t)), len(t)) for t in texts], dtype=float).reshape(-1, 3)
+        worse, better, raw = sizes[:, 0], sizes[:, 1], np.maximum(sizes[:, 2], 1)
+        share = better / (raw + 20)
+        return np.column_stack([(worse - better) / raw, (worse - better) / np.maximum(worse, better), share, share**2, np.ones(len(raw))])
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
-        z = np.clip(self.slope * (self.features(texts) - self.middle), -500, 500)
-        return 1 / (1 + np.exp(-z))
+        if self.weights is None or not texts:
+            return np.full(len(texts), 0.5)
+        return 1 / (1 + np.exp(-np.clip(self.features(texts) @ self.weights, -500, 500)))
 
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k != "_kept"}
@@ -69,20 +74,42 @@ def dictionary(texts: list[bytes], size: int) -> bytes:
         return b"\n".join(texts)[:size] or b"\n" * 8
 
 
-def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and middle of the likeliest curve, with a weak pull to 0 (so that
-    separable samples end), by Newton steps on standardised x."""
-    centre, spread = x.mean(), x.std() or 1.0
-    a = np.column_stack([(x - centre) / spread, np.ones(len(x))])
-    w = np.zeros(2)
+def logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Weights of the likeliest curve, with a weak pull to 0 (so that separable
+    samples end), by Newton steps on standardised columns; the last column is 1."""
+    centre, spread = x.mean(0), x.std(0)
+    centre[-1], spread[-1] = 0, 1
+    spread[spread == 0] = 1
+    a = (x - centre) / spread
+    w, pull = np.zeros(x.shape[1]), np.array([0.3] * (x.shape[1] - 1) + [1e-6])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        step = np.linalg.solve(a.T @ (a * (p * (1 - p))[:, None]) + 1e-2 * np.eye(2), a.T @ (y - p) - 1e-2 * w)
-        w += step
+        step = np.linalg.solve(a.T @ (a * (p * (1 - p))[:, None]) + np.diag(pull), a.T @ (y - p) - pull * w)
+        w += np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-9:
             break
-    slope = max(w[0], 1e-3) / spread
-    return slope, centre - w[1] / slope
+    out = w / spread
+    out[-1] = w[-1] - (w[:-1] * centre[:-1] / spread[:-1]).sum()
+    return out
+
+
+def trained(good: list[bytes], bad: list[bytes], folds: int = 4) -> CompressionModel:
+    """Dictionaries of all texts; the curve from features that dictionaries of the other folds give."""
+    model = CompressionModel(dictionary(good, DICTIONARY), dictionary(bad, DICTIONARY))
+    x, y = [], []
+    for f in range(folds):
+        part = lambda texts, inside: [t for i, t in enumerate(texts) if (i % folds == f) == inside]  # noqa: B023, E731
+        seen_good, seen_bad = part(good, False), part(bad, False)
+        if not seen_good or not seen_bad:
+            continue
+        fold = CompressionModel(dictionary(seen_good, DICTIONARY), dictionary(seen_bad, DICTIONARY))
+        for label, texts in ((1.0, part(good, True)), (0.0, part(bad, True))):
+            if texts:
+                x.append(fold.features(texts))
+                y.append(np.full(len(texts), label))
+    if len({v for part in y for v in part}) == 2:
+        model.weights = logistic(np.concatenate(x), np.concatenate(y))
+    return model
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, most: int = SAMPLE_BYTES) -> CompressionModel:
@@ -90,9 +117,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, most: int =
 
     Of each class the `rows` first by hash of the id are taken, without null
     or empty texts and those above `most` bytes; that bounds what reaches the
-    driver. Dictionaries see half of them, the curve the other half, weighted
-    to the classes' shares among all labelled rows that may be learned from.
-    A class without texts gives an empty dictionary; without any, every score is 0.5.
+    driver. The curve is moved to the classes' shares among all labelled rows
+    that may be learned from. Without texts of both classes every score is 0.5.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where("doc_id is not null and quality in (0, 1)")
     known = known.where(~is_held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("quality").alias("quality"))
@@ -105,15 +131,10 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, most: int =
     seen: dict[int, list[bytes]] = {0: [], 1: []}
     for r in sorted(found, key=lambda r: (r.doc_id, r.text)):
         seen[r.quality].append(r.text.encode())
-    halves = {q: (t[::2], t[1::2] or t) for q, t in seen.items()}
-    model = CompressionModel(dictionary(halves[1][0], DICTIONARY), dictionary(halves[0][0], DICTIONARY), 0.0, 0.0)
-    if not seen[0] or not seen[1]:
-        return model
-    x = {q: model.features(halves[q][1]) for q in (0, 1)}
-    slope, middle = logistic(np.concatenate([x[0], x[1]]), np.concatenate([np.zeros(len(x[0])), np.ones(len(x[1]))]))
-    # The sample holds the classes in other shares than the table; the curve moves by the log of the odds.
-    odds = math.log(shares[1] / shares[0]) - math.log(len(x[1]) / len(x[0]))
-    model.slope, model.middle = slope, middle - odds / slope
+    model = trained(seen[1], seen[0])
+    if model.weights is not None:
+        # The sample holds the classes in other shares than the table; the curve moves by the log of the odds.
+        model.weights[-1] += math.log(shares[1] / shares[0]) - math.log(len(seen[1]) / len(seen[0]))
     return model
 
 
