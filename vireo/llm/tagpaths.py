@@ -134,9 +134,11 @@ def main_text(page: str | None) -> str:
     fit = [not paths[p][0] and (paths[p][1] or not articles) for p, _ in found]
     by_length = smoothed([lengths[p][0] / lengths[p][2] if ok else 0.0 for (p, _), ok in zip(found, fit, strict=True)])
     by_marks = smoothed([lengths[p][1] / lengths[p][2] if ok else 0.0 for (p, _), ok in zip(found, fit, strict=True)])
-    best: dict[int, float] = {}
+    near: dict[int, float] = {}
     for (p, _), a, b in zip(found, by_length, by_marks, strict=True):
-        best[p] = max(best.get(p, 0.0), a * (1 + b))
+        near[p] = near.get(p, 0.0) + a * (1 + b) / lengths[p][2]
+    # A path's own ratios and its smoothed ones weigh the same.
+    best = {p: (near[p] * n_chars / n * (1 + marks / n)) ** 0.5 for p, (n_chars, marks, n) in lengths.items()}
     least = NEEDED * max((s for p, s in best.items() if not paths[p][0]), default=0.0)
     return " ".join(t for (p, t), ok in zip(found, fit, strict=True) if ok and (articles or best[p] >= least))
 
