@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vireo.llm import minhash, mixing, multi_index, packing, pii, quality, sharding, store, tagpaths, topk
 from vireo.llm.common import settle, table
+from vireo.llm.sql import SQL
 
 
 def op1_norm_sorted_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,4 +60,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
