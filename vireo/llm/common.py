@@ -35,11 +35,31 @@ def process_cache() -> dict:
     return sys.__dict__.setdefault("_vireo_process_cache", {})
 
 
+def only_memory(kind: str, make):
+    """This process's memory of one kind (words, an encoder); another kind's is
+    given up first, so that one worker never holds two."""
+    kept = process_cache()
+    if kept.get("kind") != kind:
+        kept["memory"] = None
+        kept["kind"], kept["memory"] = kind, make()
+    return kept["memory"]
+
+
+#: Rows that a batch handed to Python holds at most while a table is written: texts are long.
+BATCH_ROWS = 1000
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared folder and read it back: lineage ends there."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/vireo/{uuid.uuid4().hex}-{name}"
-    df.write.option("compression", "zstd").parquet(path)
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(min(BATCH_ROWS, int(before) if int(before) > 0 else BATCH_ROWS)))
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(setting, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -57,27 +77,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for each node of the undirected `edges` (u, v).
 
-    Large-star and small-star rounds alternate until nothing changes; a
-    component is its smallest node. Each round is written to the shared
-    folder. Neighbourhood minima are combined map-side and joined back, so no
-    task ever holds the neighbours of one node.
+    Large-star and small-star rounds alternate until every node has one edge,
+    to a node that has none to a smaller one; a component is its smallest
+    node. Each round is written to the shared folder. Neighbourhood minima are
+    combined map-side and joined back, so no task ever holds the neighbours of
+    one node.
     """
     now = edges.where("u is not null and v is not null and u <> v").select(
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    now, before = settle(now, "edges"), None
-    while True:
+    now = settle(now, "edges")
+    while not is_stars(now):
         both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = settle(large, "large-star")
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = settle(large.distinct(), "large-star")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(least, "u")
         small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
         now = settle(small.distinct(), "small-star")
-        state = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if state == before or not state[0]:
-            break
-        before = state
-    least = now.groupBy("u").agg(F.min("v").alias("component"))
-    roots = now.select(F.col("v").alias("u")).distinct().join(now.select("u"), "u", "left_anti")
-    return least.select(F.col("u").alias("node"), "component").union(roots.select("u", "u"))
+    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select("v", "v").distinct())
+
+
+def is_stars(edges: DataFrame) -> bool:
+    """Whether every u of the edges (u, v) has one v, and no v is a u."""
+    if not edges.groupBy("u").count().where("count > 1").isEmpty():
+        return False
+    return edges.select("u").join(edges.select(F.col("v").alias("u")).distinct(), "u", "left_semi").isEmpty()

@@ -8,10 +8,10 @@ every place is filled. Bands of the signature make buckets; candidates are
 confirmed on the full sets; groups are joined by distributed union.
 
 Copies (equal sets) are one class before anything else. In a bucket all
-members are compared with two pivots, first the least member and one chosen
-by hash, then two others; what these rounds have joined needs no further
-comparison. Members of a bucket that are still apart are then compared
-exhaustively, in blocks of bounded size, first by signature.
+members are compared with two pivots, the least member and one chosen by hash;
+what that has joined needs no further comparison. Members of a bucket that are
+still apart are then compared exhaustively, in blocks of bounded size, first
+by signature.
 """
 
 from __future__ import annotations
@@ -23,14 +23,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vireo.llm.common import components, process_cache, settle
+from vireo.llm.common import components, only_memory, settle
 
 #: Similarity in per cent; bands and rows of each: a pair at 80 % shares no bucket with probability 3e-6.
 SIMILARITY, BANDS, ROWS = 80, 32, 5
 #: Signatures that agree in this many standard deviations less than expected are not compared on full sets.
 DEVIATIONS = 4.5
 #: Words that a worker remembers; shingles hashed at a time; members on a side of a block.
-REMEMBERED, CHUNK, SIDE = 400_000, 60_000, 1024
+REMEMBERED, CHUNK, SIDE = 200_000, 60_000, 1024
 EMPTY = np.uint32(0xFFFFFFFF)
 SKETCH = "doc_id long, n_shingles long, print binary, buckets array<long>, sketch binary"
 
@@ -43,8 +43,7 @@ def mixed(z: np.ndarray) -> np.ndarray:
 
 
 def word_hashes() -> dict:
-    kept = process_cache()
-    if "words" not in kept:
+    def make():
         from xxhash import xxh64_intdigest
 
         class Words(dict):
@@ -54,8 +53,9 @@ def word_hashes() -> dict:
                 value = self[word] = xxh64_intdigest(word)
                 return value
 
-        kept["words"] = Words()
-    return kept["words"]
+        return Words()
+
+    return only_memory("words", make)
 
 
 def shingles(text: str | None, size: int) -> np.ndarray:
@@ -145,7 +145,7 @@ def least_agreement(similarity: int, places: int) -> float:
     return places * s - DEVIATIONS * (places * s * (1 - s)) ** 0.5
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, similarity: int, places: int) -> DataFrame:
+def confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int, similarity: int, places: int) -> DataFrame:
     """The pairs (a, b) of class representatives that are similar enough on full sets."""
     side = lambda x: classes.select(F.col("rep").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"), F.col("print").alias(f"p_{x}"))
     wide = pairs.join(side("a"), "a").join(side("b"), "b").where(f"100 * least(n_a, n_b) >= {similarity} * greatest(n_a, n_b)")
@@ -159,9 +159,9 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int,
             yield batch.filter(pa.array((a == b).sum(1) >= needed)).select(["a", "b", "p_a", "p_b"])
 
     wide = settle(wide.select("a", "b", "p_a", "p_b", "s_a", "s_b").mapInArrow(likely, "a long, b long, p_a binary, p_b binary"), "likely")
-    ids = wide.select(F.col("a").alias("doc_id")).union(wide.select("b")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(ids, "doc_id", "left_semi")
-    full = wide.join(texts.withColumnRenamed("doc_id", "b").withColumnRenamed("text", "t_b"), "b").join(texts.withColumnRenamed("doc_id", "a").withColumnRenamed("text", "t_a"), "a")
+    # The same plan at every size: texts are shuffled to their pairs, never pairs sent to all texts.
+    of = lambda x: texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"t_{x}"))
+    full = wide.hint("merge").join(of("b"), "b").hint("merge").join(of("a"), "a")
 
     def confirm(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -182,12 +182,11 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int,
     return full.select("a", "b", "t_a", "t_b", "p_a", "p_b").mapInArrow(confirm, "a long, b long")
 
 
-def pivots(members: DataFrame, seed: int) -> DataFrame:
-    """Pairs of each member with two members of its bucket: the least by id (or by a
-    seeded hash) and the least by a hash that differs between eighths of the buckets."""
-    chance = F.xxhash64("rep", F.lit(seed) + F.pmod("bucket", F.lit(8)))
-    first = F.min("rep") if not seed else F.min_by("rep", F.xxhash64("rep", F.lit(-seed)))
-    chosen = members.groupBy("bucket").agg(F.array(first, F.min_by("rep", chance)).alias("with"))
+def pivots(members: DataFrame) -> DataFrame:
+    """Pairs of each member with two members of its bucket: the least by id and the
+    least by a hash that differs between eighths of the buckets."""
+    chance = F.xxhash64("rep", F.pmod("bucket", F.lit(8)))
+    chosen = members.groupBy("bucket").agg(F.array(F.min("rep"), F.min_by("rep", chance)).alias("with"))
     pairs = members.join(chosen, "bucket").select("rep", F.explode("with").alias("other")).where("rep <> other")
     return pairs.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()
 
@@ -240,15 +239,15 @@ def near_duplicates(docs: DataFrame, size: int = 2, similarity: int = SIMILARITY
     spread = classes.select("rep", F.explode("buckets").alias("bucket"))
     crowded = spread.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1").select("bucket")
     members = settle(spread.join(crowded, "bucket"), "members")
-    tested = settle(pivots(members, 0), "pairs")
-    links = settle(confirmed(tested, classes, docs, size, similarity, places), "confirmed")
-    rest = settle(apart(members, links), "apart")
-    again = settle(pivots(rest.select("bucket", "rep"), 1).join(tested, ["a", "b"], "left_anti"), "pairs")
-    tested = tested.union(again)
-    links = links.union(settle(confirmed(again, classes, docs, size, similarity, places), "confirmed"))
-    rest = apart(rest.select("bucket", "rep"), links).join(classes.select("rep", "n", "sketch"), "rep")
+    # Texts of class representatives that share a bucket, fetched once.
+    ids = members.select(F.col("rep").alias("doc_id")).distinct()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = settle(texts.join(ids.hint("merge"), "doc_id", "left_semi"), "texts")
+    tested = settle(pivots(members), "pairs")
+    links = settle(confirmed(tested, classes, texts, size, similarity, places), "confirmed")
+    rest = apart(members, links).join(classes.select("rep", "n", "sketch"), "rep")
     last = settle(crossings(settle(rest, "apart"), similarity, places).join(tested, ["a", "b"], "left_anti"), "pairs")
-    links = links.union(settle(confirmed(last, classes, docs, size, similarity, places), "confirmed"))
+    links = links.union(settle(confirmed(last, classes, texts, size, similarity, places), "confirmed"))
     joined = components(links.selectExpr("a u", "b v")).withColumnRenamed("node", "rep")
     of_class = classes.select("print", "rep").join(joined, "rep", "left").select("print", F.coalesce("component", "rep").alias("component_id"))
     linked = able.select("doc_id", "n_shingles", "print").join(of_class, "print").select("doc_id", "n_shingles", "component_id")

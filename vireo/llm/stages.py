@@ -30,7 +30,7 @@ def distinct(docs: DataFrame) -> DataFrame:
     found = settle(found, "groups")
     repeated = settle(found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("__id")), "repeated")
     gone = found.where("not kept").select(F.col("doc_id").alias("__id")).distinct()
-    kept = docs.join(gone, F.col("doc_id").cast("long") == F.col("__id"), "left_anti")
+    kept = docs.join(gone.hint("merge"), F.col("doc_id").cast("long") == F.col("__id"), "left_anti")
     if repeated.isEmpty():
         return kept
     same = F.col("doc_id").cast("long") == F.col("__id")
@@ -57,7 +57,7 @@ def mixed(docs: DataFrame) -> DataFrame:
     ranges = segments.where("times > 0").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("begin", "length", "times"))).alias("__ranges"), F.sum("length").alias("__words"), F.sum(F.when(F.col("times") > 1, F.col("length"))).alias("__again"), F.first("size").alias("__size"))
     if once.count() < rows.count():
         keyed = keyed.dropDuplicates(["__key"])
-    both = keyed.join(ranges.withColumnRenamed("doc_id", "__key"), "__key")
+    both = keyed.join(ranges.withColumnRenamed("doc_id", "__key").hint("merge"), "__key")
     whole = (F.col("__words") == F.col("__size")) & ((F.col("__again") == F.col("__size")) | F.col("__again").isNull())
     tokens = F.when(whole, F.array().cast("array<string>")).otherwise(F.regexp_extract_all("text", F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0)))
     both = both.withColumn("__tokens", tokens)
