@@ -21,6 +21,7 @@ WEIGHTS = (5, 2, 1)
 SHARE, CAP = 1.5, 2.0
 #: Words of a block; the aim for the number of rows that one window orders.
 BLOCK, GROUP_ROWS = 64, 2000
+SLOTS_OF_TASK = 131_072
 SEED = 17
 #: The first 16 primes above 2^21, for multipliers of permutations.
 PRIMES = [p for p in range(2**21 + 1, 2**21 + 400, 2) if all(p % d for d in range(3, 1450, 2))][:16]
@@ -86,9 +87,12 @@ def slots(plan: DataFrame, block: int = BLOCK, shard_slots: int = 65_536) -> Dat
     df = plan.where("source_size > 0").withColumn("n", blocks)
     df = df.withColumn("m", F.least(F.round(F.col("target") / F.col("source_size") * F.col("n")).cast("long"), F.col("n") * int(CAP)))
     df = df.withColumn("shards", F.greatest(F.lit(1), F.ceil(F.sum("m").over(Window.partitionBy()) / shard_slots)).cast("long")).where("m > 0")
-    # Stretches of slots, so that one large source is spread over tasks.
+    # Stretches of slots, so that one large source is spread over tasks; a fixed number of
+    # partitions, as their size in bytes does not tell how many slots they become.
+    words = plan.agg(F.sum("target")).first()[0] or 0.0
+    tasks = max(1, int(words / block) // SLOTS_OF_TASK)
     df = df.withColumn("from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("m") - 1, F.lit(4096).cast("long"))))
-    df = df.repartition("source", "from").withColumn("slot", F.explode(F.sequence(F.col("from"), F.least(F.col("from") + 4095, F.col("m") - 1))))
+    df = df.repartition(tasks, "source", "from").withColumn("slot", F.explode(F.sequence(F.col("from"), F.least(F.col("from") + 4095, F.col("m") - 1))))
     return df.select("source", F.pmod(hashed("source", "slot"), F.col("shards")).alias("shard"), "slot", permuted(F.col("slot") % F.col("n"), F.col("n"), F.col("source")).alias("block"))
 
 
@@ -125,7 +129,8 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
     end = F.least(F.col("size"), (F.col("block") + 1) * block - F.col("start"))
     parts = parts.withColumn("begin", begin).withColumn("length", end - F.col("begin"))
     uses = slots(plan, block).withColumn("__source", F.coalesce(F.concat(F.lit("s"), "source"), F.lit(""))).groupBy("__source", "block").agg(F.count("*").alias("times"))
-    return parts.join(uses, ["__source", "block"], "left").withColumn("times", F.coalesce("times", F.lit(0))), plan
+    # Exploded rows are many more than the optimizer reckons: without the hint it would broadcast them.
+    return parts.join(uses.hint("merge"), ["__source", "block"], "left").withColumn("times", F.coalesce("times", F.lit(0))), plan
 
 
 def mixed_documents(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE) -> DataFrame:
