@@ -14,16 +14,31 @@ import zlib
 
 import numpy as np
 
-from vireo.llm.common import process_cache
+from vireo.llm.common import only_memory
 
 VOCABULARY = "word_bpe_49k.json"
 END = 1
-#: Entries that a worker remembers, of chunks and of words; beyond it both start afresh.
-REMEMBERED = 400_000
+#: Chunks, and words, that a generation of a worker's memory holds; there are two generations of each.
+REMEMBERED = 500_000
 #: Chunks over this many characters are encoded without being remembered.
 LONG = 64
-#: Unicode spaces other than these stay inside a chunk, where the library drops them itself.
-SPACES = " \t\n\r"
+#: Python splits at these controls too; the vocabulary takes them for characters.
+CONTROLS = "\x1c\x1d\x1e\x1f"
+
+
+class Chunks(dict):
+    """chunk -> packed ids; what is missing is looked up in the last generation or encoded."""
+
+    def __init__(self, encode, old: dict[str, bytes]):
+        self.encode, self.old = encode, old
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.old.get(chunk)
+        if ids is None:
+            ids = self.encode(chunk)
+        if len(chunk) <= LONG:
+            self[chunk] = ids
+        return ids
 
 
 class Encoder:
@@ -39,66 +54,73 @@ class Encoder:
         self.width = 2 if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.dtype = f"<u{self.width}"
         self.plain = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)").fullmatch
-        self.chunks: dict[str, bytes] = {}
+        self.chunks = Chunks(self._chunk, {})
         self.words: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
         # The shortcut holds only if the vocabulary lowers case and splits words from punctuation.
-        self.splits = all(self._ask([a]) == self._ask(b) for a, b in (("Ab.", ["ab", "."]), ("É,))", ["é", ",))"]), ("x'", ["x", "'"])))
+        self.splits = all(self._ask([a]) == self._ask(b) for a, b in (("Ab.", ["ab", "."]), ("É,))", ["é", ",))"]), ("x'", ["x", "'"]), ("a\u3000b\x85c\xa0d", ["a", "b", "c", "d"])))
+        # A lower-case word needs neither normalising nor splitting; its bytes, written as
+        # the byte-level alphabet writes them, go to the vocabulary's model.
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [b for b in range(256) if b not in shown]
+        self.alphabet = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+        self.model = self.library.model
+        self.direct = self.splits and all(self._word(w) == self._ask([w]) for w in ("token", "étéßñ", "zàüö", "y"))
 
     def _ask(self, texts: list[str]) -> bytes:
-        return b"".join(np.asarray(e.ids, dtype=self.dtype).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False))
+        return b"".join(self._pack(texts))
 
     def _pack(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, dtype=self.dtype).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, chunks: set[str]) -> None:
-        """Remember what is missing."""
-        if len(self.chunks) + len(self.words) > REMEMBERED:
-            self.chunks.clear()
-            self.words.clear()
-        missing = [c for c in chunks if c not in self.chunks]
-        parts, whole, ask = [], [], set()
-        for c in missing:
-            m = self.plain(c) if self.splits else None
-            if m is None:
-                whole.append(c)
-            else:
-                word, tail = m[1].lower(), m[2]
-                parts.append((c, word, tail))
-                ask.update(x for x in (word, tail) if x and x not in self.words)
-        ask = list(ask)
-        self.words.update(zip(ask, self._pack(ask), strict=True))
-        self.chunks.update(zip(whole, self._pack(whole), strict=True))
+    def _word(self, word: str) -> bytes:
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.alphabet)
+        return b"".join([t.id.to_bytes(self.width, "little") for t in self.model.tokenize(word)])
+
+    def _chunk(self, chunk: str) -> bytes:
+        m = self.plain(chunk) if self.direct else None
+        if m is None:
+            return self._ask([chunk])
+        word, tail = m[1].lower(), m[2]
         words = self.words
-        words[""] = b""
-        self.chunks.update((c, words[w] + words[t]) for c, w, t in parts)
+        ids = words.get(word)
+        if ids is None:
+            ids = self.old_words.get(word) or self._word(word)
+            words[word] = ids
+        if tail:
+            marks = words.get(tail)
+            if marks is None:
+                marks = words[tail] = self._ask([tail])
+            ids += marks
+        return ids
+
+    def _rotate(self) -> None:
+        """What a full generation has and the next one does not ask for is forgotten."""
+        if len(self.chunks) > REMEMBERED:
+            self.chunks.old = {}
+            self.chunks = Chunks(self._chunk, self.chunks)
+        if len(self.words) > REMEMBERED:
+            self.words, self.old_words = {}, self.words
+
+    def _split(self, text: str) -> list[str]:
+        if not self.splits or any(c in text for c in CONTROLS):
+            return re.split("[ \t\n\r]+", text)
+        return text.split()
 
     def batch(self, texts: list[str | None]) -> list[bytes]:
         """Packed ids of each text; a null text has none."""
         out = []
         for at in range(0, len(texts), 256):
-            split = [re.split("[ \t\n\r]+", t) if t else [] for t in texts[at : at + 256]]
-            short = set()
-            for s in split:
-                short.update(s)
-            long = [c for c in short if len(c) > LONG]
-            short.difference_update(long)
-            self.learn(short)
-            known = dict(zip(long, self._pack(long), strict=True))
-            get, chunks = self.chunks.__getitem__, self.chunks
-            for s in split:
-                if long and not known.keys().isdisjoint(s):
-                    out.append(b"".join([known[c] if c in known else chunks[c] for c in s]))
-                else:
-                    out.append(b"".join(map(get, s)))
+            self._rotate()
+            get = self.chunks.__getitem__
+            out += [b"".join(map(get, self._split(t))) if t else b"" for t in texts[at : at + 256]]
         return out
 
 
 def encoder(path: str) -> Encoder:
     """This worker's encoder, kept from task to task."""
-    kept = process_cache()
-    if ("encoder", path) not in kept:
-        kept["encoder", path] = Encoder(path)
-    return kept["encoder", path]
+    return only_memory(f"encoder {path}", lambda: Encoder(path))
 
 
 def with_end(packed: bytes, width: int, end: int = END) -> np.ndarray:
