@@ -39,8 +39,9 @@ def integer_vectors(df: DataFrame, scale: float = 256.0) -> DataFrame:
 
 def rotation(vectors: DataFrame, rows: int = SAMPLE_ROWS) -> np.ndarray:
     """Right singular vectors of a sample of at most `rows` vectors, chosen by hash of the id."""
-    sample = [r.v for r in vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(rows).collect()]
-    return np.linalg.svd(np.asarray(sample, dtype=float), full_matrices=True)[2].T
+    sample = np.asarray([r.v for r in vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(rows).collect()], dtype=float)
+    # They are the eigenvectors of the components' products, by falling eigenvalue: no matrix of rows by rows.
+    return np.linalg.eigh(sample.T @ sample)[1][:, ::-1].copy()
 
 
 def search_cell(queries, query_ids, vectors, ids, basis, k: int, head: int = HEAD, step: int = STEP) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
