@@ -11,7 +11,7 @@ Copies (equal sets) are one class before anything else. In a bucket all
 members are compared with two pivots, the least member and one chosen by hash;
 what that has joined needs no further comparison. Members of a bucket that are
 still apart are then compared exhaustively, in blocks of bounded size, first
-by signature.
+by signature and then by short hashes of their shingles.
 """
 
 from __future__ import annotations
@@ -199,12 +199,26 @@ def apart(members: DataFrame, links: DataFrame) -> DataFrame:
     return named.join(open_ones, "bucket")
 
 
+def short_sets(texts: DataFrame, size: int) -> DataFrame:
+    """(rep, shorts): the low 32 bits of each shingle's hash, sorted."""
+    def shorten(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            sets = [np.unique(shingles(t, size).astype(np.uint32)).tobytes() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["rep", "shorts"])
+
+    return texts.select("doc_id", "text").mapInArrow(shorten, "rep long, shorts binary")
+
+
 def crossings(rows: DataFrame, similarity: int, places: int) -> DataFrame:
-    """Pairs of a bucket's members in different components that sizes and signatures allow."""
+    """Pairs of a bucket's members in different components that sizes, signatures and
+    short sets allow. Of components that a block has surely joined no more pairs
+    are given: those are similar with two shingles to spare."""
     parts = rows.groupBy("bucket").agg(F.ceil(F.count("*") / SIDE).cast("int").alias("parts"))
     dealt = rows.join(parts, "bucket").withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
     # Block (i, j), i <= j, holds parts i and j.
-    blocks = dealt.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("bucket", "rep", "n", "sketch", "component", "part", F.least("part", "k").alias("i"), F.greatest("part", "k").alias("j"))
+    blocks = dealt.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("bucket", "rep", "n", "sketch", "shorts", "component", "part", F.least("part", "k").alias("i"), F.greatest("part", "k").alias("j"))
     needed = least_agreement(similarity, places)
 
     def compare(t):
@@ -212,14 +226,24 @@ def crossings(rows: DataFrame, similarity: int, places: int) -> DataFrame:
 
         rep, n, component, part = (t.column(c).to_numpy() for c in ("rep", "n", "component", "part"))
         s = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(-1, places)
+        shorts = [np.frombuffer(x, np.uint32) for x in t.column("shorts").to_pylist()]
         i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
         left, right = np.flatnonzero(part == i), np.flatnonzero(part == j)
-        out = []
+        group = component.copy()
+        out = set()
         for x in left:
-            able = right[(component[right] != component[x]) & (100 * np.minimum(n[right], n[x]) >= similarity * np.maximum(n[right], n[x]))]
+            able = right[(group[right] != group[x]) & (100 * np.minimum(n[right], n[x]) >= similarity * np.maximum(n[right], n[x]))]
             able = able[(s[able] == s[x]).sum(1) >= needed]
-            out += [(min(rep[x], rep[y]), max(rep[x], rep[y])) for y in able]
-        return pa.table({"a": pa.array([int(a) for a, _ in set(out)], pa.int64()), "b": pa.array([int(b) for _, b in set(out)], pa.int64())})
+            for y in able:
+                if group[x] == group[y]:
+                    continue
+                both = len(np.intersect1d(shorts[x], shorts[y], assume_unique=True))
+                union = len(shorts[x]) + len(shorts[y]) - both
+                if 100 * (both + 2) >= similarity * (union - 2):
+                    out.add((min(rep[x], rep[y]), max(rep[x], rep[y])))
+                if 100 * (both - 2) >= similarity * (union + 2):
+                    group[group == group[y]] = group[x]
+        return pa.table({"a": pa.array([int(a) for a, _ in out], pa.int64()), "b": pa.array([int(b) for _, b in out], pa.int64())})
 
     return blocks.groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long").distinct()
 
@@ -245,8 +269,10 @@ def near_duplicates(docs: DataFrame, size: int = 2, similarity: int = SIMILARITY
     texts = settle(texts.join(ids.hint("merge"), "doc_id", "left_semi"), "texts")
     tested = settle(pivots(members), "pairs")
     links = settle(confirmed(tested, classes, texts, size, similarity, places), "confirmed")
-    rest = apart(members, links).join(classes.select("rep", "n", "sketch"), "rep")
-    last = settle(crossings(settle(rest, "apart"), similarity, places).join(tested, ["a", "b"], "left_anti"), "pairs")
+    rest = settle(apart(members, links).join(classes.select("rep", "n", "sketch"), "rep"), "apart")
+    open_texts = texts.join(rest.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    rest = rest.join(settle(short_sets(open_texts, size), "short-sets"), "rep")
+    last = settle(crossings(rest, similarity, places).join(tested, ["a", "b"], "left_anti"), "pairs")
     links = links.union(settle(confirmed(last, classes, texts, size, similarity, places), "confirmed"))
     joined = components(links.selectExpr("a u", "b v")).withColumnRenamed("node", "rep")
     of_class = classes.select("print", "rep").join(joined, "rep", "left").select("print", F.coalesce("component", "rep").alias("component_id"))
