@@ -21,10 +21,10 @@ from pyspark.sql import functions as F
 
 from vireo.llm.common import components, settle
 
-COSINE, RECALL = 0.95, 0.9999
+COSINE, RECALL = 0.95, 0.99
 #: Bounds of the sample that codebooks are fitted on, of a codebook, and of a side of a block of comparisons.
 SAMPLE_ROWS, CODEWORDS, SIDE = 16_384, 1024, 2_048
-CELL_ROWS = 64
+CELL_ROWS = 512
 SEED = 7
 
 
@@ -67,7 +67,8 @@ def border_costs(points: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, n
     """(home codeword, squared distance to the border with each codeword's region)."""
     d = (points**2).sum(1)[:, None] - 2 * points @ centres.T + (centres**2).sum(1)[None, :]
     home = d.argmin(1)
-    between = np.sqrt(np.maximum(((centres[home][:, None, :] - centres[None, :, :]) ** 2).sum(2), 1e-300))
+    square = (centres**2).sum(1)
+    between = np.sqrt(np.maximum(square[:, None] + square[None, :] - 2 * centres @ centres.T, 1e-300))[home]
     cost = (np.maximum(d - d[np.arange(len(d)), home][:, None], 0) / (2 * between)) ** 2
     cost[np.arange(len(d)), home] = 0
     return home, cost
@@ -175,13 +176,15 @@ def near_duplicates(df: DataFrame, cosine: float = COSINE, recall: float = RECAL
     placed = settle(vectors.mapInArrow(assign, "vec_id long, v array<double>, home long, seen array<long>"), "cells")
     # A cell's residents, and so its probes, are split by hash into sides of bounded size.
     sides = placed.groupBy("home").agg(F.ceil(F.count("*") / SIDE).cast("int").alias("parts")).withColumnRenamed("home", "cell")
-    probes = placed.select("vec_id", "v", "home", "seen", F.explode("seen").alias("cell"))
+    probes = placed.select("vec_id", "v", "home", F.explode("seen").alias("cell"))
     asked = probes.groupBy("cell").agg(F.ceil(F.count("*") / SIDE).cast("int").alias("asked"))
     grid = sides.join(asked, "cell")
     part = lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n)).cast("int")
     across = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     there = placed.withColumnRenamed("home", "cell").join(grid, "cell").select("vec_id", "v", F.col("cell").alias("home"), "seen", "cell", part("parts").alias("i"), F.lit(False).alias("probe"), across("asked").alias("j"))
-    here = probes.join(grid, "cell").select("vec_id", "v", "home", "seen", "cell", part("asked").alias("j"), F.lit(True).alias("probe"), across("parts").alias("i"))
+    # Only residents need the list of cells they visit.
+    unlisted = F.lit(None).cast("array<long>").alias("seen")
+    here = probes.join(grid, "cell").select("vec_id", "v", "home", unlisted, "cell", part("asked").alias("j"), F.lit(True).alias("probe"), across("parts").alias("i"))
 
     def compare(t):
         import pyarrow as pa
