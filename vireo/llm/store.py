@@ -19,7 +19,7 @@ doc_id sorts first; no rows make an empty store.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import blake2b
 
 import numpy as np
@@ -34,9 +34,9 @@ WINDOW = 8
 CUT_BITS, LEAST, MOST = 8, 64, 2048
 SHARD_TOKENS, SHARD_ROWS = 8_000_000, 100_000
 
-STREAM = "row long, doc_id long, n_tokens long, digests array<binary>, lens array<int>, ids binary"
+STREAM = "row long, doc_id long, n_tokens long, leaf binary, digests array<binary>, lens array<int>, ids binary"
 RECORD = (
-    "kind string, shard int, doc_id long, row long, pos long, n_tokens long, start long, digests array<binary>, "
+    "kind string, shard int, doc_id long, row long, pos long, n_tokens long, start long, leaf binary, digests array<binary>, "
     "lens array<int>, shared array<int>, ids binary, digest binary, root binary")
 
 
@@ -109,8 +109,8 @@ def streams(docs: DataFrame, tokenizer: str | None = None, end: int = END) -> Da
                     packs.append(pack)
                     row += 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows, pa.int64()), part.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.list_(pa.binary())), pa.array(lens, pa.list_(pa.int32())), pa.array(packs, pa.binary())],
-                    names=["row", "doc_id", "n_tokens", "digests", "lens", "ids"])
+                    [pa.array(rows, pa.int64()), part.column(0), pa.array(counts, pa.int64()), pa.array([digest(b"".join(d)) for d in digests], pa.binary()), pa.array(digests, pa.list_(pa.binary())), pa.array(lens, pa.list_(pa.int32())), pa.array(packs, pa.binary())],
+                    names=["row", "doc_id", "n_tokens", "leaf", "digests", "lens", "ids"])
 
     return docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(encode, STREAM)
 
@@ -129,36 +129,55 @@ def records(streamed: DataFrame, shards: int) -> DataFrame:
         import pyarrow as pa
         from pyspark import TaskContext
 
-        schema = pa.schema([
-            ("kind", pa.string()), ("shard", pa.int32()), ("doc_id", pa.int64()), ("row", pa.int64()), ("pos", pa.int64()), ("n_tokens", pa.int64()), ("start", pa.int64()),
-            ("digests", pa.list_(pa.binary())), ("lens", pa.list_(pa.int32())), ("shared", pa.list_(pa.int32())), ("ids", pa.binary()), ("digest", pa.binary()), ("root", pa.binary())])
-        shard, pos, start, leaves, pending = TaskContext.get().partitionId(), 0, 0, [], {}
+        nested = {"digests": pa.list_(pa.binary()), "lens": pa.list_(pa.int32()), "shared": pa.list_(pa.int32())}
+        plain = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+        schema = pa.schema([(c, nested.get(c) or plain[t]) for c, t in (x.split() for x in RECORD.split(", "))])
+        shard, pos, start, leaves, pending = TaskContext.get().partitionId(), 0, 0, [], (None, {})
+
+        def made(n: int, **columns):
+            """n records; columns that are not given are null, single values repeat."""
+            fill = lambda f: pa.nulls(n, f.type) if f.name not in columns else columns[f.name] if isinstance(columns[f.name], pa.Array) else pa.array(columns[f.name] if isinstance(columns[f.name], list) else [columns[f.name]] * n, f.type)
+            return pa.RecordBatch.from_arrays([fill(f).cast(f.type) for f in schema], schema=schema)
+
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
-                out = []
-                for r in batch.slice(at, 1000).to_pylist():
-                    if r["flags"] is not None:
-                        pending = {"row": r["row"], "flags": {f["idx"]: f["owner"] for f in r["flags"]}}
+                part = batch.slice(at, 1000)
+                rows, flagged, counts, ids = (part.column(c).to_pylist() for c in ("row", "flags", "n_tokens", "ids"))
+                docs, shared, kept, starts, chunks = [], [], [], [], []
+                for i, row in enumerate(rows):
+                    if flagged[i] is not None:
+                        pending = row, {f["idx"]: f["owner"] for f in flagged[i]}
                         continue
-                    flags = pending["flags"] if pending.get("row") == r["row"] else {}
-                    width = len(r["ids"]) // r["n_tokens"]
-                    own, place = [], 0
-                    for i, (d, n) in enumerate(zip(r["digests"], r["lens"], strict=True)):
-                        chunk = r["ids"][place : place + n * width]
-                        place += n * width
-                        if i not in flags:
-                            own.append(chunk)
-                        elif flags[i]:
-                            out.append({"kind": "chunk", "shard": shard, "digest": d, "ids": chunk})
-                    leaves.append(digest(b"".join(r["digests"])))
-                    out.append({"kind": "doc", "shard": shard, "doc_id": r["doc_id"], "row": r["row"], "pos": pos, "n_tokens": r["n_tokens"], "start": start, "digests": r["digests"], "lens": r["lens"], "shared": sorted(flags), "ids": b"".join(own)})
-                    pos, start = pos + 1, start + r["n_tokens"]
-                if out:
-                    yield pa.RecordBatch.from_pylist(out, schema=schema)
+                    flags = pending[1] if pending[0] == row else {}
+                    own = ids[i]
+                    if flags:
+                        width, place, parts = len(own) // counts[i], 0, []
+                        for k, (d, n) in enumerate(zip(part.column("digests")[i].as_py(), part.column("lens")[i].as_py(), strict=True)):
+                            chunk = own[place : place + n * width]
+                            place += n * width
+                            if k not in flags:
+                                parts.append(chunk)
+                            elif flags[k]:
+                                chunks.append((d, chunk))
+                        own = b"".join(parts)
+                    docs.append(i)
+                    shared.append(sorted(flags))
+                    kept.append(own)
+                    starts.append(start)
+                    start += counts[i]
+                if docs:
+                    mine = part.take(pa.array(docs))
+                    leaves += mine.column("leaf").to_pylist()
+                    yield made(
+                        len(docs), kind="doc", shard=shard, pos=list(range(pos, pos + len(docs))), start=starts, shared=shared, ids=kept,
+                        **{c: mine.column(c) for c in ("doc_id", "row", "n_tokens", "leaf", "digests", "lens")})
+                    pos += len(docs)
+                if chunks:
+                    yield made(len(chunks), kind="chunk", shard=shard, digest=[d for d, _ in chunks], ids=[c for _, c in chunks])
         if pos:
-            yield pa.RecordBatch.from_pylist([{"kind": "manifest", "shard": shard, "pos": pos, "n_tokens": start, "root": merkle_root(leaves)}], schema=schema)
+            yield made(1, kind="manifest", shard=shard, pos=pos, n_tokens=start, root=merkle_root(leaves))
 
-    return ordered.select("doc_id", "row", "n_tokens", "digests", "lens", "ids", "flags").mapInArrow(write, RECORD)
+    return ordered.select("doc_id", "row", "n_tokens", "leaf", "digests", "lens", "ids", "flags").mapInArrow(write, RECORD)
 
 
 def write_store(docs: DataFrame, tokenizer: str | None = None, end: int = END) -> DataFrame:
@@ -170,9 +189,14 @@ def write_store(docs: DataFrame, tokenizer: str | None = None, end: int = END) -
 
 
 def read_store(store: DataFrame) -> DataFrame:
-    """(shard, pos, doc_id, start, n_tokens, ids): each document's ids, with every
-    chunk checked against its digest; `start` counts from the shard's first id."""
-    documents = store.where("kind = 'doc'").select("shard", "pos", "row", "doc_id", "start", "n_tokens", "digests", "lens", "shared", "ids")
+    """(shard, pos, doc_id, start, n_tokens, ids): each document's ids, 32 bits
+    each, checked against their digests; `start` counts from the shard's first id."""
+    return rebuilt(store, lambda ids: ids.tobytes(), "binary")
+
+
+def rebuilt(store: DataFrame, finish: Callable[[np.ndarray], object], kind: str) -> DataFrame:
+    """read_store() with finish(ids), of SQL type `kind`, for ids."""
+    documents = store.where("kind = 'doc'").select("shard", "pos", "row", "doc_id", "start", "n_tokens", "leaf", "digests", "lens", "shared", "ids")
     whole = documents.where("size(shared) = 0").withColumn("fetched", F.lit(None).cast("array<struct<idx:int,ids:binary>>"))
     parted = documents.where("size(shared) > 0")
     wanted = parted.select("row", F.explode("shared").alias("idx"), "digests").select("row", "idx", F.expr("digests[idx]").alias("digest"))
@@ -185,28 +209,25 @@ def read_store(store: DataFrame) -> DataFrame:
 
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
-                out = []
-                for r in batch.slice(at, 1000).to_pylist():
-                    given = {f["idx"]: f["ids"] for f in r["fetched"] or []}
-                    own = sum(n for i, n in enumerate(r["lens"]) if i not in given)
-                    width = len(r["ids"]) // own if own else len(next(iter(given.values()))) // r["lens"][next(iter(given))]
+                part = batch.slice(at, 1000)
+                done = []
+                for doc, leaf, recipe, lens, own, fetched in zip(*(part.column(c).to_pylist() for c in ("doc_id", "leaf", "digests", "lens", "ids", "fetched")), strict=True):
+                    given = {f["idx"]: f["ids"] for f in fetched or ()}
+                    mine = sum(lens) - sum(lens[k] for k in given)
+                    width = len(own) // mine if mine else len(given[0]) // lens[0]
                     parts, place = [], 0
-                    for i, (d, n) in enumerate(zip(r["digests"], r["lens"], strict=True)):
-                        if i in given:
-                            chunk = given[i]
-                        else:
-                            chunk = r["ids"][place : place + n * width]
+                    for k, n in enumerate(lens):
+                        chunk = given.get(k)
+                        if chunk is None:
+                            chunk = own[place : place + n * width]
                             place += n * width
-                        if digest(chunk) != d:
-                            raise ValueError(f"document {r['doc_id']}: chunk {i} does not match its digest")
                         parts.append(chunk)
-                    ids = np.frombuffer(b"".join(parts), dtype=f"<u{width}").astype("<u4")
-                    out.append((r["shard"], r["pos"], r["doc_id"], r["start"], len(ids), ids.tobytes()))
-                columns = list(zip(*out, strict=True))
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["shard", "pos", "doc_id", "start", "n_tokens", "ids"])
+                    if [digest(x) for x in parts] != recipe or digest(b"".join(recipe)) != leaf:
+                        raise ValueError(f"document {doc}: a chunk does not match its digest")
+                    done.append(finish(np.frombuffer(b"".join(parts), dtype=f"<u{width}").astype("<u4")))
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("shard", "pos", "doc_id", "start", "n_tokens")), pa.array(done, pa.int64() if kind == "long" else pa.binary())], names=["shard", "pos", "doc_id", "start", "n_tokens", "ids"])
 
-    return both.select("shard", "pos", "doc_id", "start", "n_tokens", "digests", "lens", "ids", "fetched").mapInArrow(rebuild, "shard int, pos long, doc_id long, start long, n_tokens long, ids binary")
+    return both.select("shard", "pos", "doc_id", "start", "n_tokens", "leaf", "digests", "lens", "ids", "fetched").mapInArrow(rebuild, f"shard int, pos long, doc_id long, start long, n_tokens long, ids {kind}")
 
 
 def starts_and_checksums(store: DataFrame) -> DataFrame:
@@ -216,15 +237,7 @@ def starts_and_checksums(store: DataFrame) -> DataFrame:
     A running sum over the manifests, one row a shard, gives where a shard
     begins.
     """
-    def digests(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        for batch in batches:
-            ids = [np.frombuffer(x, dtype="<u4") for x in batch.column("ids").to_pylist()]
-            checks = pa.array([crc(x) for x in ids], pa.int64())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("shard", "pos", "doc_id", "start", "n_tokens")), checks], names=["shard", "pos", "doc_id", "start", "n_tokens", "ids_crc32"])
-
-    read = read_store(store).mapInArrow(digests, "shard int, pos long, doc_id long, start long, n_tokens long, ids_crc32 long")
+    read = rebuilt(store, crc, "long").withColumnRenamed("ids", "ids_crc32")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     bases = store.where("kind = 'manifest'").select("shard", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("base"))
     verified = roots_checked(store)
@@ -234,16 +247,16 @@ def starts_and_checksums(store: DataFrame) -> DataFrame:
 def roots_checked(store: DataFrame) -> DataFrame:
     """The shards whose recipes give the manifest's Merkle root; a mismatch raises.
 
-    A task holds one shard's recipe digests, which SHARD_ROWS and SHARD_TOKENS bound.
+    A task holds one shard's leaves (the digests of its recipes), which SHARD_ROWS and SHARD_TOKENS bound.
     """
-    leaves = store.where("kind in ('doc', 'manifest')").select("shard", "kind", "pos", "digests", "root")
+    leaves = store.where("kind in ('doc', 'manifest')").select("shard", "kind", "pos", "leaf", "root")
 
     def check(df):
         import pandas as pd
 
         found = df[df.kind == "doc"].sort_values("pos")
         wanted = df[df.kind == "manifest"]
-        root = merkle_root([digest(b"".join(x)) for x in found.digests])
+        root = merkle_root([bytes(x) for x in found.leaf])
         if len(wanted) != 1 or bytes(wanted.root.iloc[0]) != root or wanted.pos.iloc[0] != len(found):
             raise ValueError(f"shard {df.shard.iloc[0]} does not match its manifest")
         return pd.DataFrame({"shard": df.shard.iloc[:1]})
