@@ -205,6 +205,18 @@ def test_pages(spark):
     assert all(r.n_chars == len(r.text) for r in got.values())
 
 
+def test_pages_keep_short_blocks_and_marked_wrappers():
+    say = "<p>A long sentence, with marks; and more words to read than a menu has, some of them long, in every one of its parts.</p>"
+    body = f"<h1>Head</h1>{say}<h2>Sub</h2>{say}<ul><li>One thing<li>Two</ul><p class=x>Short.</p>{say}"
+    text = tagpaths.main_text(f"<article>{body}</article>")
+    assert text.startswith("Head A long") and "Sub A long" in text and "One thing Two Short. A long" in text
+    menu = "<div><ul><li><a href=a>Home</a><li><a href=b>News of the day</a></ul></div>"
+    for page in (f"{menu}<div>{body}</div>", f"{menu}<div class='content has-sidebar'>{body}</div>", f"<div class='page sidebar'>{menu}<section>{body}</section></div>", f"{menu}<div id=a><h1>Head</h1></div><div id=b>{body[13:]}</div>"):
+        assert tagpaths.main_text(page) == text
+    assert tagpaths.main_text(f'<article><header class="entry-header"><h1>Head</h1></header>{body[13:]}<div class=related><p>Related.</div></article>') == text
+    assert tagpaths.main_text(f"<div>{body}</div><h3>More</h3>{menu}<div class=ad>{say[:60]}</div>") == text
+
+
 def test_quality(spark):
     rng = random.Random(6)
     good = lambda: " ".join(rng.choice(["the", "river", "runs", "slowly", "north", "past", "old", "towns", "and", "fields"]) for _ in range(60)) + "."

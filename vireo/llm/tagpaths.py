@@ -1,13 +1,14 @@
 """Main text of web pages by tag-path ratios.
 
 A page is read once into blocks of text, each under the path of its block
-elements from the root. Text length and punctuation are summed by path and
-divided by the path's blocks; both ratios are smoothed over the blocks in
-page order and fused into one score a path; paths above a share of the
-page's greatest score are content. What a path's elements say of themselves
-(navigation, advert, form, reader comment ...) rules it out, and an article
-element, where the page has one, rules out what is outside it and keeps what
-is inside.
+elements from the root. Text length (without links) and punctuation are summed
+by path and divided by the path's blocks; both ratios are smoothed over the
+blocks in page order and fused into one score a path; paths above a share of
+the page's greatest score are content, where an article element does not
+decide. Headings, list items and short paragraphs join the content
+that they stand with. What a path's elements say of themselves (navigation,
+advert, form, reader comment ...) rules it out, but weighs against a
+marked element only in part where that holds most of the page's text.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html import unescape
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 
@@ -28,60 +30,113 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 #: An open element of these bounds what an implied end closes.
 BOUNDS = frozenset("article aside body blockquote div dl footer form header html li main nav ol section table td ul".split())
-RULED_OUT = frozenset("head nav header footer aside form menu dialog button figure audio video canvas".split())
+#: Elements of text: what they stand in is their container, by which short ones are judged.
+TEXTUAL = frozenset("blockquote dd dl dt h1 h2 h3 h4 h5 h6 header hgroup li ol p pre ul".split())
+LISTS = frozenset("dl ol table ul".split())
+ITEMS = frozenset("dd dt li td th".split())
+#: Elements that are never content, and those that may yet hold most of a page.
+NEVER = frozenset("head nav menu dialog button figure audio video canvas".split())
+MARKED = frozenset("header footer aside form".split())
 ARTICLE = frozenset(("article", "main"))
-#: Words of class, id or role that rule an element out.
+#: Words of class, id or role that mark an element; `has-sidebar` and `entry-header` say other things.
 OTHER = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|banner|breadcrumbs?|comments?|consent|cookies?|disqus|footer|header|masthead|menu|nav|navbar|navigation|newsletter|notices?|pagination|popup|promo|related|replies|reply|respond|share|sharing|sidebar|social|sponsor(?:ed)?|subscribe|toolbar|widget)(?:$|[\s_-])", re.I)
+    r"(?:^|[\s_-])(?<!has[_-])(?<!with[_-])(?<!no[_-])(?:ads?|adverts?|advertisement|banner|breadcrumbs?|comments?|consent|cookies?|disqus|footer|(?<!entry[_-])(?<!post[_-])(?<!article[_-])(?<!story[_-])(?<!content[_-])header|masthead|menu|nav|navbar|navigation|newsletter|notices?|pagination|popup|promo|related|replies|reply|respond|share|sharing|sidebar|social|sponsor(?:ed)?|subscribe|toolbar|widget)(?:$|[\s_-])", re.I)
 PUNCTUATION = re.compile(r"[.,;:!?…。、，；：！？]")
 #: Neighbours on either side that smooth a block's ratios, and the share of the best score that content needs.
 REACH, NEEDED = 2, 0.15
+#: A marked element that holds r times the text of the rest of the page (r > 1) weighs this times r squared, at most 1.
+MARKED_WEIGHT = 0.002
 
 
-def blocks(page: str) -> tuple[list[tuple[int, str]], list[tuple[bool, bool, str]]]:
-    """(path, text) of each block in page order; (ruled out, in an article, label) of each path."""
-    paths: list[tuple[bool, bool, str]] = [(False, False, "")]
+class Path(NamedTuple):
+    """The elements of one label under one parent path."""
+
+    never: bool
+    marked: bool
+    inside: bool
+    label: str
+    parent: int
+
+
+class Element(NamedTuple):
+    """An open element: its path, and the serial numbers of its container, outermost list and outermost article (0: none)."""
+
+    tag: str
+    path: int
+    serial: int
+    container: int
+    group: int
+    article: int
+
+
+class Block(NamedTuple):
+    """A run of text; `linked` of its characters stand in links."""
+
+    path: int
+    text: str
+    linked: int
+    element: Element
+
+
+def blocks(page: str) -> tuple[list[Block], list[Path], list[tuple[str, int, int]]]:
+    """The blocks in page order, the paths, and of each element its tag and the blocks it spans."""
+    paths = [Path(False, False, False, "", 0)]
+    root = Element("", 0, 0, 0, 0, 0)
     known: dict[tuple[int, str], int] = {}
-    stack: list[tuple[str, int]] = []
+    stack: list[Element] = []
     open_count: dict[str, int] = {}
-    found: list[tuple[int, str]] = []
+    found: list[Block] = []
+    spans: list[tuple[str, int, int]] = [("", 0, 0)]
     run: list[str] = []
-
-    def here() -> int:
-        return stack[-1][1] if stack else 0
+    linked, link_at = 0, -1
 
     def flush() -> None:
+        nonlocal linked
         if run:
             text = " ".join(unescape("".join(run)).split())
             run.clear()
             if text:
-                found.append((here(), text))
+                here = stack[-1] if stack else root
+                found.append(Block(here.path, text, min(linked, len(text)), here))
+            linked = 0
 
     def close(tag: str) -> None:
+        nonlocal link_at
         while stack:
-            top = stack.pop()[0]
-            open_count[top] -= 1
-            if top == tag:
+            top = stack.pop()
+            open_count[top.tag] -= 1
+            spans[top.serial] = (top.tag, spans[top.serial][1], len(found))
+            if len(stack) < link_at:
+                link_at = -1
+            if top.tag == tag:
                 return
 
     def implied(tags: set[str]) -> None:
         for i in range(len(stack) - 1, max(-1, len(stack) - 50), -1):
-            if stack[i][0] in tags:
-                close(stack[i][0])
+            if stack[i].tag in tags:
+                close(stack[i].tag)
                 return
-            if stack[i][0] in BOUNDS:
+            if stack[i].tag in BOUNDS:
                 return
 
+    def add(text: str) -> None:
+        nonlocal linked
+        run.append(text)
+        if link_at >= 0:
+            linked += len(" ".join(unescape(text).split()))
+
     at = 0
     for m in TOKEN.finditer(page):
         if m.start() > at:
-            run.append(page[at : m.start()])
+            add(page[at : m.start()])
         at = m.end()
         tag = m[3]
         if tag is None:
             continue
         tag = tag.lower()
         if tag in INLINE:
+            if tag == "a":
+                link_at = len(stack) if not m[2] and "href" in m[4].lower() else -1
             continue
         flush()
         if m[2]:
@@ -93,20 +148,44 @@ def blocks(page: str) -> tuple[list[tuple[int, str]], list[tuple[bool, bool, str
             if tag in CLOSES:
                 implied(CLOSES[tag])
             words = " ".join(x for a in ATTRIBUTE.findall(m[4]) for x in a if x) if m[4] else ""
-            label, parent = f"{tag}.{words}", here()
-            if (parent, label) not in known:
-                out, inside, _ = paths[parent]
+            up = stack[-1] if stack else root
+            label = f"{tag}.{words}"
+            if (up.path, label) not in known:
+                above = paths[up.path]
                 page_frame = tag in ("html", "body")
-                header_of_article = tag == "header" and inside and not words
-                out = out or not page_frame and (tag in RULED_OUT and not header_of_article or bool(OTHER.search(words)))
-                known[parent, label] = len(paths)
-                paths.append((out, inside or tag in ARTICLE, label))
+                header_of_article = tag == "header" and above.inside
+                marked = not page_frame and (tag in MARKED and not header_of_article or bool(OTHER.search(words)))
+                known[up.path, label] = len(paths)
+                paths.append(Path(above.never or tag in NEVER, marked, above.inside or tag in ARTICLE, label, up.path))
             if not m[4].rstrip().endswith("/"):
-                stack.append((tag, known[parent, label]))
+                serial = len(spans)
+                spans.append((tag, len(found), -1))
+                stack.append(Element(
+                    tag, known[up.path, label], serial, up.container if tag in TEXTUAL else serial, up.group or (serial if tag in LISTS else 0), up.article or (serial if tag in ARTICLE else 0)))
                 open_count[tag] = open_count.get(tag, 0) + 1
-    run.append(page[at:])
+    add(page[at:])
     flush()
-    return found, paths
+    spans[0] = ("", 0, len(found))
+    return found, paths, [(tag, a, len(found) if b < 0 else b) for tag, a, b in spans]
+
+
+def weights(found: list[Block], paths: list[Path]) -> list[float]:
+    """0 of paths that are ruled out, 1 of others, and between them under marked elements that hold most of the text."""
+    held = [0] * len(paths)
+    for b in found:
+        held[b.path] += 0 if paths[b.path].never else len(b.text)
+    for i in range(len(paths) - 1, 0, -1):
+        held[paths[i].parent] += held[i]
+    out = [1.0]
+    for i, p in enumerate(paths[1:], 1):
+        weight = out[p.parent]
+        if p.never:
+            weight = 0.0
+        elif p.marked and weight:
+            rest = held[0] - held[i]
+            weight *= 0.0 if held[i] <= rest else min(1.0, MARKED_WEIGHT * (held[i] / rest) ** 2) if rest else 1.0
+        out.append(weight)
+    return out
 
 
 def smoothed(values: list[float]) -> list[float]:
@@ -119,28 +198,78 @@ def smoothed(values: list[float]) -> list[float]:
     return out
 
 
+def level(block: Block) -> int:
+    """1 to 6 of a heading, else 0."""
+    tag = block.element.tag
+    return int(tag[1]) if len(tag) == 2 and tag[0] == "h" and tag[1] in "123456" else 0
+
+
+def with_short(found: list[Block], fit: list[bool], core: list[bool], spans: list[tuple[str, int, int]]) -> list[bool]:
+    """`core` and the short blocks that belong to it by their place.
+
+    A heading belongs if its section has content, within its container or at
+    once. Paragraphs belong to content in their container, items to content
+    before them in their container or on both sides of their list. What is
+    mostly links does not belong.
+    """
+    chosen = list(core)
+    direct = {b.element.container for b, ok in zip(found, core, strict=True) if ok}
+    for i, b in enumerate(found):
+        if chosen[i] or not fit[i] or not level(b):
+            continue
+        frame = spans[b.element.container][0] in ("", "html", "body")
+        end, first = spans[b.element.container][2], True
+        for j in range(i + 1, len(found)):
+            if level(found[j]):
+                if level(found[j]) <= level(b):
+                    break
+            elif fit[j]:
+                chosen[i] = core[j] and (first or j < end and (not frame or found[j].element.container == b.element.container))
+                first = False
+                if chosen[i]:
+                    break
+    before, last, sides = {}, -1, {}
+    for i, b in enumerate(found):
+        e = b.element
+        if fit[i] and not chosen[i] and 2 * b.linked < len(b.text) and (e.tag in ITEMS or e.tag in ("p", "blockquote", "pre")):
+            if not e.group:
+                chosen[i] = e.container in direct
+            else:
+                if e.group not in sides:
+                    _, start, end = spans[e.group]
+                    ahead = next((j for j in range(end, len(found)) if fit[j]), -1)
+                    behind = next((j for j in range(start - 1, -1, -1) if fit[j]), -1)
+                    sides[e.group] = ahead >= 0 and behind >= 0 and chosen[ahead] and chosen[behind]
+                chosen[i] = sides[e.group] or e.group != before.get(e.container, e.group)
+        if chosen[i] and before.get(e.container) in (None, e.group):
+            before[e.container] = e.group or -1
+    return chosen
+
+
 def main_text(page: str | None) -> str:
     """The article's text; empty for null or empty pages and those without content."""
-    found, paths = blocks(page or "")
+    found, paths, spans = blocks(page or "")
     if not found:
         return ""
+    weight = weights(found, paths)
     lengths: dict[int, list[int]] = {}
-    for path, text in found:
-        sums = lengths.setdefault(path, [0, 0, 0])
-        sums[0] += len(text)
-        sums[1] += len(PUNCTUATION.findall(text))
+    for b in found:
+        sums = lengths.setdefault(b.path, [0, 0, 0])
+        sums[0] += len(b.text) - b.linked
+        sums[1] += len(PUNCTUATION.findall(b.text))
         sums[2] += 1
-    articles = any(paths[p][1] and not paths[p][0] for p in lengths)
-    fit = [not paths[p][0] and (paths[p][1] or not articles) for p, _ in found]
-    by_length = smoothed([lengths[p][0] / lengths[p][2] if ok else 0.0 for (p, _), ok in zip(found, fit, strict=True)])
-    by_marks = smoothed([lengths[p][1] / lengths[p][2] if ok else 0.0 for (p, _), ok in zip(found, fit, strict=True)])
+    articles = any(b.element.article and weight[b.path] > 0 for b in found)
+    fit = [weight[b.path] > 0 and bool(b.element.article or not articles) for b in found]
+    by_length = smoothed([lengths[b.path][0] / lengths[b.path][2] if ok else 0.0 for b, ok in zip(found, fit, strict=True)])
+    by_marks = smoothed([lengths[b.path][1] / lengths[b.path][2] if ok else 0.0 for b, ok in zip(found, fit, strict=True)])
     near: dict[int, float] = {}
-    for (p, _), a, b in zip(found, by_length, by_marks, strict=True):
-        near[p] = near.get(p, 0.0) + a * (1 + b) / lengths[p][2]
+    for b, x, y in zip(found, by_length, by_marks, strict=True):
+        near[b.path] = near.get(b.path, 0.0) + x * (1 + y) / lengths[b.path][2]
     # A path's own ratios and its smoothed ones weigh the same.
-    best = {p: (near[p] * n_chars / n * (1 + marks / n)) ** 0.5 for p, (n_chars, marks, n) in lengths.items()}
-    least = NEEDED * max((s for p, s in best.items() if not paths[p][0]), default=0.0)
-    return " ".join(t for (p, t), ok in zip(found, fit, strict=True) if ok and (articles or best[p] >= least))
+    best = {p: weight[p] * (near[p] * n_chars / n * (1 + marks / n)) ** 0.5 for p, (n_chars, marks, n) in lengths.items()}
+    least = NEEDED * max(best.values())
+    core = [ok and (articles or best[b.path] >= least > 0) for b, ok in zip(found, fit, strict=True)]
+    return " ".join(b.text for b, ok in zip(found, with_short(found, fit, core, spans), strict=True) if ok)
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
