@@ -217,6 +217,15 @@ def test_pages_keep_short_blocks_and_marked_wrappers():
     assert tagpaths.main_text(f"<div>{body}</div><h3>More</h3>{menu}<div class=ad>{say[:60]}</div>") == text
 
 
+def test_pages_article_is_one_term():
+    say = "<p>A long sentence, with marks; and more words to read than a menu has, some of them long, in every one of its parts.</p>"
+    menu, advert = "<ul><li><a href=a>Home</a><li><a href=b>News</a></ul>", "<div>Buy now</div>"
+    text = tagpaths.main_text(f"<article><h1>Head</h1>{say * 4}</article>")
+    assert tagpaths.main_text(f"<article>{menu}<h1>Head</h1>{say * 2}{advert}{say * 2}{menu}</article>") == text
+    teasers = "<article><h3><a href=c>Other</a></h3><p>See it.</p></article>" * 3
+    assert tagpaths.main_text(f"<div id=body><h1>Head</h1>{say * 4}</div><div id=more>{teasers}</div>") == text
+
+
 def test_quality(spark):
     rng = random.Random(6)
     good = lambda: " ".join(rng.choice(["the", "river", "runs", "slowly", "north", "past", "old", "towns", "and", "fields"]) for _ in range(60)) + "."

@@ -3,12 +3,12 @@
 A page is read once into blocks of text, each under the path of its block
 elements from the root. Text length (without links) and punctuation are summed
 by path and divided by the path's blocks; both ratios are smoothed over the
-blocks in page order and fused into one score a path; paths above a share of
-the page's greatest score are content, where an article element does not
-decide. Headings, list items and short paragraphs join the content
+blocks in page order and fused into one score a path, with what article
+elements hold as a further term; paths above a share of the page's greatest
+score are content. Headings, list items and short paragraphs join the content
 that they stand with. What a path's elements say of themselves (navigation,
-advert, form, reader comment ...) rules it out, but weighs against a
-marked element only in part where that holds most of the page's text.
+advert, form, reader comment ...) rules it out, but only lowers its score where
+it holds most of the page's text.
 """
 
 from __future__ import annotations
@@ -46,6 +46,8 @@ PUNCTUATION = re.compile(r"[.,;:!?…。、，；：！？]")
 REACH, NEEDED = 2, 0.15
 #: A marked element that holds r times the text of the rest of the page (r > 1) weighs this times r squared, at most 1.
 MARKED_WEIGHT = 0.002
+#: What an article element that holds all text adds to the score of its paths.
+ARTICLE_GAIN = 3
 
 
 class Path(NamedTuple):
@@ -258,20 +260,34 @@ def main_text(page: str | None) -> str:
         sums[0] += len(b.text) - b.linked
         sums[1] += len(PUNCTUATION.findall(b.text))
         sums[2] += 1
-    articles = any(b.element.article and weight[b.path] > 0 for b in found)
-    fit = [weight[b.path] > 0 and bool(b.element.article or not articles) for b in found]
+    fit = [weight[b.path] > 0 for b in found]
     by_length = smoothed([lengths[b.path][0] / lengths[b.path][2] if ok else 0.0 for b, ok in zip(found, fit, strict=True)])
     by_marks = smoothed([lengths[b.path][1] / lengths[b.path][2] if ok else 0.0 for b, ok in zip(found, fit, strict=True)])
     near: dict[int, float] = {}
     for b, x, y in zip(found, by_length, by_marks, strict=True):
         near[b.path] = near.get(b.path, 0.0) + x * (1 + y) / lengths[b.path][2]
+    of_article = article_terms(found, fit)
     # A path's own ratios and its smoothed ones weigh the same.
-    best = {p: weight[p] * (near[p] * n_chars / n * (1 + marks / n)) ** 0.5 for p, (n_chars, marks, n) in lengths.items()}
+    best = {p: weight[p] * of_article[p] * (near[p] * n_chars / n * (1 + marks / n)) ** 0.5 for p, (n_chars, marks, n) in lengths.items()}
     least = NEEDED * max(best.values())
-    core = [ok and (articles or best[b.path] >= least > 0) for b, ok in zip(found, fit, strict=True)]
+    core = [ok and best[b.path] >= least and best[b.path] > 0 for b, ok in zip(found, fit, strict=True)]
     return " ".join(b.text for b, ok in zip(found, with_short(found, fit, core, spans), strict=True) if ok)
 
 
+def article_terms(found: list[Block], fit: list[bool]) -> dict[int, float]:
+    """Of each path, 1 and ARTICLE_GAIN times the mean share of the text that its blocks' article elements hold."""
+    held: dict[int, int] = {}
+    for b, ok in zip(found, fit, strict=True):
+        held[b.element.article] = held.get(b.element.article, 0) + (len(b.text) if ok else 0)
+    whole = sum(held.values()) or 1
+    sums: dict[int, list[float]] = {}
+    for b in found:
+        x = sums.setdefault(b.path, [0.0, 0])
+        x[0] += held[b.element.article] / whole if b.element.article else 0.0
+        x[1] += 1
+    return {p: 1 + ARTICLE_GAIN * x / n for p, (x, n) in sums.items()}
+
+
 def main_texts(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars (code points) of each row's html.
 
