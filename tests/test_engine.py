@@ -117,3 +117,34 @@ def test_queries_equal_their_sql(spark, name):
     want = con.execute(contract.oracle_sql()[name]).df()[columns]
     text = lambda df: sorted(tuple("" if v is None or v != v else str(v) for v in row) for row in df.itertuples(index=False, name=None))
     assert text(got.toPandas()[columns]) == text(want)
+
+
+def test_fuzzy_titles_are_whole_first_lines(spark, tmp_path):
+    rng = random.Random(3)
+    words = [f"word{i}" for i in range(12)] + ["of", "and."]
+    lines = [" ".join(rng.choice(words) for _ in range(rng.randint(1, 30))) for _ in range(25)]
+    start = "Fully the same start of a line that is longer than sixty characters. "
+    lines += [start + "with one end of it", start + "and quite another way of going on from there", start + "with one end of its"]
+    lines += [x[: rng.randint(0, len(x))] + rng.choice("xyz ") + x[rng.randint(0, len(x)) :] for x in lines] + [lines[20], ""]
+    texts = [x + rng.choice(["", "\nNext line"]) for x in lines]
+    spark.createDataFrame([(i, x, "en", "s") for i, x in enumerate(texts)], "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.dup_id, r.canon_id, r.method) for r in contract.queries()["dedup_fuzzy_title"](spark, str(tmp_path)).collect()}
+    seen, want, chains = {}, set(), []
+    for i, x in enumerate(lines):
+        x = x.strip().lower()
+        if x in seen and i - seen[x][1] <= 45:
+            seen[x][1] = i
+            want.add((i, seen[x][0], "exact"))
+            continue
+        if not x:
+            continue
+        seen[x] = [i, i]
+        near = [(-linkage.title_similarity(c[1], x), k) for k, c in enumerate(chains) if i - c[2] <= 45]
+        near = [n for n in near if n[0] <= -92]
+        if near:
+            chain = chains[min(near)[1]]
+            chain[1], chain[2] = x, i
+            want.add((i, chain[0], "fuzzy_title"))
+        else:
+            chains.append([i, x, i])
+    assert got == want and {m for _, _, m in want} == {"exact", "fuzzy_title"}

@@ -8,6 +8,8 @@ left out before grouping. Ties in the order fall to etl_id.
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -92,24 +94,53 @@ def title_similarity(a: str, b: str) -> float:
     return best
 
 
+def measures(title: str) -> tuple:
+    """The title's tokens as a set, and length and letters of its tokens joined, with and without repeats."""
+    tokens = title.split()
+    one = set(tokens)
+    return one, *(x for t in (tokens, one) for x in (sum(map(len, t)) + len(t) - 1, Counter(" ".join(t))))
+
+
+def can_reach(a: tuple, b: tuple, least: float) -> bool:
+    """False only where the titles of these measures are less similar than `least`; needs no alignment."""
+    one, two = a[0], b[0]
+    if not one or not two:
+        return least <= 0
+    shared = one & two
+    if len(shared) in (len(one), len(two)):
+        return True
+    both = sum(map(len, shared)) + len(shared) - 1
+    if shared and 200 * both >= least * (both + min(a[3], b[3])):
+        return True
+    for n, x, m, y in ((a[1], a[2], b[1], b[2]), (a[3], a[4], b[3], b[4])):
+        if 200 * min(n, m) >= least * (n + m) and 200 * (x & y).total() >= least * (n + m):
+            return True
+    return False
+
+
 def fuzzy_fold(rows: list[tuple], days: int, least: float = FUZZY) -> list[tuple[int, int]]:
     """(dup_id, canon_id) of one block; rows are (etl_id, day, title, level, is_new) in order.
 
     A row joins the live chain (last met within `days`) whose last title is most
     similar, at `least` or more and with equal level unless one is blank; the
-    first wins ties. Titles already compared are not compared again.
+    first wins ties. Titles already compared are not compared again, and those
+    that cannot be similar enough are not aligned.
     """
     chains: list[list] = []
+    measured: dict[str, tuple] = {}
     known: dict[tuple[str, str], float] = {}
     out = []
     for eid, day, title, lvl, is_new in rows:
         chains = [c for c in chains if day - c[1] <= days]
         best, score = None, -1.0
+        mine = measured.get(title) or measured.setdefault(title, measures(title))
         for c in chains:
             if c[3] and lvl and c[3] != lvl:
                 continue
             pair = (c[2], title)
             if pair not in known:
+                if not can_reach(measured[c[2]], mine, least):
+                    continue
                 known[pair] = title_similarity(*pair)
             if known[pair] >= least and known[pair] > score:
                 best, score = c, known[pair]

@@ -329,7 +329,7 @@ def dedup_fuzzy_title(table):
     docs = table("documents")
     rows = docs.select(
         c("doc_id").alias("etl_id"), F.lit(1).alias("etl_run_id"), F.lit("site").alias("website_clean"), F.concat_ws("-", "lang", "source").alias("company_title_clean"), F.concat_ws("-", "lang", "source").alias("company_canonical_key"), c("lang").alias("location_province"),
-        F.substring(F.split("text", "[\n.]")[0], 1, 60).alias("job_title_clean"), F.lit("").alias("level_clean"), F.lit(None).cast("double").alias("salary_min"), F.lit(None).cast("double").alias("salary_max"),
+        F.split("text", "\n", 2)[0].alias("job_title_clean"), F.lit("").alias("level_clean"), F.lit(None).cast("double").alias("salary_min"), F.lit(None).cast("double").alias("salary_max"),
         F.date_add(F.lit("2026-01-01").cast("date"), (c("doc_id") % 90).cast("int")).alias("job_posted_at_clean"), F.lit(True).alias("is_valid"))
     return linkage.full(rows, 45)
 
