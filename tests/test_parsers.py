@@ -5,6 +5,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from vireo.functions import dictionaries as d
 from vireo.functions import parsers as p
 from vireo.functions import text as t
 
@@ -69,3 +70,14 @@ def test_experience(spark):
     (lambda: p.company_size(F.lit("Hơn 50.000"))["company_size_min"], 50000)])
 def test_single_values(spark, made, want):
     assert spark.range(1).select(made()).first()[0] == want
+
+
+def test_whole_word_lists(spark):
+    skills = {"mysql và postgresql": "SQL", "asp.net, dotnet": "C#", "php / laravel": "PHP", "rails": "Ruby", "linux": "Bash/Shell", "mongodb; react.js": "JavaScript, React, SQL", "r. một": None, "c++ giỏi": "C++, C/C++"}
+    rows = column(spark, skills, "job_description").select("*", F.lit("x").alias("website"), F.lit("").alias("job_requirement"), F.lit("").alias("job_category"))
+    assert {r.job_description: r.hard_skills for r in p.with_description_fields(rows).collect()} == skills
+    titles = {"Kế toán trưởng": "Chief Accountant", "Chief Financial Officer": "CFO", "Tổng giám đốc": "CEO", "zqcz": None}
+    assert {r.job_title: r.job_title_detect for r in p.with_title(column(spark, titles, "job_title")).collect()} == titles
+    added = d.Vocabulary({"SQL": ["duckdb"]}, [("Juggler", ["zqcz"])])
+    assert [r.job_title_detect for r in p.with_title(column(spark, ["zqcz"], "job_title"), vocabulary=added).collect()] == ["Juggler"]
+    assert (len(d.SKILL_WORDS), sum(map(len, d.SKILL_WORDS.values())), len(d.OTHER_TITLES)) == (63, 303, 138)

@@ -1,7 +1,6 @@
 """Word lists and tables that results depend on, in order of precedence.
 
-Larger word lists (skills' and further titles' synonyms) are parameters:
-`Vocabulary` takes them, and keeps by rule only each label's own name.
+`Vocabulary` adds keywords of skills and further titles to them.
 """
 
 from __future__ import annotations
@@ -164,10 +163,32 @@ SOFT_SKILLS = [
     ("Giải quyết vấn đề", ["giải quyết vấn đề", "problem solving", "xử lý tình huống"]), ("Tư duy phản biện", ["phản biện", "critical thinking", "tư duy logic", "analytical thinking"]), ("Sáng tạo", ["sáng tạo", "creative", "innovation"]),
     ("Quản lý thời gian", ["quản lý thời gian", "time management", "sắp xếp công việc"]), ("Làm việc nhóm", ["làm việc nhóm", "teamwork", "team work", "hòa đồng", "collaboration"]),
     ("Chịu áp lực", ["chịu được áp lực", "work under pressure", "áp lực cao", "high pressure"]), ("Tự học", ["tự học", "self-learning", "thích nghi", "ham học hỏi", "continuous learning"])]
-HARD_SKILLS = [
-    "Python", "Java", "Go/Golang", "JavaScript", "TypeScript", "C++", "C#", "PHP", "Ruby", "Swift", "Kotlin", "Dart/Flutter", "SQL", "HTML/CSS", "Rust", "Scala", "Bash/Shell", "VBA", "R", "MATLAB", "C/C++", "React", "Angular", "Vue", "NodeJS", "Spring",
-    "Django/Flask", "AWS", "Azure", "GCP", "Docker", "Kubernetes", "Terraform", "CI/CD", "Git", "Excel", "Power BI", "Tableau", "Looker", "Qlik", "SAS/SPSS", "Apache Spark", "Kafka", "Airflow", "TensorFlow", "PyTorch", "Scikit-learn", "LangChain",
-    "LLM/RAG", "Generative AI", "OpenAI API", "Hugging Face", "Computer Vision", "NLP", "MLOps", "Deep Learning", "Data Science", "Vector DB", "AutoML", "Jira/Confluence", "Trello/Asana", "Office", "Design Tool"]
+#: Keywords of each skill, besides its own name.
+SKILL_WORDS = {
+    "Python": ["python"], "Java": ["java ", "java,"], "Go/Golang": ["golang", "go lang"], "JavaScript": ["javascript", "js ", "js,", "js."], "TypeScript": ["typescript"], "C++": ["c++"], "C#": ["c#", ".net", "dotnet", "asp.net"],
+    "PHP": ["php", "laravel", "symfony"], "Ruby": ["ruby", "rails"], "Swift": ["swift"], "Kotlin": ["kotlin"], "Dart/Flutter": ["dart", "flutter"],
+    "SQL": ["sql", "mysql", "postgresql", "postgres", "sql server", "mssql", "nosql", "mongodb", "redis", "elasticsearch", "cassandra"], "HTML/CSS": ["html", "css", "sass", "scss", "tailwind"], "Rust": ["rust"], "Scala": ["scala"],
+    "Bash/Shell": ["bash", "shell script", "linux", "unix"], "VBA": ["vba", "excel macro"], "R": ["r lang", "r programming"], "MATLAB": ["matlab"], "C/C++": ["c/c++", "c lang"],
+    "React": ["react", "reactjs", "react.js", "react native", "next.js", "nextjs"], "Angular": ["angular", "angularjs"], "Vue": ["vue", "vuejs", "nuxt"], "NodeJS": ["node", "nodejs", "node.js", "express.js", "nestjs"],
+    "Spring": ["spring boot", "spring mvc", "spring cloud"], "Django/Flask": ["django", "flask", "fastapi"], "AWS": ["aws", "amazon web services", "ec2", "s3", "lambda", "eks", "ecs"], "Azure": ["azure", "microsoft azure"],
+    "GCP": ["gcp", "google cloud", "bigquery", "cloud run"], "Docker": ["docker", "dockerfile", "docker compose"], "Kubernetes": ["k8s", "kubernetes", "helm"], "Terraform": ["terraform", "infrastructure as code", "iac"],
+    "CI/CD": ["ci/cd", "jenkins", "github actions", "gitlab ci", "circleci", "argocd"], "Git": ["git", "github", "gitlab", "bitbucket", "svn"],
+    "Excel": ["excel", "spreadsheet", "google sheet", "google sheets", "vlookup", "pivot table"], "Power BI": ["power bi", "powerbi", "dax", "power query"], "Tableau": ["tableau"],
+    "Looker": ["looker", "google data studio", "looker studio"], "Qlik": ["qlik", "qlikview", "qliksense"], "SAS/SPSS": ["sas", "spss"], "Apache Spark": ["spark", "apache spark", "pyspark"], "Kafka": ["kafka", "apache kafka"],
+    "Airflow": ["airflow", "apache airflow"], "TensorFlow": ["tensorflow", "tf", "tensorflow 2", "tf2"], "PyTorch": ["pytorch", "torch"], "Scikit-learn": ["scikit-learn", "sklearn"], "LangChain": ["langchain"],
+    "LLM/RAG": ["llm", "rag", "retrieval augmented", "vector database", "vector db", "prompt engineering", "few-shot", "chain-of-thought", "cot", "in-context learning", "context window"],
+    "Generative AI": ["generative ai", "gen ai", "genai", "stable diffusion", "diffusion model", "midjourney", "dall-e", "imagen", "text-to-image", "text to image"],
+    "OpenAI API": ["openai", "gpt-4", "gpt-3", "chatgpt api", "whisper", "dall-e", "openai api"],
+    "Hugging Face": ["hugging face", "huggingface", "transformers library", "bert", "roberta", "t5", "gpt2", "llama", "mistral", "falcon", "gemma"],
+    "Computer Vision": ["computer vision", "cv ", "object detection", "image classification", "image segmentation", "yolo", "yolov", "resnet", "vgg", "efficientnet", "mediapipe", "opencv", "open-cv"],
+    "NLP": ["nlp", "natural language processing", "text classification", "ner", "named entity", "sentiment analysis", "information extraction", "question answering", "summarization", "word embedding", "word2vec", "fasttext", "spacy", "nltk"],
+    "MLOps": ["mlops", "ml pipeline", "model serving", "model deployment", "model monitoring", "feature store", "mlflow", "kubeflow", "bentoml", "seldon", "triton inference", "ray serve", "sagemaker", "vertex ai", "azure ml", "weight & biases", "wandb", "dvc", "data version control"],
+    "Deep Learning": ["deep learning", "neural network", "cnn", "convolutional neural", "rnn", "lstm", "transformer", "attention mechanism", "self-attention", "encoder decoder", "gan", "generative adversarial", "vae", "variational autoencoder", "graph neural", "gnn", "reinforcement learning", "rl ", "drl", "ppo", "dqn"],
+    "Data Science": ["data science", "exploratory data analysis", "eda", "feature engineering", "feature selection", "model evaluation", "cross-validation", "hyperparameter tuning", "a/b testing", "statistical modeling", "regression", "classification", "clustering", "anomaly detection", "time series", "forecasting"],
+    "Vector DB": ["vector database", "vector db", "pinecone", "weaviate", "qdrant", "milvus", "chroma", "faiss", "pgvector", "embedding"],
+    "AutoML": ["automl", "auto ml", "auto-sklearn", "h2o.ai", "pycaret", "tpot", "optuna", "hyperopt", "ray tune"], "Jira/Confluence": ["jira", "confluence", "atlassian"], "Trello/Asana": ["trello", "asana", "monday.com", "notion"],
+    "Office": ["word", "powerpoint", "ms office", "tin học văn phòng", "google workspace"], "Design Tool": ["figma", "photoshop", "adobe xd", "sketch", "illustrator", "after effects", "canva"]}
+HARD_SKILLS = list(SKILL_WORDS)
 
 TITLES = [
     ("Project Manager", ["project manager", "pmo", "quản lý dự án", "điều phối dự án", "quản trị dự án"]), ("Project Leader", ["project leader", "trưởng dự án"]),
@@ -224,16 +245,66 @@ API_LEVEL = {"1": "Mới Tốt Nghiệp", "3": "Giám Đốc và Cấp Cao Hơn"
 API_COMPANY_SIZE = {"1": "Ít hơn 10", "2": "10-24", "3": "25-99", "4": "100-499", "5": "500-999", "6": "1.000-4.999", "7": "5.000-9.999", "8": "10.000-19.999", "9": "20.000-49.999", "10": "Hơn 50.000"}
 WORK_MODE_NAMES = {"at office": "Onsite", "hybrid": "Hybrid", "remote": "Remote"}
 
+#: Titles outside IT, tried after all others.
+OTHER_TITLES = [
+    ("CEO", ["tổng giám đốc", "general director", "chief executive officer", "ceo"]), ("CFO", ["giám đốc tài chính", "chief financial officer", "cfo"]), ("COO", ["giám đốc vận hành", "chief operating officer", "coo"]),
+    ("CMO", ["giám đốc marketing", "chief marketing officer", "cmo"]), ("CHRO", ["giám đốc nhân sự", "chief people officer", "chro"]), ("Chief Accountant", ["kế toán trưởng", "chief accountant"]),
+    ("General Accountant", ["kế toán tổng hợp", "general accountant"]), ("Internal Auditor", ["kiểm toán nội bộ", "internal auditor"]), ("Auditor", ["kiểm toán", "auditor"]),
+    ("Tax Specialist", ["chuyên viên thuế", "tax specialist", "tax executive", "tư vấn thuế", "tax consultant"]), ("Financial Analyst", ["phân tích tài chính", "financial analyst"]),
+    ("Risk Analyst", ["quản lý rủi ro", "risk management", "risk analyst"]), ("Insurance Executive", ["bảo hiểm", "insurance"]), ("Securities Broker", ["môi giới chứng khoán", "securities broker"]),
+    ("Securities Analyst", ["chứng khoán", "securities analyst"]), ("Banking Officer", ["ngân hàng", "banking officer", "bank officer"]), ("Finance Executive", ["tài chính", "finance executive", "finance officer"]),
+    ("Accountant", ["kế toán", "accountant"]), ("Tax Executive", ["thuế", "tax"]), ("HR Manager", ["trưởng phòng nhân sự", "hr manager", "hr director"]), ("HRBP", ["hrbp", "hr business partner"]),
+    ("Talent Acquisition Specialist", ["talent acquisition", "tuyển dụng cấp cao"]), ("Recruiter", ["tuyển dụng", "recruiter", "recruitment"]), ("L&D Executive", ["l&d", "learning and development", "learning & development"]),
+    ("C&B Executive", ["c&b", "compensation and benefit", "compensation & benefit"]), ("HR Executive", ["nhân sự", "human resource", "hr executive", "hr staff"]), ("Secretary", ["thư ký", "secretary"]),
+    ("Executive Assistant", ["trợ lý giám đốc", "executive assistant"]), ("Assistant", ["trợ lý", "assistant"]), ("Receptionist", ["lễ tân", "receptionist", "front desk"]),
+    ("Admin Executive", ["hành chính", "administrative", "admin executive", "admin officer"]), ("Marketing Manager", ["trưởng phòng marketing", "marketing manager"]), ("Digital Marketing Manager", ["digital marketing manager"]),
+    ("Performance Marketing Specialist", ["performance marketing", "paid ads", "google ads", "facebook ads", "sem"]), ("Digital Marketing Specialist", ["digital marketing"]), ("SEO Specialist", ["seo specialist", "seo executive"]),
+    ("Content Marketing Manager", ["content marketing manager"]), ("Content Writer", ["content writer", "copywriter", "content creator", "content marketing"]),
+    ("UA Marketing", ["ua marketing", "user acquisition", "thu hút người dùng"]), ("PR Executive", ["truyền thông", "communications", "public relations", "pr executive", "pr manager"]),
+    ("Brand Manager", ["brand manager", "quản lý thương hiệu"]), ("Brand Executive", ["brand", "thương hiệu"]), ("Social Media Manager", ["social media manager"]), ("Social Media Executive", ["social media"]),
+    ("Event Manager", ["tổ chức sự kiện", "event manager", "event planner"]), ("Event Executive", ["event coordinator", "event executive"]), ("Marketing Executive", ["marketing"]), ("SEO Specialist", ["seo"]),
+    ("Sales Director", ["giám đốc kinh doanh", "sales director", "commercial director"]), ("Sales Manager", ["trưởng phòng kinh doanh", "sales manager"]),
+    ("Business Development Manager", ["phát triển kinh doanh", "business development manager"]), ("Business Development Executive", ["phát triển kinh doanh", "business development"]), ("Account Manager", ["account manager"]),
+    ("Account Executive", ["account executive"]), ("Telesales Executive", ["telesale", "telesales"]), ("Sales Executive", ["kinh doanh", "bán hàng", "sales executive"]), ("Customer Success Manager", ["customer success manager"]),
+    ("Customer Service Executive", ["chăm sóc khách hàng", "customer service", "customer support", "customer success", "dịch vụ khách hàng"]), ("After-Sales Executive", ["after sales", "chăm sóc sau bán"]),
+    ("Supply Chain Manager", ["quản lý chuỗi cung ứng", "supply chain manager"]), ("Import/Export Specialist", ["xuất nhập khẩu", "import export", "customs declaration"]), ("Warehouse Manager", ["quản lý kho", "warehouse manager"]),
+    ("Warehouse Staff", ["kho vận", "thủ kho", "warehouse staff"]), ("Procurement Manager", ["mua hàng", "purchasing manager", "procurement manager"]), ("Procurement Executive", ["mua hàng", "purchasing", "procurement"]),
+    ("Freight Forwarder", ["giao nhận", "freight forwarder"]), ("Transport Executive", ["vận tải", "transport", "freight"]), ("Logistics Executive", ["logistics", "chuỗi cung ứng", "supply chain"]),
+    ("Legal Counsel", ["pháp chế", "legal counsel", "in-house lawyer", "luật sư"]), ("Compliance Manager", ["compliance manager", "quản lý tuân thủ"]), ("Compliance Executive", ["compliance", "tuân thủ"]),
+    ("Contract Specialist", ["hợp đồng", "contract specialist"]), ("Legal Executive", ["pháp lý", "legal executive", "legal officer"]), ("Lecturer", ["giảng viên", "lecturer", "giáo viên đại học"]),
+    ("Teacher", ["giáo viên", "teacher"]), ("Tutor", ["gia sư", "tutor"]), ("Trainer", ["chuyên viên đào tạo", "trainer"]), ("Doctor", ["bác sĩ", "physician", "doctor"]), ("Pharmacist", ["dược sĩ", "pharmacist"]),
+    ("Nurse", ["điều dưỡng", "y tá", "nurse"]), ("Lab Technician", ["kỹ thuật viên xét nghiệm", "lab technician"]), ("Healthcare Executive", ["y tế", "healthcare", "medical officer"]), ("Pharma Executive", ["dược", "pharma"]),
+    ("Architect", ["kiến trúc sư", "architect"]), ("Interior Designer", ["thiết kế nội thất", "interior designer"]), ("Real Estate Agent", ["môi giới bất động sản", "real estate agent"]),
+    ("Real Estate Executive", ["bất động sản", "real estate"]), ("Site Engineer", ["giám sát công trình", "site supervisor", "site engineer"]), ("Construction Executive", ["xây dựng", "construction executive"]),
+    ("MEP Engineer", ["mep engineer", "cơ điện lạnh"]), ("Mechanical Engineer", ["kỹ sư cơ khí", "mechanical engineer"]), ("Electronics Engineer", ["kỹ sư điện tử", "electronics engineer"]),
+    ("Electrical Engineer", ["kỹ sư điện", "electrical engineer"]), ("Chemical Engineer", ["kỹ sư hóa", "chemical engineer"]), ("Environmental Engineer", ["kỹ sư môi trường", "environmental engineer"]),
+    ("Civil Engineer", ["kỹ sư xây dựng", "civil engineer"]), ("Energy Engineer", ["kỹ sư năng lượng", "energy engineer"]), ("Technician", ["kỹ thuật viên", "technician"]), ("Engineer", ["kỹ sư", "engineer"]),
+    ("Production Manager", ["quản lý sản xuất", "production manager"]), ("Quality Manager", ["quản lý chất lượng", "quality manager"]), ("Quality Executive", ["chất lượng", "quality assurance", "quality control"]),
+    ("HSE Manager", ["an toàn lao động", "hse manager", "safety manager"]), ("HSE Executive", ["an toàn", "safety", "hse"]), ("Maintenance Engineer", ["bảo trì", "maintenance engineer"]),
+    ("Maintenance Executive", ["bảo trì", "maintenance"]), ("Production Operator", ["vận hành", "operator", "production operator"]), ("Manufacturing Executive", ["sản xuất", "manufacturing"]),
+    ("Graphic Designer", ["graphic designer", "graphic design", "thiết kế đồ họa", "đồ họa", "logo", "poster", "banner", "brochure", "motion graphic", "nội thất", "interior designer", "thời trang", "fashion designer"]),
+    ("Art Director", ["art director"]), ("Designer", ["thiết kế", "designer"]), ("Head Chef", ["bếp trưởng", "head chef", "executive chef"]), ("Chef", ["đầu bếp", "chef"]), ("Restaurant Manager", ["nhà hàng", "restaurant manager"]),
+    ("F&B Manager", ["f&b manager"]), ("F&B Executive", ["f&b", "food and beverage"]), ("Hotel Manager", ["khách sạn", "hotel manager"]), ("Hospitality Executive", ["hospitality", "khách sạn", "hotel"]),
+    ("Travel Executive", ["du lịch", "travel", "tour guide", "hướng dẫn viên"]), ("Spa Manager", ["spa manager"]), ("Beauty Executive", ["spa", "thẩm mỹ", "làm đẹp", "beauty"]), ("Store Manager", ["quản lý cửa hàng", "store manager"]),
+    ("Retail Staff", ["nhân viên bán lẻ", "retail staff", "shop staff"]), ("Cashier", ["thu ngân", "cashier"]), ("Director", ["giám đốc", "director"]), ("Manager", ["quản lý", "manager"]),
+    ("Team Leader", ["trưởng nhóm", "team leader", "group leader"]), ("Senior Executive", ["chuyên viên cấp cao", "senior specialist", "senior executive"]), ("Specialist", ["chuyên viên", "specialist", "executive officer"]),
+    ("Staff", ["nhân viên", "staff", "officer"]), ("Debt Collection Executive", ["thu hồi nợ", "cv/cvc", "debt collection"]), ("Production Supervisor", ["quản đốc xưởng", "quản đốc"]),
+    ("Personal Banking Executive", ["quan hệ khách hàng cá nhân", "personal banking"]), ("Banking Officer", ["giao dịch viên"]), ("PR Executive", ["corporate communication"]),
+    ("HR Executive", ["organization development", "od executive"]), ("Risk Analyst", ["digital risk", "risk investigator"]), ("Market Research Executive", ["market research", "nghiên cứu thị trường"])]
+
 # Parameters --------------------------------------------------------------------
 
 
 @dataclass
 class Vocabulary:
-    """Word lists a user may extend: label -> keywords, in order of precedence."""
+    """Keywords and titles a user adds to the fixed lists: label -> keywords; added titles are tried last, in order."""
 
     skill_words: dict[str, list[str]] = field(default_factory=dict)
     other_titles: list[tuple[str, list[str]]] = field(default_factory=list)
 
     def hard_skills(self) -> list[tuple[str, list[str]]]:
-        """Each skill by its own name (and the parts of a name with a slash), and what the user adds."""
-        return [(s, list(dict.fromkeys([s.lower(), *(p for p in s.lower().split("/") if len(p) > 2), *self.skill_words.get(s, [])]))) for s in HARD_SKILLS]
+        """Each skill by its own name (of more than a letter; and the parts of a name with a slash), its keywords, and what the user adds."""
+        return [(s, list(dict.fromkeys([*(n for n in (s.lower(),) if len(n) > 1), *(p for p in s.lower().split("/") if len(p) > 2), *w, *self.skill_words.get(s, [])]))) for s, w in SKILL_WORDS.items()]
+
+    def titles(self) -> list[tuple[str, list[str]]]:
+        return [*OTHER_TITLES, *self.other_titles]

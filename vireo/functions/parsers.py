@@ -9,6 +9,9 @@ kinh nghiệm" means none only where no digit stands before the 0.
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -111,7 +114,7 @@ def title_detected(title: Column, vocabulary: d.Vocabulary) -> Column:
     both = F.lit(None).cast("string")
     for (role, domain), label in d.ROLE_DOMAIN_TITLES.items():
         both = F.when(pair == f"{role}/{domain}", F.lit(label)).otherwise(both)
-    return F.coalesce(first_label(text, [(t, alone(w)) for t, w in d.TITLES]), both, first_label(text, [(t, alone(w)) for t, w in vocabulary.other_titles]))
+    return F.coalesce(first_label(text, [(t, alone(w)) for t, w in d.TITLES]), both, first_label(text, [(t, alone(w)) for t, w in vocabulary.titles()]))
 
 
 def with_title(df: DataFrame, raw: str = "job_title", vocabulary: d.Vocabulary | None = None) -> DataFrame:
@@ -341,6 +344,12 @@ def labels_in(text: Column, groups: list[tuple[str, str]]) -> Column:
     return F.array_sort(F.filter(F.array(*[F.when(text.rlike(p), F.lit(label)) for label, p in groups]), lambda x: x.isNotNull()))
 
 
+def words_in(text: Column, groups: list[tuple[str, list[str]]]) -> Column:
+    """Sorted labels of which any word is found alone; patterns are only tried on texts that hold one of their words."""
+    holds = lambda w: F.expr("false") if not w else functools.reduce(operator.or_, [text.contains(x) for x in w])
+    return F.array_sort(F.filter(F.array(*[F.when(holds(w), F.when(text.rlike(between_non_words(w)), F.lit(label))) for label, w in groups]), lambda x: x.isNotNull()))
+
+
 def joined(labels: Column) -> Column:
     return F.when(F.size(labels) > 0, F.array_join(labels, ", "))
 
@@ -356,7 +365,7 @@ def with_description_fields(df: DataFrame, vocabulary: d.Vocabulary | None = Non
     of = {c: lang for lang, cs in d.LANGUAGE_CERTIFICATES.items() for c in cs}
     languages = F.array_sort(F.array_distinct(F.filter(F.transform("__certs", lambda c: F.element_at(F.create_map(*[F.lit(x) for kv in of.items() for x in kv]), c)), lambda x: x.isNotNull())))
     return df.withColumns({
-        "hard_skills": joined(labels_in(full, [(s, between_non_words(w)) for s, w in vocabulary.hard_skills()])), "soft_skills": joined(labels_in(full, [(s, between_non_words(w)) for s, w in d.SOFT_SKILLS])),
+        "hard_skills": joined(words_in(full, vocabulary.hard_skills())), "soft_skills": joined(labels_in(full, [(s, between_non_words(w)) for s, w in d.SOFT_SKILLS])),
         "major": first_label(full, [(m, any_of(w)) for m, w in d.MAJORS]), "certifications": joined(F.col("__certs")), "languages": joined(languages)}).drop("__full", "__certs")
 
 
