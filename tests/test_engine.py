@@ -148,3 +148,10 @@ def test_fuzzy_titles_are_whole_first_lines(spark, tmp_path):
         else:
             chains.append([i, x, i])
     assert got == want and {m for _, _, m in want} == {"exact", "fuzzy_title"}
+
+
+def test_skills_are_searched_in_the_text(spark, tmp_path):
+    texts = ["long " * 3000 + "Kafka, then MongoDB.", None, "x KOTLIN\ny", "nothing"]
+    spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.hard for r in contract.queries()["skills_extract"](spark, str(tmp_path)).collect()}
+    assert got == {0: "Docker, Kafka, Python, SQL", 1: "SQL", 2: "Kotlin", 3: "Docker, Python"}

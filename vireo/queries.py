@@ -454,8 +454,9 @@ def level_bucket(table):
 
 @query("""SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'Docker, Python' WHEN doc_id % 3 = 1 THEN 'SQL' END AS hard FROM documents""")
 def skills_extract(table):
-    text = F.when(c("doc_id") % 3 == 0, "PYTHON / docker;").when(c("doc_id") % 3 == 1, "sql").otherwise("pythonic nosqlx")
-    return table("documents").select("doc_id", p.joined(p.labels_in(F.lower(text), [(s, t.between_non_words(w)) for s, w in d.Vocabulary().hard_skills()])).alias("hard"))
+    text = F.concat_ws(" ", "text", F.when(c("doc_id") % 3 == 0, "PYTHON / docker;").when(c("doc_id") % 3 == 1, "sql").otherwise("pythonic nosqlx"))
+    rows = table("documents").select("doc_id", F.lower(text).alias("full"))
+    return rows.select("doc_id", p.joined(p.words_in(c("full"), d.Vocabulary().hard_skills())).alias("hard"))
 
 
 @query("""SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'ielts, jlpt, n2' END AS certifications, CASE WHEN doc_id % 2 = 0 THEN 'Tiếng Anh, Tiếng Nhật' END AS languages FROM documents""")
