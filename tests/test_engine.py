@@ -11,6 +11,7 @@ import __spark_entry__ as contract
 from vireo import schemas
 from vireo.operators import linkage, upsert, windows
 from vireo.plans import transform, warehouse
+from vireo.sources import tables
 from vireo.streaming import incremental
 
 SMALL = "/root/testdata/sf0.001"
@@ -155,3 +156,10 @@ def test_skills_are_searched_in_the_text(spark, tmp_path):
     spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.doc_id: r.hard for r in contract.queries()["skills_extract"](spark, str(tmp_path)).collect()}
     assert got == {0: "Docker, Kafka, Python, SQL", 1: "SQL", 2: "Kotlin", 3: "Docker, Python"}
+
+
+def test_heading_block_is_limited_by_its_text(spark):
+    long, much = "<i>word</i> " * 1500, "word " * 1700
+    pages = [(0, f"<h2>A</h2>{long}</article>"), (1, f"<h2>A</h2>{much}<h2>B</h2>{'word ' * 20}</article>"), (2, "<h2>A</h2>short</article>")]
+    got = {r.page_id: r.block for r in tables.page_fields(spark.createDataFrame([(i, "u", h) for i, h in pages], "page_id long, url string, html string")).collect()}
+    assert got == {0: ("word " * 1500).strip(), 1: None, 2: None}

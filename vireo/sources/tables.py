@@ -10,6 +10,9 @@ from vireo.functions.text import one_space, stripped, without_tags
 #: Columns a posting needs filled before its description is taken as structured.
 WORK_FIELDS = ("job_title", "experience", "level", "education_level", "job_type", "work_mode", "company_industry", "job_requirement")
 
+#: The text of a heading's block has more and fewer characters than these.
+BLOCK = (50, 8000)
+
 API_RECORD = """jobTitle string, companyName string, jobUrl string, jobDescription string, jobRequirement string, approvedOn string, expiredOn string,
 salaryMin long, salaryMax long, salaryCurrency string, salaryPeriodId int, prettySalary string, yearsOfExperience string, typeWorkingId string, jobLevelId string, companySizeId string, highestDegreeId string,
 workingLocations array<struct<cityNameVI:string>>, industriesV3 array<struct<industryV3NameVI:string>>, skills array<struct<skillName:string>>, jobFunction struct<parentNameVI:string, children:array<struct<nameVI:string>>>"""
@@ -59,8 +62,8 @@ def page_fields(pages: DataFrame) -> DataFrame:
     """url and title of saved pages, and the text of the first heading's block."""
     title = without_tags(F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1))
     heading = without_tags(F.regexp_extract("html", r"(?is)<h[123][^>]*>(.*?)</h[123]>", 1))
-    block = without_tags(F.regexp_extract("html", r"(?is)</h[123]>(.{0,8000}?)(?=<h[123][\s>]|</article>|</section>|</body>|\z)", 1))
-    return pages.select("page_id", "url", title.alias("title"), heading.alias("heading"), F.when(F.length(block) >= 50, block).alias("block"))
+    block = without_tags(F.regexp_extract("html", r"(?is)</h[123]>(.*?)(?=<h[123][\s>]|</article>|</section>|</body>|\z)", 1))
+    return pages.select("page_id", "url", title.alias("title"), heading.alias("heading"), F.when((F.length(block) > BLOCK[0]) & (F.length(block) < BLOCK[1]), block).alias("block"))
 
 
 def detail_else_card(details: DataFrame, cards: DataFrame, key: str, columns: list[str]) -> DataFrame:
