@@ -40,11 +40,26 @@ def only_memory(kind: str, make):
     given up first, so that one worker never holds two."""
     kept = process_cache()
     if kept.get("kind") != kind:
-        kept["memory"] = None
+        if kept.pop("memory", None) is not None:
+            given_back()
         kept["kind"], kept["memory"] = kind, make()
     return kept["memory"]
 
 
+def given_back() -> None:
+    """Return this process's free memory to the system, where its allocators can."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 #: Rows that a batch handed to Python holds at most while a table is written: texts are long.
 BATCH_ROWS = 1000
 

@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 
-from vireo.llm.tokens import END, crc, encoder, vocabulary, with_end
+from vireo.llm.tokens import END, REMEMBERED, crc, encoder, vocabulary, with_end
 
 CAPACITY = 2048
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -68,7 +68,7 @@ class HarmonicPacker:
         return out
 
 
-def pack_documents(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, end: int = END) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, end: int = END, remembered: int = REMEMBERED) -> DataFrame:
     """Pieces of all documents with their sequence and offset there.
 
     A null or empty text is its end id alone. Repeated rows are packed each;
@@ -83,7 +83,7 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, capacity: int
         import pyarrow as pa
         from pyspark import TaskContext
 
-        code = encoder(path)
+        code = encoder(path, remembered)
         packer = HarmonicPacker(capacity, TaskContext.get().partitionId() << 36)
 
         def table(placed: list):

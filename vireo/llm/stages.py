@@ -14,6 +14,8 @@ from vireo.llm.common import WORD, settle
 
 #: Words of a shingle, and similarity in per cent, of the near-duplicate stage.
 SHINGLE, SIMILARITY = 5, 80
+#: Chunks and words that the packing stage's workers remember: they outlive the stage beside other stages' memory.
+REMEMBERED = 60_000
 
 
 def good(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -75,4 +77,4 @@ def mixed(docs: DataFrame) -> DataFrame:
 
 
 def packed(docs: DataFrame) -> DataFrame:
-    return packing.pack_documents(docs)
+    return packing.pack_documents(docs, remembered=REMEMBERED)

@@ -18,7 +18,8 @@ from vireo.llm.common import only_memory
 
 VOCABULARY = "word_bpe_49k.json"
 END = 1
-#: Chunks, and words, that a generation of a worker's memory holds; there are two generations of each.
+#: Chunks, and words, that a generation of a worker's memory holds unless told otherwise; there are two
+#: generations of each. An entry takes some 150 bytes, so this bounds a worker's memory at 300 MB.
 REMEMBERED = 500_000
 #: Chunks over this many characters are encoded without being remembered.
 LONG = 64
@@ -44,12 +45,13 @@ class Chunks(dict):
 class Encoder:
     """ids(text) -> little-endian unsigned 16-bit (or 32-bit) ids as bytes."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        self.remembered = remembered
         self.library = Tokenizer.from_file(path)
         self.width = 2 if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.dtype = f"<u{self.width}"
@@ -97,10 +99,10 @@ class Encoder:
 
     def _rotate(self) -> None:
         """What a full generation has and the next one does not ask for is forgotten."""
-        if len(self.chunks) > REMEMBERED:
+        if len(self.chunks) > self.remembered:
             self.chunks.old = {}
             self.chunks = Chunks(self._chunk, self.chunks)
-        if len(self.words) > REMEMBERED:
+        if len(self.words) > self.remembered:
             self.words, self.old_words = {}, self.words
 
     def _split(self, text: str) -> list[str]:
@@ -118,9 +120,9 @@ class Encoder:
         return out
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, remembered: int = REMEMBERED) -> Encoder:
     """This worker's encoder, kept from task to task."""
-    return only_memory(f"encoder {path}", lambda: Encoder(path))
+    return only_memory(f"encoder {path} {remembered}", lambda: Encoder(path, remembered))
 
 
 def with_end(packed: bytes, width: int, end: int = END) -> np.ndarray:
