@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from vireo import schemas
-from vireo.operators import linkage, upsert, windows
+from vireo.operators import lineage, linkage, upsert, windows
 from vireo.plans import transform, warehouse
 from vireo.sources import tables
 from vireo.streaming import incremental
@@ -71,26 +71,67 @@ def staging(spark):
     return spark.createDataFrame([tuple(r.get(f.name) for f in schemas.STAGING) for r in rows], schemas.STAGING)
 
 
-@pytest.mark.skipif(not os.environ.get("VIREO_SLOW"), reason="plans of the whole load take minutes; set VIREO_SLOW to run it")
+def test_numbers_are_distinct_and_without_gaps(spark):
+    rows = spark.range(3_000_000).selectExpr("pmod(xxhash64(id), 100000) k", "id", "id % 7 a", "repeat('x', cast(id % 5 as int)) b")
+    got = upsert.with_numbers(rows, "n", ["k", "id"], groups=16)
+    assert got.columns == ["k", "id", "a", "b", "n"]
+    top = got.agg(F.count("*"), F.countDistinct("n"), F.min("n"), F.max("n"), F.countDistinct("id")).first()
+    assert tuple(top) == (3_000_000, 3_000_000, 1, 3_000_000, 3_000_000)
+    near = got.where("n between 1499990 and 1500010").orderBy("n").collect()
+    assert [(r.k, r.id) for r in near] == sorted((r.k, r.id) for r in near)
+    assert upsert.with_numbers(spark.createDataFrame([], "k int"), "n", ["k"]).count() == 0
+    assert sorted(r.n for r in upsert.with_numbers(spark.createDataFrame([(None,), (None,), (1,)], "k int"), "n", ["k"]).collect()) == [1, 2, 3]
+
+
 def test_load_is_idempotent(spark):
     cleaned, errors = transform.transformed(staging(spark), 7)
     assert {(r.src_id, r.error_type) for r in errors.collect()} == {(3, "MISSING_TITLE"), (4, "TOO_MANY_LOCATIONS")}
-    cleaned = spark.createDataFrame(cleaned.withColumn("etl_id", F.abs(F.col("etl_id") % 1000)).collect(), cleaned.schema)
+    cleaned = lineage.settled(cleaned.withColumn("duplicate_of_id", F.when(F.col("job_url") == "u2", F.col("etl_id") - 1)), "cleaned")
+    assert cleaned.where("abs(etl_id) > 4294967296").count() == 3
     assert {(r.job_url, r.location_province, r.salary_min) for r in cleaned.collect()} == {("u1", "TP. Hà Nội", 15e6), ("u1", "TP. Hồ Chí Minh", 15e6), ("u2", "Khác", 15e6)}
     keep = lambda tables: {n: spark.createDataFrame(df.collect(), df.schema) for n, df in tables.items()}
     once = keep(warehouse.load(warehouse.empty(spark), cleaned, "2026-02-11"))
-    for mode in ("today",):
+    for mode in ("today", "all"):
         again = warehouse.load(once, cleaned, "2026-02-12", mode, "7")
         for name, df in once.items():
             drop = [c for c in df.columns if c in ("created_at", "updated_at")]
             assert sorted(map(repr, df.drop(*drop).collect())) == sorted(map(repr, again[name].drop(*drop).collect())), (name, mode)
     fact = once["fact_jobpostings"]
+    assert {r.etl_id for r in fact.collect()} == {r.etl_id for r in cleaned.collect()}
+    assert [r.etl_id - r.duplicate_of_id for r in fact.collect() if r.duplicate_of_id is not None] == [1]
     assert fact.count() == 3 and fact.where("dia_diem_id is null or nganh_id is null or cong_ty_id is null or cap_bac_id is null or hinh_thuc_id is null").count() == 0
     assert {r.salary_avg for r in fact.collect()} == {17500000}
     assert once["bridge_jobrequire"].count() == 3 * once["dim_require"].count()
     assert warehouse.unique_postings(once).count() == 3
 
 
+def test_batch_columns(spark):
+    rows = postings(spark, [(1, 1, "B", "b", "HN", "java developer", "junior", 0), (2, 2, "B", "b", "HN", "java developer", "junior", 3), (2, 2, "B", "b", "HN", "java developer", "junior", 3)])
+    for name in linkage.RUN_COLUMNS:
+        assert {tuple(r) for r in linkage.daily(rows.withColumnRenamed("etl_run_id", name), 2, "2026-02-01").collect()} == {(2, 1, "exact")}
+    with pytest.raises(ValueError, match="batch column"):
+        linkage.daily(rows.withColumnRenamed("etl_run_id", "load_id"), 2, "2026-02-01")
+
+
+def test_fuzzy_chains_end_at_gaps(spark):
+    """Stretches between gaps are folded apart, with the same links as the block as a whole."""
+    rng = random.Random(5)
+    titles = ["java developer", "java developer hn", "developer java", "nurse", "night nurse", "chief nurse of the house"]
+    rows = [(i, 1, "B", "b", "HN", rng.choice(titles) + " " + "x" * (i % 2), "junior", rng.choice((0, 60, 120, 300)) + rng.randrange(20)) for i in range(1, 120)]
+    frame = linkage.keyed(linkage.corpus(postings(spark, rows))).withColumn("is_new", F.lit(True))
+    got = {(r.dup_id, r.canon_id) for r in linkage.fuzzy_links(frame, F.col("is_new"), 45).collect()}
+    ordered = sorted(frame.collect(), key=lambda r: (r.day, r["rank"], -r["info"], r.etl_id))
+    assert got == set(linkage.fuzzy_fold([(r.etl_id, r.day, r.title, r.lvl, True) for r in ordered], 45)) and got
+
+
+def test_blocks_under_a_heading():
+    page = "<div>Far <section><p>" + "a " * 40 + "</p><div><h2>Why <i>Join</i> us</h2></div></section></div>"
+    assert tables.block_under(page, "JOIN") == ("a " * 40).strip() + "\nWhy\nJoin\nus"
+    assert tables.block_under("<div><h2>Join</h2>" + "b" * 9000 + "</div>", "join") is None
+    assert tables.block_under("<div><h2>Join</h2></div><div><h3>join</h3><p>" + "c" * 60, "join") == "join\n" + "c" * 60
+    assert tables.block_under(None, "x") is None and tables.block_under("<h2>x", "x") is None
+
+
 def test_available_now(spark, tmp_path):
     seen = []
     source = str(tmp_path / "in")
@@ -106,7 +147,7 @@ def test_contract(spark):
     assert len(names) > 70 and set(contract.oracle_sql()) <= set(names)
 
 
-@pytest.mark.parametrize("name", ["fact_upsert_update_list", "nullsafe_join", "bi_skill_by_role", "dedup_exact_gap"])
+@pytest.mark.parametrize("name", ["fact_upsert_update_list", "nullsafe_join", "bi_skill_by_role", "dedup_exact_gap", "numbered_at_scale", "api_json_flatten", "load_bridge", "load_dimensions"])
 def test_queries_equal_their_sql(spark, name):
     import duckdb
 

@@ -295,6 +295,12 @@ OTHER_TITLES = [
 # Parameters --------------------------------------------------------------------
 
 
+#: Level words looked for in a title, in order.
+TITLE_LEVELS = ("fresher", "junior", "mid", "senior", "lead", "manager", "director", "principal", "intern", "staff", "associate")
+#: Parts of a URL that put a posting into the trade.
+URL_CATEGORIES = ("/it-phan-mem/", "/it-phan-cung-mang/")
+
+
 @dataclass
 class Vocabulary:
     """Keywords and titles a user adds to the fixed lists: label -> keywords; added titles are tried last, in order."""

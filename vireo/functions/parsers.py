@@ -89,7 +89,8 @@ def relative_day(text: Column, scraped_at: Column) -> Column:
 
 
 def iso_posted(text: Column, scraped_at: Column) -> Column:
-    return F.date_format(date_of(text, scraped_at), "yyyy-MM-dd")
+    """English time ago, or "just now", as Y-m-d; else null."""
+    return F.date_format(F.when(lowered(text).contains("just now"), F.to_date(moment(scraped_at))).otherwise(date_of(text, scraped_at)), "yyyy-MM-dd")
 
 
 def is_old(text: Column, ref: Column, more_than_days: int) -> Column:
@@ -406,3 +407,9 @@ def education_evidence(claimed: Column, description: Column, requirement: Column
 
 def years_at_source(text: Column) -> Column:
     return group(lowered(text), r"(?U)(\d+)\+?\s*years?(?:\s+of)?\s+experience", 1)
+
+
+def level_in_title(title: Column) -> Column:
+    """The first listed level word that the title holds, capitalised; else null."""
+    low = lowered(title)
+    return F.coalesce(*[F.when(low.contains(word), F.lit(word.capitalize())) for word in d.TITLE_LEVELS])

@@ -2,8 +2,9 @@
 
 The exact pass is windows only. The fuzzy pass is sequential by nature (each
 chain is matched by its last title) and runs as a grouped function over blocks
-of company and province; a block with a single title needs no scan and is
-left out before grouping. Ties in the order fall to etl_id.
+of company, province and stretch of time without a gap that ends all chains; a
+block with one row, or without a new one, is left out before grouping. Ties in
+the order fall to etl_id.
 """
 
 from __future__ import annotations
@@ -14,11 +15,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vireo.functions.text import lowered, stripped
-from vireo.operators.windows import gap_chains
+from vireo.operators.windows import gap_chains, latest
 
 #: Rank of the sites whose postings are preferred as originals; all others rank 99.
 SOURCE_RANKS = {"topcv": 1, "vietnamwork": 2, "careerviet": 3, "careerlink": 4}
 FUZZY = 92
+#: Names that a batch column may have, the first that exists counts.
+RUN_COLUMNS = ("etl_run_id", "run_id", "batch_id", "etl_batch")
 
 
 def source_rank(site: Column, ranks: dict[str, int] = SOURCE_RANKS) -> Column:
@@ -29,18 +32,19 @@ def source_rank(site: Column, ranks: dict[str, int] = SOURCE_RANKS) -> Column:
 
 
 def corpus(df: DataFrame, days: int | None = None, today: str | None = None) -> DataFrame:
-    """Valid postings with a date (of the last `days` before `today`), the columns linkage needs."""
-    columns = ["etl_id", "etl_run_id", "website_clean", "company_title_clean", "company_canonical_key", "location_province", "job_title_clean", "level_clean", "salary_min", "salary_max", "job_posted_at_clean"]
+    """Valid postings with a date (of the last `days` before `today`), the columns linkage needs
+    and what batch columns there are."""
+    columns = ["etl_id", *[c for c in RUN_COLUMNS if c in df.columns], "website_clean", "company_title_clean", "company_canonical_key", "location_province", "job_title_clean", "level_clean", "salary_min", "salary_max", "job_posted_at_clean"]
     df = df.where("is_valid and etl_id is not null and job_posted_at_clean is not null").select(*columns)
     return df if days is None else df.where(F.col("job_posted_at_clean") >= F.date_sub(F.to_date(F.lit(today)), days))
 
 
 def run_column(columns: list[str]) -> str:
     """The batch column that the table has, of those in use."""
-    for name in ("etl_run_id", "run_id", "batch_id", "load_id"):
+    for name in RUN_COLUMNS:
         if name in columns:
             return name
-    raise ValueError("no batch column")
+    raise ValueError(f"no batch column; one of {', '.join(RUN_COLUMNS)} is needed")
 
 
 def keyed(df: DataFrame) -> DataFrame:
@@ -168,14 +172,19 @@ def fuzzy_links(df: DataFrame, is_new: Column, days: int, least: float = FUZZY)
         return pd.DataFrame(pairs, columns=["dup_id", "canon_id"]).assign(method="fuzzy_title")
 
     rows = df.withColumn("is_new", is_new).select("co", "prov", "etl_id", "day", "rank", "info", "title", "lvl", "is_new")
-    crowded = rows.groupBy("co", "prov").agg(F.count("*").alias("n"), F.max("is_new").alias("any_new")).where("n > 1 and any_new").select("co", "prov")
-    return rows.join(crowded, ["co", "prov"]).groupBy("co", "prov").applyInPandas(block, "dup_id long, canon_id long, method string")
+    # No chain outlives a gap of more than `days`: each stretch between such gaps is folded on its own.
+    rows = gap_chains(rows, ["co", "prov"], F.col("day"), days, "etl_id", "day", "rank", F.desc("info"), "etl_id").withColumnRenamed("root", "stretch")
+    block_of = ["co", "prov", "stretch"]
+    crowded = rows.groupBy(*block_of).agg(F.count("*").alias("n"), F.max("is_new").alias("any_new")).where("n > 1 and any_new").select(*block_of)
+    return rows.join(crowded, block_of).groupBy(*block_of).applyInPandas(block, "dup_id long, canon_id long, method string")
 
 
 def duplicates(new: DataFrame, history: DataFrame, days: int) -> DataFrame:
     """Links of `new` postings to earlier ones of both frames: exact ones first, then by title."""
     ids = new.select("etl_id").distinct().withColumn("is_new", F.lit(True))
-    both = keyed(new.unionByName(history).dropDuplicates(["etl_id"])).join(ids, "etl_id", "left").withColumn("is_new", F.coalesce("is_new", F.lit(False)))
+    # A row that repeats an id counts once: the earliest, then the least title.
+    once = latest(new.unionByName(history), ["etl_id"], "job_posted_at_clean", "job_title_clean", "website_clean", "company_canonical_key", "location_province", "level_clean")
+    both = keyed(once).join(ids, "etl_id", "left").withColumn("is_new", F.coalesce("is_new", F.lit(False)))
     exact = exact_links(both, F.col("is_new"), days)
     rest = both.join(exact.select(F.col("dup_id").alias("etl_id")), "etl_id", "left_anti")
     return exact.unionByName(fuzzy_links(rest, F.col("is_new"), days))

@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from vireo.operators.lineage import settled
+
 STATUS = "upsert_status"
 
 
@@ -61,23 +63,30 @@ def default_row(old: DataFrame, row: dict) -> DataFrame:
     return insert_ignore(old, one, list(row))
 
 
-def with_surrogates(old: DataFrame, loaded: DataFrame, id_column: str, order: Sequence[str]) -> DataFrame:
+def with_surrogates(old: DataFrame, loaded: DataFrame, id_column: str, order: Sequence[str], large: bool = False) -> DataFrame:
     """Ids of rows that have none continue from the greatest, in the order of the
-    natural key. A dimension's new rows are numbered in one task; facts take
-    hashed keys or with_numbers()."""
+    natural key. New rows are numbered in one task unless the dimension is `large`."""
     top = old.agg(F.coalesce(F.max(id_column), F.lit(0)).alias("__top"))
-    given, fresh = loaded.where(F.col(id_column).isNotNull()), loaded.where(F.col(id_column).isNull())
-    rank = F.row_number().over(Window.orderBy(*order))
-    numbered = fresh.crossJoin(F.broadcast(top)).withColumn(id_column, (F.col("__top") + rank).cast(old.schema[id_column].dataType)).drop("__top")
+    given, fresh = loaded.where(F.col(id_column).isNotNull()), loaded.where(F.col(id_column).isNull()).drop(id_column)
+    ranked = with_numbers(fresh, "__rank", order) if large else fresh.withColumn("__rank", F.row_number().over(Window.orderBy(*order)))
+    numbered = ranked.crossJoin(F.broadcast(top)).withColumn(id_column, (F.col("__top") + F.col("__rank")).cast(old.schema[id_column].dataType)).drop("__top", "__rank")  # one row
     return given.unionByName(numbered)
 
 
-def with_numbers(df: DataFrame, out: str, order: Sequence[str], groups: int = 64) -> DataFrame:
-    """Add 1.. in order over a table of any size: range partitions, then rows within."""
-    parted = df.repartitionByRange(groups, *order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id()).withColumn("__seq", F.monotonically_increasing_id())
+def with_numbers(df: DataFrame, out: str, order: Sequence[str], groups: int | None = None) -> DataFrame:
+    """Add 1.. (long) in order, without gaps, over a table of any size.
+
+    Rows are range-partitioned over `groups` (default: the session's shuffle
+    partitions) and written with their partition and place there, so counts and
+    numbers come from the same rows; the counts, a row a group, are broadcast.
+    Nulls sort first; rows equal in `order` are numbered in any order.
+    """
+    groups = groups or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parted = settled(df.repartitionByRange(groups, *order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id()).withColumn("__seq", F.monotonically_increasing_id()), "numbered")
     starts = parted.groupBy("__part").agg(F.count("*").alias("__n"), F.min("__seq").alias("__first"))
     starts = starts.withColumn("__before", F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return parted.join(starts.select("__part", "__first", "__before"), "__part").withColumn(out, F.col("__before") + F.col("__seq") - F.col("__first") + 1).drop("__part", "__seq", "__first", "__before")
+    numbered = parted.join(F.broadcast(starts.select("__part", "__first", "__before")), "__part")
+    return numbered.withColumn(out, F.col("__before") + F.col("__seq") - F.col("__first") + 1).drop("__part", "__seq", "__first", "__before")
 
 
 def save_version(df: DataFrame, root: str, name: str) -> str:

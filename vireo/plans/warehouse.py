@@ -1,9 +1,11 @@
 """Cleaned rows to a star: eight dimensions, the fact, and the bridge to requirements.
 
-load() gives all tables as they are after the load. Dimensions are small (the
-largest holds companies) and joined by whatever strategy their size allows.
-Default rows exist before the fact is joined, so every posting finds a place
-and an industry. A repeated load changes nothing but timestamps.
+load() gives all tables as they are after the load. Dimensions are joined by
+whatever strategy their size allows; companies and requirements, which grow with
+the data, are numbered over many tasks. Default rows exist before the fact is
+joined, so every posting finds a place and an industry. A repeated load changes
+nothing but timestamps. Rows, dimensions and the fact are written between steps:
+each is planned and computed once.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 from vireo import schemas
 from vireo.functions.dictionaries import OTHER_PLACE, UNKNOWN_INDUSTRY
 from vireo.functions.text import default_if_blank, null_if_blank
+from vireo.operators.lineage import settled
 from vireo.operators.upsert import default_row, insert_ignore, upsert, with_numbers, with_surrogates
 from vireo.operators.windows import latest
 
@@ -30,8 +33,15 @@ def distinct_trimmed(rows: DataFrame, column: str, alias: str) -> DataFrame:
     return rows.select(null_if_blank(column).alias(alias)).where(F.col(alias).isNotNull()).distinct()
 
 
-def numbered(old: DataFrame, loaded: DataFrame, order: list[str]) -> DataFrame:
-    return with_surrogates(old, loaded, old.columns[0], order)
+def numbered(old: DataFrame, loaded: DataFrame, order: list[str], large: bool = False) -> DataFrame:
+    return settled(with_surrogates(old, loaded, old.columns[0], order, large).select(*old.columns), old.columns[0])
+
+
+def numbered_on(before: DataFrame, rows: DataFrame, out: str, order: list[str]) -> DataFrame:
+    """`rows` with those that have no `out` numbered on from the greatest of `before`."""
+    top = before.agg(F.coalesce(F.max(out), F.lit(0)).alias("__top"))
+    fresh = with_numbers(rows.where(F.col(out).isNull()).drop(out), "__n", order).crossJoin(F.broadcast(top))  # one row
+    return rows.where(F.col(out).isNotNull()).unionByName(fresh.withColumn(out, F.col("__top") + F.col("__n")).drop("__top", "__n"))
 
 
 def places(rows: DataFrame) -> DataFrame:
@@ -58,7 +68,7 @@ def dimensions(old: dict[str, DataFrame], rows: DataFrame) -> dict[str, DataFram
     other = table.sparkSession.createDataFrame([(OTHER_PLACE, OTHER_PLACE, True)], "tinh_thanh string, vung string, is_vn boolean")
     out["dim_diadiem"] = numbered(old["dim_diadiem"], insert_ignore(table, other, ["tinh_thanh"]), ["tinh_thanh"])
     merged = upsert(old["dim_congty"], companies(rows), ["ten_cong_ty"], {c: "coalesce" for c in ("canonical_key", "company_type", "quy_mo_min", "quy_mo_max")})
-    out["dim_congty"] = numbered(old["dim_congty"], merged, ["ten_cong_ty"])
+    out["dim_congty"] = numbered(old["dim_congty"], merged, ["ten_cong_ty"], large=True)
     return out
 
 
@@ -106,25 +116,21 @@ def requirements(rows: DataFrame) -> DataFrame:
 
 def load(old: dict[str, DataFrame], cleaned: DataFrame, now: str, mode: str = "all", run_id: str | None = None) -> dict[str, DataFrame]:
     """All tables after the load; with mode `all` the fact and the bridge begin afresh."""
-    rows = of_run(cleaned, mode, run_id)
+    rows = settled(of_run(cleaned, mode, run_id), "load-rows")
     out = dimensions(old, rows)
     spark = cleaned.sparkSession
     fact_before = spark.createDataFrame([], schemas.FACT) if mode == "all" else old["fact_jobpostings"]
     bridge_before = spark.createDataFrame([], schemas.BRIDGE) if mode == "all" else old["bridge_jobrequire"]
     rules = {c: "replace" for c in schemas.FACT.fieldNames() if c not in KEPT_IN_FACT}
-    fact = upsert(fact_before, fact_rows(rows, out, now), ["etl_id"], rules)
-    top = fact_before.agg(F.coalesce(F.max("posting_id"), F.lit(0)).alias("__top"))
-    fresh = with_numbers(fact.where("posting_id is null").drop("posting_id"), "posting_id", ["etl_id"]).crossJoin(F.broadcast(top)).withColumn("posting_id", F.col("posting_id") + F.col("__top"))  # one row
-    out["fact_jobpostings"] = schemas.conformed(fact.where("posting_id is not null").unionByName(fresh, allowMissingColumns=True), schemas.FACT)
+    fact = settled(upsert(fact_before, fact_rows(rows, out, now), ["etl_id"], rules), "fact-rows")
+    out["fact_jobpostings"] = settled(schemas.conformed(numbered_on(fact_before, fact, "posting_id", ["etl_id"]), schemas.FACT), "fact")
     wanted = requirements(rows)
     named = wanted.select("require_type", "require_value").distinct()
-    out["dim_require"] = numbered(old["dim_require"], insert_ignore(old["dim_require"], named, ["require_type", "require_value"]), ["require_type", "require_value"])
-    pairs = wanted.join(out["fact_jobpostings"].select("etl_id", F.col("posting_id").alias("fact_id")), "etl_id").join(out["dim_require"], ["require_type", "require_value"]).select("fact_id", "require_id").distinct()
-    table = insert_ignore(bridge_before, pairs, ["fact_id", "require_id"])
-    fresh = with_numbers(table.where("bridge_id is null").drop("bridge_id"), "bridge_id", ["fact_id", "require_id"])
-    last = bridge_before.agg(F.coalesce(F.max("bridge_id"), F.lit(0)).alias("__top"))
-    fresh = fresh.crossJoin(F.broadcast(last)).withColumn("bridge_id", F.col("bridge_id") + F.col("__top"))  # one row
-    out["bridge_jobrequire"] = schemas.conformed(table.where("bridge_id is not null").unionByName(fresh, allowMissingColumns=True), schemas.BRIDGE)
+    out["dim_require"] = numbered(old["dim_require"], insert_ignore(old["dim_require"], named, ["require_type", "require_value"]), ["require_type", "require_value"], large=True)
+    postings_of = out["fact_jobpostings"].select("etl_id", F.col("posting_id").alias("fact_id"))
+    pairs = wanted.join(postings_of, "etl_id").join(out["dim_require"], ["require_type", "require_value"]).select("fact_id", "require_id").distinct()
+    table = settled(insert_ignore(bridge_before, pairs, ["fact_id", "require_id"]), "bridge-rows")
+    out["bridge_jobrequire"] = schemas.conformed(numbered_on(bridge_before, table, "bridge_id", ["fact_id", "require_id"]), schemas.BRIDGE)
     return out
 
 

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from vireo import schemas
 from vireo.functions import dictionaries as d
 from vireo.functions import parsers as p
 from vireo.functions import text as t
-from vireo.operators import linkage, upsert, windows
-from vireo.plans import analytics, ingest, warehouse
+from vireo.operators import lineage, linkage, upsert, windows
+from vireo.plans import analytics, ingest, transform, warehouse
 from vireo.sources import tables as sources
 from vireo.streaming import incremental
 
@@ -72,9 +74,38 @@ def batch_semi(table):
     return events.join(events.where("event_type = 'purchase'").select("user_id"), "user_id", "left_semi").select("event_id")
 
 
-@query("""SELECT CAST(event_id AS BIGINT) AS event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events WHERE props IS NOT NULL""")
+@query("""SELECT 'https://j/' || p_partkey AS job_url, p_name AS job_title, p_brand AS company_title, CASE WHEN p_size % 2 = 0 THEN 'Hà Nội' ELSE '' END AS location, CAST(p_size AS VARCHAR) AS experience,
+CASE WHEN p_size % 3 = 0 THEN 'deal' WHEN p_size % 3 = 1 THEN (p_size * 100) || ' - ' || (p_size * 200) || ' USD' || CASE WHEN p_size % 2 = 0 THEN '/năm' ELSE '/tháng' END ELSE '' END AS compensation,
+'IT, A, B' AS job_category, 'Bank, Retail' AS company_industry, 'Do ' || p_type AS job_description, 'Need' || chr(10) || 'Skills: ' || p_brand AS job_requirement FROM part""")
 def api_json_flatten(table):
-    return table("events").where("props is not null").select("event_id", F.from_json("props", "k long")["k"].alias("k"))
+    named = lambda field, *values: F.array(*[F.struct(F.lit(v).alias(field)) for v in values])
+    pay = F.when(c("p_size") % 3 == 1, c("p_size"))
+    body = F.to_json(F.struct(
+        F.concat(F.lit("https://j/"), "p_partkey").alias("jobUrl"), c("p_name").alias("jobTitle"), c("p_brand").alias("companyName"), F.when(c("p_size") % 2 == 0, named("cityNameVI", "Hà Nội", "Huế")).alias("workingLocations"), c("p_size").alias("yearsOfExperience"),
+        F.when(c("p_size") % 3 == 0, "deal").alias("prettySalary"), (pay * 100).alias("salaryMin"), (pay * 200).alias("salaryMax"), F.lit("USD").alias("salaryCurrency"), F.when(c("p_size") % 2 == 0, 2).otherwise(1).alias("salaryPeriodId"),
+        named("industryV3NameVI", "Bank", " ", "Retail").alias("industriesV3"), F.struct(F.lit("IT").alias("parentNameVI"), named("nameVI", "A", "B").alias("children")).alias("jobFunction"),
+        F.concat(F.lit("<p>Do <b>"), "p_type", F.lit("</b></p>")).alias("jobDescription"), F.lit("Need").alias("jobRequirement"), F.array(F.struct(c("p_brand").alias("skillName"))).alias("skills")))
+    return sources.api_postings(table("part").select(body.alias("body"))).select("job_url", "job_title", "company_title", "location", "experience", "compensation", "job_category", "company_industry", "job_description", "job_requirement")
+
+
+@query("SELECT o_orderkey AS id FROM orders WHERE o_orderkey % 3 = 0 AND CAST(o_orderdate AS DATE) = DATE '1995-01-10' UNION ALL SELECT -o_orderkey FROM orders WHERE o_orderkey % 3 = 0")
+def staged_scan(table):
+    orders = lineage.settled(table("orders").select("o_orderkey", c("o_orderdate").alias("scraped_at"), (c("o_orderkey") % 3 == 0).alias("ai_processed")), "staged")
+    path = orders.inputFiles()[0].rsplit("/", 1)[0]
+    return sources.staged(orders.sparkSession, path, "1995-01-10").select(c("o_orderkey").alias("id")).unionByName(sources.staged(orders.sparkSession, path).select((-c("o_orderkey")).alias("id")))
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey % 3 <> 2")
+def url_category_filter(table):
+    part = F.when(c("o_orderkey") % 3 == 0, "it-phan-mem").when(c("o_orderkey") % 3 == 1, "it-phan-cung-mang").otherwise("ke-toan")
+    return sources.in_categories(table("orders").withColumn("url", F.concat(F.lit("https://x/"), part, F.lit("/"), "o_orderkey", F.lit(".html?from=/it-phan-mem/"))), "url").select("o_orderkey")
+
+
+@query("SELECT page_id, NULL::VARCHAR AS none, 'Title ' || page_id || chr(10) || 'Why us' || chr(10) || repeat('word ', 12) || 'end ' || page_id AS block FROM pages")
+def heading_block_climb(table):
+    page = F.concat(F.lit("<h2>Why us</h2><section>Title "), "page_id", F.lit("<div><h3>Why us</h3></div><p>"), F.repeat(F.lit("word "), 12), F.lit("end "), "page_id", F.lit("</p></section>"))
+    pages = table("pages").select("page_id", page.alias("html"))
+    return sources.heading_blocks(pages, "WHY US").join(sources.heading_blocks(pages, "not there").withColumnRenamed("block", "none"), "page_id")
 
 
 @query(r"""SELECT page_id, regexp_replace(url, '[?#].*$', '') AS plain_url,
@@ -181,9 +212,9 @@ def dim_surrogates(table):
     return upsert.with_surrogates(old, upsert.insert_ignore(old, brands, ["p_brand"]), "brand_id", ["p_brand"])
 
 
-@query("""SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS n FROM orders""")
+@query("""SELECT o_orderkey, o_orderpriority, o_custkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS n FROM orders""")
 def numbered_at_scale(table):
-    return upsert.with_numbers(table("orders").select("o_orderkey", "o_orderdate"), "n", ["o_orderdate", "o_orderkey"]).select("o_orderkey", c("n").cast("long").alias("n"))
+    return upsert.with_numbers(table("orders"), "n", ["o_orderdate", "o_orderkey"]).select("o_orderkey", "o_orderpriority", "o_custkey", "n")
 
 
 @query("""SELECT o_orderkey, o_orderkey % 10 = 0 AS is_duplicate, CASE WHEN o_orderkey % 10 = 0 THEN o_custkey END AS duplicate_of_id, CASE WHEN o_orderkey % 10 = 0 THEN 'exact' END AS dedup_method FROM orders""")
@@ -512,6 +543,132 @@ def education_guard(table):
     return table("part").select("p_partkey", p.education_evidence(F.lit("Bachelor"), F.when(c("p_size") % 2 == 0, "college degree"), F.lit("")).alias("education"))
 
 
+@query(f"""SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN {_D} WHEN 1 THEN DATE '2024-03-01' ELSE DATE '2024-02-28' END AS posted, CASE o_orderkey % 5 WHEN 0 THEN {_D} WHEN 1 THEN DATE '2024-05-04' WHEN 2 THEN DATE '2024-06-05' END AS deadline FROM orders""")
+def posted_and_deadline(table):
+    day = F.date_format("o_orderdate", "dd/MM/yyyy")
+    posted = F.when(c("o_orderkey") % 3 == 0, day).when(c("o_orderkey") % 3 == 2, "2 ngày trước")
+    text = F.when(c("o_orderkey") % 5 == 1, "Hạn nộp: 04/05/2024").when(c("o_orderkey") % 5 == 2, "Please apply before 5-6-2024.").when(c("o_orderkey") % 5 == 3, "deadline: soon")
+    made = p.dates(posted, F.when(c("o_orderkey") % 5 == 0, day), F.lit("2024-03-01 09:00:00"), text)
+    return table("orders").select("o_orderkey", made["job_posted_at_clean"].alias("posted"), made["job_deadline_clean"].alias("deadline"))
+
+
+@query("""SELECT event_id, strftime(CASE event_id % 3 WHEN 0 THEN DATE '2024-03-01' - CAST(user_id % 9 AS INTEGER) WHEN 1 THEN DATE '2024-03-01' - CAST(365 * (user_id % 3) AS INTEGER) ELSE DATE '2024-03-01' END, '%Y-%m-%d') AS posted FROM events""")
+def english_posted(table):
+    text = F.when(c("event_id") % 3 == 0, F.concat((c("user_id") % 9).cast("string"), F.lit(" days ago"))).when(c("event_id") % 3 == 1, F.concat((c("user_id") % 3).cast("string"), F.lit(" years ago"))).otherwise("Just now")
+    return table("events").select("event_id", p.iso_posted(text, F.lit("2024-03-01T12:00:00")).alias("posted"))
+
+
+@query("SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN CAST(p_size AS VARCHAR) WHEN p_size % 3 = 1 THEN '12' END AS years, CASE p_size % 4 WHEN 0 THEN 'Senior' WHEN 1 THEN 'Junior' WHEN 2 THEN 'Intern' END AS level FROM part")
+def source_years_and_level(table):
+    text = F.when(c("p_size") % 3 == 0, F.concat(F.lit("Needs "), "p_size", F.lit("+ Years of experience, 3 years experience"))).when(c("p_size") % 3 == 1, "12 year experience").otherwise("experience of years")
+    title = F.when(c("p_size") % 4 == 0, "Lead to SENIOR dev").when(c("p_size") % 4 == 1, "junior/senior").when(c("p_size") % 4 == 2, "internal tools").otherwise("clerk")
+    return table("part").select("p_partkey", p.years_at_source(text).alias("years"), p.level_in_title(title).alias("level"))
+
+
+# The transform and the load ------------------------------------------------------------------
+
+_CASE = "p_partkey % 8"
+_LEVEL_OF = "CASE WHEN p_size < 1.5 THEN 'Fresher' WHEN p_size < 3 THEN 'Junior' WHEN p_size < 5 THEN 'Middle' WHEN p_size < 8 THEN 'Senior' WHEN p_size < 12 THEN 'Lead' ELSE 'Manager+' END"
+
+
+def _staging(table):
+    """A staging row a part: two places, no place and company, an unreadable place list, a blank title, a foreign wage."""
+    k, size = c("p_partkey") % 8, c("p_size").cast("string")
+    of = lambda engineer, react: F.when(k == 7, react).otherwise(engineer)
+    rows = table("part").select(
+        c("p_partkey").cast("long").alias("id"), F.concat(F.lit("https://j/"), "p_partkey").alias("job_url"), of(F.lit("TopCV "), F.lit("vietnamwork")).alias("website"), F.when(k == 6, " ").otherwise(of(F.lit("Senior Data Engineer"), F.lit("React programmer"))).alias("job_title"),
+        F.when(k == 1, "").otherwise(F.concat(F.lit("CTCP "), F.translate("p_brand", "#", " "))).alias("company_title"), F.when(k == 1, "").when(k == 2, "a,b,c,d,e,f,g,h,i,j").otherwise(of(F.lit("Hà Nội, TP.HCM"), F.lit("Hanoi city, Viet Nam"))).alias("location"),
+        F.concat(size, F.lit(" năm")).alias("experience"), of(F.concat(size, F.lit(" - "), (c("p_size") + 5).cast("string"), F.lit(" triệu")), F.concat(F.lit("$"), (c("p_size") + 1000).cast("string"))).alias("compensation"),
+        of(F.lit("python, sql. Deadline: 01/03/2026"), F.lit(None)).alias("job_description"), of(F.lit("ielts"), F.lit(None)).alias("job_requirement"), of(F.lit("05/02/2026"), F.lit("3 ngày trước")).alias("job_posted_at"), F.lit("2026-02-10T08:00:00").alias("scraped_at"), F.lit(True).alias("is_valid"))
+    return schemas.conformed(rows, schemas.STAGING)
+
+
+_TRANSFORMED = f"""WITH x AS (SELECT *, {_CASE} AS k FROM part WHERE {_CASE} NOT IN (2, 6)), t AS (SELECT p_partkey AS src_id, 'https://j/' || p_partkey AS job_url, CASE k WHEN 7 THEN 'vietnamwork' ELSE 'topcv' END AS website_clean,
+unnest(CASE k WHEN 1 THEN ['Khác'] WHEN 7 THEN ['TP. Hà Nội'] ELSE ['TP. Hà Nội', 'TP. Hồ Chí Minh'] END) AS location_province, CASE k WHEN 7 THEN 'Front-end Developer' ELSE 'Data Engineer' END AS job_title_detect, CASE k WHEN 7 THEN 'Software Development' ELSE 'Data Analytics' END AS job_category_clean,
+CASE k WHEN 1 THEN 'Unknown' ELSE 'CÔNG TY CỔ PHẦN ' || upper(replace(p_brand, '#', ' ')) END AS company_title_clean, CASE k WHEN 1 THEN 'Unknown' ELSE 'Cổ phần' END AS company_type, CASE k WHEN 1 THEN NULL ELSE 'cong ty ' || lower(replace(p_brand, '#', ' ')) END AS company_canonical_key,
+CAST(CASE k WHEN 7 THEN p_size + 1000 ELSE p_size * 1000000 END AS DOUBLE) AS salary_min, CAST(CASE k WHEN 7 THEN p_size + 1000 ELSE p_size * 1000000 + 5000000 END AS DOUBLE) AS salary_max, CASE k WHEN 7 THEN 'USD' ELSE 'VND' END AS salary_currency, CAST(p_size AS DOUBLE) AS exp_min_yr,
+CASE k WHEN 7 THEN {_LEVEL_OF} ELSE 'Senior' END AS level_clean, CASE k WHEN 7 THEN NULL ELSE 'Python, SQL' END AS hard_skills, CASE k WHEN 7 THEN NULL ELSE 'ielts' END AS certifications, CASE k WHEN 7 THEN NULL ELSE 'Tiếng Anh' END AS languages,
+CASE k WHEN 7 THEN DATE '2026-02-07' ELSE DATE '2026-02-05' END AS job_posted_at_clean, CASE k WHEN 7 THEN NULL ELSE DATE '2026-03-01' END AS job_deadline_clean FROM x) """
+
+
+@query(_TRANSFORMED + "SELECT * FROM t")
+def etl_transform(table):
+    cleaned, _ = transform.transformed(_staging(table), 7)
+    return cleaned.select("src_id", "job_url", "website_clean", "location_province", "job_title_detect", "job_category_clean", "company_title_clean", "company_type", "company_canonical_key", "salary_min", "salary_max", "salary_currency", "exp_min_yr", "level_clean", "hard_skills", "certifications", "languages", "job_posted_at_clean", "job_deadline_clean")
+
+
+@query(f"SELECT p_partkey AS src_id, CASE {_CASE} WHEN 2 THEN 'location' ELSE 'job_title' END AS field_name, CASE {_CASE} WHEN 2 THEN 'TOO_MANY_LOCATIONS' ELSE 'MISSING_TITLE' END AS error_type FROM part WHERE {_CASE} IN (2, 6)")
+def etl_errors(table):
+    return transform.transformed(_staging(table), 7)[1].select("src_id", "field_name", "error_type")
+
+
+@query(_TRANSFORMED + """SELECT job_url, location_province AS tinh_thanh, company_title_clean AS ten_cong_ty, 'Không xác định' AS cap_do_1, level_clean AS ten_cap_bac, 'Full-time' AS job_type, website_clean AS ten_nguon, job_category_clean AS ten_danh_muc, job_title_detect,
+CAST(round((salary_min + salary_max) / 2) AS DECIMAL(18,0)) AS salary_avg, job_posted_at_clean AS ngay_dang, CAST(1 AS DECIMAL(18,0)) AS so_luong_tuyen, count(*) OVER () AS postings, count(*) OVER () AS last_id,
+CAST(CASE WHEN hard_skills IS NULL THEN 0 ELSE 4 END AS BIGINT) AS requirements FROM t""")
+def etl_to_star(table):
+    """The nightly run: transform, load, and the postings with the names of all their dimensions."""
+    cleaned = lineage.settled(transform.transformed(_staging(table), 7)[0], "cleaned")
+    tables = warehouse.load(warehouse.empty(cleaned.sparkSession), cleaned, "2026-02-11")
+    asked = tables["bridge_jobrequire"].groupBy(c("fact_id").alias("posting_id")).agg(F.count("*").alias("requirements"))
+    whole = tables["fact_jobpostings"].agg(F.countDistinct("posting_id").alias("postings"), F.max("posting_id").alias("last_id"))
+    named = warehouse.postings(tables).join(asked, "posting_id", "left").crossJoin(F.broadcast(whole))  # one row
+    return named.select("job_url", "tinh_thanh", "ten_cong_ty", "cap_do_1", "ten_cap_bac", "job_type", "ten_nguon", "ten_danh_muc", "job_title_detect", "salary_avg", "ngay_dang", "so_luong_tuyen", "postings", "last_id", F.coalesce("requirements", F.lit(0)).cast("long").alias("requirements"))
+
+
+def _cleaned(table):
+    """Cleaned rows, two a part, with hashed ids."""
+    rows = table("part").select("*", F.explode(F.array(F.lit("TP. Hà Nội"), F.lit("Huế"))).alias("place"))
+    rows = rows.select(
+        F.xxhash64("p_partkey", "place").alias("etl_id"), F.concat(F.lit("https://j/"), "p_partkey").alias("job_url"), F.when(c("p_size") % 5 != 0, c("place")).alias("location_province"), F.lit("Bắc").alias("location_region"), F.lit(True).alias("is_vn"),
+        c("p_brand").alias("company_title_clean"), F.when(c("p_size") % 2 == 0, c("p_type")).alias("company_canonical_key"), F.when(c("p_size") % 3 != 0, c("p_type")).alias("industry_level1"), F.when(c("p_size") % 3 == 1, c("p_brand")).alias("industry_level2"),
+        F.lit("Senior").alias("level_clean"), F.lit(" ").alias("job_type_clean"), F.lit("Remote").alias("work_mode_clean"), F.lit("topcv").alias("website_clean"), F.lit("Data").alias("job_category_clean"), F.replace("p_name", F.lit(" "), F.lit(", ")).alias("hard_skills"), c("p_brand").alias("major"),
+        c("p_size").cast("double").alias("salary_min"), F.lit(False).alias("is_negotiable"), F.lit(True).alias("is_valid"), F.lit(7).alias("etl_run_id"), F.lit("2026-02-10").alias("scraped_at"), (c("p_size") % 4 == 0).alias("is_duplicate"), F.when(c("p_size") % 4 == 0, F.xxhash64("p_partkey")).alias("duplicate_of_id"))
+    return schemas.conformed(rows, schemas.CLEANED)
+
+
+def _star_of(table, loads: int = 1):
+    rows = _cleaned(table)
+    tables = warehouse.empty(rows.sparkSession)
+    for i in range(loads):
+        # The second load is of one run, onto what the first has made.
+        tables = warehouse.load(tables, rows, f"2026-02-1{i}", "all" if not i else "today", "7")
+    return tables
+
+
+@query("""SELECT 'https://j/' || p_partkey AS job_url, CASE WHEN p_size % 5 <> 0 THEN place ELSE 'Khác' END AS tinh_thanh, p_brand AS ten_cong_ty, CASE WHEN p_size % 3 <> 0 THEN p_type ELSE 'Không xác định' END AS cap_do_1,
+CASE WHEN p_size % 3 = 1 THEN p_brand WHEN p_size % 3 = 0 THEN 'Không xác định' END AS cap_do_2, CAST(p_size AS DECIMAL(18,0)) AS salary_avg, p_size % 4 = 0 AS is_duplicate, p_size % 4 = 0 AS linked FROM part, (SELECT unnest(['TP. Hà Nội', 'Huế']) AS place)""")
+def load_fact(table):
+    return warehouse.postings(_star_of(table)).select("job_url", "tinh_thanh", "ten_cong_ty", "cap_do_1", "cap_do_2", "salary_avg", "is_duplicate", (c("duplicate_of_id") == F.xxhash64(F.replace("job_url", F.lit("https://j/"), F.lit("")).cast("long"))).alias("linked_right")).select("job_url", "tinh_thanh", "ten_cong_ty", "cap_do_1", "cap_do_2", "salary_avg", "is_duplicate", F.coalesce("linked_right", F.lit(False)).alias("linked"))
+
+
+@query("""SELECT DISTINCT 'https://j/' || p_partkey AS job_url, v.t AS require_type, trim(v.w, ' ') AS require_value, CAST(2 AS BIGINT) AS postings FROM part, LATERAL (SELECT 'hard_skill' AS t, unnest(string_split(p_name, ' ')) AS w UNION ALL SELECT 'major', p_brand) v WHERE trim(v.w, ' ') <> ''""")
+def load_bridge(table):
+    tables = _star_of(table)
+    both = tables["bridge_jobrequire"].join(tables["fact_jobpostings"].select(c("posting_id").alias("fact_id"), "job_url"), "fact_id").join(tables["dim_require"], "require_id")
+    return both.groupBy("job_url", "require_type", "require_value").agg(F.count("*").alias("postings"))
+
+
+@query("""SELECT 'dim_congty' AS name, p_brand AS a, max(CASE WHEN p_size % 2 = 0 THEN p_type END) AS b FROM part GROUP BY p_brand UNION ALL SELECT DISTINCT 'dim_nganh', p_type, CASE WHEN p_size % 3 = 1 THEN p_brand END FROM part WHERE p_size % 3 <> 0 UNION ALL SELECT 'dim_nganh', 'Không xác định', 'Không xác định'
+UNION ALL SELECT DISTINCT 'dim_diadiem', place, 'Bắc' FROM part, (SELECT unnest(['TP. Hà Nội', 'Huế']) AS place) WHERE p_size % 5 <> 0 UNION ALL SELECT 'dim_diadiem', 'Khác', 'Khác' UNION ALL SELECT 'dim_capbac', 'Senior', NULL UNION ALL SELECT 'dim_hinhthuc', 'Full-time', 'Remote'
+UNION ALL SELECT 'dim_nguon', 'topcv', NULL UNION ALL SELECT 'dim_danhmuccongviec', 'Data', NULL""")
+def load_dimensions(table):
+    tables = _star_of(table)
+    shown = {"dim_congty": ("ten_cong_ty", "canonical_key"), "dim_nganh": ("cap_do_1", "cap_do_2"), "dim_diadiem": ("tinh_thanh", "vung"), "dim_capbac": ("ten_cap_bac",), "dim_hinhthuc": ("job_type", "work_mode"), "dim_nguon": ("ten_nguon",), "dim_danhmuccongviec": ("ten_danh_muc",)}
+    rows = [tables[n].select(F.lit(n).alias("name"), c(x[0]).alias("a"), (c(x[1]) if len(x) > 1 else F.lit(None).cast("string")).alias("b")) for n, x in shown.items()]
+    return functools.reduce(DataFrame.unionByName, rows)
+
+
+@query("""WITH p AS (SELECT 2 * count(*) AS n FROM part), w AS (SELECT DISTINCT p_partkey, t, trim(w, ' ') AS w FROM part, LATERAL (SELECT 'hard_skill' AS t, unnest(string_split(p_name, ' ')) AS w UNION ALL SELECT 'major', p_brand) v WHERE trim(w, ' ') <> '')
+SELECT 'fact_jobpostings' AS name, n AS rows, n AS ids, CAST(1 AS BIGINT) AS first_id, n AS last_id FROM p UNION ALL SELECT 'bridge_jobrequire', 2 * count(*), 2 * count(*), 1, 2 * count(*) FROM w
+UNION ALL SELECT 'dim_require', count(*), count(*), 1, count(*) FROM (SELECT DISTINCT t, w FROM w) UNION ALL SELECT 'dim_congty', count(DISTINCT p_brand), count(DISTINCT p_brand), 1, count(DISTINCT p_brand) FROM part""")
+def load_twice_numbers(table):
+    """Ids of the tables that grow are distinct and without gaps, also after a second load."""
+    tables = _star_of(table, 2)
+    ids = {"fact_jobpostings": "posting_id", "bridge_jobrequire": "bridge_id", "dim_require": "require_id", "dim_congty": "cong_ty_id"}
+    rows = [tables[n].agg(F.lit(n).alias("name"), F.count("*").alias("rows"), F.countDistinct(k).alias("ids"), F.min(k).alias("first_id"), F.max(k).alias("last_id")) for n, k in ids.items()]
+    return functools.reduce(DataFrame.unionByName, rows)
+
+
 # Market questions ----------------------------------------------------------------------------
 
 _STAR = "orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey"

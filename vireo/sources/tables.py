@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+from html.parser import HTMLParser
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vireo.functions.text import one_space, stripped, without_tags
+from vireo.functions.dictionaries import URL_CATEGORIES
+from vireo.functions.text import one_space, stripped, url_without_query, without_tags
 
 #: Columns a posting needs filled before its description is taken as structured.
 WORK_FIELDS = ("job_title", "experience", "level", "education_level", "job_type", "work_mode", "company_industry", "job_requirement")
@@ -44,6 +49,12 @@ def unseen(df: DataFrame, known: DataFrame, key: str = "job_url") -> DataFrame:
     return df.join(known.select(key).distinct(), key, "left_anti")
 
 
+def in_categories(df: DataFrame, column: str, parts: tuple[str, ...] = URL_CATEGORIES) -> DataFrame:
+    """Rows whose URL (without its query) holds one of the parts."""
+    url = url_without_query(F.col(column))
+    return df.where(reduce(lambda a, b: a | b, [url.contains(p) for p in parts]))
+
+
 def api_postings(replies: DataFrame, column: str = "body") -> DataFrame:
     """Postings from JSON records of the job API; a record that cannot be read has null fields."""
     r = replies.select(F.from_json(column, API_RECORD).alias("r")).select("r.*")
@@ -66,6 +77,72 @@ def page_fields(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "url", title.alias("title"), heading.alias("heading"), F.when((F.length(block) > BLOCK[0]) & (F.length(block) < BLOCK[1]), block).alias("block"))
 
 
+class Outline(HTMLParser):
+    """The text pieces of a page, of each div and section the pieces it spans, and the h2 and h3 headings."""
+
+    FRAMES, HEADINGS = ("div", "section"), ("h2", "h3")
+
+    def __init__(self, page: str):
+        super().__init__(convert_charrefs=True)
+        self.pieces: list[str] = []
+        self.spans: dict[int, list[int]] = {}
+        self.headings: list[tuple[int, int, list[int]]] = []
+        self._open: list[tuple[str, int]] = []
+        self.feed(page)
+        self.close()
+        while self._open:
+            self._end()
+
+    def _end(self) -> None:
+        tag, at = self._open.pop()
+        if tag in self.FRAMES:
+            self.spans[at][1] = len(self.pieces)
+        else:
+            self.headings.append((at, len(self.pieces), [a for t, a in self._open if t in self.FRAMES]))
+
+    def handle_starttag(self, tag, attrs) -> None:
+        if tag in self.FRAMES:
+            at = len(self.spans)
+            self.spans[at] = [len(self.pieces), -1]
+            self._open.append((tag, at))
+        elif tag in self.HEADINGS:
+            self._open.append((tag, len(self.pieces)))
+
+    def handle_endtag(self, tag) -> None:
+        if any(t == tag for t, _ in self._open):
+            while self._open[-1][0] != tag:
+                self._end()
+            self._end()
+
+    def handle_data(self, data) -> None:
+        if data.strip():
+            self.pieces.append(data.strip())
+
+
+def block_under(page: str | None, sought: str) -> str | None:
+    """The text of the nearest div or section around the first h2 or h3 that holds `sought`
+    (in any case), outwards until one is within BLOCK; headings without one are passed over."""
+    found = Outline(page or "")
+    for start, end, around in sorted(found.headings):
+        if sought.lower() in "".join(found.pieces[start:end]).lower():
+            for frame in reversed(around):
+                text = "\n".join(found.pieces[slice(*found.spans[frame])])
+                if BLOCK[0] < len(text) < BLOCK[1]:
+                    return text
+    return None
+
+
+def heading_blocks(pages: DataFrame, sought: str) -> DataFrame:
+    """page_id and block, the text around the heading that holds `sought` (null: none)."""
+    def read(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([block_under(h, sought) for h in batch.column(1).to_pylist()], pa.string())], names=["page_id", "block"])
+
+    return pages.selectExpr("cast(page_id as long) page_id", "cast(html as string) html").mapInArrow(read, "page_id long, block string")
+
+
 def detail_else_card(details: DataFrame, cards: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """Detail pages' values, and where blank those of the list's card (or the company's page)."""
     named = cards.select(key, *[F.col(c).alias(f"__{c}") for c in columns])
