@@ -5,10 +5,10 @@ elements from the root. Text length (without links) and punctuation are summed
 by path and divided by the path's blocks; both ratios are smoothed over the
 blocks in page order and fused into one score a path, with what article
 elements hold as a further term; paths above a share of the page's greatest
-score are content. Headings, list items and short paragraphs join the content
-that they stand with. What a path's elements say of themselves (navigation,
-advert, form, reader comment ...) rules it out, but only lowers its score where
-it holds most of the page's text.
+score are content. Headings, captions, list items and short paragraphs join the
+content that they stand with. What a path's elements say of themselves
+(navigation, advert, form, reader comment ...) lowers its score, less where it
+holds most of the page's text; the score alone decides.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|title|select|svg|iframe|object)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S | re.I)
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)(?:>|\Z)|<[!?/][^>]*>", re.S | re.I)
 ATTRIBUTE = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -31,19 +31,25 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 #: An open element of these bounds what an implied end closes.
 BOUNDS = frozenset("article aside body blockquote div dl footer form header html li main nav ol section table td ul".split())
 #: Elements of text: what they stand in is their container, by which short ones are judged.
-TEXTUAL = frozenset("blockquote dd dl dt h1 h2 h3 h4 h5 h6 header hgroup li ol p pre ul".split())
+TEXTUAL = frozenset("blockquote dd dl dt figcaption figure h1 h2 h3 h4 h5 h6 header hgroup li ol p pre ul".split())
 LISTS = frozenset("dl ol table ul".split())
 ITEMS = frozenset("dd dt li td th".split())
-#: Elements that are never content, and those that may yet hold most of a page.
-NEVER = frozenset("head nav menu dialog button figure audio video canvas".split())
+#: Elements that are hardly ever content, and those that may yet hold most of a page.
+SELDOM = frozenset("head nav menu dialog button".split())
 MARKED = frozenset("header footer aside form".split())
+#: Short blocks of these join content in their container.
+JOINING = frozenset("p blockquote pre figcaption".split())
 ARTICLE = frozenset(("article", "main"))
 #: Words of class, id or role that mark an element; `has-sidebar` and `entry-header` say other things.
 OTHER = re.compile(
-    r"(?:^|[\s_-])(?<!has[_-])(?<!with[_-])(?<!no[_-])(?:ads?|adverts?|advertisement|banner|breadcrumbs?|comments?|consent|cookies?|disqus|footer|(?<!entry[_-])(?<!post[_-])(?<!article[_-])(?<!story[_-])(?<!content[_-])header|masthead|menu|nav|navbar|navigation|newsletter|notices?|pagination|popup|promo|related|replies|reply|respond|share|sharing|sidebar|social|sponsor(?:ed)?|subscribe|toolbar|widget)(?:$|[\s_-])", re.I)
+    r"(?:^|[\s_-])(?<!has[_-])(?<!with[_-])(?<!no[_-])(?:ads?|adverts?|advertisement|banner|breadcrumbs?|comments?|consent|cookies?|disqus|footer|(?<!entry[_-])(?<!post[_-])(?<!article[_-])(?<!story[_-])(?<!content[_-])header|masthead|menu|nav|navbar|navigation|newsletter|notices?|pagination|popup|promo|replies|reply|respond|share|sharing|sidebar|social|sponsor(?:ed)?|subscribe|toolbar|widget)(?:$|[\s_-])", re.I)
+#: Words of class, id or role that may name other pages' teasers or a part of the article.
+MILD = re.compile(r"(?:^|[\s_-])related(?:$|[\s_-])", re.I)
 PUNCTUATION = re.compile(r"[.,;:!?…。、，；：！？]")
 #: Neighbours on either side that smooth a block's ratios, and the share of the best score that content needs.
 REACH, NEEDED = 2, 0.15
+#: What being marked makes of a score.
+FAINT, MILDER = 0.02, 0.3
 #: A marked element that holds r times the text of the rest of the page (r > 1) weighs this times r squared, at most 1.
 MARKED_WEIGHT = 0.002
 #: What an article element that holds all text adds to the score of its paths.
@@ -51,10 +57,9 @@ ARTICLE_GAIN = 3
 
 
 class Path(NamedTuple):
-    """The elements of one label under one parent path."""
+    """The elements of one label under one parent path; `mark` is what their names make of their score (1: nothing)."""
 
-    never: bool
-    marked: bool
+    mark: float
     inside: bool
     label: str
     parent: int
@@ -82,11 +87,13 @@ class Block(NamedTuple):
 
 def blocks(page: str) -> tuple[list[Block], list[Path], list[tuple[str, int, int]]]:
     """The blocks in page order, the paths, and of each element its tag and the blocks it spans."""
-    paths = [Path(False, False, False, "", 0)]
+    paths = [Path(1.0, False, "", 0)]
     root = Element("", 0, 0, 0, 0, 0)
     known: dict[tuple[int, str], int] = {}
     stack: list[Element] = []
-    open_count: dict[str, int] = {}
+    # Places in the stack of each open element by its tag, and of those that bound an implied end.
+    open_at: dict[str, list[int]] = {}
+    bounds: list[int] = []
     found: list[Block] = []
     spans: list[tuple[str, int, int]] = [("", 0, 0)]
     run: list[str] = []
@@ -106,7 +113,9 @@ def blocks(page: str) -> tuple[list[Block], list[Path], list[tuple[str, int, int
         nonlocal link_at
         while stack:
             top = stack.pop()
-            open_count[top.tag] -= 1
+            open_at[top.tag].pop()
+            if top.tag in BOUNDS:
+                bounds.pop()
             spans[top.serial] = (top.tag, spans[top.serial][1], len(found))
             if len(stack) < link_at:
                 link_at = -1
@@ -114,12 +123,9 @@ def blocks(page: str) -> tuple[list[Block], list[Path], list[tuple[str, int, int
                 return
 
     def implied(tags: set[str]) -> None:
-        for i in range(len(stack) - 1, max(-1, len(stack) - 50), -1):
-            if stack[i].tag in tags:
-                close(stack[i].tag)
-                return
-            if stack[i].tag in BOUNDS:
-                return
+        at = max((open_at[t][-1] for t in tags if open_at.get(t)), default=-1)
+        if at >= 0 and (not bounds or at >= bounds[-1]):
+            close(stack[at].tag)
 
     def add(text: str) -> None:
         nonlocal linked
@@ -142,11 +148,10 @@ def blocks(page: str) -> tuple[list[Block], list[Path], list[tuple[str, int, int
             continue
         flush()
         if m[2]:
-            if open_count.get(tag):
+            if open_at.get(tag):
                 close(tag)
         elif tag not in VOID:
-            if open_count.get("p"):
-                implied({"p"})
+            implied({"p"})
             if tag in CLOSES:
                 implied(CLOSES[tag])
             words = " ".join(x for a in ATTRIBUTE.findall(m[4]) for x in a if x) if m[4] else ""
@@ -154,17 +159,18 @@ def blocks(page: str) -> tuple[list[Block], list[Path], list[tuple[str, int, int
             label = f"{tag}.{words}"
             if (up.path, label) not in known:
                 above = paths[up.path]
-                page_frame = tag in ("html", "body")
-                header_of_article = tag == "header" and above.inside
-                marked = not page_frame and (tag in MARKED and not header_of_article or bool(OTHER.search(words)))
+                frame = tag in ("html", "body") or tag == "header" and above.inside
+                marked = not frame and (tag in MARKED or tag in SELDOM or OTHER.search(words))
                 known[up.path, label] = len(paths)
-                paths.append(Path(above.never or tag in NEVER, marked, above.inside or tag in ARTICLE, label, up.path))
+                paths.append(Path(FAINT if marked else MILDER if MILD.search(words) and not frame else 1.0, above.inside or tag in ARTICLE, label, up.path))
             if not m[4].rstrip().endswith("/"):
                 serial = len(spans)
                 spans.append((tag, len(found), -1))
                 stack.append(Element(
                     tag, known[up.path, label], serial, up.container if tag in TEXTUAL else serial, up.group or (serial if tag in LISTS else 0), up.article or (serial if tag in ARTICLE else 0)))
-                open_count[tag] = open_count.get(tag, 0) + 1
+                open_at.setdefault(tag, []).append(len(stack) - 1)
+                if tag in BOUNDS:
+                    bounds.append(len(stack) - 1)
     add(page[at:])
     flush()
     spans[0] = ("", 0, len(found))
@@ -172,20 +178,19 @@ def blocks(page: str) -> tuple[list[Block], list[Path], list[tuple[str, int, int
 
 
 def weights(found: list[Block], paths: list[Path]) -> list[float]:
-    """0 of paths that are ruled out, 1 of others, and between them under marked elements that hold most of the text."""
+    """What the marks of a path's elements make of its score: their product, each nearer to 1 the more of the page's text it holds."""
     held = [0] * len(paths)
     for b in found:
-        held[b.path] += 0 if paths[b.path].never else len(b.text)
+        held[b.path] += len(b.text) - b.linked
     for i in range(len(paths) - 1, 0, -1):
         held[paths[i].parent] += held[i]
     out = [1.0]
     for i, p in enumerate(paths[1:], 1):
         weight = out[p.parent]
-        if p.never:
-            weight = 0.0
-        elif p.marked and weight:
+        if p.mark < 1:
             rest = held[0] - held[i]
-            weight *= 0.0 if held[i] <= rest else min(1.0, MARKED_WEIGHT * (held[i] / rest) ** 2) if rest else 1.0
+            much = 0.0 if held[i] <= rest else MARKED_WEIGHT * (held[i] / rest) ** 2 if rest else 1.0
+            weight *= min(1.0, max(p.mark, much))
         out.append(weight)
     return out
 
@@ -233,7 +238,7 @@ def with_short(found: list[Block], fit: list[bool], core: list[bool], spans: lis
     before, last, sides = {}, -1, {}
     for i, b in enumerate(found):
         e = b.element
-        if fit[i] and not chosen[i] and 2 * b.linked < len(b.text) and (e.tag in ITEMS or e.tag in ("p", "blockquote", "pre")):
+        if fit[i] and not chosen[i] and 2 * b.linked < len(b.text) and (e.tag in ITEMS or e.tag in JOINING):
             if not e.group:
                 chosen[i] = e.container in direct
             else:
@@ -248,19 +253,14 @@ def with_short(found: list[Block], fit: list[bool], core: list[bool], spans: lis
     return chosen
 
 
-def main_text(page: str | None) -> str:
-    """The article's text; empty for null or empty pages and those without content."""
-    found, paths, spans = blocks(page or "")
-    if not found:
-        return ""
-    weight = weights(found, paths)
+def scores(found: list[Block], weight: list[float], fit: list[bool]) -> dict[int, float]:
+    """Of each path that has blocks, its fused score."""
     lengths: dict[int, list[int]] = {}
     for b in found:
         sums = lengths.setdefault(b.path, [0, 0, 0])
         sums[0] += len(b.text) - b.linked
         sums[1] += len(PUNCTUATION.findall(b.text))
         sums[2] += 1
-    fit = [weight[b.path] > 0 for b in found]
     by_length = smoothed([lengths[b.path][0] / lengths[b.path][2] if ok else 0.0 for b, ok in zip(found, fit, strict=True)])
     by_marks = smoothed([lengths[b.path][1] / lengths[b.path][2] if ok else 0.0 for b, ok in zip(found, fit, strict=True)])
     near: dict[int, float] = {}
@@ -268,9 +268,20 @@ def main_text(page: str | None) -> str:
         near[b.path] = near.get(b.path, 0.0) + x * (1 + y) / lengths[b.path][2]
     of_article = article_terms(found, fit)
     # A path's own ratios and its smoothed ones weigh the same.
-    best = {p: weight[p] * of_article[p] * (near[p] * n_chars / n * (1 + marks / n)) ** 0.5 for p, (n_chars, marks, n) in lengths.items()}
+    return {p: weight[p] * of_article[p] * (near[p] * n_chars / n * (1 + marks / n)) ** 0.5 for p, (n_chars, marks, n) in lengths.items()}
+
+
+def main_text(page: str | None) -> str:
+    """The article's text; empty for null or empty pages and those without content."""
+    found, paths, spans = blocks(page or "")
+    if not found:
+        return ""
+    weight = weights(found, paths)
+    # Blocks that faint marks leave out neither smooth their neighbours nor join them.
+    fit = [weight[b.path] > FAINT for b in found]
+    best = scores(found, weight, fit)
     least = NEEDED * max(best.values())
-    core = [ok and best[b.path] >= least and best[b.path] > 0 for b, ok in zip(found, fit, strict=True)]
+    core = [best[b.path] >= least and best[b.path] > 0 for b in found]
     return " ".join(b.text for b, ok in zip(found, with_short(found, fit, core, spans), strict=True) if ok)
 
 
