@@ -51,7 +51,8 @@ def mixed(docs: DataFrame) -> DataFrame:
     Rows equal in doc_id, source and text count once; rows of which nothing is
     taken, those without words among them, are not in the mix.
     """
-    keyed = docs.withColumn("__key", F.xxhash64("doc_id", "source", "text"))
+    # 128 bits, from two orders of the columns: no two of 10^15 different rows are likely to share them.
+    keyed = docs.withColumn("__key", F.concat_ws(":", F.xxhash64("doc_id", "source", "text"), F.xxhash64(F.lit(1), "text", "source", "doc_id")))
     rows = keyed.select(F.col("__key").alias("doc_id"), F.col("source").cast("string").alias("source"), mixing.words(F.col("text").cast("string")).alias("size"))
     rows = settle(rows, "sizes")
     once = rows.dropDuplicates(["doc_id"])
