@@ -116,8 +116,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, most: int =
     """Learn from labelled rows that are not held out.
 
     Of each class the `rows` first by hash of the id are taken, without null
-    or empty texts and those above `most` bytes; that bounds what reaches the
-    driver. The curve is moved to the classes' shares among all labelled rows
+    or empty texts and those above `most` bytes, of texts that share an id the
+    least; that bounds what reaches the driver. The curve is moved to the classes' shares among all labelled rows
     that may be learned from. Without texts of both classes every score is 0.5.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where("doc_id is not null and quality in (0, 1)")
@@ -125,8 +125,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, most: int =
     chosen = [known.where(F.col("quality") == q).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows) for q in (0, 1)]
     ids = chosen[0].union(chosen[1])
     short = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.octet_length("text").between(1, most))
-    # At most 2 * rows ids.
-    found = short.join(F.broadcast(ids), "doc_id").collect()
+    # At most 2 * rows ids, and one text of each.
+    found = short.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("quality").alias("quality")).collect()
     shares = {r["quality"]: r["count"] for r in known.groupBy("quality").count().collect()}
     seen: dict[int, list[bytes]] = {0: [], 1: []}
     for r in sorted(found, key=lambda r: (r.doc_id, r.text)):
