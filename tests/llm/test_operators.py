@@ -132,7 +132,8 @@ def test_superminhash_estimates():
 def test_personal_data(spark):
     samples = [
         "mail a.b@c.de_f@g.hi now", "1.2.3.4.5.6.7.8 256.1.1.1 001.002.003.004", "4539 1488 0343 6467 and 4539 1488 0343 6468", "+1 (555) 123-4567 x +12", "IBAN GB82 WEST 1234 5698 7654 32.",
-        "ssn 123-45-6789 or 123-45-6789 far " + "x" * 60, None, "", "é🙂 x@y.zz", "9" * 5000, "a" * 20000 + "@", "@".join(["a"] * 3000), "1.1.1.1," * 500]
+        "ssn 123-45-6789 or 123-45-6789 far " + "x" * 60, None, "", "é🙂 x@y.zz", "9" * 5000, "a" * 20000 + "@", "@".join(["a"] * 3000), "1.1.1.1," * 500,
+        "GB82 WEST 1234 5698 7654 32 AND MORE", "to DE89370400440532013000 BANK, NO9386011117947 OK", "GB82 WEST 1234 5698 7654 33 DE8937040044053201300 XX93 8601 1117 947"]
     df = spark.createDataFrame(list(enumerate(samples)), "doc_id long, text string").selectExpr("*", "0 as spans", "1 as score")
     got = {r.doc_id: r for r in pii.personal_data(df).collect()}
     luhn = lambda x: sum(int(c) if i % 2 == 0 else sum(divmod(int(c) * 2, 10)) for i, c in enumerate(reversed(x))) % 10 == 0
@@ -146,9 +147,10 @@ def test_personal_data(spark):
         spans = [s for s in got[i].spans.split(",") if s]
         assert [s for s in spans if s.split(":")[0] in pii.BASE] == want
         assert got[i].base_sha256 == __import__("hashlib").sha256(",".join(want).encode()).hexdigest()
-        assert got[i].n_ip == sum(w.startswith("ip") for w in want)
+        assert [got[i][f"n_{k}"] for k in pii.BASE] == [sum(w.startswith(k) for w in want) for k in pii.BASE]
     assert "iban:5:32" in got[4].spans
     assert got[5].spans == "national:4:15,national:19:30"
+    assert got[13].spans == "iban:0:27" and got[14].spans == "iban:3:25,iban:32:47" and got[15].spans == ""
     masked = {r.doc_id: r.text for r in pii.redacted(df).collect()}
     assert masked[0] == "mail [PII][PII] now" and masked[8] == "é🙂 [PII]" and masked[6] is None
     assert pii.redacted(df).columns == df.columns
@@ -182,6 +184,48 @@ def test_mixing(spark, texts):
     assert len(seen) == 640 and sorted(r["count"] for r in seen) == [1] * 320 + [2] * 320
 
 
+def test_permutations_are_bijections(spark):
+    sizes = [*range(1, 40), 63, 64, 65, 1000, 4097]
+    plan = spark.createDataFrame([(f"s{n}", n * 8, 1.0, 16.0 * n) for n in sizes], "source string, source_size long, weight double, target double")
+    got = mixing.slots(plan, block=8, shard_slots=100).collect()
+    of = {}
+    for r in got:
+        of.setdefault(r.source, {})[r.slot] = (r.block, r.shard)
+    for n in sizes:
+        mine = of[f"s{n}"]
+        assert sorted(mine) == list(range(2 * n))
+        for half in (0, 1):
+            assert sorted(mine[half * n + i][0] for i in range(n)) == list(range(n))
+    big = [of["s4097"][i][0] for i in range(2 * 4097)]
+    steps = np.diff(big[:4097]) % 4097
+    assert np.unique(steps).size > 2000 and np.mean(np.asarray(big[:4097]) == np.asarray(big[4097:])) < 0.01
+
+
+def test_shards_have_multinomial_counts(spark):
+    plan = spark.createDataFrame([("a", 64_000, 1.0, 96_000.0), ("b", 32_000, 1.0, 16_000.0)], "source string, source_size long, weight double, target double")
+    used = mixing.slots(plan, block=8, shard_slots=1500)
+    counts = {(r.source, r.shard): r.slots for r in mixing.shard_counts(used).collect()}
+    shards = {k for _, k in counts}
+    assert len(shards) == -(-14_000 // 1500)
+    for source, all_slots in (("a", 12_000), ("b", 2_000)):
+        mine = np.asarray([counts[source, k] for k in sorted(shards)])
+        expected = all_slots / len(shards)
+        assert mine.sum() == all_slots and 1 < ((mine - expected) ** 2 / expected).sum() < 3 * len(shards)
+
+
+def test_mixing_of_one_key(spark):
+    """Null and repeated ids and rows alike, over several groups a source."""
+    rows = [(None, "s", "w " * (i % 90)) for i in range(200)] + [(5, "s", "a b c d e f g")] * 50 + [(6, None, "x y")] * 9
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = mixing.mixed_documents(df, block=16, group_rows=4, shard_slots=8).collect()
+    assert sorted((r.doc_id or 0, r["size"]) for r in got) == sorted((d or 0, len(t.split())) for d, _, t in rows)
+    whole = sum(len(t.split()) for _, s, t in rows if s)
+    assert abs(sum(r.taken for r in got if r.source_size == whole) - got[0].target) < 40 and all(r.taken <= 2 * r["size"] for r in got)
+    assert all((r.taken > 0) == (r.n_shards > 0) and (r.first_shard is not None) == (r.n_shards > 0) for r in got) and len({r.first_shard for r in got}) > 20
+    again = mixing.mixed_documents(df.repartition(7), block=16, group_rows=4, shard_slots=8).collect()
+    assert sorted(map(repr, again)) == sorted(map(repr, got))
+
+
 def test_mixed_stage_takes_the_same_words(texts):
     df, out = texts
     stage = stages.mixed(df)
@@ -205,6 +249,45 @@ def test_pages(spark):
     assert all(r.n_chars == len(r.text) for r in got.values())
 
 
+def test_path_scores_equal_the_formula():
+    """Scores recomputed from the definition: sums a path, ratios, smoothing in page order, fusion."""
+    rng = random.Random(8)
+    for _ in range(30):
+        page = "".join(f"<{tag}{rng.choice(['', ' class=x', ' class=ad'])}>{'word, ' * rng.randrange(1, 9)}<a href=u>{'link ' * rng.randrange(4)}</a>{rng.choice(['.', ''])}</{tag}>" for tag in rng.choices(["p", "div", "article", "h2"], k=12))
+        found, paths, _ = tagpaths.blocks(page)
+        weight = tagpaths.weights(found, paths)
+        fit = [weight[b.path] > tagpaths.FAINT for b in found]
+        of = lambda p: [b for b in found if b.path == p]  # noqa: B023, E731
+        length = lambda p: sum(len(b.text) - b.linked for b in of(p)) / len(of(p))  # noqa: B023, E731
+        marks = lambda p: sum(sum(c in ".,;:!?" for c in b.text) for b in of(p)) / len(of(p))  # noqa: B023, E731
+        def smooth(f, i):
+            near = [j for j in range(len(found)) if abs(i - j) <= 2]  # noqa: B023
+            return sum((f(found[j].path) if fit[j] else 0) / (1 + abs(i - j)) for j in near) / sum(1 / (1 + abs(i - j)) for j in near)  # noqa: B023
+        text = sum(len(b.text) for b, ok in zip(found, fit, strict=True) if ok) or 1
+        for p, score in tagpaths.scores(found, weight, fit).items():
+            near = [smooth(length, i) * (1 + smooth(marks, i)) for i, b in enumerate(found) if b.path == p]
+            inside = [sum(len(x.text) for x, ok in zip(found, fit, strict=True) if ok and x.element.article == b.element.article) / text if b.element.article else 0 for b in of(p)]
+            want = weight[p] * (1 + 3 * sum(inside) / len(inside)) * math.sqrt(sum(near) / len(near) * length(p) * (1 + marks(p)))
+            assert math.isclose(score, want, rel_tol=1e-9, abs_tol=1e-12)
+
+
+def test_pages_of_odd_markup():
+    say = "<p>A long sentence, with marks; and more words to read than a menu has, some of them long, in every one of its parts.</p>"
+    text = tagpaths.main_text(f"<article>{say * 3}</article>")
+    for extra in ("<div class=teaser><p>See this, too</p></div>", "<div class=author-bio><p>By A. Writer</p></div>", "<nav><p>Menu here</p></nav>", "<div class=related-posts><h3>More</h3><ul><li><a href=x>One other</a><li><a href=y>And another</a></ul></div>"):
+        assert tagpaths.main_text(f"<article>{say * 3}</article>{extra}") == text
+        assert tagpaths.main_text(f"<div><div>{say * 3}</div>{extra}</div>") == text
+    assert tagpaths.main_text(f"<article>{say}<div class=related-work>{say}</div>{say}</article>") == text
+    odd = tagpaths.main_text(f"<article><p title=don't>It isn't gone, as one may see; it has words.</p>{say}<p title='>'>Nor this, with its words.</p></article>")
+    assert odd.startswith("It isn't gone,") and odd.endswith("Nor this, with its words.")
+    assert "The caption" in tagpaths.main_text(f"<article>{say}<figure><img src=x><figcaption>The caption</figcaption></figure>{say}</article>")
+    deep = tagpaths.main_text("<article>" + "<x>" * 300 + "<p>First, with marks; of words.<p>Second, with marks; of words." + "</x>" * 300)
+    assert deep == "First, with marks; of words. Second, with marks; of words."
+    long = tagpaths.main_text(f"<article>{say * 20_000}</article>")
+    assert long.count("A long sentence") == 20_000
+    assert tagpaths.main_text("<p " + 'a="b" ' * 5000) == ""
+
+
 def test_pages_keep_short_blocks_and_marked_wrappers():
     say = "<p>A long sentence, with marks; and more words to read than a menu has, some of them long, in every one of its parts.</p>"
     body = f"<h1>Head</h1>{say}<h2>Sub</h2>{say}<ul><li>One thing<li>Two</ul><p class=x>Short.</p>{say}"
@@ -241,6 +324,8 @@ def test_quality(spark):
     assert np.mean([got[i].predicted == rows[i][2] for i in held]) > 0.97
     kept = quality.kept_documents(docs, model)
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for i, r in got.items() if r.predicted}
+    repeated = quality.fit(docs.union(docs.selectExpr("doc_id", "'~' || text", "score", "predicted")), labels)
+    assert repeated.good == model.good and repeated.bad == model.bad
     nothing = quality.fit(docs, labels.where("false"))
     assert {r.score for r in quality.scored(docs, nothing).collect()} == {0.5}
     assert quality.scored(docs.where("false"), model).count() == 0
