@@ -8,7 +8,8 @@ distance to its border: the square of how far each half would have to move.
 It stops at the cost within which a vector displaced by the threshold's
 distance in a random direction stays with the target recall; that cost is
 measured on the sample that the codebooks are fitted on. Cosines are then
-computed exactly, in blocks of bounded size.
+computed exactly, in blocks of bounded size. Equal vectors are one class, that
+counts as many links as it has members, so copies are never compared.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from vireo.llm.common import components, settle
 COSINE, RECALL = 0.95, 0.99
 #: Bounds of the sample that codebooks are fitted on, of a codebook, and of a side of a block of comparisons.
 SAMPLE_ROWS, CODEWORDS, SIDE = 16_384, 1024, 2_048
-CELL_ROWS = 512
+CELL_ROWS = 2048
 SEED = 7
 
 
@@ -94,10 +95,10 @@ def visits(a: np.ndarray, b: np.ndarray, most: float) -> list[tuple[int, int]]:
 class MultiIndex:
     """Two codebooks and the cost at which a traversal ends."""
 
-    def __init__(self, sample: np.ndarray, rows: int, cosine: float = COSINE, recall: float = RECALL):
+    def __init__(self, sample: np.ndarray, rows: int, cosine: float = COSINE, recall: float = RECALL, cell_rows: int = CELL_ROWS):
         half = max(1, sample.shape[1] // 2)
         self.half, self.cosine = half, cosine
-        k = int(min(CODEWORDS, max(1, round((rows / CELL_ROWS) ** 0.5)), len(sample)))
+        k = int(min(CODEWORDS, max(1, round((rows / cell_rows) ** 0.5)), len(sample)))
         self.first, self.second = codebook(sample[:, :half], k), codebook(sample[:, half:], k) if sample.shape[1] > half else np.zeros((1, 0))
         rng = np.random.default_rng(SEED)
         some = sample[rng.permutation(len(sample))[:2048]]
@@ -144,23 +145,25 @@ def forest(a: np.ndarray, b: np.ndarray, hit: np.ndarray, left: np.ndarray, righ
                 mine = low
 
 
-def near_duplicates(df: DataFrame, cosine: float = COSINE, recall: float = RECALL) -> DataFrame:
+def near_duplicates(df: DataFrame, cosine: float = COSINE, recall: float = RECALL, cell_rows: int = CELL_ROWS, side: int = SIDE) -> DataFrame:
     """vec_id, n_links, component_id and kept, a row for each distinct vec_id.
 
     Vectors that cannot link have no links and are their own component; a null
     vec_id gives one row with null component, kept. No pairs are ever written:
-    a block of comparisons gives a link count a vector and a spanning forest
-    of its links.
+    a block of comparisons gives a link count a class and a spanning forest
+    of its links. cell_rows is the aim for a cell's size, side bounds a block.
     """
-    spark = df.sparkSession
     ids = df.select(F.col("vec_id").cast("long").alias("vec_id")).distinct()
-    vectors = settle(unit_vectors(df), "unit-vectors")
+    # 128 bits, from two hashes, name equal vectors.
+    named = settle(unit_vectors(df).withColumn("same", F.concat_ws(":", F.xxhash64("v"), F.xxhash64(F.lit(1), "v"))), "unit-vectors")
+    classes = named.groupBy("same").agg(F.min(F.struct("vec_id", "v")).alias("x"), F.count("*").alias("n")).selectExpr("x.vec_id vec_id", "x.v v", "n", "same")
+    vectors = settle(classes, "classes")
     rows = vectors.count()
     alone = ids.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     if not rows:
         return alone
-    sample = np.asarray([r.v for r in vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS).collect()])
-    index = MultiIndex(sample, rows, cosine, recall)
+    sample = np.asarray([r.v for r in vectors.orderBy(F.xxhash64("vec_id"), "vec_id").select("v").limit(SAMPLE_ROWS).collect()])
+    index = MultiIndex(sample, rows, cosine, recall, cell_rows)
 
     def assign(batches):
         import pyarrow as pa
@@ -170,27 +173,27 @@ def near_duplicates(df: DataFrame, cosine: float = COSINE, recall: float = RECAL
                 part = batch.slice(at, 512)
                 x = np.asarray(part.column(1).to_pylist())
                 home, seen = index.cells(x)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(home, pa.int64()), pa.array(seen, pa.list_(pa.int64()))], names=["vec_id", "v", "home", "seen"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(home, pa.int64()), pa.array(seen, pa.list_(pa.int64()))], names=["vec_id", "v", "n", "home", "seen"])
 
     # 2 * CODEWORDS half vectors travel with the task.
-    placed = settle(vectors.mapInArrow(assign, "vec_id long, v array<double>, home long, seen array<long>"), "cells")
+    placed = settle(vectors.select("vec_id", "v", "n").mapInArrow(assign, "vec_id long, v array<double>, n long, home long, seen array<long>"), "cells")
     # A cell's residents, and so its probes, are split by hash into sides of bounded size.
-    sides = placed.groupBy("home").agg(F.ceil(F.count("*") / SIDE).cast("int").alias("parts")).withColumnRenamed("home", "cell")
-    probes = placed.select("vec_id", "v", "home", F.explode("seen").alias("cell"))
-    asked = probes.groupBy("cell").agg(F.ceil(F.count("*") / SIDE).cast("int").alias("asked"))
+    sides = placed.groupBy("home").agg(F.ceil(F.count("*") / side).cast("int").alias("parts")).withColumnRenamed("home", "cell")
+    probes = placed.select("vec_id", "v", "n", "home", F.explode("seen").alias("cell"))
+    asked = probes.groupBy("cell").agg(F.ceil(F.count("*") / side).cast("int").alias("asked"))
     grid = sides.join(asked, "cell")
     part = lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n)).cast("int")
     across = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    there = placed.withColumnRenamed("home", "cell").join(grid, "cell").select("vec_id", "v", F.col("cell").alias("home"), "seen", "cell", part("parts").alias("i"), F.lit(False).alias("probe"), across("asked").alias("j"))
+    there = placed.withColumnRenamed("home", "cell").join(grid, "cell").select("vec_id", "v", "n", F.col("cell").alias("home"), "seen", "cell", part("parts").alias("i"), F.lit(False).alias("probe"), across("asked").alias("j"))
     # Only residents need the list of cells they visit.
     unlisted = F.lit(None).cast("array<long>").alias("seen")
-    here = probes.join(grid, "cell").select("vec_id", "v", "home", unlisted, "cell", part("asked").alias("j"), F.lit(True).alias("probe"), across("parts").alias("i"))
+    here = probes.join(grid, "cell").select("vec_id", "v", "n", "home", unlisted, "cell", part("asked").alias("j"), F.lit(True).alias("probe"), across("parts").alias("i"))
 
     def compare(t):
         import pyarrow as pa
 
         probe = t.column("probe").combine_chunks().to_numpy(zero_copy_only=False)
-        id_of, home = t.column("vec_id").to_numpy(), t.column("home").to_numpy()
+        id_of, home, n = (t.column(c).to_numpy() for c in ("vec_id", "home", "n"))
         x = t.column("v").combine_chunks().flatten().to_numpy().reshape(len(id_of), -1)
         left, right = np.flatnonzero(probe), np.flatnonzero(~probe)
         links = np.zeros(len(id_of), np.int64)
@@ -201,13 +204,13 @@ def near_duplicates(df: DataFrame, cosine: float = COSINE, recall: float = RECAL
             for at in range(0, len(left), 512):
                 rows = left[at : at + 512]
                 hit = (x[rows] @ x[right].T >= cosine) & (id_of[rows][:, None] != id_of[right][None, :])
-                links[rows] += hit.sum(1)
+                links[rows] += hit @ n[right]
                 # A pair is met from both sides if the resident visits the probe's cell too; else this block counts for both.
                 for cell in np.unique(home[rows]):
                     here = home[rows] == cell
                     unseen = np.asarray([cell not in s for s in visited])
                     if unseen.any():
-                        links[right[unseen]] += hit[np.ix_(here, unseen)].sum(0)
+                        links[right[unseen]] += n[rows][here] @ hit[np.ix_(here, unseen)]
                 forest(id_of, id_of, hit, rows, right, parent)
         linked = np.flatnonzero(links)
         roots = []
@@ -223,8 +226,10 @@ def near_duplicates(df: DataFrame, cosine: float = COSINE, recall: float = RECAL
             "other": pa.array([*[None] * len(linked), *[r for _, r in roots]], pa.int64())})
 
     met = settle(there.unionByName(here).groupBy("cell", "i", "j").applyInArrow(compare, "vec_id long, n long, other long"), "links")
-    counts = met.groupBy("vec_id").agg(F.sum("n").alias("n_links"))
+    counts = met.groupBy("vec_id").agg(F.sum("n").alias("met"))
     joined = components(met.where("other is not null").selectExpr("vec_id u", "other v"))
-    out = ids.join(counts, "vec_id", "left").join(joined.withColumnRenamed("node", "vec_id"), "vec_id", "left")
+    of_class = vectors.select("vec_id", "n", "same").join(counts, "vec_id", "left").join(joined.withColumnRenamed("node", "vec_id"), "vec_id", "left")
+    of_class = of_class.select("same", (F.coalesce("met", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "vec_id").alias("component"))
+    out = ids.join(named.select("vec_id", "same").join(of_class, "same"), "vec_id", "left")
     component = F.coalesce("component", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), component.eqNullSafe(F.col("vec_id")).alias("kept"))
