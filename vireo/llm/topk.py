@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 #: Bounds of a cell, of the sample that the rotation is fitted on, and of a candidate block.
 GROUP_ROWS, BLOCK_QUERIES, SAMPLE_ROWS, STEP = 65_536, 8_192, 8_192, 2_048
+#: Bytes of a group's vectors at 8 a component; a cell holds several copies of them.
+GROUP_BYTES = 32 << 20
 HEAD = 16
 
 
@@ -90,7 +92,7 @@ def search_cell(queries, query_ids, vectors, ids, basis, k: int, head: int = HEA
     return tuple(kept)
 
 
-def top_inner_products(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
+def top_inner_products(vectors: DataFrame, queries: DataFrame, k: int = 5, group_rows: int = GROUP_ROWS, block_queries: int = BLOCK_QUERIES) -> DataFrame:
     """(query_id, rank, vec_id, score) of each query's k greatest products.
 
     Both frames have vec_id and v as integer_vectors() gives them. Fewer than
@@ -102,8 +104,10 @@ def top_inner_products(vectors: DataFrame, queries: DataFrame, k: int = 5) -> Da
     if not n or not asked:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     basis = rotation(vectors)
-    groups = max(-(-n // GROUP_ROWS), min(2 * spark.sparkContext.defaultParallelism, -(-n // 2048)))
-    blocks = -(-asked // BLOCK_QUERIES)
+    group_rows = max(1, min(group_rows, GROUP_BYTES // (8 * max(1, len(basis)))))
+    block_queries = max(1, min(block_queries, GROUP_BYTES // (8 * max(1, len(basis)))))
+    groups = max(-(-n // group_rows), min(2 * spark.sparkContext.defaultParallelism, -(-n // 2048)))
+    blocks = -(-asked // block_queries)
     place = lambda c, of: F.pmod(F.xxhash64(c), F.lit(of)).cast("int")
     every = lambda of: F.explode(F.sequence(F.lit(0), F.lit(of - 1)))
     base = vectors.select("vec_id", "v", F.lit(False).alias("asks"), place("vec_id", groups).alias("g")).withColumn("b", every(blocks))
