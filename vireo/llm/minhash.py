@@ -211,11 +211,11 @@ def short_sets(texts: DataFrame, size: int) -> DataFrame:
     return texts.select("doc_id", "text").mapInArrow(shorten, "rep long, shorts binary")
 
 
-def crossings(rows: DataFrame, similarity: int, places: int) -> DataFrame:
+def crossings(rows: DataFrame, similarity: int, places: int, side: int = SIDE) -> DataFrame:
     """Pairs of a bucket's members in different components that sizes, signatures and
     short sets allow. Of components that a block has surely joined no more pairs
     are given: those are similar with two shingles to spare."""
-    parts = rows.groupBy("bucket").agg(F.ceil(F.count("*") / SIDE).cast("int").alias("parts"))
+    parts = rows.groupBy("bucket").agg(F.ceil(F.count("*") / side).cast("int").alias("parts"))
     dealt = rows.join(parts, "bucket").withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
     # Block (i, j), i <= j, holds parts i and j.
     blocks = dealt.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("bucket", "rep", "n", "sketch", "shorts", "component", "part", F.least("part", "k").alias("i"), F.greatest("part", "k").alias("j"))
@@ -248,7 +248,7 @@ def crossings(rows: DataFrame, similarity: int, places: int) -> DataFrame:
     return blocks.groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, size: int = 2, similarity: int = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def near_duplicates(docs: DataFrame, size: int = 2, similarity: int = SIMILARITY, bands: int = BANDS, rows: int = ROWS, side: int = SIDE) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of each row of `docs`.
 
     Documents without words link with nothing and are their own component.
@@ -272,7 +272,7 @@ def near_duplicates(docs: DataFrame, size: int = 2, similarity: int = SIMILARITY
     rest = settle(apart(members, links).join(classes.select("rep", "n", "sketch"), "rep"), "apart")
     open_texts = texts.join(rest.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
     rest = rest.join(settle(short_sets(open_texts, size), "short-sets"), "rep")
-    last = settle(crossings(rest, similarity, places).join(tested, ["a", "b"], "left_anti"), "pairs")
+    last = settle(crossings(rest, similarity, places, side).join(tested, ["a", "b"], "left_anti"), "pairs")
     links = links.union(settle(confirmed(last, classes, texts, size, similarity, places), "confirmed"))
     joined = components(links.selectExpr("a u", "b v")).withColumnRenamed("node", "rep")
     of_class = classes.select("print", "rep").join(joined, "rep", "left").select("print", F.coalesce("component", "rep").alias("component_id"))
