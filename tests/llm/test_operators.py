@@ -46,6 +46,20 @@ def test_topk(vectors):
     assert topk.top_inner_products(v.where("vec_id < 2"), v.where("vec_id < 2"), 5).count() == 2
 
 
+def test_topk_over_many_cells(spark):
+    """Ties and merging across groups and blocks."""
+    rng = np.random.default_rng(11)
+    x = rng.integers(-2, 3, (300, 3))
+    df = spark.createDataFrame([(int(i), [int(c) for c in v]) for i, v in enumerate(x)], "vec_id long, v array<long>")
+    found = {}
+    for r in topk.top_inner_products(df, df.where("vec_id % 3 = 0"), 5, group_rows=17, block_queries=13).collect():
+        found.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    assert len(found) == 100
+    for q, mine in found.items():
+        score = sorted((-int(x[q] @ x[i]), i) for i in range(300) if i != q)
+        assert sorted(mine) == [(k + 1, i, -s) for k, (s, i) in enumerate(score[:5])]
+
+
 def test_pruning_is_exact():
     rng = np.random.default_rng(2)
     c = rng.integers(-9, 9, (3000, 20)) * rng.integers(1, 30, (3000, 1))
@@ -72,6 +86,25 @@ def test_vector_near_duplicates(vectors):
     assert multi_index.near_duplicates(df.where("false")).count() == 0
 
 
+def test_vector_near_duplicates_over_many_cells(spark):
+    """Cells, sides and classes of copies against brute force."""
+    rng = np.random.default_rng(12)
+    centre = rng.standard_normal((60, 8))
+    x = np.repeat(centre, 10, axis=0) + 0.12 * rng.standard_normal((600, 8))
+    x[500:] = x[3]
+    x = x.astype(np.float32).astype(float)
+    got = {r.vec_id: r for r in multi_index.near_duplicates(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>"), cell_rows=12, side=20).collect()}
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    hit = unit @ unit.T >= 0.95
+    np.fill_diagonal(hit, False)
+    want = components(600, np.argwhere(hit))
+    links = np.asarray([got[i].n_links for i in range(600)])
+    assert (links <= hit.sum(1)).all() and links.sum() >= 0.99 * hit.sum() and hit.sum() > 12_000
+    assert np.mean([got[i].component_id == want[i] for i in range(600)]) > 0.99 and all(got[i].n_links == links[3] for i in range(500, 600))
+    index = multi_index.MultiIndex(unit, 600, cell_rows=12)
+    assert len(index.first) * len(index.second) >= 36
+
+
 def test_recall_on_hard_pairs():
     rng = np.random.default_rng(3)
     x = rng.standard_normal((4000, 32))
@@ -79,7 +112,7 @@ def test_recall_on_hard_pairs():
     step = rng.standard_normal(x.shape)
     step -= (step * x).sum(1, keepdims=True) * x
     y = 0.951 * x + math.sqrt(1 - 0.951**2) * step / np.linalg.norm(step, axis=1, keepdims=True)
-    index = multi_index.MultiIndex(x, 100_000)
+    index = multi_index.MultiIndex(x, 100_000, cell_rows=512)
     home, _ = index.cells(y)
     _, seen = index.cells(x)
     assert np.mean([h in s for h, s in zip(home, seen, strict=True)]) > 0.99
@@ -113,7 +146,8 @@ def test_text_near_duplicates(texts, spark):
         edges = [(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets) if i < j and a and b and 100 * len(a & b) >= 80 * len(a | b)]
         assert edges
         want = components(len(out), edges)
-        got = {r.doc_id: r for r in minhash.near_duplicates(df, size).collect()}
+        # Two members a side: several blocks a bucket.
+        got = {r.doc_id: r for r in minhash.near_duplicates(df, size, side=2 if size == 2 else minhash.SIDE).collect()}
         assert [(got[i].n_shingles, got[i].component_id, got[i].kept) for i in range(len(out))] == [(len(sets[i]), want[i], want[i] == i) for i in range(len(out))]
     assert minhash.near_duplicates(df.where("false")).count() == 0
     once = minhash.near_duplicates(df).where("kept").count()
@@ -337,3 +371,67 @@ def test_stage_near_duplicates(texts):
     want = {r.doc_id for r in minhash.near_duplicates(df, 5).collect() if r.kept}
     assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == want
     assert stages.distinct(df.union(df)).count() == len(want)
+
+
+def test_pipeline(spark, tmp_path):
+    """run() against its stages' effects, each recomputed plainly, with a clashing and a further column."""
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+    from vireo.llm.tokens import vocabulary
+
+    rng = random.Random(13)
+    words = [f"{a}{b}" for a in ("ri", "lo", "me", "ta", "no") for b in ("ver", "wn", "tal", "sk", "rth")]
+    say = lambda n: " ".join(rng.choice(words) for _ in range(n)) + "."
+    rows = []
+    for i in range(240):
+        if i % 4 == 3:
+            text = " ".join(rng.choice(["$$$", "BUY!!", "###", "now%%%", "click&&", ">>>"]) for _ in range(60))
+        elif i % 10 == 5:
+            text = rows[i - 5][1]
+        elif i % 10 == 6:
+            text = say(80) + f" write to a{i}@b.org or +1 (555) 123-4{i}"
+        else:
+            text = say(rng.choice([40, 90, 700]))
+        rows.append((i, text))
+    rows += [(300, None), (301, ""), (302, say(3000)), (302, say(3000)), (None, say(50))]
+    table = [(i, t, "en", f"s{(i or 0) % 3}" if (i or 0) % 7 else None, len(t or ""), 1.5, 9) for i, t in rows]
+    columns = "doc_id long, text string, lang string, source string, n_chars long, score double, kept int"
+    spark.createDataFrame(table, columns).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, int(i % 4 != 3), 0) for i in range(240)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs, seen = spark.read.parquet(f"{tmp_path}/documents.parquet"), []
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, str(tmp_path))
+        docs.write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        seen.append((docs.columns, docs.collect()))
+    assert all(c == [x.split()[0] for x in columns.split(", ")] for c, _ in seen[:-1])
+    text_of = {(i, t) for i, t in rows}
+    good, single, masked, mixed, pieces = (found for _, found in seen)
+    bad = {i for i in range(240) if i % 4 == 3}
+    ids = [r.doc_id for r in good]
+    assert not bad & set(ids) and {i for i, t in rows if t and i not in bad} <= set(ids) and {(r.doc_id, r.text) for r in good} <= text_of
+    shingles = lambda t: {tuple(t.split()[k : k + 5]) for k in range(max(1, len(t.split()) - 4))} if t and t.split() else set()
+    sets = [(r.doc_id, r.text, shingles(r.text)) for r in good]
+    left = {(r.doc_id, r.text) for r in single}
+    for i, t, x in sets:
+        smaller = [a for a, _, y in sets if a is not None and i is not None and a < i and x and 100 * len(x & y) >= 80 * len(x | y)]
+        assert ((i, t) in left) == (not smaller)
+    assert len(masked) == len(single) and not [r for r in masked if r.text and "@b.org" in r.text] and sum("[PII]" in (r.text or "") for r in masked) > 10
+    size = lambda t: len(WORD.findall(t or ""))
+    whole = {}
+    for r in masked:
+        whole[r.doc_id] = whole.get(r.doc_id, 0) + size(r.text)
+    got = {}
+    for r in mixed:
+        got[r.doc_id] = got.get(r.doc_id, 0) + size(r.text)
+        assert r.n_chars == len(r.text)
+    assert all(n <= 2 * whole[i] for i, n in got.items()) and abs(sum(got.values()) - 1.5 * sum(whole.values())) < 300
+    library = Tokenizer.from_file(vocabulary(None))
+    assert sum(p.length for p in pieces) == sum(len(library.encode(r.text, add_special_tokens=False).ids) + 1 for r in mixed)
+    filled = {}
+    for p in pieces:
+        filled.setdefault(p.sequence_id, []).append((p.offset, p.length))
+    assert all([x for o, n in sorted(b) for x in (o, o + n)][1:-1] == [x for o, n in sorted(b)[1:] for x in (o, o)] for b in filled.values())
+    again = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    of = lambda found: sorted((p.doc_id or -1, p.start, p.doc_tokens) for p in found if p.start == 0)
+    assert of(again) == of(pieces) and sum(p.length for p in again) == sum(p.length for p in pieces)
