@@ -25,7 +25,7 @@ from vireo.llm.common import components, settle
 COSINE, RECALL = 0.95, 0.99
 #: Bounds of the sample that codebooks are fitted on, of a codebook, and of a side of a block of comparisons.
 SAMPLE_ROWS, CODEWORDS, SIDE = 16_384, 1024, 2_048
-CELL_ROWS = 2048
+CELL_ROWS = 512
 SEED = 7
 
 
