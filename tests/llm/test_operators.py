@@ -435,3 +435,17 @@ def test_pipeline(spark, tmp_path):
     again = corpus_pipeline.run(spark, str(tmp_path)).collect()
     of = lambda found: sorted((p.doc_id or -1, p.start, p.doc_tokens) for p in found if p.start == 0)
     assert of(again) == of(pieces) and sum(p.length for p in again) == sum(p.length for p in pieces)
+
+
+def test_rows_that_share_an_id_are_judged_by_their_text(spark):
+    rng = random.Random(21)
+    a, b, c = ([f"w{rng.randrange(5000)}" for _ in range(200)] for _ in range(3))
+    near = lambda t, x: " ".join([*t[:-1], x])
+    rows = [(2, " ".join(a)), (5, near(a, "x")), (5, " ".join(b)), (5, near(b, "y")), (9, " ".join(b)), (5, " ".join(c)), (5, " ".join(c)), (None, " ".join(a)), (7, None), (7, ""), (7, "")]
+    df = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, key int")
+    got = sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(df, 5).where("doc_id is not null").collect())
+    assert got == sorted([(2, 196, 2, True), (5, 196, 2, False), *[(5, 196, 5, True)] * 4, (9, 196, 5, False), *[(7, 0, 7, True)] * 3])
+    kept = [(r.doc_id, r.text) for r in stages.distinct(df).collect()]
+    of_b = [t for i, t in kept if i == 5 and t.startswith(b[0] + " ")]
+    assert len(of_b) == 1 and of_b[0] in (" ".join(b), near(b, "y"))
+    assert sorted(map(str, kept)) == sorted(map(str, [(2, " ".join(a)), (5, of_b[0]), (5, " ".join(c)), (None, " ".join(a)), (7, None), (7, "")]))

@@ -7,7 +7,8 @@ estimate's variance, and a document is done at the first step after which
 every place is filled. Bands of the signature make buckets; candidates are
 confirmed on the full sets; groups are joined by distributed union.
 
-Copies (equal sets) are one class before anything else. In a bucket all
+Copies (equal sets) are one class before anything else; a class has a number of
+its own, so rows that share a doc_id but not their text stay apart. In a bucket all
 members are compared with two pivots, the least member and one chosen by hash;
 what that has joined needs no further comparison. Members of a bucket that are
 still apart are then compared exhaustively, in blocks of bounded size, first
@@ -32,7 +33,9 @@ DEVIATIONS = 4.5
 #: Words that a worker remembers; shingles hashed at a time; members on a side of a block.
 REMEMBERED, CHUNK, SIDE = 200_000, 60_000, 1024
 EMPTY = np.uint32(0xFFFFFFFF)
-SKETCH = "doc_id long, n_shingles long, print binary, buckets array<long>, sketch binary"
+SKETCH = "doc_id long, key long, n_shingles long, print binary, buckets array<long>, sketch binary"
+#: With doc_id this names a text; rows that share both are copies.
+KEY = "xxhash64(cast(text as string))"
 
 
 def mixed(z: np.ndarray) -> np.ndarray:
@@ -124,7 +127,7 @@ def sketches(docs: DataFrame, size: int, bands: int = BANDS, rows: int = ROWS) -
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
                 part = batch.slice(at, 128)
-                sets = [shingles(t, size) for t in part.column(1).to_pylist()]
+                sets = [shingles(t, size) for t in part.column(2).to_pylist()]
                 h = signatures(sets, bands * rows)
                 key = np.tile(np.arange(1, bands + 1, dtype=np.uint64), (len(sets), 1))
                 for r in range(rows):
@@ -132,12 +135,12 @@ def sketches(docs: DataFrame, size: int, bands: int = BANDS, rows: int = ROWS) -
                 small = (h * np.uint32(0x9E3779B1) >> np.uint32(24)).astype(np.uint8)
                 full = [len(s) > 0 for s in sets]
                 yield pa.RecordBatch.from_arrays([
-                    part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([fingerprint(s) if s.size else None for s in sets], pa.binary()),
+                    part.column(0), part.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array([fingerprint(s) if s.size else None for s in sets], pa.binary()),
                     pa.array([k.view(np.int64).tolist() if ok else None for k, ok in zip(key, full, strict=True)], pa.list_(pa.int64())),
                     pa.array([x.tobytes() if ok else None for x, ok in zip(small, full, strict=True)], pa.binary())],
-                    names=["doc_id", "n_shingles", "print", "buckets", "sketch"])
+                    names=["doc_id", "key", "n_shingles", "print", "buckets", "sketch"])
 
-    return docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(sketch, SKETCH)
+    return docs.selectExpr("cast(doc_id as long) doc_id", f"{KEY} key", "cast(text as string) text").mapInArrow(sketch, SKETCH)
 
 
 def least_agreement(similarity: int, places: int) -> float:
@@ -160,7 +163,7 @@ def confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int,
 
     wide = settle(wide.select("a", "b", "p_a", "p_b", "s_a", "s_b").mapInArrow(likely, "a long, b long, p_a binary, p_b binary"), "likely")
     # The same plan at every size: texts are shuffled to their pairs, never pairs sent to all texts.
-    of = lambda x: texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"t_{x}"))
+    of = lambda x: texts.select(F.col("rep").alias(x), F.col("text").alias(f"t_{x}"))
     full = wide.hint("merge").join(of("b"), "b").hint("merge").join(of("a"), "a")
 
     def confirm(batches: Iterator) -> Iterator:
@@ -183,7 +186,7 @@ def confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int,
 
 
 def pivots(members: DataFrame) -> DataFrame:
-    """Pairs of each member with two members of its bucket: the least by id and the
+    """Pairs of each member with two members of its bucket: the least by number and the
     least by a hash that differs between eighths of the buckets."""
     chance = F.xxhash64("rep", F.pmod("bucket", F.lit(8)))
     chosen = members.groupBy("bucket").agg(F.array(F.min("rep"), F.min_by("rep", chance)).alias("with"))
@@ -208,7 +211,7 @@ def short_sets(texts: DataFrame, size: int) -> DataFrame:
             sets = [np.unique(shingles(t, size).astype(np.uint32)).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["rep", "shorts"])
 
-    return texts.select("doc_id", "text").mapInArrow(shorten, "rep long, shorts binary")
+    return texts.select("rep", "text").mapInArrow(shorten, "rep long, shorts binary")
 
 
 def crossings(rows: DataFrame, similarity: int, places: int, side: int = SIDE) -> DataFrame:
@@ -252,30 +255,42 @@ def near_duplicates(docs: DataFrame, size: int = 2, similarity: int = SIMILARITY
     """doc_id, n_shingles, component_id and kept of each row of `docs`.
 
     Documents without words link with nothing and are their own component.
-    Rows that repeat a doc_id stay rows; each takes part with its own text.
-    A null doc_id links with nothing. No rows give no rows.
+    Rows that repeat a doc_id stay rows; each takes part, and is linked, with its
+    own text. A null doc_id links with nothing. No rows give no rows.
     """
+    return decisions(docs, size, similarity, bands, rows, side).select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def decisions(docs: DataFrame, size: int = 2, similarity: int = SIMILARITY, bands: int = BANDS, rows: int = ROWS, side: int = SIDE) -> DataFrame:
+    """doc_id, key, n_shingles, component_id and chosen of each row: chosen are the rows
+    of one text a group, that of the least doc_id and then key."""
     places = bands * rows
     drawn = settle(sketches(docs, size, bands, rows), "sketches")
     able = drawn.where("print is not null and doc_id is not null")
-    classes = able.groupBy("print").agg(F.min(F.struct("doc_id", "n_shingles", "buckets", "sketch")).alias("x"))
-    classes = settle(classes.selectExpr("x.doc_id rep", "x.n_shingles n", "print", "x.buckets buckets", "x.sketch sketch"), "classes")
+    classes = able.groupBy("print").agg(F.min(F.struct("doc_id", "key", "n_shingles", "buckets", "sketch")).alias("x"))
+    # The numbers hold from here on, as the table is written once.
+    classes = classes.selectExpr("monotonically_increasing_id() rep", "x.doc_id doc_id", "x.key key", "x.n_shingles n", "print", "x.buckets buckets", "x.sketch sketch")
+    classes = settle(classes, "classes")
     spread = classes.select("rep", F.explode("buckets").alias("bucket"))
     crowded = spread.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1").select("bucket")
     members = settle(spread.join(crowded, "bucket"), "members")
-    # Texts of class representatives that share a bucket, fetched once.
-    ids = members.select(F.col("rep").alias("doc_id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    texts = settle(texts.join(ids.hint("merge"), "doc_id", "left_semi"), "texts")
+    # One text of each class that shares a bucket, fetched once.
+    wanted = members.select("rep").distinct().join(classes.select("rep", "doc_id", "key"), "rep")
+    texts = docs.selectExpr("cast(doc_id as long) doc_id", f"{KEY} key", "cast(text as string) text").join(wanted.hint("merge"), ["doc_id", "key"])
+    texts = settle(texts.groupBy("doc_id", "key").agg(F.first("rep").alias("rep"), F.first("text").alias("text")).select("rep", "text"), "texts")
     tested = settle(pivots(members), "pairs")
     links = settle(confirmed(tested, classes, texts, size, similarity, places), "confirmed")
     rest = settle(apart(members, links).join(classes.select("rep", "n", "sketch"), "rep"), "apart")
-    open_texts = texts.join(rest.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    open_texts = texts.join(rest.select("rep").distinct(), "rep", "left_semi")
     rest = rest.join(settle(short_sets(open_texts, size), "short-sets"), "rep")
     last = settle(crossings(rest, similarity, places, side).join(tested, ["a", "b"], "left_anti"), "pairs")
     links = links.union(settle(confirmed(last, classes, texts, size, similarity, places), "confirmed"))
-    joined = components(links.selectExpr("a u", "b v")).withColumnRenamed("node", "rep")
-    of_class = classes.select("print", "rep").join(joined, "rep", "left").select("print", F.coalesce("component", "rep").alias("component_id"))
-    linked = able.select("doc_id", "n_shingles", "print").join(of_class, "print").select("doc_id", "n_shingles", "component_id")
-    alone = drawn.where("print is null or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return linked.union(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    first = F.struct("doc_id", "key")
+    joined = components(links.selectExpr("a u", "b v")).withColumnRenamed("node", "rep").join(classes.select("rep", first.alias("own")), "rep")
+    joined = settle(joined, "joined")
+    least = joined.groupBy("component").agg(F.min("own").alias("first"))
+    of_class = classes.select("print", "rep", first.alias("own")).join(joined.join(least, "component").select("rep", "first"), "rep", "left")
+    of_class = of_class.select("print", F.coalesce("first", "own").alias("first"))
+    linked = able.select("doc_id", "key", "n_shingles", "print").join(of_class, "print").select("doc_id", "key", "n_shingles", F.col("first.doc_id").alias("component_id"), (first == F.col("first")).alias("chosen"))
+    alone = drawn.where("print is null or doc_id is null").select("doc_id", "key", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("chosen"))
+    return linked.union(alone)

@@ -24,19 +24,20 @@ def good(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def distinct(docs: DataFrame) -> DataFrame:
-    """Rows of one document a group, the least doc_id; those without words or id stay.
+    """Rows of one text a group, that of the least doc_id; those without words or id stay.
 
-    Of rows that repeat both doc_id and text one stays.
+    Rows that repeat a doc_id are judged each by its own text; of rows that
+    repeat both doc_id and text one stays.
     """
-    found = minhash.near_duplicates(docs, SHINGLE, SIMILARITY)
-    found = settle(found, "groups")
-    repeated = settle(found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("__id")), "repeated")
-    gone = found.where("not kept").select(F.col("doc_id").alias("__id")).distinct()
-    kept = docs.join(gone.hint("merge"), F.col("doc_id").cast("long") == F.col("__id"), "left_anti")
+    found = settle(minhash.decisions(docs, SHINGLE, SIMILARITY), "groups")
+    key = [F.col("doc_id").cast("long") == F.col("__id"), F.expr(minhash.KEY) == F.col("__text")]
+    named = found.where("doc_id is not null").select(F.col("doc_id").alias("__id"), F.col("key").alias("__text"), "chosen")
+    gone = named.where("not chosen").select("__id", "__text").distinct()
+    kept = docs.join(gone.hint("merge"), key, "left_anti")
+    repeated = settle(named.where("chosen").groupBy("__id", "__text").count().where("count > 1").select("__id", "__text"), "repeated")
     if repeated.isEmpty():
         return kept
-    same = F.col("doc_id").cast("long") == F.col("__id")
-    return kept.join(repeated, same, "left_anti").unionByName(kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"]))
+    return kept.join(repeated, key, "left_anti").unionByName(kept.join(repeated, key, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def masked(docs: DataFrame) -> DataFrame:
