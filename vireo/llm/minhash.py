@@ -186,10 +186,10 @@ def confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int,
 
 
 def pivots(members: DataFrame) -> DataFrame:
-    """Pairs of each member with two members of its bucket: the least by number and the
+    """Pairs of each member with two members of its bucket: the least by id and the
     least by a hash that differs between eighths of the buckets."""
-    chance = F.xxhash64("rep", F.pmod("bucket", F.lit(8)))
-    chosen = members.groupBy("bucket").agg(F.array(F.min("rep"), F.min_by("rep", chance)).alias("with"))
+    chance = F.xxhash64("doc_id", F.pmod("bucket", F.lit(8)))
+    chosen = members.groupBy("bucket").agg(F.array(F.min_by("rep", "doc_id"), F.min_by("rep", chance)).alias("with"))
     pairs = members.join(chosen, "bucket").select("rep", F.explode("with").alias("other")).where("rep <> other")
     return pairs.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()
 
@@ -271,7 +271,7 @@ def decisions(docs: DataFrame, size: int = 2, similarity: int = SIMILARITY, band
     # The numbers hold from here on, as the table is written once.
     classes = classes.selectExpr("monotonically_increasing_id() rep", "x.doc_id doc_id", "x.key key", "x.n_shingles n", "print", "x.buckets buckets", "x.sketch sketch")
     classes = settle(classes, "classes")
-    spread = classes.select("rep", F.explode("buckets").alias("bucket"))
+    spread = classes.select("rep", "doc_id", F.explode("buckets").alias("bucket"))
     crowded = spread.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1").select("bucket")
     members = settle(spread.join(crowded, "bucket"), "members")
     # One text of each class that shares a bucket, fetched once.
@@ -280,7 +280,7 @@ def decisions(docs: DataFrame, size: int = 2, similarity: int = SIMILARITY, band
     texts = settle(texts.groupBy("doc_id", "key").agg(F.first("rep").alias("rep"), F.first("text").alias("text")).select("rep", "text"), "texts")
     tested = settle(pivots(members), "pairs")
     links = settle(confirmed(tested, classes, texts, size, similarity, places), "confirmed")
-    rest = settle(apart(members, links).join(classes.select("rep", "n", "sketch"), "rep"), "apart")
+    rest = settle(apart(members.drop("doc_id"), links).join(classes.select("rep", "n", "sketch"), "rep"), "apart")
     open_texts = texts.join(rest.select("rep").distinct(), "rep", "left_semi")
     rest = rest.join(settle(short_sets(open_texts, size), "short-sets"), "rep")
     last = settle(crossings(rest, similarity, places, side).join(tested, ["a", "b"], "left_anti"), "pairs")
