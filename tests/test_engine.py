@@ -199,6 +199,14 @@ def test_skills_are_searched_in_the_text(spark, tmp_path):
     assert got == {0: "Docker, Kafka, Python, SQL", 1: "SQL", 2: "Kotlin", 3: "Docker, Python"}
 
 
+def test_certificates_are_searched_in_the_text(spark, tmp_path):
+    texts = ["long " * 3000 + "Holds ITIL and a TOPIK.", None, "", "x DELF\ny", "nothing", "hsk4"]
+    spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.certifications, r.languages) for r in contract.queries()["cert_language_map"](spark, str(tmp_path)).collect()}
+    always, both = "ielts, jlpt, n2", "Tiếng Anh, Tiếng Nhật"
+    assert got == {0: ("ielts, itil, jlpt, n2, topik", "Tiếng Anh, Tiếng Hàn, Tiếng Nhật"), 1: (None, None), 2: (always, both), 3: ("delf", "Tiếng Pháp"), 4: (always, both), 5: ("hsk, hsk4", "Tiếng Trung")}
+
+
 def test_heading_block_is_limited_by_its_text(spark):
     long, much = "<i>word</i> " * 1500, "word " * 1700
     pages = [(0, f"<h2>A</h2>{long}</article>"), (1, f"<h2>A</h2>{much}<h2>B</h2>{'word ' * 20}</article>"), (2, "<h2>A</h2>short</article>")]

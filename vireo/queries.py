@@ -408,8 +408,8 @@ def title_noise_clean(table):
 
 @query("""SELECT p_partkey, CASE WHEN p_size % 4 = 0 THEN 'Data Engineer' WHEN p_size % 4 = 1 THEN 'Back-end Developer' WHEN p_size % 4 = 2 THEN 'QA - QC' END AS label FROM part""")
 def title_first_match(table):
-    title = F.when(c("p_size") % 4 == 0, "Senior DATA engineer, developer x").when(c("p_size") % 4 == 1, "web developer").when(c("p_size") % 4 == 2, "qc line").otherwise("zqcz")
-    return table("part").select("p_partkey", t.first_label(title, [(a, t.alone(b)) for a, b in [("Data Engineer", ["data engineer"]), *d.TITLES[10:12], d.TITLES[16]]]).alias("label"))
+    title = F.when(c("p_size") % 4 == 0, "Senior DATA engineer, x").when(c("p_size") % 4 == 1, "web developer").when(c("p_size") % 4 == 2, "qc line").otherwise("zqcz")
+    return table("part").select("p_partkey", t.first_label(title, [(a, t.alone(b)) for a, b in d.TITLES]).alias("label"))
 
 
 @query("""SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN 'Front-end Developer' WHEN p_size % 3 = 1 THEN 'Data Analyst' END AS label, CASE WHEN p_size % 3 = 0 THEN 'Software Development' WHEN p_size % 3 = 1 THEN 'Data Analytics' ELSE 'Non-IT' END AS category, p_size % 3 <> 2 AS is_it FROM part""")
@@ -490,9 +490,14 @@ def skills_extract(table):
     return rows.select("doc_id", p.joined(p.words_in(c("full"), d.Vocabulary().hard_skills())).alias("hard"))
 
 
-@query("""SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'ielts, jlpt, n2' END AS certifications, CASE WHEN doc_id % 2 = 0 THEN 'Tiếng Anh, Tiếng Nhật' END AS languages FROM documents""")
+_LISTED = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+
+@query(f"""WITH f AS (SELECT doc_id, lower(concat_ws(' ', text, CASE WHEN doc_id % 2 = 0 THEN 'IELTS 7 / JLPT N2' END)) AS words FROM documents)
+SELECT doc_id, nullif(array_to_string(list_sort(list_filter({_LISTED(d.CERTIFICATES)}, lambda x: contains(words, x))), ', '), '') AS certifications,
+nullif(concat_ws(', ', {", ".join(f"CASE WHEN len(list_filter({_LISTED(d.LANGUAGE_CERTIFICATES[x])}, lambda x: contains(words, x))) > 0 THEN '{x}' END" for x in sorted(d.LANGUAGE_CERTIFICATES))}), '') AS languages FROM f""")
 def cert_language_map(table):
-    rows = table("documents").select("doc_id", F.lit("x").alias("website"), F.when(c("doc_id") % 2 == 0, "IELTS 7 / JLPT N2").alias("job_description"), F.lit("").alias("job_requirement"), F.lit("").alias("job_category"))
+    rows = table("documents").select("doc_id", F.lit("x").alias("website"), c("text").alias("job_description"), F.when(c("doc_id") % 2 == 0, "IELTS 7 / JLPT N2").alias("job_requirement"), F.lit("").alias("job_category"))
     return p.with_description_fields(rows).select("doc_id", "certifications", "languages")
 
 
