@@ -362,7 +362,7 @@ def with_description_fields(df: DataFrame, vocabulary: d.Vocabulary | None = Non
     df = df.withColumn("__full", F.concat_ws(" ", lowered("job_description"), lowered("job_requirement"), category))
     full = F.col("__full")
     certificates = F.array_sort(F.filter(F.array(*[F.when(full.contains(c), F.lit(c)) for c in d.CERTIFICATES]), lambda x: x.isNotNull()))
-    df = df.withColumn("__certs", F.when(full.rlike(any_of(d.CERTIFICATES)), certificates).otherwise(F.array().cast("array<string>")))
+    df = df.withColumn("__certs", certificates)
     of = {c: lang for lang, cs in d.LANGUAGE_CERTIFICATES.items() for c in cs}
     languages = F.array_sort(F.array_distinct(F.filter(F.transform("__certs", lambda c: F.element_at(F.create_map(*[F.lit(x) for kv in of.items() for x in kv]), c)), lambda x: x.isNotNull())))
     return df.withColumns({
