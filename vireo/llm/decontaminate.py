@@ -32,7 +32,9 @@ from pyspark.sql import functions as F
 from vireo.llm.common import settle
 
 #: Words of a window; words of a segment; unused positions between two documents (`within` is at most one more).
-WINDOW, SEGMENT, GAP = 10, 1 << 20, 64
+WINDOW, SEGMENT, GAP = 10, 1 << 21, 64
+#: After the rarest term, so many are taken one by one; all others at once. Patterns of a block: so many, as a power of two, meet one list together.
+SINGLY, BLOCK = 1, 12
 #: Bytes of a text that are taken apart at a time.
 PIECE = 1 << 20
 #: Fixed value: each byte as a byte of a word, or as white space.
@@ -75,10 +77,15 @@ def index_documents(docs: DataFrame, segment_words: int = SEGMENT, gap: int = GA
         terms, parts, listed, end = Names(), [], [], 0
 
         def rows() -> Iterator:
-            names = np.concatenate([p for _, p in parts]) if parts else np.empty(0, np.uint64)
-            if len(names):
-                at = np.concatenate([np.arange(s, s + len(p), dtype=np.uint64) for s, p in parts])
-                both = np.sort(names << np.uint64(32) | at)
+            if terms:
+                both, done = np.empty(sum(len(p) for _, p in parts), np.uint64), 0
+                for s, p in parts:
+                    own = both[done : done + len(p)]
+                    own[:] = p
+                    own <<= np.uint64(32)
+                    own |= np.arange(s, s + len(p), dtype=np.uint64)
+                    done += len(p)
+                both.sort()
                 counts = np.bincount((both >> np.uint64(32)).astype(np.int64), minlength=len(terms))
                 first = np.concatenate([[0], np.cumsum(counts)])
                 steps = (both & np.uint64(0xFFFFFFFF)).astype(np.uint32)
@@ -92,7 +99,7 @@ def index_documents(docs: DataFrame, segment_words: int = SEGMENT, gap: int = GA
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 start = end
                 for some in words(text.as_py()):
-                    parts.append((end, np.fromiter(map(terms.__getitem__, some), np.uint64, len(some))))
+                    parts.append((end, np.fromiter(map(terms.__getitem__, some), np.uint32, len(some))))
                     end += len(some)
                 listed.append({"doc_id": doc_id, "start": start, "n_words": end - start})
                 end += gap
@@ -159,9 +166,11 @@ def near(starts: np.ndarray, at: np.ndarray, low: int, high: int) -> np.ndarray:
     return starts[np.searchsorted(at, starts + low, "left") < np.searchsorted(at, starts + high, "right")]
 
 
-def held(index: DataFrame, terms: DataFrame) -> DataFrame:
-    """The index rows of some terms."""
-    return index.select("segment", "term", "postings").join(terms.select("term").distinct(), "term", "left_semi")
+def asked(lists) -> Iterator[tuple]:
+    """The fields of each list of structures: numbers as arrays, bytes as Arrow values."""
+    ends, fields = lists.offsets.to_numpy(), lists.values.flatten()
+    for i, j in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+        yield tuple(f[i:j].to_numpy() if str(f.type).startswith("int") else f[i:j] for f in fields)
 
 
 def occurrences(index: DataFrame, patterns: DataFrame, within: int | None = None) -> DataFrame:
@@ -171,28 +180,35 @@ def occurrences(index: DataFrame, patterns: DataFrame, within: int | None = None
     `index` has been written; starts are 64-bit positions in the segment.
     """
     terms = ranked(patterns, index, within)
-    rarest = terms.where("rank = 0").groupBy("term").agg(F.collect_list(F.struct("pattern", "low", "high")).alias("asked"))
+    sizes = terms.groupBy("pattern").agg(F.count("*").alias("size"))
 
     def propose(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            for row in batch.to_pylist():
-                at, out = positions(row["postings"]), []
-                for p in row["asked"]:
-                    reach = np.arange(p["low"], p["high"] + 1)
-                    starts = at - p["low"] if len(reach) == 1 else np.unique(at[:, None] - reach[None, :])
-                    out.append((row["segment"], p["pattern"], starts.astype("<i8").tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["segment", "pattern", "starts"])
+            ids, out, segments = [], [], []
+            for segment, postings, (pattern, low, high) in zip(batch.column(0).to_pylist(), batch.column(1), asked(batch.column(2)), strict=True):
+                at = positions(postings.as_py())
+                for lo, hi in zip(low.tolist(), high.tolist(), strict=True):
+                    out.append((at - lo if lo == hi else np.unique(at[:, None] - np.arange(lo, hi + 1)[None, :])).tobytes())
+                ids.append(pattern)
+                segments += [segment] * len(pattern)
+            yield pa.RecordBatch.from_arrays([pa.array(segments, pa.int64()), pa.array(np.concatenate([np.empty(0, np.int64), *ids])), pa.array(out, pa.binary())], names=["segment", "pattern", "starts"])
 
     def thin(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            left = [near(np.frombuffer(s.as_py(), "<i8"), positions(p.as_py()), lo, hi).tobytes() for s, p, lo, hi in zip(
-                batch.column(2), batch.column(3), batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)]
-            kept = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(left, pa.binary())], names=["segment", "pattern", "starts"])
-            yield kept.filter(pa.array([len(x) > 0 for x in left]))
+            ids, out, segments = [], [], []
+            for segment, postings, (pattern, low, high, starts) in zip(batch.column(0).to_pylist(), batch.column(1), asked(batch.column(2)), strict=True):
+                at = positions(postings.as_py())
+                for i, lo, hi, s in zip(pattern.tolist(), low.tolist(), high.tolist(), starts, strict=True):
+                    left = near(np.frombuffer(s.as_py(), np.int64), at, lo, hi)
+                    if len(left):
+                        ids.append(i)
+                        out.append(left.tobytes())
+                        segments.append(segment)
+            yield pa.RecordBatch.from_arrays([pa.array(segments, pa.int64()), pa.array(ids, pa.int64()), pa.array(out, pa.binary())], names=["segment", "pattern", "starts"])
 
     def shared(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -200,27 +216,35 @@ def occurrences(index: DataFrame, patterns: DataFrame, within: int | None = None
         for batch in batches:
             left = []
             for lists in batch.column(2).to_pylist():
-                common = np.frombuffer(lists[0], "<i8")
+                common = np.frombuffer(lists[0], np.int64)
                 for other in lists[1:]:
-                    common = np.intersect1d(common, np.frombuffer(other, "<i8"), assume_unique=True)
+                    common = np.intersect1d(common, np.frombuffer(other, np.int64), assume_unique=True)
                 left.append(common.tobytes())
             kept = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(left, pa.binary())], names=["segment", "pattern", "starts"])
             yield kept.filter(pa.array([len(x) > 0 for x in left]))
 
-    def thinned(found: DataFrame, ranks: DataFrame) -> DataFrame:
-        wide = found.join(ranks, "pattern").join(held(index, ranks), ["segment", "term"])
-        return wide.select("segment", "pattern", "starts", "postings", "low", "high").mapInArrow(thin, FOUND)
+    def met(asks: DataFrame, keys: list[str], step) -> DataFrame:
+        """The lists of the terms asked for, each read once for a block of patterns."""
+        columns = [c for c in ("pattern", "low", "high", "starts") if c in asks.columns]
+        each = asks.groupBy(*keys, F.shiftright("pattern", BLOCK)).agg(F.collect_list(F.struct(*columns)).alias("asked"))
+        lists = index.select("segment", "term", "postings").join(asks.select("term").distinct(), "term", "left_semi")
+        return lists.join(each, keys).select("segment", "postings", "asked").mapInArrow(step, FOUND)
 
-    sizes = terms.groupBy("pattern").agg(F.count("*").alias("size"))
-    found = settle(held(index, rarest).join(rarest, "term").select("segment", "postings", "asked").mapInArrow(propose, FOUND), "rarest")
-    found = found.join(sizes, "pattern")
-    done = found.where("size = 1").select("segment", "pattern", "starts")
-    second = settle(thinned(found.where("size > 1").select("segment", "pattern", "starts"), terms.where("rank = 1")), "second")
-    second = second.join(sizes, "pattern")
-    done = done.unionByName(second.where("size = 2").select("segment", "pattern", "starts"))
+    def thinned(found: DataFrame, ranks: DataFrame) -> DataFrame:
+        return met(found.join(ranks, "pattern"), ["segment", "term"], thin)
+
+    left = settle(met(terms.where("rank = 0"), ["term"], propose), "rarest")
+    done = None
+    for rank in range(SINGLY):
+        left = left.join(sizes, "pattern")
+        whole = left.where(F.col("size") == rank + 1).select("segment", "pattern", "starts")
+        done = whole if done is None else done.unionByName(whole)
+        left = settle(thinned(left.where(F.col("size") > rank + 1).select("segment", "pattern", "starts"), terms.where(F.col("rank") == rank + 1)), f"thinned-{rank + 1}")
+    left = left.join(sizes, "pattern")
+    done = done.unionByName(left.where(F.col("size") == SINGLY + 1).select("segment", "pattern", "starts"))
     # Few starts are left: the lists of all further terms are read at once, and a start counts if each has it.
-    rest = thinned(second.where("size > 2").select("segment", "pattern", "starts"), terms.where("rank > 1"))
-    rest = rest.groupBy("segment", "pattern").agg(F.collect_list("starts").alias("lists")).join(sizes, "pattern").where("size(lists) = size - 2")
+    rest = thinned(left.where(F.col("size") > SINGLY + 1).select("segment", "pattern", "starts"), terms.where(F.col("rank") > SINGLY))
+    rest = rest.groupBy("segment", "pattern").agg(F.collect_list("starts").alias("lists")).join(sizes, "pattern").where(F.size("lists") == F.col("size") - SINGLY - 1)
     return done.unionByName(rest.select("segment", "pattern", "lists").mapInArrow(shared, FOUND))
 
 
@@ -241,7 +265,7 @@ def by_document(index: DataFrame, found: DataFrame, items: DataFrame, lengths: D
                 covered = np.zeros(int(last[-1]) + 2, np.int32)
                 named: dict[int, set[str]] = {}
                 for f in row["found"] or []:
-                    starts = np.frombuffer(f["starts"], "<i8")
+                    starts = np.frombuffer(f["starts"], np.int64)
                     own = np.searchsorted(first, starts + f["length"] - 1, "right") - 1
                     np.add.at(covered, np.maximum(starts, first[own]), 1)
                     np.add.at(covered, np.minimum(starts + f["length"], last[own]), -1)
