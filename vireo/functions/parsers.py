@@ -9,14 +9,13 @@ kinh nghiệm" means none only where no digit stands before the 0.
 
 from __future__ import annotations
 
-import functools
-import operator
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vireo.functions import dictionaries as d
-from vireo.functions.text import alone, any_of, between_non_words, first_label, lowered, numbers, one_space, stripped, without_accents
+from vireo.functions import keywords as k
+from vireo.functions.keywords import Place
+from vireo.functions.text import between_non_words, first_label, lowered, numbers, one_space, stripped, without_accents
 
 UNICODE = "(?iU)"
 SECONDS = {"second": 1, "giây": 1, "minute": 60, "phút": 60, "hour": 3600, "giờ": 3600, "day": 86400, "ngày": 86400, "week": 604800, "tuần": 604800, "month": 30 * 86400, "tháng": 30 * 86400, "year": 365 * 86400, "năm": 365 * 86400}
@@ -28,7 +27,7 @@ def group(c: Column, pattern: str, n: int) -> Column:
 
 
 def found(c: Column, words: list[str]) -> Column:
-    return c.rlike(any_of(words))
+    return k.holds(c, words)
 
 
 def website(raw: Column) -> Column:
@@ -110,21 +109,25 @@ def title_clean(raw: Column) -> Column:
 
 
 def title_detected(title: Column, vocabulary: d.Vocabulary) -> Column:
+    """The first fixed title, else that of the first role and domain, else the first of the further titles."""
     text = F.lower(title)
-    pair = F.concat_ws("/", first_label(text, [(r, any_of(w)) for r, w in d.ROLES]), first_label(text, [(x, any_of(w)) for x, w in d.DOMAINS]))
-    both = F.lit(None).cast("string")
-    for (role, domain), label in d.ROLE_DOMAIN_TITLES.items():
-        both = F.when(pair == f"{role}/{domain}", F.lit(label)).otherwise(both)
-    return F.coalesce(first_label(text, [(t, alone(w)) for t, w in d.TITLES]), both, first_label(text, [(t, alone(w)) for t, w in vocabulary.titles()]))
+    roles, domains = (F.coalesce(k.first_group(text, groups, Place.INSIDE), F.lit(-1)) for groups in (d.ROLES, d.DOMAINS))
+    number = {label: i for groups in (d.ROLES, d.DOMAINS) for i, (label, _) in enumerate(groups)}
+    pairs = {f"{number[role]}/{number[domain]}": label for (role, domain), label in d.ROLE_DOMAIN_TITLES.items()}
+    both = F.try_element_at(k.constant(pairs, "map<string, string>"), F.concat_ws("/", roles, domains))
+    titles = [(label, [w.lower() for w in words]) for label, words in (*d.TITLES, *vocabulary.titles())]
+    # A one-element array names the number, so that the search for titles runs once.
+    found = F.transform(F.array(k.first_group(text, titles, Place.ALONE)), lambda i: F.when(i < len(d.TITLES), k.label_of(i, titles)).otherwise(F.coalesce(both, k.label_of(i, titles))))
+    return found[0]
 
 
 def with_title(df: DataFrame, raw: str = "job_title", vocabulary: d.Vocabulary | None = None) -> DataFrame:
     """job_title_clean, job_title_detect, job_category_clean, is_it."""
     vocabulary = vocabulary or d.Vocabulary()
     df = df.withColumn("__raw", stripped(raw)).withColumn("__clean", title_clean(F.col("__raw")))
-    df = df.withColumn("job_title_detect", F.coalesce(title_detected(F.col("__clean"), vocabulary), title_detected(F.col("__raw"), vocabulary)))
+    df = df.withColumn("job_title_detect", F.coalesce(title_detected(F.col("__clean"), vocabulary), F.when(F.col("__raw") != F.col("__clean"), title_detected(F.col("__raw"), vocabulary))))
     df = df.withColumn("job_title_clean", F.when(F.col("__clean") != "", F.col("__clean")).otherwise(F.col("__raw")))
-    category = first_label(F.col("job_title_detect"), [(c, "^" + any_of(t) + "$") for c, t in d.TITLE_CATEGORIES.items()])
+    category = k.named(F.col("job_title_detect"), d.TITLE_CATEGORIES.items())
     signal = F.col("job_title_detect").isNull() & found(F.lower("job_title_clean"), list(dict.fromkeys([*(w for _, ws in d.DOMAINS for w in ws), *d.IT_SIGNALS])))
     df = df.withColumn("__category", category).withColumn("__signal", signal)
     df = df.withColumn("is_it", F.col("__category").isNotNull() | F.col("__signal"))
@@ -161,21 +164,14 @@ def company(raw: Column) -> dict[str, Column]:
 
 
 def province_of(part: Column) -> Column:
-    keys = sorted(((k, p) for p, ks in d.PROVINCES.items() for k in ks), key=lambda x: -len(x[0]))
-    gate = any_of(k for k, _ in keys)
-
-    def ladder(text: Column) -> Column:
-        out = F.lit(None).cast("string")
-        for k, p in reversed(keys):
-            out = F.when(text.contains(k), F.lit(p)).otherwise(out)
-        return F.when(text.rlike(gate), out)
-
+    keys = sorted(((p, [key]) for p, ks in d.PROVINCES.items() for key in ks), key=lambda x: -len(x[1][0]))
+    ladder = lambda text: k.first_label(text, keys, Place.INSIDE)
     low = F.trim(F.lower(part))
     return F.coalesce(ladder(low), ladder(F.trim(F.regexp_replace(low, UNICODE + d.PLACE_WORDS, " "))))
 
 
 def region_of(province: Column) -> Column:
-    return first_label(province, [(r, "^" + any_of(ps) + "$") for r, ps in d.REGIONS.items()], d.OTHER_PLACE)
+    return F.coalesce(k.named(province, d.REGIONS.items()), F.lit(d.OTHER_PLACE))
 
 
 def with_places(df: DataFrame, raw: str = "location") -> DataFrame:
@@ -198,8 +194,7 @@ def fanned_out(df: DataFrame) -> DataFrame:
 
 def work_style(kind: Column, mode: Column, description: Column) -> dict[str, Column]:
     full = F.lower(F.concat_ws(" ", stripped(kind), stripped(mode), F.substring(stripped(description), 1, 500)))
-    ladder = lambda rungs: [(label, any_of(words)) for label, words in rungs]
-    return {"job_type_clean": first_label(full, ladder(d.WORK_TYPES), "Full-time"), "work_mode_clean": first_label(full, ladder(d.WORK_MODES), "Onsite")}
+    return {"job_type_clean": k.first_label(full, d.WORK_TYPES, Place.INSIDE, "Full-time"), "work_mode_clean": k.first_label(full, d.WORK_MODES, Place.INSIDE, "Onsite")}
 
 
 # Salary ------------------------------------------------------------------------
@@ -340,17 +335,6 @@ def level(raw: Column, title: Column, low: Column, high: Column, description: Co
 # Description -----------------------------------------------------------------------
 
 
-def labels_in(text: Column, groups: list[tuple[str, str]]) -> Column:
-    """Sorted labels of all patterns found."""
-    return F.array_sort(F.filter(F.array(*[F.when(text.rlike(p), F.lit(label)) for label, p in groups]), lambda x: x.isNotNull()))
-
-
-def words_in(text: Column, groups: list[tuple[str, list[str]]]) -> Column:
-    """Sorted labels of which any word is found alone; patterns are only tried on texts that hold one of their words."""
-    holds = lambda w: F.expr("false") if not w else functools.reduce(operator.or_, [text.contains(x) for x in w])
-    return F.array_sort(F.filter(F.array(*[F.when(holds(w), F.when(text.rlike(between_non_words(w)), F.lit(label))) for label, w in groups]), lambda x: x.isNotNull()))
-
-
 def joined(labels: Column) -> Column:
     return F.when(F.size(labels) > 0, F.array_join(labels, ", "))
 
@@ -361,18 +345,17 @@ def with_description_fields(df: DataFrame, vocabulary: d.Vocabulary | None = Non
     category = F.when(~lowered("website").isin("linkedin", "itviec"), lowered("job_category"))
     df = df.withColumn("__full", F.concat_ws(" ", lowered("job_description"), lowered("job_requirement"), category))
     full = F.col("__full")
-    certificates = F.array_sort(F.filter(F.array(*[F.when(full.contains(c), F.lit(c)) for c in d.CERTIFICATES]), lambda x: x.isNotNull()))
+    certificates = k.all_labels(full, [(c, [c]) for c in d.CERTIFICATES], Place.INSIDE)
     df = df.withColumn("__certs", certificates)
     of = {c: lang for lang, cs in d.LANGUAGE_CERTIFICATES.items() for c in cs}
     languages = F.array_sort(F.array_distinct(F.filter(F.transform("__certs", lambda c: F.element_at(F.create_map(*[F.lit(x) for kv in of.items() for x in kv]), c)), lambda x: x.isNotNull())))
     return df.withColumns({
-        "hard_skills": joined(words_in(full, vocabulary.hard_skills())), "soft_skills": joined(labels_in(full, [(s, between_non_words(w)) for s, w in d.SOFT_SKILLS])),
-        "major": first_label(full, [(m, any_of(w)) for m, w in d.MAJORS]), "certifications": joined(F.col("__certs")), "languages": joined(languages)}).drop("__full", "__certs")
+        "hard_skills": joined(k.all_labels(full, vocabulary.hard_skills(), Place.WORD)), "soft_skills": joined(k.all_labels(full, d.SOFT_SKILLS, Place.WORD)),
+        "major": k.first_label(full, d.MAJORS, Place.INSIDE), "certifications": joined(F.col("__certs")), "languages": joined(languages)}).drop("__full", "__certs")
 
 
 def education(raw: Column, description: Column, requirement: Column) -> Column:
-    ladder = [(label, any_of(words)) for label, words in d.EDUCATION]
-    return F.coalesce(*[first_label(lowered(c), ladder) for c in (raw, requirement, description)], F.lit(d.NO_EDUCATION))
+    return F.coalesce(*[k.first_label(lowered(c), d.EDUCATION, Place.INSIDE) for c in (raw, requirement, description)], F.lit(d.NO_EDUCATION))
 
 
 def company_size(raw: Column) -> dict[str, Column]:
@@ -386,8 +369,8 @@ def company_size(raw: Column) -> dict[str, Column]:
 def industry(raw: Column, major: Column, strict_words: bool = False) -> dict[str, Column]:
     """Keywords are found inside words too, unless `strict_words`."""
     text = F.concat_ws(" ", lowered(raw), lowered(major))
-    pattern = alone if strict_words else any_of
-    pick = lambda at: first_label(text, [(row[at], pattern(row[2])) for row in d.INDUSTRIES], d.UNKNOWN_INDUSTRY)
+    place = Place.ALONE if strict_words else Place.INSIDE
+    pick = lambda at: k.first_label(text, [(row[at], row[2]) for row in d.INDUSTRIES], place, d.UNKNOWN_INDUSTRY)
     return {"industry_level1": pick(0), "industry_level2": pick(1)}
 
 
@@ -402,7 +385,7 @@ def headcount(raw: Column, title: Column) -> Column:
 def education_evidence(claimed: Column, description: Column, requirement: Column) -> Column:
     """A claimed education only where the text names it or any other; else null."""
     text = F.concat_ws(" ", lowered(description), lowered(requirement))
-    return F.when(text.rlike(any_of(w for _, ws in d.EDUCATION for w in ws)), claimed)
+    return F.when(found(text, [w for _, ws in d.EDUCATION for w in ws]), claimed)
 
 
 def years_at_source(text: Column) -> Column:

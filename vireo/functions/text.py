@@ -41,11 +41,6 @@ def any_of(words: Iterable[str]) -> str:
     return "(?:" + "|".join(re.escape(w) for w in words) + ")"
 
 
-def alone(words: Iterable[str]) -> str:
-    """Pattern that finds any of the words with no ASCII letter or digit beside it."""
-    return "(?iU)(?<![a-z0-9])" + any_of(sorted(words, key=len, reverse=True)) + "(?![a-z0-9])"
-
-
 def between_non_words(words: Iterable[str]) -> str:
     return r"(?U)(?:^|\W)" + any_of(words) + r"(?:$|\W)"
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from vireo import schemas
 from vireo.functions import dictionaries as d
+from vireo.functions import keywords
 from vireo.functions import parsers as p
 from vireo.functions import text as t
 from vireo.operators import lineage, linkage, upsert, windows
@@ -406,10 +408,48 @@ def title_noise_clean(table):
     return table("part").select("p_partkey", p.title_clean(F.concat(F.lit("[HN]  "), "p_name", F.lit("  engineer - (Remote)"))).alias("title"))
 
 
-@query("""SELECT p_partkey, CASE WHEN p_size % 4 = 0 THEN 'Data Engineer' WHEN p_size % 4 = 1 THEN 'Back-end Developer' WHEN p_size % 4 = 2 THEN 'QA - QC' END AS label FROM part""")
+def _quoted(word: str) -> str:
+    return "'" + word.replace("'", "''") + "'"
+
+
+def _list_of(words) -> str:
+    return "[" + ", ".join(map(_quoted, words)) + "]"
+
+
+#: Sides of a keyword in SQL: nothing, no letter a-z or digit, no character of a word.
+_INSIDE, _ALONE, _WORD = ("", ""), ("(^|[^a-z0-9])", "($|[^a-z0-9])"), (r"(^|[^\p{L}\p{M}\p{N}_])", r"($|[^\p{L}\p{M}\p{N}_])")
+
+
+def _found(text: str, words, sides) -> str:
+    """SQL that tells whether any of the words is in the text between such sides."""
+    return f"regexp_matches({text}, {_quoted(sides[0] + '(' + '|'.join(re.escape(w) for w in words) + ')' + sides[1])})"
+
+
+def _first(text: str, groups, sides, default: str = "NULL") -> str:
+    """SQL of the first group's label, one condition after the other."""
+    return f"CASE {' '.join(f'WHEN {_found(text, words, sides)} THEN {_quoted(label)}' for label, words in groups)} ELSE {default} END"
+
+
+def _all(text: str, groups, sides) -> str:
+    """SQL of the sorted labels of all groups, joined; null without any."""
+    return f"nullif(concat_ws(', ', {', '.join(f'CASE WHEN {_found(text, words, sides)} THEN {_quoted(label)} END' for label, words in sorted(groups))}), '')"
+
+
+_VOCABULARY = d.Vocabulary()
+_TITLE_WORDS = [w for groups in (d.TITLES, d.OTHER_TITLES) for _, words in groups for w in words] + ["react programmer", "spark analysis", "clerk"]
+_PAIR = "CASE " + " ".join(f"WHEN role = '{role}' AND domain = '{domain}' THEN {_quoted(label)}" for (role, domain), label in d.ROLE_DOMAIN_TITLES.items()) + " END"
+
+
+@query(f"""WITH t AS (SELECT p_partkey, lower(CASE p_partkey % 3 WHEN 0 THEN 'Senior ' WHEN 1 THEN '(x)' ELSE '' END || ({_list_of(_TITLE_WORDS)})[1 + p_partkey % {len(_TITLE_WORDS)}] || CASE p_partkey % 4 WHEN 0 THEN '/' WHEN 1 THEN ' ' WHEN 2 THEN '9' ELSE ', ' END || ({_list_of(_TITLE_WORDS)})[1 + p_partkey * 7 % {len(_TITLE_WORDS)}]) AS title FROM part),
+f AS (SELECT *, {_first("title", d.ROLES, _INSIDE)} AS role, {_first("title", d.DOMAINS, _INSIDE)} AS domain FROM t)
+SELECT p_partkey, title, coalesce({_first("title", d.TITLES, _ALONE)}, {_PAIR}, {_first("title", d.OTHER_TITLES, _ALONE)}) AS label FROM f""")
 def title_first_match(table):
-    title = F.when(c("p_size") % 4 == 0, "Senior DATA engineer, x").when(c("p_size") % 4 == 1, "web developer").when(c("p_size") % 4 == 2, "qc line").otherwise("zqcz")
-    return table("part").select("p_partkey", t.first_label(title, [(a, t.alone(b)) for a, b in d.TITLES]).alias("label"))
+    n, words = len(_TITLE_WORDS), keywords.constant(_TITLE_WORDS, "array<string>")
+    word = lambda i: F.get(words, (i % n).cast("int"))
+    lead = F.when(c("p_partkey") % 3 == 0, "Senior ").when(c("p_partkey") % 3 == 1, "(x)").otherwise("")
+    glue = F.when(c("p_partkey") % 4 == 0, "/").when(c("p_partkey") % 4 == 1, " ").when(c("p_partkey") % 4 == 2, "9").otherwise(", ")
+    rows = table("part").select("p_partkey", F.lower(F.concat(lead, word(c("p_partkey")), glue, word(c("p_partkey") * 7))).alias("title"))
+    return rows.select("p_partkey", "title", p.title_detected(c("title"), _VOCABULARY).alias("label"))
 
 
 @query("""SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN 'Front-end Developer' WHEN p_size % 3 = 1 THEN 'Data Analyst' END AS label, CASE WHEN p_size % 3 = 0 THEN 'Software Development' WHEN p_size % 3 = 1 THEN 'Data Analytics' ELSE 'Non-IT' END AS category, p_size % 3 <> 2 AS is_it FROM part""")
@@ -483,11 +523,19 @@ def level_bucket(table):
     return table("part").select("p_partkey", p.level(F.lit(""), F.when(c("p_size") % 5 == 0, "Senior clerk"), years, years, F.lit(""), F.lit("")).alias("level"))
 
 
-@query("""SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'Docker, Python' WHEN doc_id % 3 = 1 THEN 'SQL' END AS hard FROM documents""")
+_SKILL_WORDS = [w for _, words in _VOCABULARY.hard_skills() for w in words] + [w for _, words in d.SOFT_SKILLS for w in words] + [w for _, words in d.MAJORS for w in words]
+
+
+@query(f"""WITH f AS (SELECT doc_id, rtrim(lower(text || CASE doc_id % 5 WHEN 0 THEN '' WHEN 1 THEN 'x' ELSE chr(10) END || upper(({_list_of(_SKILL_WORDS)})[1 + doc_id % {len(_SKILL_WORDS)}]) || CASE doc_id % 3 WHEN 0 THEN '/' WHEN 1 THEN ' ' ELSE 'x' END || ({_list_of(_SKILL_WORDS)})[1 + doc_id * 7 % {len(_SKILL_WORDS)}])) || ' ' AS body FROM documents)
+SELECT doc_id, {_all("body", _VOCABULARY.hard_skills(), _WORD)} AS hard, {_all("body", d.SOFT_SKILLS, _WORD)} AS soft, {_first("body", d.MAJORS, _INSIDE)} AS major FROM f""")
 def skills_extract(table):
-    text = F.concat_ws(" ", "text", F.when(c("doc_id") % 3 == 0, "PYTHON / docker;").when(c("doc_id") % 3 == 1, "sql").otherwise("pythonic nosqlx"))
-    rows = table("documents").select("doc_id", F.lower(text).alias("full"))
-    return rows.select("doc_id", p.joined(p.words_in(c("full"), d.Vocabulary().hard_skills())).alias("hard"))
+    n, words = len(_SKILL_WORDS), keywords.constant(_SKILL_WORDS, "array<string>")
+    word = lambda i: F.get(words, (i % n).cast("int"))
+    lead = F.when(c("doc_id") % 5 == 0, "").when(c("doc_id") % 5 == 1, "x").otherwise("\n")
+    glue = F.when(c("doc_id") % 3 == 0, "/").when(c("doc_id") % 3 == 1, " ").otherwise("x")
+    text = F.concat("text", lead, F.upper(word(c("doc_id"))), glue, word(c("doc_id") * 7))
+    rows = table("documents").select("doc_id", F.lit("linkedin").alias("website"), text.alias("job_description"), F.lit(None).cast("string").alias("job_requirement"), F.lit("sql").alias("job_category"))
+    return p.with_description_fields(rows).select("doc_id", c("hard_skills").alias("hard"), c("soft_skills").alias("soft"), "major")
 
 
 _LISTED = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
