@@ -73,14 +73,19 @@ def hits(text: Column, words: Iterable[str], place: Place) -> Column:
     return F.array_distinct(F.regexp_extract_all(text, F.lit(pattern(words, place)), F.lit(1)))
 
 
-def meanings(groups: list[tuple[str, list[str]]], place: Place) -> dict[str, list[int]]:
-    """For each keyword the numbers of the groups that it, or a keyword that begins it, belongs to."""
+def words_of(*lists: list[tuple[str, list[str]]]) -> list[str]:
+    """All keywords of some lists of groups."""
+    return list(dict.fromkeys(w for groups in lists for _, words in groups for w in words if w))
+
+
+def meanings(groups: list[tuple[str, list[str]]], place: Place, searched: list[str] | None = None) -> dict[str, list[int]]:
+    """For each keyword searched for (those of the groups, if not given) the numbers of the groups that it, or a keyword that begins it, belongs to."""
     own: dict[str, set[int]] = {}
     for i, (_, words) in enumerate(groups):
         for w in words:
-            if w:
-                own.setdefault(w, set()).add(i)
-    return {w: sorted(set().union(*(own.get(w[:n], ()) for n in range(1, len(w) + 1) if n == len(w) or not place.goes_on(w[n])))) for w in own}
+            own.setdefault(w, set()).add(i)
+    named = {w: sorted(set().union(*(own.get(w[:n], ()) for n in range(1, len(w) + 1) if n == len(w) or not place.goes_on(w[n])))) for w in searched or words_of(groups)}
+    return {w: numbers for w, numbers in named.items() if numbers}
 
 
 def constant(value, kind: str) -> Column:
@@ -88,21 +93,31 @@ def constant(value, kind: str) -> Column:
     return F.from_json(F.lit(json.dumps(value, ensure_ascii=False)), kind)
 
 
-def all_labels(text: Column, groups: list[tuple[str, list[str]]], place: Place) -> Column:
-    """Sorted labels of all groups of which a keyword is in the text."""
-    known = {w: sorted({groups[i][0] for i in numbers}) for w, numbers in meanings(groups, place).items()}
+def labels_of_hits(found: Column, groups: list[tuple[str, list[str]]], place: Place, searched: list[str]) -> Column:
+    """Sorted labels of all groups that the hits of a search for `searched` name: one search serves several lists of groups."""
+    known = {w: sorted({groups[i][0] for i in numbers}) for w, numbers in meanings(groups, place, searched).items()}
     if not known:
-        return F.when(text.isNotNull(), F.array().cast("array<string>"))
-    named = F.transform(hits(text, known, place), lambda w: F.element_at(constant(known, "map<string, array<string>>"), w))
+        return F.when(found.isNotNull(), F.array().cast("array<string>"))
+    named = F.transform(found, lambda w: F.coalesce(F.try_element_at(constant(known, "map<string, array<string>>"), w), F.array().cast("array<string>")))
     return F.array_sort(F.array_distinct(F.flatten(named)))
 
 
-def first_group(text: Column, groups: list[tuple[str, list[str]]], place: Place) -> Column:
-    """The number of the first group, from 0, of which a keyword is in the text; null where there is none."""
-    known = {w: numbers[0] for w, numbers in meanings(groups, place).items()}
+def group_of_hits(found: Column, groups: list[tuple[str, list[str]]], place: Place, searched: list[str]) -> Column:
+    """The number of the first group, from 0, that the hits of a search for `searched` name; null where there is none."""
+    known = {w: numbers[0] for w, numbers in meanings(groups, place, searched).items()}
     if not known:
         return F.lit(None).cast("int")
-    return F.array_min(F.transform(hits(text, known, place), lambda w: F.element_at(constant(known, "map<string, int>"), w)))
+    return F.array_min(F.transform(found, lambda w: F.try_element_at(constant(known, "map<string, int>"), w)))
+
+
+def all_labels(text: Column, groups: list[tuple[str, list[str]]], place: Place) -> Column:
+    """Sorted labels of all groups of which a keyword is in the text."""
+    return labels_of_hits(hits(text, words_of(groups), place), groups, place, words_of(groups))
+
+
+def first_group(text: Column, groups: list[tuple[str, list[str]]], place: Place) -> Column:
+    """The number of the first group, from 0, of which a keyword is in the text; null where there is none."""
+    return group_of_hits(hits(text, words_of(groups), place), groups, place, words_of(groups))
 
 
 def label_of(number: Column, groups: list[tuple[str, list[str]]], default: str | None = None) -> Column:

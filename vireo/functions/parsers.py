@@ -344,14 +344,17 @@ def with_description_fields(df: DataFrame, vocabulary: d.Vocabulary | None = Non
     vocabulary = vocabulary or d.Vocabulary()
     category = F.when(~lowered("website").isin("linkedin", "itviec"), lowered("job_category"))
     df = df.withColumn("__full", F.concat_ws(" ", lowered("job_description"), lowered("job_requirement"), category))
-    full = F.col("__full")
-    certificates = k.all_labels(full, [(c, [c]) for c in d.CERTIFICATES], Place.INSIDE)
-    df = df.withColumn("__certs", certificates)
+    # Two searches serve four lists of groups: one for whole words, one for keywords inside words too.
+    hard, certificates = vocabulary.hard_skills(), [(x, [x]) for x in d.CERTIFICATES]
+    whole, inside = k.words_of(hard, d.SOFT_SKILLS), k.words_of(certificates, d.MAJORS)
+    df = df.withColumn("__whole", k.hits(F.col("__full"), whole, Place.WORD)).withColumn("__inside", k.hits(F.col("__full"), inside, Place.INSIDE))
+    skills = lambda groups: joined(k.labels_of_hits(F.col("__whole"), groups, Place.WORD, whole))
+    df = df.withColumn("__certs", k.labels_of_hits(F.col("__inside"), certificates, Place.INSIDE, inside))
     of = {c: lang for lang, cs in d.LANGUAGE_CERTIFICATES.items() for c in cs}
     languages = F.array_sort(F.array_distinct(F.filter(F.transform("__certs", lambda c: F.element_at(F.create_map(*[F.lit(x) for kv in of.items() for x in kv]), c)), lambda x: x.isNotNull())))
     return df.withColumns({
-        "hard_skills": joined(k.all_labels(full, vocabulary.hard_skills(), Place.WORD)), "soft_skills": joined(k.all_labels(full, d.SOFT_SKILLS, Place.WORD)),
-        "major": k.first_label(full, d.MAJORS, Place.INSIDE), "certifications": joined(F.col("__certs")), "languages": joined(languages)}).drop("__full", "__certs")
+        "hard_skills": skills(hard), "soft_skills": skills(d.SOFT_SKILLS), "major": k.label_of(k.group_of_hits(F.col("__inside"), d.MAJORS, Place.INSIDE, inside), d.MAJORS),
+        "certifications": joined(F.col("__certs")), "languages": joined(languages)}).drop("__full", "__whole", "__inside", "__certs")
 
 
 def education(raw: Column, description: Column, requirement: Column) -> Column:
