@@ -1,10 +1,12 @@
 """Duplicate postings: an exact pass chained by gaps, then a fuzzy pass on titles.
 
 The exact pass is windows only. The fuzzy pass is sequential by nature (each
-chain is matched by its last title) and runs as a grouped function over blocks
-of company, province and stretch of time without a gap that ends all chains; a
-block with one row, or without a new one, is left out before grouping. Ties in
-the order fall to etl_id.
+chain is matched by its last title) within a block of company, province and
+stretch of time without a gap that ends all chains. An index proposes and a
+comparison confirms the similar titles of a block; they split it into pieces
+without similar titles in common, and a grouped function folds each piece over
+the pairs found. Blocks and pieces with one row, or without a new one, are left
+out. Ties in the order fall to etl_id.
 """
 
 from __future__ import annotations
@@ -15,11 +17,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vireo.functions.text import lowered, stripped
+from vireo.operators.candidates import pieces, similar_titles
+from vireo.operators.lineage import settled
 from vireo.operators.windows import gap_chains, latest
 
 #: Rank of the sites whose postings are preferred as originals; all others rank 99.
 SOURCE_RANKS = {"topcv": 1, "vietnamwork": 2, "careerviet": 3, "careerlink": 4}
 FUZZY = 92
+#: Rows of a block whose titles are compared without an index.
+SMALL_BLOCK = 5000
+LINKS = "dup_id long, canon_id long, method string"
 #: Names that a batch column may have, the first that exists counts.
 RUN_COLUMNS = ("etl_run_id", "run_id", "batch_id", "etl_batch")
 
@@ -157,8 +164,51 @@ def fuzzy_fold(rows: list[tuple], days: int, least: float = FUZZY) -> list[tuple
     return out
 
 
-def fuzzy_links(df: DataFrame, is_new: Column, days: int, least: float = FUZZY) -> DataFrame:
-    """(dup_id, canon_id, method) by title within company and province."""
+def chained(rows: list[tuple], near: dict[int, dict[int, float]], days: int) -> list[tuple[int, int]]:
+    """As `fuzzy_fold`, of rows (etl_id, day, title number, level, is_new), where `near` holds each title's similar titles
+    and how similar they are: a row meets only the live chains that end in one of those."""
+    ends: dict[int, dict[int, list]] = {}
+    out, begun = [], 0
+    for eid, day, title, lvl, is_new in rows:
+        best, at = None, None
+        similar = near.get(title, {})
+        for other in (similar if len(similar) < len(ends) else [t for t in ends if t in similar]):
+            live = ends.get(other)
+            if not live:
+                continue
+            for number in [n for n, c in live.items() if day - c[1] > days]:
+                del live[number]
+            if not live:
+                del ends[other]
+            for number, chain in live.items():
+                if chain[2] and lvl and chain[2] != lvl:
+                    continue
+                rank = (similar[other], -number)
+                if best is None or rank > best:
+                    best, at = rank, (other, number)
+        if at is None:
+            ends.setdefault(title, {})[begun] = [eid, day, lvl]
+            begun += 1
+            continue
+        other, number = at
+        chain = ends[other].pop(number)
+        chain[1], chain[2] = day, chain[2] or lvl
+        if not ends[other]:
+            del ends[other]
+        ends.setdefault(title, {})[number] = chain
+        if eid != chain[0] and is_new:
+            out.append((eid, chain[0]))
+    return out
+
+
+def fuzzy_links(df: DataFrame, is_new: Column, days: int, least: float = FUZZY, small_block: int = SMALL_BLOCK) -> DataFrame:
+    """(dup_id, canon_id, method) by title within company and province.
+
+    Blocks of at most `small_block` rows are folded as they are. In larger
+    ones, similar titles are found by an index; chains stay among titles
+    that similarity holds together, so a block falls into pieces that are
+    folded each for itself, over the pairs found.
+    """
     import vireo
     from pyspark import cloudpickle
 
@@ -171,12 +221,38 @@ def fuzzy_links(df: DataFrame, is_new: Column, days: int, least: float = FUZZY)
         pairs = fuzzy_fold(list(pdf[["etl_id", "day", "title", "lvl", "is_new"]].itertuples(index=False, name=None)), days, least)
         return pd.DataFrame(pairs, columns=["dup_id", "canon_id"]).assign(method="fuzzy_title")
 
+    def piece(pdf, edges):
+        import pandas as pd
+
+        near: dict[int, dict[int, float]] = {}
+        for a, b, score in edges[["a", "b", "score"]].itertuples(index=False, name=None):
+            near.setdefault(a, {})[b] = score
+            near.setdefault(b, {})[a] = score
+        pdf = pdf.sort_values(["day", "rank", "info", "etl_id"], ascending=[True, True, False, True], kind="stable")
+        pairs = chained(list(pdf[["etl_id", "day", "title_id", "lvl", "is_new"]].itertuples(index=False, name=None)), near, days)
+        return pd.DataFrame(pairs, columns=["dup_id", "canon_id"]).assign(method="fuzzy_title")
+
     rows = df.withColumn("is_new", is_new).select("co", "prov", "etl_id", "day", "rank", "info", "title", "lvl", "is_new")
     # No chain outlives a gap of more than `days`: each stretch between such gaps is folded on its own.
     rows = gap_chains(rows, ["co", "prov"], F.col("day"), days, "etl_id", "day", "rank", F.desc("info"), "etl_id").withColumnRenamed("root", "stretch")
     block_of = ["co", "prov", "stretch"]
-    crowded = rows.groupBy(*block_of).agg(F.count("*").alias("n"), F.max("is_new").alias("any_new")).where("n > 1 and any_new").select(*block_of)
-    return rows.join(crowded, block_of).groupBy(*block_of).applyInPandas(block, "dup_id long, canon_id long, method string")
+    crowded = rows.groupBy(*block_of).agg(F.count("*").alias("n"), F.max("is_new").alias("any_new")).where("n > 1 and any_new")
+    crowded = settled(crowded.withColumn("block", F.monotonically_increasing_id()).select(*block_of, "block", "n"), "blocks")
+    rows = rows.join(crowded, block_of).drop(*block_of)
+    # Few titles are sooner compared with each other than looked up.
+    small = rows.where(F.col("n") <= small_block).groupBy("block").applyInPandas(block, LINKS)
+    if crowded.where(F.col("n") > small_block).isEmpty():
+        return small
+    rows = settled(rows.where(F.col("n") > small_block), "crowded")
+    titles = settled(rows.select("block", "title").distinct().withColumn("title_id", F.monotonically_increasing_id()), "titles")
+    edges = settled(similar_titles(titles, least), "similar-titles")
+    placed = settled(pieces(titles, edges), "placed")
+    # A title is similar to itself, whatever the least.
+    own = titles.select(F.col("title_id").alias("a"), F.col("title_id").alias("b"), F.lit(100.0).alias("score"))
+    numbered = settled(rows.join(titles, ["block", "title"]).join(placed, "title_id").select("piece", "etl_id", "day", "rank", "info", "title_id", "lvl", "is_new"), "numbered")
+    folded = numbered.groupBy("piece").agg(F.count("*").alias("n"), F.max("is_new").alias("any_new")).where("n > 1 and any_new").select("piece")
+    pairs = edges.unionByName(own).join(placed.withColumnRenamed("title_id", "a"), "a").join(folded, "piece")
+    return small.unionByName(numbered.join(folded, "piece").groupBy("piece").cogroup(pairs.groupBy("piece")).applyInPandas(piece, LINKS))
 
 
 def duplicates(new: DataFrame, history: DataFrame, days: int) -> DataFrame:
