@@ -223,17 +223,17 @@ def occurrences(index: DataFrame, patterns: DataFrame, within: int | None = None
             kept = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(left, pa.binary())], names=["segment", "pattern", "starts"])
             yield kept.filter(pa.array([len(x) > 0 for x in left]))
 
-    def met(asks: DataFrame, keys: list[str], step) -> DataFrame:
-        """The lists of the terms asked for, each read once for a block of patterns."""
+    def met(asks: DataFrame, ranks: DataFrame, keys: list[str], step) -> DataFrame:
+        """The lists of the terms of some ranks that are asked for, each read once for a block of patterns."""
         columns = [c for c in ("pattern", "low", "high", "starts") if c in asks.columns]
         each = asks.groupBy(*keys, F.shiftright("pattern", BLOCK)).agg(F.collect_list(F.struct(*columns)).alias("asked"))
-        lists = index.select("segment", "term", "postings").join(asks.select("term").distinct(), "term", "left_semi")
+        lists = index.select("segment", "term", "postings").join(ranks.select("term"), "term", "left_semi")
         return lists.join(each, keys).select("segment", "postings", "asked").mapInArrow(step, FOUND)
 
     def thinned(found: DataFrame, ranks: DataFrame) -> DataFrame:
-        return met(found.join(ranks, "pattern"), ["segment", "term"], thin)
+        return met(found.join(ranks, "pattern"), ranks, ["segment", "term"], thin)
 
-    left = settle(met(terms.where("rank = 0"), ["term"], propose), "rarest")
+    left = settle(met(terms.where("rank = 0"), terms.where("rank = 0"), ["term"], propose), "rarest")
     done = None
     for rank in range(SINGLY):
         left = left.join(sizes, "pattern")
