@@ -10,6 +10,7 @@ from vireo.functions import parsers as p
 from vireo.functions.dictionaries import Vocabulary
 from vireo.functions.text import cut_to, stripped
 from vireo.operators.upsert import upsert
+from vireo.operators.windows import latest
 
 #: Columns that a repeated transform refreshes; the others keep their first value.
 REFRESHED = (
@@ -41,8 +42,11 @@ def transformed(rows: DataFrame, run_id: int, vocabulary: Vocabulary | None = No
 
 
 def loaded(old: DataFrame, new: DataFrame) -> DataFrame:
-    """The cleaned table after an upsert by posting and province, with upsert_status."""
-    return upsert(old, new.dropDuplicates(["job_url", "location_province"]), ["job_url", "location_province"], {x: "replace" for x in REFRESHED}, with_status=True)
+    """The cleaned table after an upsert by posting and province, with upsert_status. Of rows of `new` that share both, the
+    one scraped last counts, then the first by the other columns."""
+    key = ["job_url", "location_province"]
+    once = latest(new, key, F.desc_nulls_last("scraped_at") if "scraped_at" in new.columns else "job_url", *[c for c in new.columns if c not in key])
+    return upsert(old, once, ["job_url", "location_province"], {x: "replace" for x in REFRESHED}, with_status=True)
 
 
 def run_log(inputs: int, outputs: int, new: int, updated: int, errors: int, started: str, finished: str, mode: str, spark) -> DataFrame:

@@ -398,6 +398,35 @@ def age_filter(table):
     return table("events").select("event_id", p.is_old(F.concat((c("user_id") % 9).cast("string"), F.lit(" ngày trước")), F.lit("2024-03-01T12:00:00"), 3).alias("old"))
 
 
+@query("""WITH cards AS (SELECT event_id, user_id, event_type, max(CASE WHEN event_id * 7 % 40 > 30 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS seen FROM events)
+SELECT event_id, user_id, event_type FROM cards WHERE seen = 0""")
+def stop_at_first_old(table):
+    cards = table("events").withColumn("posted", F.concat((c("event_id") * 7 % 40).cast("string"), F.lit(" ngày trước")))
+    return windows.take_while(cards, ["user_id", "event_type"], p.is_old(c("posted"), F.lit("2024-03-01T12:00:00"), 30), "ts", "event_id").select("event_id", "user_id", "event_type")
+
+
+@query("""WITH s AS (SELECT 'u' || p_partkey AS job_url, p_name AS job_title, p_brand AS compensation, p_type AS website FROM part),
+o AS (SELECT job_url, job_title, compensation, website FROM s, part p WHERE s.job_url = 'u' || p.p_partkey AND p_partkey % 3 <> 0), n AS (SELECT job_url, upper(job_title) AS job_title, website FROM s, part p WHERE s.job_url = 'u' || p.p_partkey AND p_partkey % 2 = 0 AND p_size > 5)
+SELECT coalesce(o.job_url, n.job_url) AS job_url, CASE WHEN n.job_url IS NULL THEN o.job_title ELSE n.job_title END AS job_title, CASE WHEN n.job_url IS NULL THEN o.compensation END AS compensation, CASE WHEN o.job_url IS NULL THEN n.website ELSE o.website END AS website,
+CASE WHEN o.job_url IS NULL THEN 'new' WHEN n.job_url IS NULL THEN 'kept' ELSE 'updated' END AS upsert_status FROM o FULL JOIN n ON o.job_url = n.job_url""")
+def staging_upsert(table):
+    rows = table("part").withColumns({"job_url": F.concat(F.lit("u"), "p_partkey"), "job_title": c("p_name"), "compensation": c("p_brand"), "website": c("p_type")})
+    old = rows.where("p_partkey % 3 <> 0").select("job_url", "job_title", "compensation", "website")
+    new = rows.where("p_partkey % 2 = 0").select("job_url", F.upper("job_title").alias("job_title"), "website", (c("p_size") > 5).alias("is_valid"))
+    return ingest.staged(old, new)
+
+
+@query("""WITH r AS (SELECT 'u' || o_custkey AS job_url, o_orderpriority AS location_province, o_orderstatus AS level_clean, o_orderdate, o_orderkey FROM orders),
+l AS (SELECT *, row_number() OVER (PARTITION BY job_url, location_province ORDER BY CAST(o_orderdate AS DATE) DESC, level_clean, o_orderkey) AS k FROM r WHERE o_orderkey % 2 = 0), n AS (SELECT * FROM l WHERE k = 1),
+f AS (SELECT *, row_number() OVER (PARTITION BY job_url, location_province ORDER BY o_orderkey) AS k FROM r WHERE o_orderkey % 2 = 1), o AS (SELECT * FROM f WHERE k = 1)
+SELECT coalesce(o.job_url, n.job_url) AS job_url, coalesce(o.location_province, n.location_province) AS location_province, coalesce(n.level_clean, o.level_clean) AS level_clean, coalesce(o.o_orderkey, n.o_orderkey) AS src_id,
+CASE WHEN o.job_url IS NULL THEN 'new' WHEN n.job_url IS NULL THEN 'kept' ELSE 'updated' END AS upsert_status FROM o FULL JOIN n ON o.job_url = n.job_url AND o.location_province = n.location_province""")
+def cleaned_upsert(table):
+    rows = table("orders").select(F.concat(F.lit("u"), "o_custkey").alias("job_url"), c("o_orderpriority").alias("location_province"), c("o_orderstatus").alias("level_clean"), c("o_orderkey").alias("src_id"), F.to_date("o_orderdate").alias("scraped_at"))
+    old = windows.latest(rows.where("src_id % 2 = 1"), ["job_url", "location_province"], "src_id").drop("scraped_at")
+    return transform.loaded(old, rows.where("src_id % 2 = 0"))
+
+
 @query(f"SELECT o_orderkey, strftime({_D}, '%d/%m/%Y') AS written FROM orders")
 def date_clean_day_first(table):
     return table("orders").select("o_orderkey", p.day_first(F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("T00:00"))).alias("written"))

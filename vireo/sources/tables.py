@@ -6,7 +6,7 @@ from collections.abc import Iterator
 from functools import reduce
 from html.parser import HTMLParser
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vireo.functions.dictionaries import URL_CATEGORIES
@@ -33,6 +33,28 @@ def scraped_on(df: DataFrame, day: str, column: str = "scraped_at") -> DataFrame
     return df.where(F.to_date(column) == F.to_date(F.lit(day)))
 
 
+def day_of(column: Column) -> Column:
+    """The day of a time, which may be text with further digits or a zone after the date; null where there is none."""
+    return F.try_to_date(F.substring(F.trim(column.cast("string")), 1, 10), "yyyy-MM-dd")
+
+
+def write_by_day(df: DataFrame, path: str, column: str = "scraped_at", day: str = "scrape_day") -> None:
+    """Write rows into a folder a day, so that a later scan of some days opens no other; of the days that `df` has, all rows are replaced.
+
+    Rows of one day are spread over tasks as their number asks, however many share the day.
+    """
+    rows = df.withColumn(day, day_of(F.col(column))).hint("rebalance", day)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
+
+
+def of_days(staging: DataFrame, days: DataFrame, day: str = "scrape_day") -> DataFrame:
+    """Rows of the days that the column `day` of `days` lists: the scan is pruned to them while it runs.
+
+    The distinct days are broadcast; a century has 36,525, less than a megabyte.
+    """
+    return staging.join(F.broadcast(days.select(day).distinct()), day, "left_semi").select(*staging.columns)
+
+
 def since(df: DataFrame, column: str, today: str, days: int) -> DataFrame:
     return df.where((F.col(column) >= F.date_sub(F.to_date(F.lit(today)), days)) & F.col(column).isNotNull())
 
@@ -88,6 +110,7 @@ class Outline(HTMLParser):
         self.spans: dict[int, list[int]] = {}
         self.headings: list[tuple[int, int, list[int]]] = []
         self._open: list[tuple[str, int]] = []
+        self._code = False
         self.feed(page)
         self.close()
         while self._open:
@@ -101,6 +124,7 @@ class Outline(HTMLParser):
             self.headings.append((at, len(self.pieces), [a for t, a in self._open if t in self.FRAMES]))
 
     def handle_starttag(self, tag, attrs) -> None:
+        self._code = tag in ("script", "style")
         if tag in self.FRAMES:
             at = len(self.spans)
             self.spans[at] = [len(self.pieces), -1]
@@ -109,13 +133,14 @@ class Outline(HTMLParser):
             self._open.append((tag, len(self.pieces)))
 
     def handle_endtag(self, tag) -> None:
+        self._code = False
         if any(t == tag for t, _ in self._open):
             while self._open[-1][0] != tag:
                 self._end()
             self._end()
 
     def handle_data(self, data) -> None:
-        if data.strip():
+        if data.strip() and not self._code:
             self.pieces.append(data.strip())
 
 
