@@ -552,12 +552,19 @@ def level_bucket(table):
     return table("part").select("p_partkey", p.level(F.lit(""), F.when(c("p_size") % 5 == 0, "Senior clerk"), years, years, F.lit(""), F.lit("")).alias("level"))
 
 
+@query(f"""WITH f AS (SELECT doc_id, lower(concat_ws(' ', text, CASE doc_id % 3 WHEN 0 THEN 'PYTHON / docker;' WHEN 1 THEN 'sql' ELSE 'pythonic nosqlx' END)) AS body FROM documents) SELECT doc_id, {_all("body", _VOCABULARY.hard_skills(), _WORD)} AS hard FROM f""")
+def skills_extract(table):
+    text = F.concat_ws(" ", "text", F.when(c("doc_id") % 3 == 0, "PYTHON / docker;").when(c("doc_id") % 3 == 1, "sql").otherwise("pythonic nosqlx"))
+    rows = table("documents").select("doc_id", F.lower(text).alias("full"))
+    return rows.select("doc_id", p.joined(keywords.all_labels(c("full"), _VOCABULARY.hard_skills(), keywords.Place.WORD)).alias("hard"))
+
+
 _SKILL_WORDS = [w for _, words in _VOCABULARY.hard_skills() for w in words] + [w for _, words in d.SOFT_SKILLS for w in words] + [w for _, words in d.MAJORS for w in words]
 
 
 @query(f"""WITH f AS (SELECT doc_id, rtrim(lower(text || CASE doc_id % 5 WHEN 0 THEN '' WHEN 1 THEN 'x' ELSE chr(10) END || upper(({_list_of(_SKILL_WORDS)})[1 + doc_id % {len(_SKILL_WORDS)}]) || CASE doc_id % 3 WHEN 0 THEN '/' WHEN 1 THEN ' ' ELSE 'x' END || ({_list_of(_SKILL_WORDS)})[1 + doc_id * 7 % {len(_SKILL_WORDS)}])) || ' ' AS body FROM documents)
 SELECT doc_id, {_all("body", _VOCABULARY.hard_skills(), _WORD)} AS hard, {_all("body", d.SOFT_SKILLS, _WORD)} AS soft, {_first("body", d.MAJORS, _INSIDE)} AS major FROM f""")
-def skills_extract(table):
+def keyword_labels(table):
     n, words = len(_SKILL_WORDS), keywords.constant(_SKILL_WORDS, "array<string>")
     word = lambda i: F.get(words, (i % n).cast("int"))
     lead = F.when(c("doc_id") % 5 == 0, "").when(c("doc_id") % 5 == 1, "x").otherwise("\n")
