@@ -28,11 +28,17 @@ def shared_folder(spark: SparkSession) -> str:
     return "file://" + _local["folder"]
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing uses, for a table of this application."""
+    path = f"{shared_folder(spark)}/vireo/{uuid.uuid4().hex}-{name}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 def settled(df: DataFrame, name: str) -> DataFrame:
     """`df`, written to the shared folder and read back."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/vireo/{uuid.uuid4().hex}-{name}"
-    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    path = fresh_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

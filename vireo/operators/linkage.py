@@ -130,46 +130,68 @@ def can_reach(a: tuple, b: tuple, least: float) -> bool:
 
 
 def fuzzy_fold(rows: list[tuple], days: int, least: float = FUZZY) -> list[tuple[int, int]]:
-    """(dup_id, canon_id) of one block; rows are (etl_id, day, title, level, is_new) in order.
+    """(dup_id, canon_id) of one block; rows are (etl_id, day, title, level, is_new) in order."""
+    return folded_on([], rows, days, least)[0]
 
-    A row joins the live chain (last met within `days`) whose last title is most
-    similar, at `least` or more and with equal level unless one is blank; the
-    first wins ties. Titles already compared are not compared again, and those
-    that cannot be similar enough are not aligned.
+
+def folded_on(held: list[tuple], rows: list[tuple], days: int, least: float = FUZZY) -> tuple[list[tuple[int, int]], list[tuple]]:
+    """The links (dup_id, canon_id) of one block's rows, which meet the chains `held`, and the chains afterwards.
+
+    Rows are (etl_id, day, title, level, is_new) in order, chains (root, day,
+    title, level, begun). A row joins the live chain (last met within `days`)
+    whose last title is most similar, at `least` or more and with equal level
+    unless one is blank; the chain begun first wins ties. A row older than a
+    chain's last one meets it if no more than `days` older, and leaves its day
+    and title as they are. Titles already compared are not compared again, and
+    those that cannot be similar enough are not aligned.
     """
-    chains: list[list] = []
-    measured: dict[str, tuple] = {}
+    chains = [list(c) for c in held]
+    measured = {c[2]: measures(c[2]) for c in chains}
     known: dict[tuple[str, str], float] = {}
     out = []
-    for eid, day, title, lvl, is_new in rows:
+    for place, (eid, day, title, lvl, is_new) in enumerate(rows):
         chains = [c for c in chains if day - c[1] <= days]
-        best, score = None, -1.0
+        best, rank = None, None
         mine = measured.get(title) or measured.setdefault(title, measures(title))
         for c in chains:
-            if c[3] and lvl and c[3] != lvl:
+            if c[3] and lvl and c[3] != lvl or c[1] - day > days:
                 continue
             pair = (c[2], title)
             if pair not in known:
                 if not can_reach(measured[c[2]], mine, least):
                     continue
                 known[pair] = title_similarity(*pair)
-            if known[pair] >= least and known[pair] > score:
-                best, score = c, known[pair]
+            if known[pair] >= least and (best is None or (known[pair], -c[4]) > rank):
+                best, rank = c, (known[pair], -c[4])
         if best is None:
-            chains.append([eid, day, title, lvl])
+            chains.append([eid, day, title, lvl, begun_at(day, place)])
             continue
-        best[1], best[2], best[3] = day, title, best[3] or lvl
+        if day >= best[1]:
+            best[1], best[2] = day, title
+        best[3] = best[3] or lvl
         if eid != best[0] and is_new:
             out.append((eid, best[0]))
-    return out
+    return out, [tuple(c) for c in chains]
+
+
+def begun_at(day: int, place: int) -> int:
+    """A number that puts chains in order of the day of their first row, then of its place in the fold."""
+    return day * 2**32 + place
 
 
 def chained(rows: list[tuple], near: dict[int, dict[int, float]], days: int) -> list[tuple[int, int]]:
     """As `fuzzy_fold`, of rows (etl_id, day, title number, level, is_new), where `near` holds each title's similar titles
     and how similar they are: a row meets only the live chains that end in one of those."""
+    return chained_on([], rows, near, days)[0]
+
+
+def chained_on(held: list[tuple], rows: list[tuple], near: dict[int, dict[int, float]], days: int) -> tuple[list[tuple[int, int]], list[tuple]]:
+    """As `folded_on`, of rows and chains with numbers of titles."""
     ends: dict[int, dict[int, list]] = {}
-    out, begun = [], 0
-    for eid, day, title, lvl, is_new in rows:
+    for at, c in enumerate(held):
+        ends.setdefault(c[2], {})[-1 - at] = [c[0], c[1], c[3], c[4]]
+    out = []
+    for place, (eid, day, title, lvl, is_new) in enumerate(rows):
         best, at = None, None
         similar = near.get(title, {})
         for other in (similar if len(similar) < len(ends) else [t for t in ends if t in similar]):
@@ -181,24 +203,24 @@ def chained(rows: list[tuple], near: dict[int, dict[int, float]], days: int) ->
             if not live:
                 del ends[other]
             for number, chain in live.items():
-                if chain[2] and lvl and chain[2] != lvl:
+                if chain[2] and lvl and chain[2] != lvl or chain[1] - day > days:
                     continue
-                rank = (similar[other], -number)
+                rank = (similar[other], -chain[3])
                 if best is None or rank > best:
                     best, at = rank, (other, number)
         if at is None:
-            ends.setdefault(title, {})[begun] = [eid, day, lvl]
-            begun += 1
+            ends.setdefault(title, {})[place] = [eid, day, lvl, begun_at(day, place)]
             continue
         other, number = at
         chain = ends[other].pop(number)
-        chain[1], chain[2] = day, chain[2] or lvl
         if not ends[other]:
             del ends[other]
-        ends.setdefault(title, {})[number] = chain
+        last = title if day >= chain[1] else other
+        chain[1], chain[2] = max(day, chain[1]), chain[2] or lvl
+        ends.setdefault(last, {})[number] = chain
         if eid != chain[0] and is_new:
             out.append((eid, chain[0]))
-    return out
+    return out, [(c[0], c[1], title, c[2], c[3]) for title, live in ends.items() for c in live.values()]
 
 
 def fuzzy_links(df: DataFrame, is_new: Column, days: int, least: float = FUZZY, small_block: int = SMALL_BLOCK) -> DataFrame:
