@@ -14,8 +14,8 @@ from vireo.functions import dictionaries as d
 from vireo.functions import keywords
 from vireo.functions import parsers as p
 from vireo.functions import text as t
-from vireo.operators import lineage, linkage, upsert, windows
-from vireo.plans import analytics, ingest, transform, warehouse
+from vireo.operators import lineage, linkage, linkage_state, upsert, versioned, windows
+from vireo.plans import analytics, ingest, nightly, transform, warehouse
 from vireo.sources import tables as sources
 from vireo.streaming import incremental
 
@@ -357,14 +357,76 @@ def dedup_unique_view(table):
     return _chained(table).where("event_id = root").select("event_id", "user_id", "event_type")
 
 
-@query(None)
-def dedup_fuzzy_title(table):
+def _title_postings(table) -> DataFrame:
     docs = table("documents")
-    rows = docs.select(
+    return docs.select(
         c("doc_id").alias("etl_id"), F.lit(1).alias("etl_run_id"), F.lit("site").alias("website_clean"), F.concat_ws("-", "lang", "source").alias("company_title_clean"), F.concat_ws("-", "lang", "source").alias("company_canonical_key"), c("lang").alias("location_province"),
         F.split("text", "\n", 2)[0].alias("job_title_clean"), F.lit("").alias("level_clean"), F.lit(None).cast("double").alias("salary_min"), F.lit(None).cast("double").alias("salary_max"),
         F.date_add(F.lit("2026-01-01").cast("date"), (c("doc_id") % 90).cast("int")).alias("job_posted_at_clean"), F.lit(True).alias("is_valid"))
-    return linkage.full(rows, 45)
+
+
+@query(None)
+def dedup_fuzzy_title(table):
+    return linkage.full(_title_postings(table), 45)
+
+
+_TWO_LOADS = """WITH a AS (SELECT o_custkey AS custkey, o_orderstatus = 'F' AS done, min(o_orderkey) AS first_order, max(o_orderkey) AS last_order, max(CASE WHEN o_totalprice > 200000 THEN o_orderkey END) AS dear_order FROM orders
+WHERE o_orderstatus IS NOT NULL GROUP BY 1, 2), f AS (SELECT * FROM a WHERE done), n AS (SELECT * FROM a WHERE NOT done) """
+
+
+def _two_loads(table) -> versioned.Bucketed:
+    """Each customer's orders, done ones first, loaded into a new table: the first is kept, the last replaced, the dear one replaced unless there is none."""
+    orders = table("orders")
+    spark = orders.sparkSession
+    schema = schemas.columns("custkey long, first_order long, last_order long, dear_order long")
+    store = versioned.Bucketed(lineage.fresh_path(spark, "customers"), schema, ("custkey",), buckets=64).create(spark)
+    for done in (c("o_orderstatus") == "F", c("o_orderstatus") != "F"):
+        store.load(orders.where(done).groupBy(c("o_custkey").alias("custkey")).agg(
+            F.min("o_orderkey").alias("first_order"), F.max("o_orderkey").alias("last_order"), F.max(F.when(c("o_totalprice") > 200000, c("o_orderkey"))).alias("dear_order")), {"last_order": "replace", "dear_order": "coalesce"})
+    return store
+
+
+@query(_TWO_LOADS + """SELECT coalesce(f.custkey, n.custkey) AS custkey, coalesce(f.first_order, n.first_order) AS first_order, coalesce(n.last_order, f.last_order) AS last_order, coalesce(n.dear_order, f.dear_order) AS dear_order
+FROM f FULL JOIN n ON f.custkey = n.custkey""")
+def bucketed_upsert(table):
+    store = _two_loads(table)
+    return store.read(table("orders").sparkSession)
+
+
+@query(_TWO_LOADS + """SELECT 1 AS version, count(*) AS new_rows, 0 AS updated_rows FROM f
+UNION ALL SELECT 2, count(*) FILTER (WHERE f.custkey IS NULL), count(*) FILTER (WHERE f.custkey IS NOT NULL) FROM n LEFT JOIN f ON n.custkey = f.custkey""")
+def load_counts_observed(table):
+    store = _two_loads(table)
+    return store.history(table("orders").sparkSession).select("version", "new_rows", "updated_rows")
+
+
+@query("""WITH r AS (SELECT o_orderkey AS id, o_custkey, o_orderpriority, CAST(o_orderdate AS DATE) AS d, lag(CAST(o_orderdate AS DATE)) OVER w AS before FROM orders WHERE o_custkey IS NOT NULL AND o_orderpriority IS NOT NULL AND o_orderdate IS NOT NULL
+WINDOW w AS (PARTITION BY o_custkey, o_orderpriority ORDER BY CAST(o_orderdate AS DATE), o_orderkey)),
+k AS (SELECT *, sum(CASE WHEN before IS NULL OR d - before > 180 THEN 1 ELSE 0 END) OVER (PARTITION BY o_custkey, o_orderpriority ORDER BY d, id ROWS UNBOUNDED PRECEDING) AS chain FROM r),
+h AS (SELECT id, first_value(id) OVER (PARTITION BY o_custkey, o_orderpriority, chain ORDER BY d, id) AS root FROM k) SELECT id AS dup_id, root AS canon_id FROM h WHERE id <> root""")
+def linkage_state_exact(table):
+    """Orders of one customer and priority as copies, taken in three runs by date through a state of live chains."""
+    orders = table("orders")
+    spark = orders.sparkSession
+    rows = orders.where("o_custkey is not null and o_orderpriority is not null and o_orderdate is not null").select(
+        c("o_orderkey").alias("etl_id"), F.concat(F.lit("c"), c("o_custkey")).alias("co"), F.lit("p").alias("prov"), c("o_orderpriority").alias("title"), F.lit("").alias("lvl"), F.datediff(F.to_date("o_orderdate"), F.lit("1970-01-01")).alias("day"), F.lit(1).alias("rank"), F.lit(0).alias("info"))
+    state = linkage_state.state_at(lineage.fresh_path(spark, "live-chains"), 16).create(spark)
+    links = []
+    for low, high in ((-100000, 8766), (8766, 9862), (9862, 100000)):  # until 1994, until 1997, since
+        links.append(linkage_state.take_exact(spark, state, rows.where((c("day") >= low) & (c("day") < high)), high - 1, 180))
+    return functools.reduce(DataFrame.unionByName, links)
+
+
+@query(None)
+def dedup_daily_state(table):
+    """The postings of dedup_fuzzy_title in three runs of thirty days."""
+    rows = _title_postings(table)
+    spark = rows.sparkSession
+    state = linkage_state.state_at(lineage.fresh_path(spark, "live-chains"), 64).create(spark)
+    runs = []
+    for first, last in (("2026-01-01", "2026-01-30"), ("2026-01-31", "2026-03-01"), ("2026-03-02", "2026-03-31")):
+        runs.append(linkage_state.run(spark, state, rows.where(c("job_posted_at_clean").between(first, last)), last, 45))
+    return functools.reduce(DataFrame.unionByName, runs)
 
 
 @query("""WITH e AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w > INTERVAL '2 hours' OR lag(ts) OVER w IS NULL THEN 1 ELSE 0 END AS brk FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
@@ -691,6 +753,38 @@ def etl_errors(table):
     return transform.transformed(_staging(table), 7)[1].select("src_id", "field_name", "error_type")
 
 
+_UNREAD = f"""WITH s AS (SELECT p_partkey AS src_id, p_size, {_CASE} AS k FROM part), e AS (SELECT src_id, k, p_size, 'location' AS field_name, 'a,b,c,d,e,f,g,h,i,j' AS raw_value, 'TOO_MANY_LOCATIONS' AS error_type FROM s WHERE k = 2
+UNION ALL SELECT src_id, k, p_size, 'job_title', ' ', 'MISSING_TITLE' FROM s WHERE k = 6 UNION ALL SELECT src_id, k, p_size, 'job_posted_at', 'soon ' || p_size, 'PARSE_FAIL' FROM s WHERE k IN (3, 5)
+UNION ALL SELECT src_id, k, p_size, 'number_recruit', 'many', 'PARSE_FAIL' FROM s WHERE k IN (4, 5) UNION ALL SELECT src_id, k, p_size, 'company_size', 'a few', 'PARSE_FAIL' FROM s WHERE k = 7) """
+
+
+def _two_runs(table) -> tuple[str, str]:
+    """Staging rows with fields that cannot be read, all of them and then those of large parts again; where errors and log are."""
+    k = c("p_partkey") % 8
+    rows = _staging(table).join(table("part").select(c("p_partkey").cast("long").alias("id"), "p_size", k.alias("k")), "id").withColumns({
+        "job_posted_at": F.when(c("k").isin(3, 5), F.concat(F.lit("soon "), "p_size")).otherwise(c("job_posted_at")), "number_recruit": F.when(c("k").isin(4, 5), "many"), "company_size": F.when(c("k") == 7, "a few")})
+    spark = rows.sparkSession
+    store, errors, log = nightly.cleaned_at(lineage.fresh_path(spark, "cleaned"), 16).create(spark), lineage.fresh_path(spark, "errors"), lineage.fresh_path(spark, "log")
+    nightly.run(rows, store, errors, log, 7, "full")
+    nightly.run(rows.where("p_size > 25"), store, errors, log, 8)
+    return errors, log
+
+
+@query(_UNREAD + "SELECT 7 AS run_id, src_id, field_name, raw_value, error_type FROM e UNION ALL SELECT 8, src_id, field_name, raw_value, error_type FROM e WHERE p_size > 25")
+def error_append(table):
+    errors, _ = _two_runs(table)
+    return nightly.errors_of(table("part").sparkSession, errors).select("run_id", "src_id", "field_name", "raw_value", "error_type")
+
+
+@query(_UNREAD + """, r AS (SELECT 7 AS run_id, 'full' AS mode, 0 AS least UNION ALL SELECT 8, 'today', 25), i AS (SELECT run_id, mode, count(*) AS total_input, CAST(sum(CASE WHEN k IN (2, 6) THEN 0 WHEN k IN (1, 7) THEN 1 ELSE 2 END) AS BIGINT) AS total_output
+FROM r, s WHERE p_size > least GROUP BY ALL), f AS (SELECT run_id, count(*) AS error_rows FROM r, e WHERE p_size > least GROUP BY ALL)
+SELECT run_id, mode, total_input, total_output, CASE run_id WHEN 7 THEN total_output ELSE 0 END AS new_rows, CASE run_id WHEN 8 THEN total_output ELSE 0 END AS updated_rows, error_rows,
+CASE WHEN error_rows > 0.2 * total_input THEN 'WARN' ELSE 'SUCCESS' END AS status FROM i JOIN f USING (run_id)""")
+def run_log_observed(table):
+    _, log = _two_runs(table)
+    return nightly.log_of(table("part").sparkSession, log).select("run_id", "mode", "total_input", "total_output", "new_rows", "updated_rows", "error_rows", "status")
+
+
 @query(_TRANSFORMED + """SELECT job_url, location_province AS tinh_thanh, company_title_clean AS ten_cong_ty, 'Không xác định' AS cap_do_1, level_clean AS ten_cap_bac, 'Full-time' AS job_type, website_clean AS ten_nguon, job_category_clean AS ten_danh_muc, job_title_detect,
 CAST(round((salary_min + salary_max) / 2) AS DECIMAL(18,0)) AS salary_avg, job_posted_at_clean AS ngay_dang, CAST(1 AS DECIMAL(18,0)) AS so_luong_tuyen, count(*) OVER () AS postings, count(*) OVER () AS last_id,
 CAST(CASE WHEN hard_skills IS NULL THEN 0 ELSE 4 END AS BIGINT) AS requirements FROM t""")
