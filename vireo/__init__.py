@@ -1 +1,8 @@
 """Recruitment analytics on Spark."""
+
+import sys
+
+from pyspark import cloudpickle
+
+#: Executors need no copy of the package: functions sent to them carry their code.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -231,11 +231,6 @@ def fuzzy_links(df: DataFrame, is_new: Column, days: int, least: float = FUZZY,
     that similarity holds together, so a block falls into pieces that are
     folded each for itself, over the pairs found.
     """
-    import vireo
-    from pyspark import cloudpickle
-
-    cloudpickle.register_pickle_by_value(vireo)
-
     def block(pdf):
         import pandas as pd
 

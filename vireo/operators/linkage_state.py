@@ -90,10 +90,6 @@ def fuzzy_step(chains: DataFrame, fresh: DataFrame, days: int, least: float = li
     Blocks without a row pass as they are; a lone row begins a chain where it
     stands; a crowded block is split by similar titles, as in a full run.
     """
-    import vireo
-    from pyspark import cloudpickle
-
-    cloudpickle.register_pickle_by_value(vireo)
     met = fresh.select(*BLOCK).distinct()
     held = chains.join(met, BLOCK, "left_semi").select(*BLOCK, F.col("root").alias("etl_id"), "day", F.lit(0).alias("rank"), F.lit(0).alias("info"), "title", "lvl", "begun")
     rows = held.unionByName(fresh.select(*BLOCK, *ORDER, "title", "lvl", F.lit(None).cast("long").alias("begun")))

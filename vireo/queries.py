@@ -16,6 +16,7 @@ from vireo.functions import parsers as p
 from vireo.functions import text as t
 from vireo.operators import lineage, linkage, linkage_state, upsert, versioned, windows
 from vireo.plans import analytics, ingest, nightly, transform, warehouse
+from vireo.sources import fields
 from vireo.sources import tables as sources
 from vireo.streaming import incremental
 
@@ -110,6 +111,45 @@ def heading_block_climb(table):
     return sources.heading_blocks(pages, "WHY US").join(sources.heading_blocks(pages, "not there").withColumnRenamed("block", "none"), "page_id")
 
 
+SITES = ("careerlink", "careerviet", "joboko", "timviec365", "vieclam24h")
+
+
+@query("""SELECT 'https://job/' || page_id AS job_url, CASE page_id % 5 WHEN 0 THEN 'careerlink' WHEN 1 THEN 'careerviet' WHEN 2 THEN 'joboko' WHEN 3 THEN 'timviec365' ELSE 'vieclam24h' END AS website,
+'Tester & ' || page_id AS job_title, CASE WHEN page_id % 5 = 1 AND page_id % 2 = 0 THEN NULL ELSE 'Company ' || page_id END AS company_title, 'City ' || (page_id % 7) AS location, (page_id % 9) || ' năm' AS experience, (page_id % 50) || ' triệu' AS compensation,
+'Level ' || (page_id % 3) AS level, CASE WHEN page_id % 5 = 2 THEN NULL WHEN page_id % 5 IN (0) THEN 'IT / ' || url ELSE 'IT ' || url END AS company_industry, 'Build it ' || page_id || ' < all' AS job_description,
+CASE page_id % 5 WHEN 1 THEN 'Company ' || page_id END AS company_page FROM pages""")
+def site_fields(table):
+    """Five sites' markup around the values, before the page's own."""
+    n = c("page_id").cast("string")
+    say = lambda *parts: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+    title, company, place = say("Tester &amp; ", n), say("Company ", n), say("City ", (c("page_id") % 7).cast("string"))
+    years, pay, level = say((c("page_id") % 9).cast("string"), " năm"), say((c("page_id") % 50).cast("string"), " triệu"), say("Level ", (c("page_id") % 3).cast("string"))
+    url = F.replace("url", F.lit("&"), F.lit("&amp;"))
+    text = say("<p>Build<br>it <!-- no --></p><ul><li>", n, "<li>&lt; all</ul>")
+    pair = lambda tag, label, value: say(f"<section><{tag}>{label}</{tag}><{tag}>", value, f"</{tag}></section>")
+    item = lambda label, value: say("<li><strong>", label, "</strong><p>", value, "</p>")
+    bold = lambda label, value: say('<div class="item-content">', label, ': <span class="fw-bold">', value, "</span></div>")
+    marked = lambda label, value: say("<div><div>", label, '</div><div class="text-14">', value, "</div></div>")
+    markup = [
+        say('<h1 class="job-title">', title, '</h1><div class="company-info"><b class="company-name-title"><a><span>', company, '</span></a></b></div><div id="job-location"><a title="', place, '">map</a></div><div id="job-salary"><span class="text-primary">', pay, "</span></div>",
+            pair("div", "Kinh nghiệm", years), pair("div", "Cấp bậc", level), pair("div", "Ngành nghề", say("<span>IT</span>, <span>", url, "</span>")), '<div id="section-job-description"><div class="rich-text-content">', text, "</div></div>"),
+        say('<div class="job-desc"><h1>', title, '</h1><a href="/c/', n, '">firm</a></div><div class="detail-box"><div class="map"><p><a>', place, "</a></p></div></div><ul>", item("Kinh nghiệm", years), item("Lương", pay), item("Cấp bậc", level), item("Ngành nghề", say("IT ", url)),
+            "</ul><section><div><h2>Mô tả Công việc</h2><div>", text, "</div></div></section>"),
+        say('<h1 class="nw-company-hero__title"><a>', title, '</a></h1><a class="nw-company-hero__text">', company, '</a><p class="nw-company-hero__address"><a>', place, "</a></p>", bold("Kinh nghiệm", years), bold("Thu nhập", pay), bold("Chức vụ", level), '<div class="text-left job-desc">', text, "</div>"),
+        say('<div class="boxTitleNameNtd"><h1>', title, "</h1><a>", company, "</a></div>", pair("p", "Địa điểm", place), pair("p", "Kinh nghiệm", years), '<b class="valContentSalary txtSalaryNew">', pay, "</b>", pair("p", "Chức vụ", level),
+            "<section><p>Ngành nghề</p><div><a>IT</a><a>", url, '</a></div></section><div class="itemInfoSpecific"><h2>Mô tả công việc</h2><div class="valInfoSpecific">', text, "</div></div>"),
+        say("<h1>", title, '</h1><div class="flex flex-col gap-3"><a title="x"><div>', company, '</div></a><i class="svicon-users"></i></div>', marked("Khu vực tuyển", say("<a><span>", place, "</span></a>")), marked("Yêu cầu kinh nghiệm", years), marked("Mức lương", pay), marked("Cấp bậc", level),
+            marked("Ngành nghề", say("<a>IT</a><a>", url, "</a>")), "<section><h2>Mô tả công việc</h2><div>", text, "</div></section>"),
+    ]
+    site, html = (F.element_at(F.array(*[F.lit(x) if isinstance(x, str) else x for x in xs]), (c("page_id") % 5 + 1).cast("int")) for xs in (SITES, markup))
+    pages = table("pages").select("page_id", say("https://job/", n).alias("url"), site.alias("website"), F.concat(html, F.coalesce("html", F.lit(""))).alias("html"))
+    firms = table("pages").where("page_id % 5 = 1").select("page_id", say("/c/", n).alias("url"), F.lit("careerviet").alias("website"), say('<div class="company-info"><h1>', company, "</h1></div>", F.coalesce("html", F.lit(""))).alias("html"))
+    postings = fields.fields_of(pages)
+    named = fields.with_company(postings, firms.where("page_id % 2 = 1")).select("job_url", "company_title")
+    company_page = fields.with_company(postings.where("website = 'careerviet'"), firms).select("job_url", c("company_title").alias("company_page"))
+    return postings.drop("company_title").join(named, "job_url").join(company_page, "job_url", "left").select("job_url", "website", "job_title", "company_title", "location", "experience", "compensation", "level", "company_industry", "job_description", "company_page")
+
+
 @query(r"""SELECT page_id, regexp_replace(url, '[?#].*$', '') AS plain_url,
   CASE WHEN regexp_extract(regexp_replace(url, '[?#].*$', ''), '([0-9]+)(\.html?)?/?$', 1) <> '' THEN regexp_extract(regexp_replace(url, '[?#].*$', ''), '([0-9]+)(\.html?)?/?$', 1)
        WHEN regexp_extract(url, '[?&]page=([0-9]+)', 1) <> '' THEN regexp_extract(url, '[?&]page=([0-9]+)', 1) END AS url_id FROM pages""")
