@@ -239,6 +239,9 @@ TITLE_NOISE = [
 HEADCOUNT_MANY = ["nhiều", "số lượng lớn", "vô hạn", "không giới hạn"]
 HEADCOUNT_TITLES = [r"tuyển\s+(\d+)", r"(\d+)\s+vị trí", r"(\d+)\s+nhân sự", r"(\d+)\s+nhân viên", r"(\d+)\s+người", r"(\d+)\s+slot", r"(\d+)\s+kỹ sư", r"(\d+)\s+chuyên viên", r"số lượng\s*[:\-]?\s*(\d+)"]
 
+#: What follows an amount by the API's period, and its text of pay without amounts.
+API_PERIODS = {1: "/tháng", 2: "/năm"}
+API_NO_SALARY = "Thỏa thuận"
 API_JOB_TYPE = {"1": "Toàn thời gian", "2": "Bán thời gian", "3": "Hợp đồng", "4": "Thực tập", "5": "Tạm thời"}
 API_EDUCATION = {"0": "Bất kỳ", "2": "Trung học", "3": "Trung cấp", "4": "Cử nhân", "5": "Thạc sĩ", "6": "Tiến sĩ", "11": "Khác", "12": "Cao đẳng", "-1": "Không xác định"}
 API_LEVEL = {"1": "Mới Tốt Nghiệp", "3": "Giám Đốc và Cấp Cao Hơn", "5": "Nhân viên", "7": "Trưởng phòng", "8": "Thực tập sinh/Sinh viên"}

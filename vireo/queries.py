@@ -16,7 +16,7 @@ from vireo.functions import parsers as p
 from vireo.functions import text as t
 from vireo.operators import lineage, linkage, linkage_state, upsert, versioned, windows
 from vireo.plans import analytics, ingest, nightly, transform, warehouse
-from vireo.sources import fields
+from vireo.sources import fields, replies
 from vireo.sources import tables as sources
 from vireo.streaming import incremental
 
@@ -77,18 +77,58 @@ def batch_semi(table):
     return events.join(events.where("event_type = 'purchase'").select("user_id"), "user_id", "left_semi").select("event_id")
 
 
-@query("""SELECT 'https://j/' || p_partkey AS job_url, p_name AS job_title, p_brand AS company_title, CASE WHEN p_size % 2 = 0 THEN 'Hà Nội' ELSE '' END AS location, CAST(p_size AS VARCHAR) AS experience,
-CASE WHEN p_size % 3 = 0 THEN 'deal' WHEN p_size % 3 = 1 THEN (p_size * 100) || ' - ' || (p_size * 200) || ' USD' || CASE WHEN p_size % 2 = 0 THEN '/năm' ELSE '/tháng' END ELSE '' END AS compensation,
-'IT, A, B' AS job_category, 'Bank, Retail' AS company_industry, 'Do ' || p_type AS job_description, 'Need' || chr(10) || 'Skills: ' || p_brand AS job_requirement FROM part""")
-def api_json_flatten(table):
+_API_SQL = """'https://j/' || p_partkey AS job_url, p_name AS job_title, p_brand AS company_title, CASE WHEN p_size % 2 = 0 THEN 'Hà Nội' END AS location, CAST(p_size AS VARCHAR) AS experience,
+CASE WHEN p_size % 3 = 1 THEN format('{:,}', p_size * 1000) || ' - ' || format('{:,}', p_size * 2000) || ' USD' || CASE WHEN p_size % 2 = 0 THEN ' /năm' ELSE ' /tháng' END WHEN p_size % 3 = 0 THEN 'deal' ELSE 'Thỏa thuận' END AS compensation,
+CASE WHEN p_size % 4 = 0 THEN 'IT' ELSE 'A' END AS job_category, 'Bank, Retail' AS company_industry, 'Do ' || p_type || chr(10) || chr(10) || 'Skills: ' || p_brand AS job_description, CASE WHEN p_size % 5 > 0 THEN 'Need' END AS job_requirement"""
+_API = "job_url job_title company_title location experience compensation job_category company_industry job_description job_requirement".split()
+
+
+def _api_record():
+    """An API record of a part."""
     named = lambda field, *values: F.array(*[F.struct(F.lit(v).alias(field)) for v in values])
-    pay = F.when(c("p_size") % 3 == 1, c("p_size"))
-    body = F.to_json(F.struct(
+    pay = F.when(c("p_size") % 3 == 1, c("p_size") * 1000)
+    return F.to_json(F.struct(
         F.concat(F.lit("https://j/"), "p_partkey").alias("jobUrl"), c("p_name").alias("jobTitle"), c("p_brand").alias("companyName"), F.when(c("p_size") % 2 == 0, named("cityNameVI", "Hà Nội", "Huế")).alias("workingLocations"), c("p_size").alias("yearsOfExperience"),
-        F.when(c("p_size") % 3 == 0, "deal").alias("prettySalary"), (pay * 100).alias("salaryMin"), (pay * 200).alias("salaryMax"), F.lit("USD").alias("salaryCurrency"), F.when(c("p_size") % 2 == 0, 2).otherwise(1).alias("salaryPeriodId"),
-        named("industryV3NameVI", "Bank", " ", "Retail").alias("industriesV3"), F.struct(F.lit("IT").alias("parentNameVI"), named("nameVI", "A", "B").alias("children")).alias("jobFunction"),
-        F.concat(F.lit("<p>Do <b>"), "p_type", F.lit("</b></p>")).alias("jobDescription"), F.lit("Need").alias("jobRequirement"), F.array(F.struct(c("p_brand").alias("skillName"))).alias("skills")))
-    return sources.api_postings(table("part").select(body.alias("body"))).select("job_url", "job_title", "company_title", "location", "experience", "compensation", "job_category", "company_industry", "job_description", "job_requirement")
+        F.when(c("p_size") % 3 == 0, "deal").alias("prettySalary"), pay.alias("salaryMin"), (pay * 2).alias("salaryMax"), F.lit("USD").alias("salaryCurrency"), F.when(c("p_size") % 2 == 0, 2).alias("salaryPeriodId"),
+        named("industryV3NameVI", "Bank", " ", "Retail").alias("industriesV3"), F.struct(F.lit("IT").alias("parentNameVI"), F.when(c("p_size") % 4 > 0, named("nameVI", "A", "B")).alias("children")).alias("jobFunction"),
+        F.concat(F.lit("<p>Do <b>"), "p_type", F.lit("</b></p>")).alias("jobDescription"), F.when(c("p_size") % 5 > 0, "<p>Need").alias("jobRequirement"), F.array(F.struct(c("p_brand").alias("skillName"))).alias("skills")))
+
+
+@query(f"SELECT {_API_SQL} FROM part")
+def api_json_flatten(table):
+    return replies.postings(table("part").select(_api_record().alias("record"))).select(*_API)
+
+
+def _api_replies(table):
+    """Replies of 50 parts each, 20 pages a crawl: one in 7 is cut short, one in 11 was not saved; a record in 97 is no record."""
+    key = c("p_partkey")
+    rows = table("part").select(F.floor(key / 1000).alias("crawl"), (F.floor(key / 50) % 20).alias("page"), key, F.when(key % 97 == 0, F.lit('{"jobUrl": "https://j/x", "salaryMin": "much"}')).otherwise(_api_record()).alias("record"))
+    body = F.concat(F.lit('{"meta": {"nbPages": 20}, "data": ['), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", "record"))), lambda x: x["record"]), ", "), F.lit("]}"))
+    pages = rows.groupBy("crawl", "page").agg(body.alias("body"))
+    return pages.select("crawl", "page", F.when((c("crawl") + c("page")) % 7 == 3, F.expr("substring(body, 1, length(body) - 5)")).otherwise(c("body")).alias("body")).where((c("crawl") + c("page")) % 11 != 5)
+
+
+_API_PAGES = """p AS (SELECT *, p_partkey // 1000 AS crawl, (p_partkey // 50) % 20 AS page FROM part), q AS (SELECT *, (crawl + page) % 7 = 3 AS cut, row_number() OVER (PARTITION BY crawl, page ORDER BY p_partkey) - 1 AS position FROM p WHERE (crawl + page) % 11 <> 5)"""
+
+
+@query(f"""WITH {_API_PAGES} SELECT crawl, page, position, CAST(NULL AS VARCHAR) AS error, {_API_SQL} FROM q WHERE NOT cut AND p_partkey % 97 <> 0
+UNION ALL SELECT crawl, page, position, 'record', 'https://j/x', NULL, NULL, NULL, NULL, 'Thỏa thuận', NULL, NULL, NULL, NULL FROM q WHERE NOT cut AND p_partkey % 97 = 0
+UNION ALL SELECT DISTINCT crawl, page, 0, 'reply', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM q WHERE cut""")
+def api_paged_replies(table):
+    found = replies.postings(replies.records(_api_replies(table)))
+    return found.select("crawl", "page", c("position").cast("long").alias("position"), "error", *_API)
+
+
+@query(f"""WITH {_API_PAGES}, n AS (SELECT DISTINCT crawl FROM q WHERE NOT cut) SELECT crawl, page FROM n, (SELECT unnest(range(20)) AS page) EXCEPT SELECT crawl, page FROM q WHERE NOT cut""")
+def api_lacking_pages(table):
+    return replies.lacking(_api_replies(table), ["crawl"])
+
+
+@query(f"""WITH {_API_PAGES}, r AS (SELECT * FROM q WHERE NOT cut AND p_partkey % 97 <> 0), s AS (SELECT crawl, min(page * 1000 + position) AS stop FROM r WHERE p_size = 7 GROUP BY crawl)
+SELECT crawl, page, position, 'https://j/' || p_partkey AS job_url FROM r LEFT JOIN s USING (crawl) WHERE stop IS NULL OR page * 1000 + position < stop""")
+def api_until_old(table):
+    found = replies.postings(replies.records(_api_replies(table))).where("error is null")
+    return replies.until(found, ["crawl"], c("experience") == "7").select("crawl", "page", c("position").cast("long").alias("position"), "job_url")
 
 
 @query("SELECT o_orderkey AS id FROM orders WHERE o_orderkey % 3 = 0 AND CAST(o_orderdate AS DATE) = DATE '1995-01-10' UNION ALL SELECT -o_orderkey FROM orders WHERE o_orderkey % 3 = 0")

@@ -18,11 +18,6 @@ WORK_FIELDS = ("job_title", "experience", "level", "education_level", "job_type"
 #: The text of a heading's block has more and fewer characters than these.
 BLOCK = (50, 8000)
 
-API_RECORD = """jobTitle string, companyName string, jobUrl string, jobDescription string, jobRequirement string, approvedOn string, expiredOn string,
-salaryMin long, salaryMax long, salaryCurrency string, salaryPeriodId int, prettySalary string, yearsOfExperience string, typeWorkingId string, jobLevelId string, companySizeId string, highestDegreeId string,
-workingLocations array<struct<cityNameVI:string>>, industriesV3 array<struct<industryV3NameVI:string>>, skills array<struct<skillName:string>>, jobFunction struct<parentNameVI:string, children:array<struct<nameVI:string>>>"""
-
-
 def staged(spark: SparkSession, path: str, day: str | None = None) -> DataFrame:
     """Processed staging rows, all or those scraped on a day."""
     df = spark.read.parquet(path).where("ai_processed")
@@ -77,20 +72,6 @@ def in_categories(df: DataFrame, column: str, parts: tuple[str, ...] = URL_CATEG
     return df.where(reduce(lambda a, b: a | b, [url.contains(p) for p in parts]))
 
 
-def api_postings(replies: DataFrame, column: str = "body") -> DataFrame:
-    """Postings from JSON records of the job API; a record that cannot be read has null fields."""
-    r = replies.select(F.from_json(column, API_RECORD).alias("r")).select("r.*")
-    money = F.when((F.col("salaryMin") > 0) | (F.col("salaryMax") > 0), F.concat(F.coalesce("salaryMin", F.lit(0)), F.lit(" - "), F.coalesce("salaryMax", F.lit(0)), F.lit(" "), F.coalesce("salaryCurrency", F.lit("")), F.when(F.col("salaryPeriodId") == 2, "/năm").otherwise("/tháng")))
-    names = lambda c, f: F.array_join(F.filter(F.transform(c, lambda x: x[f]), lambda x: stripped(x) != ""), ", ")
-    skills = names("skills", "skillName")
-    return r.select(
-        F.lit("vietnamwork").alias("website"), F.col("jobTitle").alias("job_title"), F.col("companyName").alias("company_title"), F.coalesce(F.get("workingLocations", F.lit(0))["cityNameVI"], F.lit("")).alias("location"),
-        F.col("yearsOfExperience").alias("experience"), F.coalesce(F.nullif(stripped("prettySalary"), F.lit("")), money, F.lit("")).alias("compensation"), F.col("typeWorkingId").alias("job_type"), F.col("jobLevelId").alias("level"), F.col("jobUrl").alias("job_url"),
-        F.col("companySizeId").alias("company_size"), names("industriesV3", "industryV3NameVI").alias("company_industry"), F.concat_ws(", ", "jobFunction.parentNameVI", names("jobFunction.children", "nameVI")).alias("job_category"),
-        F.col("highestDegreeId").alias("education_level"), without_tags(F.col("jobDescription")).alias("job_description"),
-        F.concat_ws("\n", without_tags(F.col("jobRequirement")), F.when(skills != "", F.concat(F.lit("Skills: "), skills))).alias("job_requirement"), F.col("approvedOn").alias("job_posted_at"), F.col("expiredOn").alias("job_deadline"))
-
-
 def page_fields(pages: DataFrame) -> DataFrame:
     """url and title of saved pages, and the text of the first heading's block."""
     title = without_tags(F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1))
