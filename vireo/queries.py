@@ -15,7 +15,7 @@ from vireo.functions import keywords
 from vireo.functions import parsers as p
 from vireo.functions import text as t
 from vireo.operators import lineage, linkage, linkage_state, upsert, versioned, windows
-from vireo.plans import analytics, ingest, nightly, transform, warehouse
+from vireo.plans import analytics, ingest, nightly, structuring, transform, warehouse
 from vireo.sources import fields, replies
 from vireo.sources import tables as sources
 from vireo.streaming import incremental
@@ -932,6 +932,31 @@ def load_twice_numbers(table):
     return functools.reduce(DataFrame.unionByName, rows)
 
 
+def _service(first: bool):
+    """A service that is away for some texts in the first run and never answers others."""
+    def ask(text: dict[str, str]) -> str:
+        size = int(text["job_description"].split("-")[1])
+        if first and size % 7 == 1:
+            raise TimeoutError("away")
+        return "no" if size % 10 == 0 else '```json {"job_title": "", "job_requirement": "%s", "level": "L%d"} ```' % (text["job_description"].lower(), size)
+
+    return ask
+
+
+@query("""SELECT p_partkey AS id, p_brand AS job_title, CASE WHEN p_size % 10 > 0 THEN lower(p_type) || '-' || p_size END AS job_requirement, CASE WHEN p_size % 10 > 0 THEN 'L' || p_size ELSE 'old' END AS level, p_size % 10 > 0 AS ai_processed,
+CASE WHEN p_size % 10 = 0 OR p_size % 7 = 1 THEN 2 ELSE 1 END AS tries, CASE WHEN p_size % 10 = 0 THEN 'no JSON object: no' END AS failure FROM part""")
+def structured_by_content(table):
+    rows = table("part").select(c("p_partkey").alias("id"), c("p_brand").alias("job_title"), F.concat_ws("-", "p_type", "p_size").alias("job_description"), F.lit(None).cast("string").alias("job_requirement"), F.lit("old").alias("level"), F.lit("2026-01-01").alias("scraped_at"), F.lit(False).alias("ai_processed"))
+    spark, texts = rows.sparkSession, ("job_description",)
+    kept = structuring.kept_at(lineage.fresh_path(spark, "answers"), 16).create(spark)
+    for n in (1, 2):
+        structuring.run(spark, rows, kept, _service(n == 1), n, most=None, tasks=8, texts=texts)
+    answers = kept.read(spark)
+    done = structuring.structured(rows, answers, "job_title string, job_requirement string, level string", texts)
+    state = rows.select("id", structuring.content(texts).alias("content")).join(answers.select("content", "tries", "failure"), "content").drop("content")
+    return done.drop("job_description", "scraped_at").join(state, "id")
+
+
 # Market questions ----------------------------------------------------------------------------
 
 _STAR = "orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey"
@@ -961,6 +986,31 @@ def bi_salary_bins(table):
     return analytics.salary_bins(table("part"), c("p_size") * 1_000_000, ["p_brand"])
 
 
+def _month_sketches(table):
+    """Sketches of order totals by month, priority and status, as a table."""
+    return lineage.settled(analytics.salary_sketches(table("orders"), "o_orderdate", ["o_orderpriority", "o_orderstatus"], c("o_totalprice")), "sketches")
+
+
+@query("""WITH q AS (SELECT year(o_orderdate) AS year, quarter(o_orderdate) AS quarter, o_orderpriority, o_totalprice AS x FROM orders WHERE o_totalprice IS NOT NULL AND o_orderdate IS NOT NULL)
+SELECT year, quarter, o_orderpriority, count(*) AS postings, min(CAST(x AS DOUBLE)) AS q0, max(CAST(x AS DOUBLE)) AS q100, true AS near FROM q GROUP BY ALL""")
+def bi_sketched_quarters(table):
+    """Quarters from the sketches of their months; `near`: the median found is within the stated rank error of the rows' own."""
+    by = [F.year("month").alias("year"), F.quarter("month").alias("quarter"), "o_orderpriority"]
+    found = lineage.settled(analytics.salary_quantiles(_month_sketches(table), by, (0.0, 0.5, 1.0)), "quantiles")
+    keys = ["year", "quarter", "o_orderpriority"]
+    rows = table("orders").select(F.year("o_orderdate").alias("year"), F.quarter("o_orderdate").alias("quarter"), "o_orderpriority", c("o_totalprice").cast("double").alias("amount"))
+    errors = analytics.rank_errors(rows, found, keys, "amount", "q50", 0.5).select(*keys, (c("rank_error") <= analytics.RANK_ERROR).alias("near"))
+    return found.join(errors, keys).select(*[c(k).cast("long").alias(k) for k in keys[:2]], "o_orderpriority", "postings", "q0", "q100", "near")
+
+
+@query("""SELECT o_orderstatus, count(*) AS postings, true AS q25_near, true AS q75_near FROM orders WHERE o_totalprice IS NOT NULL AND o_orderdate >= DATE '1994-03-01' AND o_orderdate < DATE '1997-06-01' GROUP BY ALL""")
+def bi_sketched_range(table):
+    found = lineage.settled(analytics.salary_quantiles(_month_sketches(table), ["o_orderstatus"], (0.25, 0.75), "1994-03-01", "1997-06-01"), "quantiles")
+    rows = table("orders").where("o_orderdate >= date'1994-03-01' and o_orderdate < date'1997-06-01'").select("o_orderstatus", c("o_totalprice").cast("double").alias("amount"))
+    near = [analytics.rank_errors(rows, found, ["o_orderstatus"], "amount", q, share).select("o_orderstatus", (c("rank_error") <= analytics.RANK_ERROR).alias(f"{q}_near")) for q, share in (("q25", 0.25), ("q75", 0.75))]
+    return found.join(near[0], "o_orderstatus").join(near[1], "o_orderstatus").select("o_orderstatus", "postings", "q25_near", "q75_near")
+
+
 @query("""SELECT CASE WHEN x = 0 THEN 'Không yêu cầu' WHEN x < 1 THEN 'Dưới 1 năm' WHEN x < 3 THEN '1 – 3 năm' WHEN x < 5 THEN '3 – 5 năm' ELSE 'Trên 5 năm' END AS band, count(*) AS postings, CAST(median(p_size) AS DOUBLE) AS median_salary FROM (SELECT p_size % 8 AS x, p_size FROM part) GROUP BY 1""")
 def bi_exp_bins(table):
     return analytics.experience_bins(table("part"), c("p_size") % 8, c("p_size"))
