@@ -289,20 +289,23 @@ def test_path_scores_equal_the_formula():
     for _ in range(30):
         page = "".join(f"<{tag}{rng.choice(['', ' class=x', ' class=ad'])}>{'word, ' * rng.randrange(1, 9)}<a href=u>{'link ' * rng.randrange(4)}</a>{rng.choice(['.', ''])}</{tag}>" for tag in rng.choices(["p", "div", "article", "h2"], k=12))
         found, paths, _ = tagpaths.blocks(page)
-        weight = tagpaths.weights(found, paths)
-        fit = [weight[b.path] > tagpaths.FAINT for b in found]
+        weight, _ = tagpaths.weights(found, paths)
         of = lambda p: [b for b in found if b.path == p]  # noqa: B023, E731
         length = lambda p: sum(len(b.text) - b.linked for b in of(p)) / len(of(p))  # noqa: B023, E731
         marks = lambda p: sum(sum(c in ".,;:!?" for c in b.text) for b in of(p)) / len(of(p))  # noqa: B023, E731
         def smooth(f, i):
             near = [j for j in range(len(found)) if abs(i - j) <= 2]  # noqa: B023
-            return sum((f(found[j].path) if fit[j] else 0) / (1 + abs(i - j)) for j in near) / sum(1 / (1 + abs(i - j)) for j in near)  # noqa: B023
-        text = sum(len(b.text) for b, ok in zip(found, fit, strict=True) if ok) or 1
-        for p, score in tagpaths.scores(found, weight, fit).items():
+            return sum(f(found[j].path) / (1 + abs(i - j)) for j in near) / sum(1 / (1 + abs(i - j)) for j in near)  # noqa: B023
+        text = sum(len(b.text) for b in found) or 1
+        unlinked = sum(len(b.text) - b.linked for b in found) or 1
+        best = tagpaths.scores(found, weight)
+        for p, score in best.items():
             near = [smooth(length, i) * (1 + smooth(marks, i)) for i, b in enumerate(found) if b.path == p]
-            inside = [sum(len(x.text) for x, ok in zip(found, fit, strict=True) if ok and x.element.article == b.element.article) / text if b.element.article else 0 for b in of(p)]
-            want = weight[p] * (1 + 3 * sum(inside) / len(inside)) * math.sqrt(sum(near) / len(near) * length(p) * (1 + marks(p)))
+            inside = [sum(len(x.text) for x in found if x.element.article == b.element.article) / text if b.element.article else 0 for b in of(p)]
+            want = weight[p] * (1 + sum(inside) / len(inside)) * sum(len(b.text) - b.linked for b in of(p)) / unlinked * math.sqrt(sum(near) / len(near) * length(p) * (1 + marks(p)))
             assert math.isclose(score, want, rel_tol=1e-9, abs_tol=1e-12)
+        # The paths chosen are those of the definition.
+        assert tagpaths.content_paths(found, weight) == {p for p in best if best[p] > 0 and best[p] / max(best.values()) >= 0.12}
 
 
 def test_pages_of_odd_markup():
@@ -334,6 +337,36 @@ def test_pages_keep_short_blocks_and_marked_wrappers():
     assert tagpaths.main_text(f"<div>{body}</div><h3>More</h3>{menu}<div class=ad>{say[:60]}</div>") == text
 
 
+def test_pages_by_ratios_alone_and_marks_that_weigh():
+    """Without names the ratios find the article; with them, marks do not keep out what holds the text, nor let in what ratios cannot tell."""
+    say = "<p>A long sentence, with marks; and more words to read than a menu has, some of them long, in every one of its parts.</p>"
+    text = tagpaths.main_text(f"<article>{say * 6}</article>")
+    menu, foot = "<div><ul><li><a href=a>Home</a><li><a href=b>News</a></ul></div>", "<div>(c) Someone, who lets others read this</div>"
+    assert tagpaths.main_text(f"{menu}<div><section>{say * 6}</section></div>{foot}") == text
+    assert tagpaths.main_text(f"{menu}<div class=widget><section>{say * 6}</section></div>{foot}") == text
+    # Marked prose about as long as the article: comments stay out, within the article and beside it.
+    for name in ("comments", "comment-list", "replies"):
+        assert tagpaths.main_text(f"<article>{say * 6}</article><div class={name}>{say * 4}</div>") == text
+        assert tagpaths.main_text(f"<div><div>{say * 6}</div><div class={name}>{say * 4}</div></div>") == text
+    assert tagpaths.main_text(f"<article>{say * 6}</article><aside>{say}</aside><footer>{say}</footer>") == text
+    found, paths, _ = tagpaths.blocks(f"<article>{say * 40}</article><footer>{say}</footer>")
+    weight, plain = tagpaths.weights(found, paths)
+    assert min(weight) > 0.29 and sum(plain) == len(plain) - 2
+    # A page of a few words, most of them marked.
+    assert tagpaths.main_text("<article><h1>To be.</h1><p>To be.</p></article><div class=ad>Buy this, or that, as you may.</div><footer>(c) Someone, who lets others read this and all</footer>") == "To be. To be."
+
+
+def test_pages_keep_cells():
+    say = "<p>A long sentence, with marks; and more words to read than a menu has, some of them long, in every one of its parts.</p>"
+    text = tagpaths.main_text(f"<article>{say * 3}</article>")
+    table = "<table><thead><tr><th>Name<th>Value</thead><tr><td>Alpha<td>12<tr><td>Beta<td>7</table>"
+    assert tagpaths.main_text(f"<article>{say * 3}{table}</article>") == f"{text} Name Value Alpha 12 Beta 7"
+    assert tagpaths.main_text(f"<div>{say * 3}<div>{table}</div></div><footer>Us</footer>").startswith(text)
+    assert tagpaths.main_text(f"<article>{say * 2}{table}{say}</article>").split() == f"{tagpaths.main_text(say * 2)} Name Value Alpha 12 Beta 7 {tagpaths.main_text(say)}".split()
+    assert tagpaths.main_text(f"<table><tr><td><ul><li><a href=x>Menu</a></ul><td><div>{say * 3}</div></table>") == text
+    assert tagpaths.main_text(f"<article>{say * 3}</article><table class=sidebar><tr><td>Alpha</table>") == text
+
+
 def test_pages_article_is_one_term():
     say = "<p>A long sentence, with marks; and more words to read than a menu has, some of them long, in every one of its parts.</p>"
     menu, advert = "<ul><li><a href=a>Home</a><li><a href=b>News</a></ul>", "<div>Buy now</div>"

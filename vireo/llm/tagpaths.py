@@ -3,12 +3,15 @@
 A page is read once into blocks of text, each under the path of its block
 elements from the root. Text length (without links) and punctuation are summed
 by path and divided by the path's blocks; both ratios are smoothed over the
-blocks in page order and fused into one score a path, with what article
-elements hold as a further term; paths above a share of the page's greatest
-score are content. Headings, captions, list items and short paragraphs join the
-content that they stand with. What a path's elements say of themselves
-(navigation, advert, form, reader comment ...) lowers its score, less where it
-holds most of the page's text; the score alone decides.
+blocks in page order and fused into one score a path, with the path's share of
+the page's text and what article elements hold as further terms; paths above a
+share of the page's greatest score are content. What a path's elements say of
+themselves (navigation, advert, form ...) takes part in the score as a weight:
+0.3 on pages with text enough for ratios to tell, less on short ones, and none
+where it holds most of the page's text. Reader comments are prose as the article
+is, which no ratio tells apart, so their names weigh more. Headings, captions,
+list items and short paragraphs that are not so marked join the content that
+they stand with.
 """
 
 from __future__ import annotations
@@ -46,14 +49,18 @@ OTHER = re.compile(
 #: Words of class, id or role that may name other pages' teasers or a part of the article.
 MILD = re.compile(r"(?:^|[\s_-])related(?:$|[\s_-])", re.I)
 PUNCTUATION = re.compile(r"[.,;:!?…。、，；：！？]")
+#: Of these, the words that mark what readers wrote.
+READERS = re.compile(r"(?:^|[\s_-])(?:comments?|disqus|replies|reply|respond)(?:$|[\s_-])", re.I)
 #: Neighbours on either side that smooth a block's ratios, and the share of the best score that content needs.
-REACH, NEEDED = 2, 0.15
-#: What being marked makes of a score.
-FAINT, MILDER = 0.02, 0.3
-#: A marked element that holds r times the text of the rest of the page (r > 1) weighs this times r squared, at most 1.
+REACH, NEEDED = 2, 0.12
+#: What being marked makes of a score: as a reader's comment, otherwise, and mildly.
+FAINT, MARKED_SCORE, MILDER = 0.02, 0.3, 0.35
+#: With so many characters of unmarked text a page's ratios are trusted by half: marks weigh twice as much there.
+TRUST = 500
+#: A marked element that holds r times the text of the rest of the page weighs this times r squared, at most 1, if that is above FAINT.
 MARKED_WEIGHT = 0.002
 #: What an article element that holds all text adds to the score of its paths.
-ARTICLE_GAIN = 3
+ARTICLE_GAIN = 1
 
 
 class Path(NamedTuple):
@@ -66,13 +73,14 @@ class Path(NamedTuple):
 
 
 class Element(NamedTuple):
-    """An open element: its path, and the serial numbers of its container, outermost list and outermost article (0: none)."""
+    """An open element: its path, and the serial numbers of its container, outermost list, the container of that, and outermost article (0: none)."""
 
     tag: str
     path: int
     serial: int
     container: int
     group: int
+    home: int
     article: int
 
 
@@ -88,7 +96,7 @@ class Block(NamedTuple):
 def blocks(page: str) -> tuple[list[Block], list[Path], list[tuple[str, int, int]]]:
     """The blocks in page order, the paths, and of each element its tag and the blocks it spans."""
     paths = [Path(1.0, False, "", 0)]
-    root = Element("", 0, 0, 0, 0, 0)
+    root = Element("", 0, 0, 0, 0, 0, 0)
     known: dict[tuple[int, str], int] = {}
     stack: list[Element] = []
     # Places in the stack of each open element by its tag, and of those that bound an implied end.
@@ -162,12 +170,13 @@ def blocks(page: str) -> tuple[list[Block], list[Path], list[tuple[str, int, int
                 frame = tag in ("html", "body") or tag == "header" and above.inside
                 marked = not frame and (tag in MARKED or tag in SELDOM or OTHER.search(words))
                 known[up.path, label] = len(paths)
-                paths.append(Path(FAINT if marked else MILDER if MILD.search(words) and not frame else 1.0, above.inside or tag in ARTICLE, label, up.path))
+                mark = FAINT if marked and READERS.search(words) else MARKED_SCORE if marked else MILDER if MILD.search(words) and not frame else 1.0
+                paths.append(Path(mark, above.inside or tag in ARTICLE, label, up.path))
             if not m[4].rstrip().endswith("/"):
                 serial = len(spans)
                 spans.append((tag, len(found), -1))
                 stack.append(Element(
-                    tag, known[up.path, label], serial, up.container if tag in TEXTUAL else serial, up.group or (serial if tag in LISTS else 0), up.article or (serial if tag in ARTICLE else 0)))
+                    tag, known[up.path, label], serial, up.container if tag in TEXTUAL else serial, up.group or (serial if tag in LISTS else 0), up.home if up.group else up.container, up.article or (serial if tag in ARTICLE else 0)))
                 open_at.setdefault(tag, []).append(len(stack) - 1)
                 if tag in BOUNDS:
                     bounds.append(len(stack) - 1)
@@ -177,22 +186,31 @@ def blocks(page: str) -> tuple[list[Block], list[Path], list[tuple[str, int, int
     return found, paths, [(tag, a, len(found) if b < 0 else b) for tag, a, b in spans]
 
 
-def weights(found: list[Block], paths: list[Path]) -> list[float]:
-    """What the marks of a path's elements make of its score: their product, each nearer to 1 the more of the page's text it holds."""
-    held = [0] * len(paths)
+def weights(found: list[Block], paths: list[Path]) -> tuple[list[float], list[bool]]:
+    """What the marks of a path's elements make of its score, and whether it is unmarked.
+
+    The weight is the product of the marks, each nearer to 1 the more of the
+    page's text its element holds, and smaller the less unmarked text there is.
+    """
+    own = [0] * len(paths)
     for b in found:
-        held[b.path] += len(b.text) - b.linked
+        own[b.path] += len(b.text) - b.linked
+    held = list(own)
     for i in range(len(paths) - 1, 0, -1):
         held[paths[i].parent] += held[i]
+    much, plain = [0.0], [True]
+    for i, p in enumerate(paths[1:], 1):
+        rest = held[0] - held[i]
+        most = MARKED_WEIGHT * (held[i] / rest) ** 2 if rest else 1.0
+        much.append(most if held[i] > rest and most > FAINT else 0.0)
+        plain.append(plain[p.parent] and (p.mark > MARKED_SCORE or much[i] > 0))
+    sure = sum(n for n, ok in zip(own, plain, strict=True) if ok) ** 2
+    trust = sure / (sure + TRUST**2)
     out = [1.0]
     for i, p in enumerate(paths[1:], 1):
-        weight = out[p.parent]
-        if p.mark < 1:
-            rest = held[0] - held[i]
-            much = 0.0 if held[i] <= rest else MARKED_WEIGHT * (held[i] / rest) ** 2 if rest else 1.0
-            weight *= min(1.0, max(p.mark, much))
-        out.append(weight)
-    return out
+        mark = p.mark if p.mark > MARKED_SCORE else p.mark * trust
+        out.append(out[p.parent] * (min(1.0, max(mark, much[i])) if p.mark < 1 else 1.0))
+    return out, plain
 
 
 def smoothed(values: list[float]) -> list[float]:
@@ -235,9 +253,10 @@ def with_short(found: list[Block], fit: list[bool], core: list[bool], spans: lis
                 first = False
                 if chosen[i]:
                     break
-    before, last, sides = {}, -1, {}
+    before, sides = {}, {}
     for i, b in enumerate(found):
         e = b.element
+        home = e.home if e.group else e.container
         if fit[i] and not chosen[i] and 2 * b.linked < len(b.text) and (e.tag in ITEMS or e.tag in JOINING):
             if not e.group:
                 chosen[i] = e.container in direct
@@ -247,49 +266,36 @@ def with_short(found: list[Block], fit: list[bool], core: list[bool], spans: lis
                     ahead = next((j for j in range(end, len(found)) if fit[j]), -1)
                     behind = next((j for j in range(start - 1, -1, -1) if fit[j]), -1)
                     sides[e.group] = ahead >= 0 and behind >= 0 and chosen[ahead] and chosen[behind]
-                chosen[i] = sides[e.group] or e.group != before.get(e.container, e.group)
-        if chosen[i] and before.get(e.container) in (None, e.group):
-            before[e.container] = e.group or -1
+                chosen[i] = sides[e.group] or e.group != before.get(home, e.group)
+        if chosen[i] and before.get(home) in (None, e.group):
+            before[home] = e.group or -1
     return chosen
 
 
-def scores(found: list[Block], weight: list[float], fit: list[bool]) -> dict[int, float]:
+def scores(found: list[Block], weight: list[float]) -> dict[int, float]:
     """Of each path that has blocks, its fused score."""
-    lengths: dict[int, list[int]] = {}
+    sums: dict[int, list[int]] = {}
     for b in found:
-        sums = lengths.setdefault(b.path, [0, 0, 0])
-        sums[0] += len(b.text) - b.linked
-        sums[1] += len(PUNCTUATION.findall(b.text))
-        sums[2] += 1
-    by_length = smoothed([lengths[b.path][0] / lengths[b.path][2] if ok else 0.0 for b, ok in zip(found, fit, strict=True)])
-    by_marks = smoothed([lengths[b.path][1] / lengths[b.path][2] if ok else 0.0 for b, ok in zip(found, fit, strict=True)])
+        x = sums.setdefault(b.path, [0, 0, 0])
+        x[0] += len(b.text) - b.linked
+        x[1] += len(PUNCTUATION.findall(b.text))
+        x[2] += 1
+    whole = sum(n_chars for n_chars, _, _ in sums.values()) or 1
+    by_length = smoothed([sums[b.path][0] / sums[b.path][2] for b in found])
+    by_marks = smoothed([sums[b.path][1] / sums[b.path][2] for b in found])
     near: dict[int, float] = {}
     for b, x, y in zip(found, by_length, by_marks, strict=True):
-        near[b.path] = near.get(b.path, 0.0) + x * (1 + y) / lengths[b.path][2]
-    of_article = article_terms(found, fit)
+        near[b.path] = near.get(b.path, 0.0) + x * (1 + y) / sums[b.path][2]
+    of_article = article_terms(found)
     # A path's own ratios and its smoothed ones weigh the same.
-    return {p: weight[p] * of_article[p] * (near[p] * n_chars / n * (1 + marks / n)) ** 0.5 for p, (n_chars, marks, n) in lengths.items()}
-
-
-def main_text(page: str | None) -> str:
-    """The article's text; empty for null or empty pages and those without content."""
-    found, paths, spans = blocks(page or "")
-    if not found:
-        return ""
-    weight = weights(found, paths)
-    # Blocks that faint marks leave out neither smooth their neighbours nor join them.
-    fit = [weight[b.path] > FAINT for b in found]
-    best = scores(found, weight, fit)
-    least = NEEDED * max(best.values())
-    core = [best[b.path] >= least and best[b.path] > 0 for b in found]
-    return " ".join(b.text for b, ok in zip(found, with_short(found, fit, core, spans), strict=True) if ok)
+    return {p: weight[p] * of_article[p] * n_chars / whole * (near[p] * n_chars / n * (1 + marks / n)) ** 0.5 for p, (n_chars, marks, n) in sums.items()}
 
 
-def article_terms(found: list[Block], fit: list[bool]) -> dict[int, float]:
+def article_terms(found: list[Block]) -> dict[int, float]:
     """Of each path, 1 and ARTICLE_GAIN times the mean share of the text that its blocks' article elements hold."""
     held: dict[int, int] = {}
-    for b, ok in zip(found, fit, strict=True):
-        held[b.element.article] = held.get(b.element.article, 0) + (len(b.text) if ok else 0)
+    for b in found:
+        held[b.element.article] = held.get(b.element.article, 0) + len(b.text)
     whole = sum(held.values()) or 1
     sums: dict[int, list[float]] = {}
     for b in found:
@@ -299,6 +305,26 @@ def article_terms(found: list[Block], fit: list[bool]) -> dict[int, float]:
     return {p: 1 + ARTICLE_GAIN * x / n for p, (x, n) in sums.items()}
 
 
+def content_paths(found: list[Block], weight: list[float]) -> set[int]:
+    """The paths whose score is a share of NEEDED of the greatest, or more."""
+    best = scores(found, weight)
+    top = max(best.values())
+    return {p for p, score in best.items() if 0 < score >= NEEDED * top}
+
+
+def main_text(page: str | None) -> str:
+    """The article's text; empty for null or empty pages and those without content."""
+    found, paths, spans = blocks(page or "")
+    if not found:
+        return ""
+    weight, plain = weights(found, paths)
+    chosen = content_paths(found, weight)
+    core = [b.path in chosen for b in found]
+    # Short blocks join by their place unless they are marked.
+    fit = [plain[b.path] or ok for b, ok in zip(found, core, strict=True)]
+    return " ".join(b.text for b, ok in zip(found, with_short(found, fit, core, spans), strict=True) if ok)
+
+
 def main_texts(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars (code points) of each row's html.
 
