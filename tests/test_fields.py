@@ -77,7 +77,7 @@ def test_company_pages(spark):
     viet = '<div class="company-info"><h1>Cty B</h1></div><ul><li>Quy mô công ty: <b>100 - 499</b> người</li></ul>'
     pages = spark.createDataFrame([("/nha-tuyen-dung/b", "careerviet", viet), ("/nha-tuyen-dung/b", "careerviet", ""), ("https://g/c", "jobsgo", '<li class="d-flex"><i class="pb-heroicons-users"></i><span>50</span>')], "url string, website string, html string")
     postings = fields.fields_of(spark.createDataFrame([(f"u/{s}", s, p) for s, p in PAGES.items()], "url string, website string, html string"))
-    got = {r.website: (r.company_title, r.company_size, r.company_industry) for r in fields.with_company(postings, pages).collect()}
+    got = {r.website: (r.company_title, r.company_size, r.company_industry) for r in fields.with_company(postings, fields.company_values(pages)).collect()}
     assert got["careerviet"] == ("Cty B", "100 - 499 người", "CNTT") and got["jobsgo"] == ("Cty G", "50", None) and got["joboko"] == ("Cty C", "25", None) and len(got) == len(PAGES)
 
 

@@ -184,9 +184,11 @@ def site_fields(table):
     site, html = (F.element_at(F.array(*[F.lit(x) if isinstance(x, str) else x for x in xs]), (c("page_id") % 5 + 1).cast("int")) for xs in (SITES, markup))
     pages = table("pages").select("page_id", say("https://job/", n).alias("url"), site.alias("website"), F.concat(html, F.coalesce("html", F.lit(""))).alias("html"))
     firms = table("pages").where("page_id % 5 = 1").select("page_id", say("/c/", n).alias("url"), F.lit("careerviet").alias("website"), say('<div class="company-info"><h1>', company, "</h1></div>", F.coalesce("html", F.lit(""))).alias("html"))
-    postings = fields.fields_of(pages)
-    named = fields.with_company(postings, firms.where("page_id % 2 = 1")).select("job_url", "company_title")
-    company_page = fields.with_company(postings.where("website = 'careerviet'"), firms).select("job_url", c("company_title").alias("company_page"))
+    postings = lineage.settled(fields.fields_of(pages), "postings")
+    values = lineage.settled(fields.company_values(firms), "companies")
+    odd = F.substring_index("company_url", "/", -1).cast("long") % 2 == 1
+    named = fields.with_company(postings, values.where(odd)).select("job_url", "company_title")
+    company_page = fields.with_company(postings.where("website = 'careerviet'"), values).select("job_url", c("company_title").alias("company_page"))
     return postings.drop("company_title").join(named, "job_url").join(company_page, "job_url", "left").select("job_url", "website", "job_title", "company_title", "location", "experience", "compensation", "level", "company_industry", "job_description", "company_page")
 
 

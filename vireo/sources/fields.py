@@ -434,11 +434,15 @@ def fields_of(pages: DataFrame, rules: dict[str, dict[str, Rule]] = POSTING_RULE
     return pages.select(*[F.col(n).cast("string") for n in (url, website, html)]).mapInArrow(read, schema)
 
 
-def with_company(postings: DataFrame, companies: DataFrame) -> DataFrame:
-    """Postings with title, size and industry from their company's page where their own says nothing.
+def company_values(companies: DataFrame) -> DataFrame:
+    """company_url, company_title, company_size and company_industry of company pages (url, website, html).
 
-    `companies` are pages (url, website, html); of those with one url the text that sorts last counts.
+    Of pages with one url the one whose website and text sort last counts; a null url is no company's.
     """
     last = companies.where("url is not null").groupBy("url").agg(F.max(F.struct("website", "html")).alias("page")).select("url", "page.website", "page.html")
-    named = fields_of(last, COMPANY_RULES).select(F.col("job_url").alias("company_url"), "company_title", "company_size", "company_industry")
-    return detail_else_card(postings, named, "company_url", ["company_title", "company_size", "company_industry"])
+    return fields_of(last, COMPANY_RULES).select(F.col("job_url").alias("company_url"), "company_title", "company_size", "company_industry")
+
+
+def with_company(postings: DataFrame, values: DataFrame) -> DataFrame:
+    """Postings with title, size and industry from `company_values` where their own page says nothing."""
+    return detail_else_card(postings, values, "company_url", ["company_title", "company_size", "company_industry"])
