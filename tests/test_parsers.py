@@ -81,3 +81,12 @@ def test_whole_word_lists(spark):
     added = d.Vocabulary({"SQL": ["duckdb"]}, [("Juggler", ["zqcz"])])
     assert [r.job_title_detect for r in p.with_title(column(spark, ["zqcz"], "job_title"), vocabulary=added).collect()] == ["Juggler"]
     assert (len(d.SKILL_WORDS), sum(map(len, d.SKILL_WORDS.values())), len(d.OTHER_TITLES)) == (63, 303, 138)
+
+
+def test_dates_without_a_failed_reading(spark):
+    """A text that is no date is told by its pattern: no date format is tried on it, and digits of other scripts are no error."""
+    rows = spark.createDataFrame([("soon", "x"), ("٣ ngày", None), ("31/02/2020", "hạn nộp: 31/02/2024"), ("5-2-2026 (new)", "Apply before 1/2/2024")], "t string, e string")
+    made = p.dates(F.col("t"), F.lit(None), F.lit("2024-03-01 09:00:00"), F.col("e"))
+    df = rows.select("t", *[v.cast("string").alias(k) for k, v in made.items()])
+    assert "gettimestamp" not in df._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert {tuple(r) for r in df.collect()} == {("soon", "2024-03-01", None), ("٣ ngày", "2024-03-01", None), ("31/02/2020", "2024-03-01", None), ("5-2-2026 (new)", "2026-02-05", "2024-02-01")}

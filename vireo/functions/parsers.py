@@ -9,6 +9,8 @@ kinh nghiệm" means none only where no digit stands before the 0.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +32,11 @@ def found(c: Column, words: list[str]) -> Column:
     return k.holds(c, words)
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """What `use` makes of the value, which is computed once however often it is named: an array of one holds it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def website(raw: Column) -> Column:
     return lowered(raw)
 
@@ -37,39 +44,54 @@ def website(raw: Column) -> Column:
 # Dates -------------------------------------------------------------------------
 
 
+# A text that a date format cannot read costs an exception, some 20 us; so a pattern stands before each reading.
+
+
 def timestamp_of(ref: Column) -> Column:
-    return F.try_to_timestamp(F.replace(F.substring(stripped(ref), 1, 19), F.lit(" "), F.lit("T")), F.lit("yyyy-MM-dd'T'HH:mm:ss"))
+    at = F.replace(F.substring(stripped(ref), 1, 19), F.lit(" "), F.lit("T"))
+    return F.when(at.rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\z"), F.try_to_timestamp(at, F.lit("yyyy-MM-dd'T'HH:mm:ss")))
 
 
 def moment(ref: Column) -> Column:
     """The reference time, also where only a date is given."""
-    return F.coalesce(timestamp_of(ref), F.try_to_timestamp(F.substring(stripped(ref), 1, 10), F.lit("yyyy-MM-dd")))
+    day = F.substring(stripped(ref), 1, 10)
+    return F.coalesce(timestamp_of(ref), F.when(day.rlike(r"^\d{4}-\d\d-\d\d\z"), F.try_to_timestamp(day, F.lit("yyyy-MM-dd"))))
 
 
-def ymd(year: Column, month: Column, day: Column) -> Column:
-    return F.to_date(F.try_to_timestamp(F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0")), F.lit("yyyy-MM-dd")))
+def written(text: Column, pattern: str, order: str) -> Column:
+    """The day at the beginning of the text, `order` its groups as year-month-day; null if there is none or no such day."""
+    return F.when(text.rlike(pattern), F.regexp_replace(F.regexp_extract(text, pattern, 0), pattern, order).try_cast("date"))
 
 
 def shifted(ref: Column, count: Column, unit: Column, sign: int) -> Column:
     """The date `count` units before (sign -1) or after; a month is 30 days, a year 365."""
     seconds = F.element_at(F.create_map(*[F.lit(x) for kv in SECONDS.items() for x in kv]), unit)
-    return F.to_date(F.timestamp_seconds(F.unix_timestamp(moment(ref)) + sign * count.cast("long") * seconds))
+    return F.to_date(F.timestamp_seconds(F.unix_timestamp(moment(ref)) + sign * count.try_cast("long") * seconds))
 
 
 def date_of(text: Column, ref: Column) -> Column:
     """A date written d/m/Y, Y-m-d, as days left, or as time ago in English or Vietnamese; else null."""
-    s = F.trim(F.regexp_replace(lowered(text), r"\(.*?\)", ""))
     dmy, iso = r"^(\d{1,2})[/\-](\d{1,2})[/\-](\d{4})", r"^(\d{4})[/\-](\d{2})[/\-](\d{2})"
     left, ago, truoc = r"(?U)còn\s+(\d+)\s+ngày", r"(\d+)\s+(second|minute|hour|day|week|month|year)s?\s+ago", r"(?U)(\d+)\s+(giây|phút|giờ|ngày|tuần|tháng|năm)(?:\s+trước)?"
-    return F.coalesce(
-        ymd(group(s, dmy, 3), group(s, dmy, 2), group(s, dmy, 1)), ymd(group(s, iso, 1), group(s, iso, 2), group(s, iso, 3)),
-        shifted(ref, group(s, left, 1), F.lit("day"), 1), shifted(ref, group(s, ago, 1), group(s, ago, 2), -1), shifted(ref, group(s, truoc, 1), group(s, truoc, 2), -1))
+
+    def read(s: Column) -> Column:
+        day = F.coalesce(
+            written(s, dmy, "$3-$2-$1"), written(s, iso, "$1-$2-$3"),
+            F.when(s.rlike(left), shifted(ref, group(s, left, 1), F.lit("day"), 1)), F.when(s.rlike(ago), shifted(ref, group(s, ago, 1), group(s, ago, 2), -1)), F.when(s.rlike(truoc), shifted(ref, group(s, truoc, 1), group(s, truoc, 2), -1)))
+        return F.when(s.rlike(r"(?U)\d"), day)
+
+    return once(F.trim(F.regexp_replace(lowered(text), r"\(.*?\)", "")), read)
 
 
 def dates(posted: Column, deadline: Column, scraped_at: Column, description: Column) -> dict[str, Column]:
-    text = lowered(description)
-    written = [date_of(group(text, rf"(?U){lead}[:\s]+(\d{{1,2}}[/\-]\d{{1,2}}[/\-]\d{{4}})", 1), scraped_at) for lead in (r"hạn\s+nộp", "deadline", r"ngày\s+hết\s+hạn", r"apply\s+before")]
-    return {"job_posted_at_clean": F.coalesce(date_of(posted, scraped_at), F.to_date(moment(scraped_at))), "job_deadline_clean": F.coalesce(date_of(deadline, scraped_at), *written)}
+    leads, day = (r"hạn\s+nộp", "deadline", r"ngày\s+hết\s+hạn", r"apply\s+before"), r"[:\s]+(\d{1,2}[/\-]\d{1,2}[/\-]\d{4})"
+
+    def named(text: Column) -> Column:
+        # Most texts name no date: one pass finds that out. A date found is written d/m/Y, as date_of would read it.
+        each = [written(F.regexp_extract(text, rf"(?U){lead}{day}", 1), r"^(\d{1,2})[/\-](\d{1,2})[/\-](\d{4})", "$3-$2-$1") for lead in leads]
+        return F.when(text.rlike(rf"(?U)(?:{'|'.join(leads)}){day}"), F.coalesce(*each))
+
+    return {"job_posted_at_clean": F.coalesce(date_of(posted, scraped_at), F.to_date(moment(scraped_at))), "job_deadline_clean": F.coalesce(date_of(deadline, scraped_at), once(lowered(description), named))}
 
 
 def day_first(text: Column) -> Column:
