@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from vireo import schemas
+from vireo.operators import lineage
 from vireo.plans import nightly, transform
 
 
@@ -32,3 +33,21 @@ def test_a_repeated_run_replaces_its_errors_and_log(spark, tmp_path):
     line = nightly.log_of(spark, f"{tmp_path}/log").collect()
     assert [(r.total_input, r.total_output, r.new_rows, r.updated_rows, r.error_rows, r.status) for r in line] == [(2, 1, 0, 1, 2, "WARN")]
     assert cleaned.read(spark).count() == 1 and cleaned.read(spark, 1).count() == 1
+
+
+def _one_task(spark):
+    """Forty staging rows in one partition, as from a small file."""
+    rows = spark.range(40).select(F.col("id"), F.concat(F.lit("https://j/"), "id").alias("job_url"), F.lit("Data Engineer").alias("job_title"), F.lit("Hà Nội").alias("location"), F.lit("2026-02-10T08:00:00").alias("scraped_at"))
+    return schemas.conformed(rows.coalesce(1), schemas.STAGING)
+
+
+def test_rows_of_one_task_are_parsed_by_many(spark):
+    cleaned, _ = transform.transformed(_one_task(spark), 3)
+    assert len({r[0] for r in cleaned.select(F.spark_partition_id()).collect()}) > 4 and cleaned.count() == 40
+
+
+def test_a_nightly_run_parses_rows_of_one_task_by_many(spark, tmp_path):
+    before = set(lineage._made.get(spark.sparkContext.applicationId, []))
+    nightly.run(_one_task(spark), nightly.cleaned_at(f"{tmp_path}/cleaned", 2).create(spark), f"{tmp_path}/errors", f"{tmp_path}/log", 3)
+    (parsed,) = [x for x in lineage._made[spark.sparkContext.applicationId] if x not in before and x.endswith("-parsed")]
+    assert len(spark.read.parquet(parsed).inputFiles()) > 4 and spark.read.parquet(parsed).count() == 40

@@ -23,9 +23,17 @@ KEY = ("job_url", "location_province")
 LIMITS = {"salary_type": 20, "salary_currency": 10, "level_clean": 50, "job_type_clean": 50, "work_mode_clean": 50}
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows dealt over all cores by their key. A file of few megabytes is read by one or two tasks, but a row takes far longer to
+    parse than to read or move."""
+    context = rows.sparkSession.sparkContext
+    return rows.repartition(max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), 4 * context.defaultParallelism), "id", "job_url")
+
+
 def transformed(rows: DataFrame, run_id: int, vocabulary: Vocabulary | None = None) -> tuple[DataFrame, DataFrame]:
     """(cleaned rows, errors). Rows with a blank title, and those that name more than
     nine places, become errors."""
+    rows = spread(rows)
     titled = stripped("job_title") != ""
     df = p.with_places(rows.where(titled))
     errors = rows.where(~titled).select("id", "job_url", F.lit("job_title").alias("field_name"), F.col("job_title").alias("raw_value"), F.lit("MISSING_TITLE").alias("error_type")).unionByName(
