@@ -35,7 +35,7 @@ def run(rows: DataFrame, cleaned: Bucketed, errors: str, log: str, run_id: int,
     started = _now()
     counted, failed = Observation(), Observation()
     good = transform.is_good(F.col("places"), F.col("job_title"))
-    both = transform.parsed(p.with_places(rows), vocabulary).observe(counted, F.count(F.lit(1)).alias("inputs"), F.sum(F.when(good, F.size("places"))).alias("outputs"))
+    both = transform.parsed(p.with_places(transform.spread(rows)), vocabulary).observe(counted, F.count(F.lit(1)).alias("inputs"), F.sum(F.when(good, F.size("places"))).alias("outputs"))
     both = settled(both, "parsed")
     rows = schemas.conformed(transform.with_ids(p.fanned_out(both.where(good)), run_id), schemas.CLEANED)
     version = cleaned.load(transform.once_each(rows), {x: "replace" for x in transform.REFRESHED})
