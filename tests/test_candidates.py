@@ -65,3 +65,20 @@ def test_chains_equal_the_plain_fold(spark, small_block):
 def test_no_titles(spark):
     none = spark.createDataFrame([], "co string, prov string, etl_id long, day int, rank int, info int, title string, lvl string")
     assert linkage.fuzzy_links(none, F.lit(True), 10).count() == 0
+
+
+def test_long_titles_of_few_syllables_over_many_tiles(spark, monkeypatch):
+    """Titles of few syllables hold few rare pieces; a title gives at most two rows a word, and small tiles lose no pair."""
+    monkeypatch.setattr(candidates, "TILE", 16)
+    rng = random.Random(7)
+    base = [" ".join("".join(rng.choice(["th", "an", "in", "er", "on", "re"]) for _ in range(rng.randint(1, 4))) for _ in range(rng.randint(5, 30))) for _ in range(60)]
+    made = set(base)
+    for t in base:
+        for _ in range(2):
+            at = rng.randint(0, len(t))
+            made.add(" ".join((t[:at] + rng.choice(["", "x", "the ", " "]) + t[at + rng.randint(0, 3) :]).split()))
+    rows = [(i, t, 0) for i, t in enumerate(sorted(made))]
+    assert all(len(list(candidates.keys_of(t, 92))) <= 2 * len(t.split()) for _, t, _ in rows)
+    got = {(r.a, r.b): r.score for r in candidates.similar_titles(spark.createDataFrame(rows, "title_id long, title string, block long"), 92).collect()}
+    want = {(a, b): s for a, x, _ in rows for b, y, _ in rows if a < b and (s := linkage.title_similarity(x, y)) >= 92}
+    assert got == want and len(got) > 60

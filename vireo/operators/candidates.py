@@ -1,20 +1,21 @@
-"""Similar titles of a block, proposed by an index of their words and letters.
+"""Similar titles of a block, proposed by an index of their words and by counts of their letters.
 
-Two titles that reach the least similarity share something rare:
+Two titles that reach the least similarity share something:
 
 * words: where one title's words make up most of the other's, some word of the
-  other's rarest ones (as many as may be missing, and one more) is in both;
-* letters: where the titles differ in at most d letters, cut one of them, word
-  by word, into pieces of equal length: d letters touch d pieces at most, so of
-  any d + 1 pieces one is whole in the other. The rarest are taken.
-
-So each title asks for a few rare keys, and meets the titles of its block that
-hold them and have a length that allows the similarity. What is proposed is
-compared in full; nothing similar is missed.
+  other's rarest ones (as many as may be missing, and one more) is in both, so
+  each title asks for a few rare words and meets the titles that hold them;
+* letters: where the titles differ in at most d letters, so do their lengths
+  and their counts of letters, and their counts of pairs of letters in at most
+  3 d. Titles are dealt by length into tiles of bounded size, and each two
+  tiles of near lengths are a group in which counts are compared as arrays.
+
+What is proposed is compared in full; nothing similar is missed.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -23,9 +24,13 @@ from pyspark.sql import functions as F
 
 from vireo.operators.lineage import settled
 
-#: Lengths of pieces, the longest that gives enough of them counts.
-PIECES = (6, 5, 4, 3, 2, 1)
-KEYS = "block long, title_id long, key string, weight long, budget long, ask boolean, once long, every long, letters long, pairs long"
+#: Titles of a tile, about. Two tiles are compared in one group.
+TILE = 4096
+#: Classes of letters, of pairs of letters inside words and of stretches of GRAM letters that are counted.
+CLASSES = (32, 96, 2048)
+GRAM = 4
+KEYS = "block long, title_id long, key string, weight long, budget long, ask boolean, letters long"
+FOUND = "a long, b long, score double"
 
 
 def word_keys(tokens: set[str], least: float) -> Iterator[tuple[str, int, int]]:
@@ -33,23 +38,7 @@ def word_keys(tokens: set[str], least: float) -> Iterator[tuple[str, int, int]]:
     length = sum(map(len, tokens)) + len(tokens) - 1
     budget = int(length * (200 - 2 * least) / (200 - least) + 1e-9)
     for token in tokens:
-        yield "w" + token, len(token) + 1, budget
-
-
-def piece_keys(tokens: list[str], least: float) -> Iterator[tuple[str, int, int]]:
-    """(key, weight, budget) of the pieces of the words: weights are how often a piece occurs, the budget is how many may be touched.
-
-    Where even single letters are too few, which takes a least similarity of 80 or less, the key is one that all titles hold.
-    """
-    length = sum(map(len, tokens)) + len(tokens) - 1
-    budget = int(length * (100 - least) / 100 * 200 / least + 1e-9)
-    for size in PIECES:
-        pieces = [t[i : i + size] for t in tokens for i in range(0, len(t) - size + 1, size)]
-        if len(pieces) > budget:
-            for piece in set(pieces):
-                yield "p" + piece, pieces.count(piece), budget
-            return
-    yield "p", 1, 0
+        yield token, len(token) + 1, budget
 
 
 def bits(parts: Iterator[str]) -> int:
@@ -62,27 +51,108 @@ def bits(parts: Iterator[str]) -> int:
 
 def keys_of(title: str, least: float) -> Iterator[tuple]:
     """Rows of KEYS, after the id: what the title holds, and (`ask`) what it may ask for."""
-    every = title.split()
-    once = set(every)
-    lengths = sum(map(len, once)) + len(once) - 1, sum(map(len, every)) + len(every) - 1, bits(c for t in once for c in t), bits(t[i : i + 2] for t in once for i in range(len(t) - 1))
-    held = {"w" + t for t in once} | {"p" + t[i : i + n] for t in once for n in PIECES for i in range(len(t) - n + 1)}
-    if least <= 80:
-        held.add("p")
-    for key in held:
-        yield key, 0, 0, False, *lengths
-    lists = [list(word_keys(once, least)), list(piece_keys(list(once), least))]
-    if len(once) < len(every):
-        lists.append([("r" + k, w, b) for k, w, b in piece_keys(every, least)])
-    for rows in lists:
-        for key, weight, budget in rows:
-            yield key, weight, budget, True, *lengths
+    once = set(title.split())
+    letters = bits(c for t in once for c in t)
+    for key, weight, budget in word_keys(once, least):
+        yield key, 0, 0, False, letters
+        yield key, weight, budget, True, letters
 
 
-def similar_titles(titles: DataFrame, least: float) -> DataFrame:
-    """(a, b, score) of the pairs of `titles` (title_id, title, block) in one block that are at least so similar.
+def counts(text: str):
+    """How often each class of letters, spaces among them, of pairs of letters inside words, and of stretches occurs."""
+    import numpy as np
 
-    a < b; titles of a block are distinct. `titles` has been written.
+    codes = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64)
+    inside = (codes[:-1] != 32) & (codes[1:] != 32)
+    stretches = sum(codes[k : len(codes) - GRAM + 1 + k] * 31**k for k in range(GRAM)) if len(codes) >= GRAM else codes[:0]
+    return np.bincount(codes % CLASSES[0], minlength=CLASSES[0]), np.bincount((codes[:-1] * 31 + codes[1:])[inside] % CLASSES[1], minlength=CLASSES[1]), np.bincount(stretches % CLASSES[2], minlength=CLASSES[2])
+
+
+def in_reach(left: set[str], right: set[str], length: int, least: float) -> bool:
+    """False only where titles of so much length together, which differ in these words, differ in more letters than `least` allows.
+
+    A letter put in or taken out changes at most 2 * GRAM - 1 stretches of GRAM letters.
+    """
+    differ = int(length * (100 - least) / 100 + 1e-9)
+    a, b = (Counter(t[i : i + GRAM] for i in range(len(t) - GRAM + 1)) for t in (" ".join(sorted(x)) for x in (left, right)))
+    return a.total() + b.total() - 2 * (a & b).total() <= (2 * GRAM - 1) * differ
+
+
+def close_counts(texts: list[str], others: list[str], least: float, in_order: bool) -> Iterator[tuple[int, int]]:
+    """Places of the texts and others, each words joined by spaces, that lengths and counts do not tell apart.
+    Stretches count only where the words are compared in the order given."""
+    import numpy as np
+
+    def counted(xs):
+        made = [counts(x) for x in xs]
+        return np.array([len(x) for x in xs]), *(np.array([m[i] for m in made], np.int32).reshape(len(xs), CLASSES[i]) for i in range(3 if in_order else 2)), None
+
+    n, letters, pairs, stretches = counted(texts)[:4]
+    m, other_letters, other_pairs, other_stretches = counted(others)[:4]
+    order = np.argsort(m, kind="stable")
+    m, other_letters, other_pairs = m[order], other_letters[order], other_pairs[order]
+    most = (200 - least) / least
+    for i in range(len(texts)):
+        low, high = np.searchsorted(m, n[i] / most - 1e-6, "left"), np.searchsorted(m, n[i] * most + 1e-6, "right")
+        differ = np.floor((m[low:high] + n[i]) * (100 - least) / 100 + 1e-9)
+        near = low + np.nonzero(np.abs(other_letters[low:high] - letters[i]).sum(1) <= differ)[0]
+        near = near[np.abs(other_pairs[near] - pairs[i]).sum(1) <= 3 * differ[near - low]]
+        if in_order:
+            near = near[np.abs(other_stretches[order[near]] - stretches[i]).sum(1) <= (2 * GRAM - 1) * differ[near - low]]
+        for j in order[near].tolist():
+            yield i, j
+
+
+def by_letters(titles: DataFrame, least: float) -> DataFrame:
+    """(a, b, score) of similar titles that differ in few letters; a pair may come twice.
+
+    Words count with repeats and without, each by lengths of its own. A length
+    class is as wide as lengths may differ, so similar titles lie in one class or in two neighbours.
     """
+    import math
+
+    from vireo.operators.linkage import can_reach, measures, title_similarity
+
+    def compared(pdf):
+        import pandas as pd
+
+        sides = [pdf[pdf["side"] != 1], pdf[pdf["side"] != 0]]
+        ids, names = ([x[c].tolist() for x in sides] for c in ("title_id", "title"))
+        once = pdf["once"].iloc[0]
+        texts = [[" ".join(sorted(set(t.split()) if once else t.split())) for t in x] for x in names]
+        known, out = {}, []
+        of = lambda t: known.get(t) or known.setdefault(t, measures(t))
+        whole = pdf["side"].iloc[0] == 2
+        for i, j in close_counts(*texts, least, not once):
+            a, b, x, y = ids[0][i], ids[1][j], names[0][i], names[1][j]
+            if not (a < b or not whole and a != b) or not can_reach(of(x), of(y), least):
+                continue
+            one, two = of(x)[0], of(y)[0]
+            if (not once or in_reach(one - two, two - one, len(texts[0][i]) + len(texts[1][j]), least)) and (score := title_similarity(x, y)) >= least:
+                out.append((min(a, b), max(a, b), score))
+        return pd.DataFrame(out, columns=["a", "b", "score"]).astype({"a": "int64", "b": "int64", "score": "float64"})
+
+    c = F.col
+    width = math.log(max((200 - least) / least, 1.05)) + 1e-9
+    words = F.filter(F.split("title", r"(?U)[\s\x1c-\x1f]+"), lambda w: w != "")
+    kinds = titles.select("block", "title_id", "title", F.explode(F.array(F.struct(F.lit(True).alias("once"), F.array_distinct(words).alias("words")), F.struct(F.lit(False).alias("once"), words.alias("words")))).alias("k"))
+    rows = kinds.where(F.size("k.words") > 0).select("block", "title_id", "title", "k.once", F.floor(F.log(F.length(F.array_join("k.words", " ")).cast("double")) / width).alias("size"))
+    rows = settled(rows, "title-lengths")
+    tiles = rows.groupBy("block", "once", "size").agg(F.ceil(F.count("*") / TILE).cast("int").alias("n"))
+    beside = lambda by, name: tiles.select("block", "once", (c("size") + by).alias("size"), c("n").alias(name))
+    tiles = settled(tiles.join(beside(1, "below"), ["block", "once", "size"], "left").join(beside(-1, "above"), ["block", "once", "size"], "left"), "title-tiles")
+    dealt = rows.join(tiles, ["block", "once", "size"]).withColumn("at", F.pmod(F.xxhash64("title_id"), "n").cast("int"))
+    upto = lambda n: F.when(c(n) > 0, F.sequence(F.lit(0), c(n) - 1)).otherwise(F.array().cast("array<int>"))
+    group = lambda size, low, high, top, side: F.struct(size.alias("low"), low.alias("tile"), high.alias("other"), F.lit(top).alias("wider"), side.alias("side"))
+    groups = F.concat(
+        F.transform(upto("n"), lambda x: group(c("size"), F.least(c("at"), x), F.greatest(c("at"), x), 0, F.when(x == c("at"), 2).when(c("at") < x, 0).otherwise(1))),
+        F.transform(upto("above"), lambda x: group(c("size"), c("at"), x, 1, F.lit(0))), F.transform(upto("below"), lambda x: group(c("size") - 1, x, c("at"), 1, F.lit(1))))
+    dealt = dealt.select("block", "once", "title_id", "title", F.explode(groups).alias("g")).select("block", "once", "title_id", "title", "g.*")
+    return dealt.groupBy("block", "once", "low", "tile", "other", "wider").applyInPandas(compared, FOUND)
+
+
+def by_words(titles: DataFrame, least: float) -> DataFrame:
+    """(a, b, score) of similar titles of which one holds most words of the other."""
     from vireo.operators.linkage import can_reach, measures, title_similarity
 
     def keys(batches: Iterator) -> Iterator:
@@ -92,8 +162,8 @@ def similar_titles(titles: DataFrame, least: float) -> DataFrame:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
                 rows = [(block, i, *r) for i, t, block in zip(*(c.to_pylist() for c in part.columns), strict=True) for r in keys_of(t, least)]
-                yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], kind) for j, kind in enumerate((pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.bool_(), *[pa.int64()] * 4))],
-                                                 names=["block", "title_id", "key", "weight", "budget", "ask", "once", "every", "letters", "pairs"])
+                yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], kind) for j, kind in enumerate((pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.int64()))],
+                                                 names=["block", "title_id", "key", "weight", "budget", "ask", "letters"])
 
     def compared(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -107,25 +177,25 @@ def similar_titles(titles: DataFrame, least: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in out], kind) for j, kind in enumerate((pa.int64(), pa.int64(), pa.float64()))], names=["a", "b", "score"])
 
     rows = settled(titles.select("title_id", "title", "block").mapInArrow(keys, KEYS), "title-keys")
-    wanted = rows.where("ask").select("block", F.expr("if(key like 'r%', substring(key, 2), key)").alias("key")).distinct()
-    holds = rows.where("not ask").join(wanted, ["block", "key"], "left_semi").select("block", "key", *[F.col(x).alias(y) for x, y in (("title_id", "other"), ("once", "once_b"), ("every", "every_b"), ("letters", "letters_b"), ("pairs", "pairs_b"))])
-    holds = settled(holds, "held-keys")
+    holds = rows.where("not ask").select("block", "key", F.col("title_id").alias("other"), F.col("letters").alias("letters_b"))
     often = holds.groupBy("block", "key").agg(F.count("*").alias("often"))
-    # Words, pieces, and pieces with repetitions are three lists; the first letter of a key tells which.
-    asked = rows.where("ask").withColumns({"list": F.substring("key", 1, 1), "key": F.expr("if(key like 'r%', substring(key, 2), key)")}).join(often, ["block", "key"])
-    before = F.sum("weight").over(Window.partitionBy("title_id", "list").orderBy("often", "key").rowsBetween(Window.unboundedPreceding, -1))
+    asked = rows.where("ask").join(often, ["block", "key"])
+    before = F.sum("weight").over(Window.partitionBy("title_id").orderBy("often", "key").rowsBetween(Window.unboundedPreceding, -1))
     asked = asked.withColumn("before", F.coalesce(before, F.lit(0))).where("before <= budget")
-    most = (200 - least) / least
-    fits = lambda x: (F.col(x) <= F.col(f"{x}_b") * most) & (F.col(f"{x}_b") <= F.col(x) * most)
-    # A letter more or less changes whether one letter occurs, and at most three pairs of letters; of words that make up most of a title, few letters can be missing.
-    differ = F.floor((F.col("every") + F.col("every_b")) * (100 - least) / 100 + 1e-9)
-    alike = (F.bit_count(F.col("letters").bitwiseXOR(F.col("letters_b"))) <= differ) & (F.bit_count(F.col("pairs").bitwiseXOR(F.col("pairs_b"))) <= 3 * differ)
+    # Of words that make up most of a title, few letters can be missing.
     missing = F.bit_count(F.col("letters").bitwiseAND(F.bitwise_not("letters_b")))
-    near = ((F.col("list") == "w") & (missing <= F.col("budget"))) | ((F.col("list") != "w") & (fits("once") | fits("every")) & alike)
-    pairs = asked.join(holds, ["block", "key"]).where((F.col("title_id") != F.col("other")) & near)
+    pairs = asked.join(holds, ["block", "key"]).where((F.col("title_id") != F.col("other")) & (missing <= F.col("budget")))
     pairs = pairs.select(F.least("title_id", "other").alias("a"), F.greatest("title_id", "other").alias("b")).distinct()
     text = lambda x: titles.select(F.col("title_id").alias(x), F.col("title").alias(f"title_{x}"))
-    return pairs.join(text("a"), "a").join(text("b"), "b").select("a", "b", "title_a", "title_b").mapInArrow(compared, "a long, b long, score double")
+    return pairs.join(text("a"), "a").join(text("b"), "b").select("a", "b", "title_a", "title_b").mapInArrow(compared, FOUND)
+
+
+def similar_titles(titles: DataFrame, least: float) -> DataFrame:
+    """(a, b, score) of the pairs of `titles` (title_id, title, block) in one block that are at least so similar.
+
+    a < b; titles of a block are distinct. `titles` has been written.
+    """
+    return by_words(titles, least).unionByName(by_letters(titles, least)).distinct()
 
 
 def pieces(titles: DataFrame, edges: DataFrame) -> DataFrame:
