@@ -4,10 +4,11 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from vireo.llm import packing, sharding, store
-from vireo.llm.tokens import Encoder, vocabulary
+from vireo.llm.tokens import END, Encoder, vocabulary
 
 TEXTS = ["Alpha beta, gamma! " * 40, None, "", "word", "Alpha beta, gamma! " * 40, "x" * 3000, "It's d'une\tÉté 12,5 🙂\n" * 300, "word"]
 
@@ -42,6 +43,49 @@ def test_chunks_give_the_librarys_ids(library):
             assert np.frombuffer(packed, "<u2").tolist() == library.encode(text or "", add_special_tokens=False).ids
 
 
+def odd_texts() -> list[str | None]:
+    """Texts of pieces drawn from what may join, change or split in the vocabulary, white space of all kinds between them or none."""
+    rng = np.random.default_rng(5)
+    bits = ["ab", "Ab", "É", "é", "×", "÷", "ß", "ÿ", "x'", "'s", "don't", "'", "<", "<|endoftext|>", "<|ENDOFTEXT|>", "1", "12.5", ",", "!?", "_", "e\u0301", "\u0301", "İ", "ΣΑΣ", "漢字", "🙂", "µ", "\x1c", "\x7f", "\x00", "\x85", "\xa0", "\u3000", " ", "  ", "\n", "\x0b", "\x0c", "\t\r\n"]
+    return [None, "", " ", *bits, *("".join(rng.choice(bits, rng.integers(1, 30))) for _ in range(2000))]
+
+
+@pytest.mark.parametrize("kind", ["string", "large_string"])
+def test_flat_ids_are_the_librarys(library, kind):
+    texts = [*odd_texts(), *TEXTS]
+    code = Encoder(vocabulary(None), remembered=100)
+    assert code.apart
+    for at in (0, 1, 900):
+        ids, ends = code.flat(pa.array(texts, kind).slice(at, 1200), END)
+        got = [x.tolist() for x in np.split(ids, ends)[:-1]]
+        assert got == [[*library.encode(t or "", add_special_tokens=False).ids, END] for t in texts[at : at + 1200]]
+    assert [x.tolist() for x in code.flat(pa.array([], kind), END)] == [[], []]
+
+
+def test_flat_asks_for_a_piece_once_a_call():
+    """The work grows with distinct pieces: words that differ in case or in what follows them are one."""
+    code = Encoder(vocabulary(None))
+    looked = []
+    code.pieces = type("Counted", (dict,), {"__getitem__": lambda _, k: looked.append(k) or code._piece(k)})()
+    code.flat(pa.array(["Word word, WORD. word"] * 500), END)
+    assert sorted(looked) == [",", ".", "word"]
+
+
+def test_cuts_of_a_document_do_not_depend_on_its_neighbours():
+    rng = np.random.default_rng(3)
+    table, docs = store.rolling_table(1 << 16), [rng.integers(0, 49408, n).astype("<u2") for n in (1, 3, 64, 65, 500, 9000, 40_000)]
+    cut = lambda ids, at, n: store.boundaries([c for c in store.candidates(ids, table).tolist() if at < c < at + n], at, at + n)
+    at = 0
+    for d in docs:
+        alone = cut(d, 0, len(d))
+        assert [e - at for e in cut(np.concatenate(docs), at, len(d))] == alone
+        assert alone[-1] == len(d) and all(store.LEAST <= n <= store.MOST for n in np.diff(alone[:-1], prepend=0))
+        at += len(d)
+    same = [np.concatenate([rng.integers(0, 49408, n), docs[-1]]).astype("<u2") for n in (10, 777)]
+    ends = [{len(s) - e for e in cut(s, 0, len(s))} for s in same]
+    assert len(ends[0] & ends[1]) > 0.8 * len(ends[0]) > 60
+
+
 def test_store_round_trip(docs, empty, library):
     written = store.write_store(docs)
     rows = store.starts_and_checksums(written).collect()

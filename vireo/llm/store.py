@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from hashlib import blake2b
+from itertools import pairwise
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -33,6 +34,8 @@ WINDOW = 8
 #: A cut is made where this many low bits of the rolling hash are 0, between the least and the most ids.
 CUT_BITS, LEAST, MOST = 8, 64, 2048
 SHARD_TOKENS, SHARD_ROWS = 8_000_000, 100_000
+#: Bytes of text that are encoded at a time.
+PART_BYTES = 4 << 20
 
 STREAM = "row long, doc_id long, n_tokens long, leaf binary, digests array<binary>, lens array<int>, ids binary"
 RECORD = (
@@ -45,26 +48,32 @@ def digest(data: bytes) -> bytes:
 
 
 def rolling_table(size: int) -> np.ndarray:
-    """A 64-bit hash for each id, from the splitmix64 rule."""
+    """A 32-bit hash for each id, from the splitmix64 rule; `size` is a power of two."""
     z = np.arange(1, size + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return z ^ (z >> np.uint64(31))
-
-
-def boundaries(ids: np.ndarray, table: np.ndarray) -> list[int]:
-    """Ends of the chunks; content decides, so equal passages are cut alike."""
-    n = len(ids)
-    if n <= LEAST:
-        return [n]
-    t = table[ids % len(table)]
-    h = t.copy()
-    for k in range(1, WINDOW):
-        h[k:] += (t[:-k] << np.uint64(k)) | (t[:-k] >> np.uint64(64 - k))
-    h ^= h >> np.uint64(29)
-    cuts = np.flatnonzero((h & np.uint64((1 << CUT_BITS) - 1)) == 0) + 1
-    ends, last = [], 0
-    for c in [*cuts.tolist(), n]:
+    return (z ^ (z >> np.uint64(31))).astype(np.uint32)
+
+
+def candidates(ids: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Where the cyclic hash of the last WINDOW ids lets a chunk end, over many documents' ids at once.
+
+    The hash is the exclusive or of the ids' hashes, turned by their distance; it
+    doubles its window until that is WINDOW. Places that look back into the
+    document before lie under LEAST, where no cut is made.
+    """
+    h, k = table[ids & (len(table) - 1)], 1
+    while k < WINDOW:
+        turned = (h[:-k] << np.uint32(k)) | (h[:-k] >> np.uint32(32 - k))
+        h[k:] ^= turned
+        k *= 2
+    return np.flatnonzero((h & np.uint32((1 << CUT_BITS) - 1)) == 0) + 1
+
+
+def boundaries(cuts: list[int], last: int, n: int) -> list[int]:
+    """Ends of the chunks of the ids from `last` to n; content decides, so equal passages are cut alike."""
+    ends = []
+    for c in [*cuts, n]:
         while c - last > MOST:
             last += MOST
             ends.append(last)
@@ -83,6 +92,28 @@ def merkle_root(leaves: list[bytes]) -> bytes:
     return leaves[0]
 
 
+def values(column) -> list:
+    """An Arrow column, not nested, as Python values; much quicker than to_pylist()."""
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
+def lists(column) -> list[list]:
+    """An Arrow column of lists as Python lists; a null list is empty."""
+    at, held = column.offsets.to_numpy(), values(column.flatten())
+    return [held[i:j] for i, j in pairwise((at - at[0]).tolist())]
+
+
+def parts(batch) -> Iterator:
+    """A record batch in runs of rows of some PART_BYTES of text; a longer text is a run of its own or ends one."""
+    import pyarrow.compute as pc
+
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy().astype(np.int64))
+    at = [0, *(np.flatnonzero(np.diff(sizes // PART_BYTES)) + 1).tolist(), batch.num_rows]
+    for begin, stop in pairwise(at):
+        if stop > begin:
+            yield batch.slice(begin, stop - begin)
+
+
 def streams(docs: DataFrame, tokenizer: str | None = None, end: int = END) -> DataFrame:
     """Each document's ids with its chunks' digests and lengths."""
     path = vocabulary(tokenizer)
@@ -94,22 +125,23 @@ def streams(docs: DataFrame, tokenizer: str | None = None, end: int = END) -> Da
         code, row = encoder(path), TaskContext.get().partitionId() << 36
         hashes = rolling_table(1 << 16)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                rows, counts, digests, lens, packs = [], [], [], [], []
-                for packed in code.batch(part.column(1).to_pylist()):
-                    ids = with_end(packed, code.width, end)
-                    ends = boundaries(ids, hashes)
-                    pack = ids.astype(code.dtype).tobytes()
-                    starts = [0, *ends[:-1]]
-                    digests.append([digest(pack[s * code.width : e * code.width]) for s, e in zip(starts, ends, strict=True)])
-                    lens.append([e - s for s, e in zip(starts, ends, strict=True)])
-                    rows.append(row)
-                    counts.append(len(ids))
-                    packs.append(pack)
-                    row += 1
+            for part in parts(batch):
+                ids, stops = code.flat(part.column(1), end)
+                begins = np.concatenate([[0], stops[:-1]])
+                cuts = candidates(ids, hashes)
+                held = zip(np.searchsorted(cuts, begins, "right").tolist(), np.searchsorted(cuts, stops).tolist(), begins.tolist(), stops.tolist(), strict=True)
+                cuts = cuts.tolist()
+                chunks = [boundaries(cuts[i:j], first, stop) for i, j, first, stop in held]
+                view, ends = memoryview(ids.astype(code.dtype, copy=False)).cast("B"), [e for x in chunks for e in x]
+                digests = [digest(view[s * code.width : e * code.width]) for s, e in zip([0, *ends], ends, strict=False)]
+                counts = np.cumsum([0, *map(len, chunks)])
+                leaves = [digest(b"".join(digests[i:j])) for i, j in pairwise(counts.tolist())]
+                offsets = pa.array(counts, pa.int32())
+                packs = pa.Array.from_buffers(pa.binary(), len(stops), [None, pa.py_buffer(np.concatenate([[0], stops * code.width]).astype(np.int32)), pa.py_buffer(view)])
+                rows = np.arange(row, row + len(stops))
+                row += len(stops)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows, pa.int64()), part.column(0), pa.array(counts, pa.int64()), pa.array([digest(b"".join(d)) for d in digests], pa.binary()), pa.array(digests, pa.list_(pa.binary())), pa.array(lens, pa.list_(pa.int32())), pa.array(packs, pa.binary())],
+                    [pa.array(rows, pa.int64()), part.column(0), pa.array(stops - begins, pa.int64()), pa.array(leaves, pa.binary()), pa.ListArray.from_arrays(offsets, pa.array(digests, pa.binary())), pa.ListArray.from_arrays(offsets, pa.array(np.diff(ends, prepend=0), pa.int32())), packs],
                     names=["row", "doc_id", "n_tokens", "leaf", "digests", "lens", "ids"])
 
     return docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(encode, STREAM)
@@ -142,7 +174,8 @@ def records(streamed: DataFrame, shards: int) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                rows, flagged, counts, ids = (part.column(c).to_pylist() for c in ("row", "flags", "n_tokens", "ids"))
+                rows, counts, ids, flagged = values(part.column("row")), values(part.column("n_tokens").fill_null(0)), values(part.column("ids")), part.column("flags").to_pylist()
+                recipes, lengths = lists(part.column("digests")), lists(part.column("lens"))
                 docs, shared, kept, starts, chunks = [], [], [], [], []
                 for i, row in enumerate(rows):
                     if flagged[i] is not None:
@@ -152,7 +185,7 @@ def records(streamed: DataFrame, shards: int) -> DataFrame:
                     own = ids[i]
                     if flags:
                         width, place, parts = len(own) // counts[i], 0, []
-                        for k, (d, n) in enumerate(zip(part.column("digests")[i].as_py(), part.column("lens")[i].as_py(), strict=True)):
+                        for k, (d, n) in enumerate(zip(recipes[i], lengths[i], strict=True)):
                             chunk = own[place : place + n * width]
                             place += n * width
                             if k not in flags:
@@ -167,7 +200,7 @@ def records(streamed: DataFrame, shards: int) -> DataFrame:
                     start += counts[i]
                 if docs:
                     mine = part.take(pa.array(docs))
-                    leaves += mine.column("leaf").to_pylist()
+                    leaves += values(mine.column("leaf"))
                     yield made(
                         len(docs), kind="doc", shard=shard, pos=list(range(pos, pos + len(docs))), start=starts, shared=shared, ids=kept,
                         **{c: mine.column(c) for c in ("doc_id", "row", "n_tokens", "leaf", "digests", "lens")})
@@ -211,7 +244,7 @@ def rebuilt(store: DataFrame, finish: Callable[[np.ndarray], object], kind: str)
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
                 done = []
-                for doc, leaf, recipe, lens, own, fetched in zip(*(part.column(c).to_pylist() for c in ("doc_id", "leaf", "digests", "lens", "ids", "fetched")), strict=True):
+                for leaf, recipe, lens, own, fetched in zip(values(part.column("leaf")), lists(part.column("digests")), lists(part.column("lens")), values(part.column("ids")), part.column("fetched").to_pylist(), strict=True):
                     given = {f["idx"]: f["ids"] for f in fetched or ()}
                     mine = sum(lens) - sum(lens[k] for k in given)
                     width = len(own) // mine if mine else len(given[0]) // lens[0]
@@ -223,7 +256,7 @@ def rebuilt(store: DataFrame, finish: Callable[[np.ndarray], object], kind: str)
                             place += n * width
                         parts.append(chunk)
                     if [digest(x) for x in parts] != recipe or digest(b"".join(recipe)) != leaf:
-                        raise ValueError(f"document {doc}: a chunk does not match its digest")
+                        raise ValueError(f"document {part.column('doc_id')[len(done)].as_py()}: a chunk does not match its digest")
                     done.append(finish(np.frombuffer(b"".join(parts), dtype=f"<u{width}").astype("<u4")))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("shard", "pos", "doc_id", "start", "n_tokens")), pa.array(done, pa.int64() if kind == "long" else pa.binary())], names=["shard", "pos", "doc_id", "start", "n_tokens", "ids"])
 
