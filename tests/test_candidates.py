@@ -82,3 +82,55 @@ def test_long_titles_of_few_syllables_over_many_tiles(spark, monkeypatch):
     got = {(r.a, r.b): r.score for r in candidates.similar_titles(spark.createDataFrame(rows, "title_id long, title string, block long"), 92).collect()}
     want = {(a, b): s for a, x, _ in rows for b, y, _ in rows if a < b and (s := linkage.title_similarity(x, y)) >= 92}
     assert got == want and len(got) > 60
+
+
+def syllables(rng, n):
+    """Titles of few syllables, the later half made from the first by a few changed letters or moved words."""
+    base = [" ".join("".join(rng.choice(["th", "an", "in", "er", "on", "re"]) for _ in range(rng.randint(1, 4))) for _ in range(rng.randint(1, 60))) for _ in range(n // 2)]
+    made = set(base)
+    for t in base:
+        at, words = rng.randint(0, len(t)), t.split()
+        words.insert(0, words.pop(rng.randrange(len(words))))
+        made.add(" ".join((t[:at] + rng.choice(["", "x", "the ", " "]) + t[at + rng.randint(0, 3) :]).split()) or "a")
+        made.add(" ".join(words + rng.choice([[], [words[0]]])))
+    return sorted(made)
+
+
+@pytest.mark.parametrize("least", [60, 92, 100])
+def test_similar_titles_of_one_task_are_those_of_all_comparisons(least):
+    rng, compared = random.Random(least), []
+    names = sorted({*syllables(rng, 160), *titles(rng, 120)})
+    near = candidates.similar_among(names, least, lambda a, b: compared.append((a, b)) or linkage.title_similarity(a, b))
+    want = {i: {j: linkage.title_similarity(a, b) for j, b in enumerate(names)} for i, a in enumerate(names)}
+    assert near == {i: {j: s for j, s in x.items() if s >= least or i == j} for i, x in want.items()}
+    # What has nothing in common is not compared in full: few comparisons find no link.
+    assert least < 92 or len(compared) < len(names) + 2 * sum(len(x) - 1 for x in near.values())
+
+
+@pytest.mark.parametrize("few, long", [(1, 1024), (1, 40), (10**9, 1024)])
+def test_pairs_within_so_many_changes(monkeypatch, few, long):
+    monkeypatch.setattr(candidates, "FEW_PAIRS", few)
+    monkeypatch.setattr(candidates, "LONG", long)
+    rng, rows = random.Random(few), []
+    for _ in range(400):
+        a = "".join(rng.choice("ab c") for _ in range(rng.choice([0, 5, 64, 65, rng.randint(0, 300)])))
+        b = list(a if rng.random() < 0.8 else a[::-1])
+        for _ in range(rng.randint(0, 12)):
+            at = rng.randint(0, len(b))
+            b[at : at + rng.randint(0, 2)] = rng.choice(["", "a", "b"])
+        apart = len(a) + len(b) - 2 * linkage.common_length(a, "".join(b))
+        rows += [(a, "".join(b), max(0, most), apart <= max(0, most)) for most in (apart - 1, apart, apart + 1, rng.randint(0, 40))]
+    left, right, most, want = map(list, zip(*rows, strict=True))
+    assert [bool(x) for x in candidates.within(left, right, most)] == want
+
+
+def test_blocks_of_many_titles_fold_alike_with_held_chains():
+    rng = random.Random(11)
+    names = [*titles(rng, 150), *syllables(rng, 60)]
+    rows = sorted((rng.randint(0, 60), i, rng.choice(names), rng.choice(["", "senior", "junior"]), rng.random() < 0.8) for i in range(900))
+    rows = [(i, day, *rest) for day, i, *rest in rows]
+    held = linkage.folded_on([], rows[:300], 9)[1]
+    links, chains = linkage.folded(held, rows[300:], 9)
+    want, left = linkage.folded_on(held, rows[300:], 9)
+    assert links == want and len(links) > 100
+    assert {c for c in chains if c[1] >= rows[-1][1] - 9} == {c for c in left if c[1] >= rows[-1][1] - 9}

@@ -17,15 +17,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vireo.functions.text import lowered, stripped
-from vireo.operators.candidates import pieces, similar_titles
+from vireo.operators.candidates import pieces, similar_among, similar_titles
 from vireo.operators.lineage import settled
 from vireo.operators.windows import gap_chains, latest
 
 #: Rank of the sites whose postings are preferred as originals; all others rank 99.
 SOURCE_RANKS = {"topcv": 1, "vietnamwork": 2, "careerviet": 3, "careerlink": 4}
 FUZZY = 92
-#: Rows of a block whose titles are compared without an index.
+#: Rows of a block whose similar titles one task finds.
 SMALL_BLOCK = 5000
+#: Titles of a block that are sooner compared with each other than looked up.
+FEW = 60
 LINKS = "dup_id long, canon_id long, method string"
 #: Names that a batch column may have, the first that exists counts.
 RUN_COLUMNS = ("etl_run_id", "run_id", "batch_id", "etl_batch")
@@ -174,6 +176,17 @@ def folded_on(held: list[tuple], rows: list[tuple], days: int, least: float = FU
     return out, [tuple(c) for c in chains]
 
 
+def folded(held: list[tuple], rows: list[tuple], days: int, least: float = FUZZY) -> tuple[list[tuple[int, int]], list[tuple]]:
+    """As `folded_on`; similar titles of a larger block are found first."""
+    titles = sorted({r[2] for part in (held, rows) for r in part})
+    if len(titles) <= FEW:
+        return folded_on(held, rows, days, least)
+    number = {t: i for i, t in enumerate(titles)}
+    plain = lambda part: [(*r[:2], number[r[2]], *r[3:]) for r in part]
+    links, chains = chained_on(plain(held), plain(rows), similar_among(titles, least, title_similarity), days)
+    return links, [(root, day, titles[t], lvl, begun) for root, day, t, lvl, begun in chains]
+
+
 def begun_at(day: int, place: int) -> int:
     """A number that puts chains in order of the day of their first row, then of its place in the fold."""
     return day * 2**32 + place
@@ -226,8 +239,8 @@ def chained_on(held: list[tuple], rows: list[tuple], near: dict[int, dict[int, f
 def fuzzy_links(df: DataFrame, is_new: Column, days: int, least: float = FUZZY, small_block: int = SMALL_BLOCK) -> DataFrame:
     """(dup_id, canon_id, method) by title within company and province.
 
-    Blocks of at most `small_block` rows are folded as they are. In larger
-    ones, similar titles are found by an index; chains stay among titles
+    Blocks of at most `small_block` rows are folded in one task each. In larger
+    ones, similar titles are found over all tasks; chains stay among titles
     that similarity holds together, so a block falls into pieces that are
     folded each for itself, over the pairs found.
     """
@@ -235,7 +248,7 @@ def fuzzy_links(df: DataFrame, is_new: Column, days: int, least: float = FUZZY,
         import pandas as pd
 
         pdf = pdf.sort_values(["day", "rank", "info", "etl_id"], ascending=[True, True, False, True], kind="stable")
-        pairs = fuzzy_fold(list(pdf[["etl_id", "day", "title", "lvl", "is_new"]].itertuples(index=False, name=None)), days, least)
+        pairs = folded([], list(pdf[["etl_id", "day", "title", "lvl", "is_new"]].itertuples(index=False, name=None)), days, least)[0]
         return pd.DataFrame(pairs, columns=["dup_id", "canon_id"]).assign(method="fuzzy_title")
 
     def piece(pdf, edges):
@@ -252,11 +265,11 @@ def fuzzy_links(df: DataFrame, is_new: Column, days: int, least: float = FUZZY,
     rows = df.withColumn("is_new", is_new).select("co", "prov", "etl_id", "day", "rank", "info", "title", "lvl", "is_new")
     # No chain outlives a gap of more than `days`: each stretch between such gaps is folded on its own.
     rows = gap_chains(rows, ["co", "prov"], F.col("day"), days, "etl_id", "day", "rank", F.desc("info"), "etl_id").withColumnRenamed("root", "stretch")
+    rows = settled(rows, "stretches")
     block_of = ["co", "prov", "stretch"]
     crowded = rows.groupBy(*block_of).agg(F.count("*").alias("n"), F.max("is_new").alias("any_new")).where("n > 1 and any_new")
     crowded = settled(crowded.withColumn("block", F.monotonically_increasing_id()).select(*block_of, "block", "n"), "blocks")
     rows = rows.join(crowded, block_of).drop(*block_of)
-    # Few titles are sooner compared with each other than looked up.
     small = rows.where(F.col("n") <= small_block).groupBy("block").applyInPandas(block, LINKS)
     if crowded.where(F.col("n") > small_block).isEmpty():
         return small
@@ -267,9 +280,9 @@ def fuzzy_links(df: DataFrame, is_new: Column, days: int, least: float = FUZZY,
     # A title is similar to itself, whatever the least.
     own = titles.select(F.col("title_id").alias("a"), F.col("title_id").alias("b"), F.lit(100.0).alias("score"))
     numbered = settled(rows.join(titles, ["block", "title"]).join(placed, "title_id").select("piece", "etl_id", "day", "rank", "info", "title_id", "lvl", "is_new"), "numbered")
-    folded = numbered.groupBy("piece").agg(F.count("*").alias("n"), F.max("is_new").alias("any_new")).where("n > 1 and any_new").select("piece")
-    pairs = edges.unionByName(own).join(placed.withColumnRenamed("title_id", "a"), "a").join(folded, "piece")
-    return small.unionByName(numbered.join(folded, "piece").groupBy("piece").cogroup(pairs.groupBy("piece")).applyInPandas(piece, LINKS))
+    kept = numbered.groupBy("piece").agg(F.count("*").alias("n"), F.max("is_new").alias("any_new")).where("n > 1 and any_new").select("piece")
+    pairs = edges.unionByName(own).join(placed.withColumnRenamed("title_id", "a"), "a").join(kept, "piece")
+    return small.unionByName(numbered.join(kept, "piece").groupBy("piece").cogroup(pairs.groupBy("piece")).applyInPandas(piece, LINKS))
 
 
 def duplicates(new: DataFrame, history: DataFrame, days: int) -> DataFrame:
@@ -277,7 +290,7 @@ def duplicates(new: DataFrame, history: DataFrame, days: int) -> DataFrame:
     ids = new.select("etl_id").distinct().withColumn("is_new", F.lit(True))
     # A row that repeats an id counts once: the earliest, then the least title.
     once = latest(new.unionByName(history), ["etl_id"], "job_posted_at_clean", "job_title_clean", "website_clean", "company_canonical_key", "location_province", "level_clean")
-    both = keyed(once).join(ids, "etl_id", "left").withColumn("is_new", F.coalesce("is_new", F.lit(False)))
+    both = settled(keyed(once).join(ids, "etl_id", "left").withColumn("is_new", F.coalesce("is_new", F.lit(False))), "postings")
     exact = exact_links(both, F.col("is_new"), days)
     rest = both.join(exact.select(F.col("dup_id").alias("etl_id")), "etl_id", "left_anti")
     return exact.unionByName(fuzzy_links(rest, F.col("is_new"), days))
