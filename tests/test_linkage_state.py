@@ -53,6 +53,31 @@ def test_crowded_blocks_go_on_over_the_index(spark, tmp_path):
     assert got == want and want
 
 
+def test_titles_alone_in_a_crowded_block_need_no_fold(spark, tmp_path, monkeypatch):
+    """Begun or held, they pass as they are; they are met by later rows as in a full run."""
+    plain = linkage_state._fold_piece
+
+    def checked(days):
+        fold = plain(days)
+
+        def piece(pdf, edges):
+            assert len(pdf) > 1
+            return fold(pdf, edges)
+
+        return piece
+
+    monkeypatch.setattr(linkage_state, "_fold_piece", checked)
+    names = ["".join(chr(97 + (i * k) % 26) for k in range(1, 12)) for i in range(1, 26)]
+    one = lambda i, title, day: (i, 1, "topcv", "c", "a", "Huế", title, "", None, None, START + timedelta(day), True)
+    rows = [one(i, t, 1) for i, t in enumerate(names)] + [one(100 + i, t, 9) for i, t in enumerate(["x" + names[3], names[4] + "x", "quite another", "once more else"])]
+    want = links(linkage.full(spark.createDataFrame(rows, COLUMNS), 9))
+    got, state = in_runs(spark, f"{tmp_path}/s", rows, [5, 10], 9, 1)
+    assert got == want and {(100, 3), (101, 4)} <= {x[:2] for x in got}
+    begun = {r.root: r.begun >> 32 for r in state.read(spark).where("pass = 'fuzzy'").collect()}
+    first = (START - date(1970, 1, 1)).days
+    assert begun[3] == begun[7] == first + 1 and begun[102] == first + 9
+
+
 def test_a_run_can_be_repeated_and_late_rows_meet_what_there_is(spark, tmp_path):
     one = lambda i, title, day, level="": (i, 1, "topcv", "c", "a", "Huế", title, level, None, None, START + timedelta(day), True)
     frame = lambda *rows: spark.createDataFrame(list(rows), COLUMNS)

@@ -49,7 +49,7 @@ def _fold(days: int, least: float):
     """The function of one small block: rows and chains to links and chains."""
     def block(pdf):
         held, rows = _parted(pdf, "title")
-        return _frame(pdf["block"].iloc[0], *linkage.folded_on(held, rows, days, least))
+        return _frame(pdf["block"].iloc[0], *linkage.folded(held, rows, days, least))
 
     return block
 
@@ -84,6 +84,11 @@ def _frame(block: int, links: list[tuple[int, int]], chains: list[tuple]):
     return out.astype({"dup_id": "Int64", "day": "Int32", "begun": "Int64"})
 
 
+def begun_first():
+    """`begun` of a chain whose first row stands first in its fold."""
+    return F.col("day").cast("long") * 2**32
+
+
 def fuzzy_step(chains: DataFrame, fresh: DataFrame, days: int, least: float = linkage.FUZZY, small_block: int = linkage.SMALL_BLOCK) -> tuple[DataFrame, DataFrame]:
     """(links, chains afterwards): keyed rows folded onto the live chains (BLOCK, title, lvl, root, day, begun) of their blocks.
 
@@ -95,7 +100,7 @@ def fuzzy_step(chains: DataFrame, fresh: DataFrame, days: int, least: float = li
     rows = held.unionByName(fresh.select(*BLOCK, *ORDER, "title", "lvl", F.lit(None).cast("long").alias("begun")))
     blocks = settled(rows.groupBy(*BLOCK).agg(F.count("*").alias("n")).withColumn("block", F.monotonically_increasing_id()), "blocks")
     rows = settled(rows.join(blocks, BLOCK).drop(*BLOCK), "rows")
-    lone = rows.where("n = 1").select("block", F.lit(None).cast("long").alias("dup_id"), F.col("etl_id").alias("root"), "day", "title", "lvl", (F.col("day").cast("long") * 2**32).alias("begun"))
+    lone = rows.where("n = 1").select("block", F.lit(None).cast("long").alias("dup_id"), F.col("etl_id").alias("root"), "day", "title", "lvl", begun_first().alias("begun"))
     folded = lone.unionByName(rows.where((F.col("n") > 1) & (F.col("n") <= small_block)).groupBy("block").applyInPandas(_fold(days, least), FOLDED))
     crowded = rows.where((F.col("n") > 1) & (F.col("n") > small_block))
     if not crowded.isEmpty():
@@ -104,8 +109,15 @@ def fuzzy_step(chains: DataFrame, fresh: DataFrame, days: int, least: float = li
         placed = settled(pieces(titles, edges), "placed")
         own = titles.select(F.col("title_id").alias("a"), F.col("title_id").alias("b"), F.lit(100.0).alias("score"))
         numbered = settled(crowded.join(titles, ["block", "title"]).join(placed, "title_id"), "numbered")
-        pairs = edges.unionByName(own).join(placed.withColumnRenamed("title_id", "a"), "a")
-        folded = folded.unionByName(numbered.groupBy("piece").cogroup(pairs.groupBy("piece")).applyInPandas(_fold_piece(days), FOLDED))
+        # A title that has one row and is like no other begins a chain, or its chain stays: most pieces are such.
+        single = numbered.groupBy("piece").agg(F.count("*").alias("rows")).withColumn("alone", F.col("rows") == 1).drop("rows")
+        parted = numbered.join(single, "piece")
+        alone = parted.where("alone").select("block", F.lit(None).cast("long").alias("dup_id"), F.col("etl_id").alias("root"), "day", "title", "lvl", F.coalesce("begun", begun_first()).alias("begun"))
+        pairs = edges.unionByName(own).join(placed.withColumnRenamed("title_id", "a"), "a").join(single.where("not alone").select("piece"), "piece")
+        # Pieces are many and small: by a number of partitions that is kept, as bytes say little of their work.
+        tasks = int(fresh.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        spread = [x.repartition(tasks, "piece").groupBy("piece") for x in (parted.where("not alone").drop("alone"), pairs)]
+        folded = folded.unionByName(alone).unionByName(spread[0].cogroup(spread[1]).applyInPandas(_fold_piece(days), FOLDED))
     folded = settled(folded, "folded")
     links = folded.where("dup_id is not null").select("dup_id", F.col("root").alias("canon_id"), F.lit("fuzzy_title").alias("method"))
     after = folded.where("dup_id is null").join(blocks, "block").select(*BLOCK, "title", "lvl", "root", "day", "begun")
